@@ -48,11 +48,11 @@ def truncate_ts(ts: Column, grain: str) -> Column:
 
 def seconds_between(start: Column, end: Column) -> Column:
     """Whole seconds from ``start`` to ``end`` (truncated toward zero)."""
-    return F.timestampdiff("SECOND", start, end)
+    return F.timestamp_diff("SECOND", start, end)
 
 
 def add_seconds(ts: Column, seconds: Column) -> Column:
-    return F.timestampadd("SECOND", seconds, ts)
+    return F.timestamp_add("SECOND", seconds, ts)
 
 
 def display_ts(ts: Column) -> Column:

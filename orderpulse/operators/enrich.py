@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +30,14 @@ def enrich_price(lines: DataFrame, inventory: DataFrame, fallback: Column) -> Da
 
 
 def category_base_prices(inventory: DataFrame) -> DataFrame:
-    """Base price per category derived from the data: the category's mean unit price."""
-    return inventory.groupBy("category").agg(money(F.avg("unit_price"), 10).alias("base_price"))
+    """Base price per category from the data: mean unit price, rounded half-up to cents.
+
+    Computed in integer cents so the rounding is exact (no floating average).
+    """
+    cents = (F.col("unit_price") * 100).cast("bigint")
+    agg = inventory.groupBy("category").agg(F.sum(cents).alias("_c"), F.count("unit_price").alias("_n"))
+    base_cents = F.expr("(2 * _c + _n) div (2 * _n)")
+    return agg.select("category", (base_cents.cast("decimal(20,0)") / 100).cast("decimal(10,2)").alias("base_price"))
 
 
 def price_band(inventory: DataFrame, base_prices: DataFrame | dict | None = None) -> DataFrame:
@@ -48,8 +56,8 @@ def price_band(inventory: DataFrame, base_prices: DataFrame | dict | None = None
         base = base.select("category", money(F.col("base_price"), 10).alias("base_price"))
     else:
         base = base_prices
-    low = money(F.col("base_price") * F.lit(BAND_LOW), 10)
-    high = money(F.col("base_price") * F.lit(BAND_HIGH), 10)
+    low = money(F.col("base_price") * F.lit(Decimal(str(BAND_LOW))), 10)
+    high = money(F.col("base_price") * F.lit(Decimal(str(BAND_HIGH))), 10)
     out = inventory.join(sized_broadcast(base), "category", "left")
     return out.select(
         "product_id", "category", "unit_price", "base_price",

@@ -107,3 +107,218 @@ def q_merge_nulls(spark, sf_dir):
 def q_merge_delta_only(spark, sf_dir):
     # Deliberately not the reference semantics (see replay.py); no oracle claimed.
     return replay_status(fx_events(spark, sf_dir), FIVE_BATCHES, "delta_only")
+
+
+# --- validation (V1-V5, V8-V10) ----------------------------------------------------
+
+from orderpulse.operators import monitor as M  # noqa: E402
+from orderpulse.operators import validate as V  # noqa: E402
+from orderpulse.operators.enrich import price_band  # noqa: E402
+from orderpulse.functions.partitioning import customer_partition, hash_partition  # noqa: E402
+from orderpulse.sources.fixtures import fx_inventory, fx_keys, fx_order_lines, fx_orders  # noqa: E402
+from orderpulse.sources.messages import decode_messages, encode_messages  # noqa: E402
+
+
+def fx_status(spark, sf_dir, variant="base", batches=TWO_BATCHES):
+    """Current status after merging the arrival batches (incremental mode)."""
+    return replay_status(fx_events(spark, sf_dir, variant), batches, "incremental")
+
+
+def _on_status(select: str, variant: str = "base", batches=TWO_BATCHES) -> str:
+    return O.status_chain_sql(variant, batches, select)
+
+
+@register("validate_counts", _on_status(
+    "select (select count(*) from fx) as raw_events, (select count(distinct order_id) from fx) as raw_orders, "
+    "(select count(*) from st) as dwh_orders"))
+def q_validate_counts(spark, sf_dir):
+    return V.validate_counts(fx_events(spark, sf_dir), fx_status(spark, sf_dir))
+
+
+@register("validate_freshness", _on_status("select max(last_update_ts) as dwh_last_update from st"))
+def q_validate_freshness(spark, sf_dir):
+    return V.validate_freshness(fx_status(spark, sf_dir))
+
+
+@register("status_distribution", _on_status(
+    "select current_status, count(*) as n from st group by current_status order by n desc, current_status"))
+def q_status_distribution(spark, sf_dir):
+    return V.status_distribution(fx_status(spark, sf_dir))
+
+
+@register("orphan_orders", _on_status(
+    "select count(*) as missing_in_raw_orders from st d where not exists (select 1 from orders o "
+    "where o.o_orderkey = d.order_id and (o.o_orderstatus is null or o.o_orderstatus <> 'F'))"))
+def q_orphan_orders(spark, sf_dir):
+    return V.orphan_orders(fx_status(spark, sf_dir), fx_order_lines(spark, sf_dir, partial=True))
+
+
+_MISMATCH = ("select count(*) as mismatches from ({latest}) l join st d on l.order_id = d.order_id "
+             "where l.new_status <> d.current_status").format(latest=O.latest_sql("fx"))
+
+
+@register("latest_mismatch", _on_status(_MISMATCH))
+def q_latest_mismatch(spark, sf_dir):
+    return V.latest_mismatch(fx_events(spark, sf_dir), fx_status(spark, sf_dir))
+
+
+@register("latest_mismatch_day_grain", _on_status(_MISMATCH, "day", FIVE_BATCHES))
+def q_latest_mismatch_day_grain(spark, sf_dir):
+    return V.latest_mismatch(fx_events(spark, sf_dir, "day"), fx_status(spark, sf_dir, "day", FIVE_BATCHES))
+
+
+@register("duplicate_events", O.with_ctes(
+    [f"fx as ({O.fx_events_sql('dup')})"],
+    "select event_id, count(*) as copies from fx group by event_id having count(*) > 1"))
+def q_duplicate_events(spark, sf_dir):
+    return V.duplicate_events(fx_events(spark, sf_dir, "dup"))
+
+
+@register("duplicate_orders", _on_status(
+    "select order_id, count(*) as copies from st group by order_id having count(*) > 1"))
+def q_duplicate_orders(spark, sf_dir):
+    return V.duplicate_orders(fx_status(spark, sf_dir))
+
+
+def _transitions_sql(variant: str) -> str:
+    inner = ("select lag(new_status) over w as from_status, new_status as to_status, "
+             "row_number() over w as rn from fx window w as (partition by order_id "
+             "order by status_ts asc nulls first, event_id asc nulls first)")
+    return O.with_ctes(
+        [f"fx as ({O.fx_events_sql(variant)})"],
+        f"select from_status, to_status, count(*) as n, "
+        f"{O.transition_class_sql('from_status', 'to_status')} as transition "
+        f"from ({inner}) p where rn > 1 group by from_status, to_status")
+
+
+@register("status_transitions", _transitions_sql("base"))
+def q_status_transitions(spark, sf_dir):
+    return V.status_transitions(fx_events(spark, sf_dir))
+
+
+@register("status_transitions_nulls", _transitions_sql("nulls"))
+def q_status_transitions_nulls(spark, sf_dir):
+    return V.status_transitions(fx_events(spark, sf_dir, "nulls"))
+
+
+AS_OF = "2024-02-01 00:00:00"
+MAX_LAG_SECONDS = 2 * 86400
+
+
+@register("freshness_lag", O.with_ctes(
+    [f"fx as ({O.fx_events_sql()})"],
+    f"select max(status_ts) as latest_event_ts, timestamp '{AS_OF}' as as_of, "
+    f"cast(floor(date_diff('microsecond', max(status_ts), timestamp '{AS_OF}') / 1000000) as bigint) "
+    f"as lag_seconds, floor(date_diff('microsecond', max(status_ts), timestamp '{AS_OF}') / 1000000) "
+    f"<= {MAX_LAG_SECONDS} as is_fresh from fx"))
+def q_freshness_lag(spark, sf_dir):
+    return V.freshness_lag(fx_events(spark, sf_dir), F.lit(AS_OF).cast("timestamp_ntz"), MAX_LAG_SECONDS)
+
+
+# --- monitoring (V6, V7, V12) --------------------------------------------------------
+
+_SLICE = ("select order_id, customer_id, current_status, previous_status, last_update_ts from st "
+          "order by last_update_ts desc nulls last, order_id limit 1000")
+
+
+@register("recent_status_top1000", _on_status(_SLICE))
+def q_recent_status(spark, sf_dir):
+    return M.recent_status(fx_status(spark, sf_dir))
+
+
+@register("dashboard_metrics", _on_status(
+    f"select (select count(distinct order_id) from ({_SLICE}) a) as tracked_orders, "
+    f"coalesce(strftime((select max(last_update_ts) from ({_SLICE}) b), '%Y-%m-%d %H:%M:%S.%f'), 'N/A') "
+    f"as latest_update, (select count(*) from fx) as total_events, "
+    f"(select count(distinct order_id) from fx) as unique_orders, (select max(status_ts) from fx) as latest_event, "
+    f"(select count(distinct order_id) from st) as tracked_orders_full"))
+def q_dashboard_metrics(spark, sf_dir):
+    return M.dashboard_metrics(fx_status(spark, sf_dir), fx_events(spark, sf_dir))
+
+
+@register("status_counts_slice", _on_status(
+    f"select current_status, count(*) as n from ({_SLICE}) s where current_status is not null "
+    f"group by current_status"))
+def q_status_counts_slice(spark, sf_dir):
+    return M.status_counts_slice(fx_status(spark, sf_dir))
+
+
+FILTER_STATUSES = ["SHIPPED", "DELIVERED"]
+FILTER_SINCE = "2024-01-29 00:00:00"
+
+
+@register("orders_by_filter", _on_status(
+    "select * from st where current_status in ('SHIPPED', 'DELIVERED') "
+    f"and last_update_ts >= timestamp '{FILTER_SINCE}'"))
+def q_orders_by_filter(spark, sf_dir):
+    return M.filter_status(fx_status(spark, sf_dir), statuses=FILTER_STATUSES, since=FILTER_SINCE)
+
+
+# --- enrichment, scalars, partition columns -------------------------------------------
+
+@register("enrich_price", O.fx_orders_sql())
+def q_enrich_price(spark, sf_dir):
+    return fx_orders(spark, sf_dir)
+
+
+@register("price_band", O.with_ctes(
+    [f"inv as ({O.fx_inventory_sql()})",
+     "base as (select category, cast(cast(((2 * sum(cast(unit_price * 100 as bigint)) + count(unit_price)) "
+     "// (2 * count(unit_price))) as decimal(20,0)) / 100 as decimal(10,2)) as base_price "
+     "from inv group by category)",
+     "b as (select inv.*, base_price, cast(round(base_price * 0.4, 2) as decimal(10,2)) as band_low, "
+     "cast(round(base_price * 1.8, 2) as decimal(10,2)) as band_high from inv left join base using (category))"],
+    "select product_id, category, unit_price, base_price, band_low, band_high, "
+    "case when unit_price is not null then greatest(band_low, least(band_high, unit_price)) end as banded_price, "
+    "concat_ws(' ', category, product_name) as product_label from b"))
+def q_price_band(spark, sf_dir):
+    return price_band(fx_inventory(spark, sf_dir))
+
+
+AVAILABLE_PARTITIONS = [0, 1, 2, 4, 5, 7]
+_KEYS_SQL = ("select 'customer:' || cast(c_custkey as varchar) as key from customer "
+             "union all select 'abc' union all select '' union all select null")
+
+
+@register("partition_by_hash", O.with_ctes(
+    [f"k as ({_KEYS_SQL})"],
+    f"select key, {O.hash_partition_sql('key', AVAILABLE_PARTITIONS)} as partition from k"))
+def q_partition_by_hash(spark, sf_dir):
+    keys = fx_keys(spark, sf_dir)
+    return keys.select("key", hash_partition(F.col("key"), AVAILABLE_PARTITIONS).alias("partition"))
+
+
+@register("partition_by_customer", O.with_ctes(
+    [f"k as ({_KEYS_SQL})"],
+    f"select key, {O.customer_partition_sql('key', AVAILABLE_PARTITIONS)} as partition from k"))
+def q_partition_by_customer(spark, sf_dir):
+    keys = fx_keys(spark, sf_dir)
+    return keys.select("key", customer_partition(F.col("key"), AVAILABLE_PARTITIONS).alias("partition"))
+
+
+@register("json_round_trip", O.with_ctes(
+    [f"fx as ({O.fx_events_sql('nulls')})"],
+    "select event_id, order_id, customer_id, new_status, status_ts, source, "
+    "json_object('event_id', event_id, 'order_id', order_id, 'customer_id', customer_id, "
+    "'new_status', new_status, 'status_ts', strftime(status_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00', "
+    "'source', source) as value from fx"))
+def q_json_round_trip(spark, sf_dir):
+    msgs = encode_messages(fx_events(spark, sf_dir, "nulls").drop("batch_id"))
+    decoded = decode_messages(msgs.withColumn("value_copy", F.col("value")))
+    return decoded.select("event_id", "order_id", "customer_id", "new_status", "status_ts", "source",
+                          F.col("value_copy").alias("value"))
+
+
+CONSUMED_BEFORE = 3
+
+
+@register("unconsumed_delta", O.with_ctes(
+    [f"fx as ({O.fx_events_sql()})",
+     f"consumed as (select distinct batch_id from fx where batch_id < {CONSUMED_BEFORE})"],
+    "select * from fx where not exists (select 1 from consumed c where c.batch_id = fx.batch_id)"))
+def q_unconsumed_delta(spark, sf_dir):
+    from orderpulse.sinks.raw import unconsumed
+
+    events = fx_events(spark, sf_dir)
+    consumed = events.where(F.col("batch_id") < CONSUMED_BEFORE).select("batch_id").distinct()
+    return unconsumed(events, consumed)

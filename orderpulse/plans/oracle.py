@@ -92,3 +92,30 @@ def status_chain_sql(variant: str, batches: Sequence[Sequence[int]], select: str
     ctes, last = merge_chain_ctes(batches)
     ctes = [f"fx as ({fx_events_sql(variant)})"] + ctes + [f"st as (select * from {last})"]
     return with_ctes(ctes, select or "select * from st")
+
+
+def status_ordinal_sql(col: str) -> str:
+    from orderpulse.schemas import STATUSES
+
+    return "case " + " ".join(f"when {col} = '{s}' then {i}" for i, s in enumerate(STATUSES)) + " end"
+
+
+def transition_class_sql(a: str, b: str) -> str:
+    oa, ob = status_ordinal_sql(a), status_ordinal_sql(b)
+    return (f"case when ({oa}) is null or ({ob}) is null then 'unknown' "
+            f"when ({ob}) - ({oa}) = 0 then 'repeat' when ({ob}) - ({oa}) = 1 then 'forward' "
+            f"when ({ob}) - ({oa}) > 1 then 'skip' else 'backward' end")
+
+
+def hash_partition_sql(key: str, available) -> str:
+    arr = "[" + ", ".join(str(p) for p in available) + "]"
+    idx = f"cast((('0x' || substr(sha256({key}), 1, 16))::ubigint % {len(available)}) as bigint)"
+    return f"case when {key} is null then {available[0]} else {arr}[{idx} + 1] end"
+
+
+def customer_partition_sql(key: str, available) -> str:
+    arr = "[" + ", ".join(str(p) for p in available) + "]"
+    digits = f"regexp_replace({key}, '[^0-9]', '', 'g')"
+    return (f"case when {key} is null then {available[0]} "
+            f"when {digits} <> '' then {arr}[cast(cast({digits} as hugeint) % {len(available)} as bigint) + 1] "
+            f"else {hash_partition_sql(key, available)} end")
