@@ -85,10 +85,16 @@ def _event_struct(prefix: str) -> Column:
                       for c in ("status_ts", "event_id", "customer_id", "new_status")])
 
 
-def _latest_source(events: DataFrame) -> DataFrame:
-    return latest_per_key(events.where(F.col("order_id").isNotNull())).select(
-        "order_id", F.lit(True).alias("_s"),
-        *[F.col(c).alias(f"d_{c}") for c in ("status_ts", "event_id", "customer_id", "new_status")])
+def _latest_source(events: DataFrame, touched: Column | None = None) -> DataFrame:
+    """Latest event per order as merge source; ``_touched`` marks orders with events
+    matching ``touched`` (the current batch), computed in the same aggregate."""
+    ev = events.where(F.col("order_id").isNotNull())
+    cols = ["status_ts", "event_id", "customer_id", "new_status"]
+    aggs = [F.max(F.struct(*[F.col(c) for c in cols])).alias("_l")]
+    aggs.append((F.max(touched) if touched is not None else F.lit(True)).alias("_touched"))
+    return ev.groupBy("order_id").agg(*aggs).select(
+        "order_id", F.lit(True).alias("_s"), F.coalesce(F.col("_touched"), F.lit(False)).alias("_touched"),
+        *[F.col(f"_l.{c}").alias(f"d_{c}") for c in cols])
 
 
 def _merge_state(state: DataFrame, d: DataFrame, incremental: bool, with_action: bool) -> DataFrame:
@@ -111,8 +117,10 @@ def _merge_state(state: DataFrame, d: DataFrame, incremental: bool, with_action:
         {c: F.col(c) for c in STATUS_COLUMNS if c != "order_id"},
         {"customer_id": F.col("_le.customer_id"), "new_status": F.col("_le.new_status"),
          "ts": F.col("_le.status_ts")})
-    action = (F.when(F.col("_s").isNull() & (cols["_action"] != UPDATE), KEPT)
-              .otherwise(cols["_action"]))
+    # Actions per merge: insert / update / unchanged (order had events in this batch
+    # but the guards held it) / kept (order not in this batch and not updated).
+    action = (F.when(cols["_action"].isin(INSERT, UPDATE), cols["_action"])
+              .when(F.coalesce(F.col("_touched"), F.lit(False)), UNCHANGED).otherwise(KEPT))
     out = [F.col("order_id")] + [cols[c].alias(c) for c in STATUS_COLUMNS if c != "order_id"] + [
         F.col("_le.event_id").alias("le_event_id"),
         F.col("_le.customer_id").alias("le_customer_id"),
@@ -136,9 +144,13 @@ def advance_state(state: DataFrame, delta_events: DataFrame, with_action: bool =
     return _merge_state(state, _latest_source(delta_events), True, with_action)
 
 
-def full_state(state: DataFrame, all_events: DataFrame, with_action: bool = False) -> DataFrame:
-    """Full-rescan merge (the reference's behaviour) into the same state layout."""
-    return _merge_state(state, _latest_source(all_events), False, with_action)
+def full_state(state: DataFrame, all_events: DataFrame, with_action: bool = False,
+               touched: Column | None = None) -> DataFrame:
+    """Full-rescan merge (the reference's behaviour) into the same state layout.
+
+    ``touched`` (e.g. ``batch_id == current``) only feeds the action report.
+    """
+    return _merge_state(state, _latest_source(all_events, touched), False, with_action)
 
 
 def status_as_state(status: DataFrame) -> DataFrame:

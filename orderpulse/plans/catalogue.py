@@ -322,3 +322,68 @@ def q_unconsumed_delta(spark, sf_dir):
     events = fx_events(spark, sf_dir)
     consumed = events.where(F.col("batch_id") < CONSUMED_BEFORE).select("batch_id").distinct()
     return unconsumed(events, consumed)
+
+
+# --- streaming: topic -> raw -> status (S1 S6 K1 T1-T9) ----------------------------------
+
+from orderpulse.session import scratch_path  # noqa: E402
+from orderpulse.sinks.snapshot import SnapshotStore  # noqa: E402
+from orderpulse.streaming import pipeline as P  # noqa: E402
+from orderpulse.streaming.sources import file_messages  # noqa: E402
+
+
+def _publish(events: DataFrame, landing: str) -> None:
+    """Publish events as JSON-line messages into the landing folder (the topic stand-in)."""
+    encode_messages(events.drop("batch_id")).write.mode("append").text(landing)
+
+
+def run_stream_waves(spark, sf_dir, batches, shape: str = "land_merge", mode: str = "incremental",
+                     variant: str = "base") -> SnapshotStore:
+    """Publish each batch group in turn and drain the pipeline after each (restarting
+    from its checkpoint every time)."""
+    root = scratch_path(spark, f"stream_{shape}")
+    paths = P.PipelinePaths(root)
+    landing = f"{root}/landing"
+    events = fx_events(spark, sf_dir, variant)
+    for group in batches:
+        _publish(events.where(F.col("batch_id").isin(list(group))), landing)
+        if shape == "land_merge":
+            P.run_to_completion(P.start_land_merge(file_messages(spark, landing), paths, mode, trigger="drain"))
+        else:
+            P.run_to_completion(P.start_raw_landing(file_messages(spark, landing), paths, trigger="drain"))
+            P.run_to_completion(P.start_refresh(spark, paths, trigger="drain"))
+    return SnapshotStore(spark, paths.store)
+
+
+@register("stream_land_merge", O.status_chain_sql("base", TWO_BATCHES))
+def q_stream_land_merge(spark, sf_dir):
+    return run_stream_waves(spark, sf_dir, TWO_BATCHES).read_status()
+
+
+@register("stream_land_merge_full", O.status_chain_sql("base", FIVE_BATCHES))
+def q_stream_land_merge_full(spark, sf_dir):
+    return run_stream_waves(spark, sf_dir, FIVE_BATCHES, mode="full").read_status()
+
+
+@register("stream_raw_refresh", O.status_chain_sql("base", TWO_BATCHES))
+def q_stream_raw_refresh(spark, sf_dir):
+    return run_stream_waves(spark, sf_dir, TWO_BATCHES, shape="raw_refresh").read_status()
+
+
+_RUN_LOG_COLUMNS = ["batch_id", "rows_in", "rows_bad", "inserted", "updated", "unchanged", "max_status_ts"]
+
+
+@register("run_log", O.run_log_sql("base", FIVE_BATCHES))
+def q_run_log(spark, sf_dir):
+    return run_stream_waves(spark, sf_dir, FIVE_BATCHES).run_log().select(*_RUN_LOG_COLUMNS)
+
+
+@register("counts_over_time", O.with_ctes(
+    [f"rl as ({O.run_log_sql('base', FIVE_BATCHES)})",
+     "c as (select batch_id, rows_in, inserted, cast(sum(rows_in) over w as bigint) as total_events, "
+     "cast(sum(inserted) over w as bigint) as total_orders from rl "
+     "window w as (order by batch_id rows between unbounded preceding and current row))"],
+    "select batch_id, rows_in, inserted, total_events, total_orders, "
+    "coalesce(total_orders >= lag(total_orders) over (order by batch_id), true) as orders_grew from c"))
+def q_counts_over_time(spark, sf_dir):
+    return V.counts_over_time(run_stream_waves(spark, sf_dir, FIVE_BATCHES).run_log())

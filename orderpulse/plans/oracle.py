@@ -52,14 +52,17 @@ def latest_sql(source: str, where: str = "true") -> str:
             f"from {source} where order_id is not null and ({where})) x where rn = 1")
 
 
-def _merge_step_sql(prev: str, src: str) -> str:
-    joined = (
+def _joined_sql(prev: str, src: str) -> str:
+    return (
         "select t.order_id as t_id, s.order_id as s_id, t.customer_id as t_cust, s.customer_id as s_cust, "
         "t.previous_status, t.current_status, s.new_status, t.last_update_ts, s.status_ts, "
         "t.order_id is not null and s.order_id is not null "
         "and (s.status_ts > t.last_update_ts or t.last_update_ts is null) "
         "and (t.current_status <> s.new_status or t.current_status is null) as upd "
         f"from {prev} t full outer join {src} s on t.order_id = s.order_id")
+
+
+def _merge_step_sql(joined: str) -> str:
     return (
         "select coalesce(t_id, s_id) as order_id, "
         "case when t_id is null or upd then s_cust else t_cust end as customer_id, "
@@ -67,11 +70,11 @@ def _merge_step_sql(prev: str, src: str) -> str:
         "as previous_status, "
         "case when t_id is null or upd then new_status else current_status end as current_status, "
         "case when t_id is null or upd then status_ts else last_update_ts end as last_update_ts "
-        f"from ({joined}) j")
+        f"from {joined}")
 
 
 def merge_chain_ctes(batches: Sequence[Sequence[int]], fx: str = "fx") -> tuple[list[str], str]:
-    """CTEs t1..tN: the status table after each cumulative (full-rescan) merge."""
+    """CTEs s_i (merge source), j_i (joined with guard), t_i (status after merge i)."""
     ctes = ["t0 as (select cast(null as bigint) as order_id, cast(null as bigint) as customer_id, "
             "cast(null as varchar) as previous_status, cast(null as varchar) as current_status, "
             "cast(null as timestamp) as last_update_ts where false)"]
@@ -80,10 +83,30 @@ def merge_chain_ctes(batches: Sequence[Sequence[int]], fx: str = "fx") -> tuple[
         arrived.extend(group)
         ids = ", ".join(str(b) for b in arrived)
         ctes.append(f"s{i} as ({latest_sql(fx, f'batch_id in ({ids})')})")
-        ctes.append(f"t{i} as ({_merge_step_sql(f't{i - 1}', f's{i}')})")
+        ctes.append(f"j{i} as ({_joined_sql(f't{i - 1}', f's{i}')})")
+        ctes.append(f"t{i} as ({_merge_step_sql(f'j{i}')})")
     return ctes, f"t{len(batches)}"
 
 
+def run_log_sql(variant: str, batches: Sequence[Sequence[int]]) -> str:
+    """Per merge: rows_in, rows_bad, inserted, updated, unchanged (matched, in this batch,
+    guards held), max_status_ts. Merge i is numbered i-1 (micro-batch ids start at 0)."""
+    ctes, _ = merge_chain_ctes(batches)
+    ctes = [f"fx as ({fx_events_sql(variant)})"] + ctes
+    parts = []
+    for i, group in enumerate(batches, start=1):
+        ids = ", ".join(str(b) for b in group)
+        in_batch = f"(select * from fx where batch_id in ({ids}))"
+        parts.append(
+            f"select cast({i - 1} as bigint) as batch_id, (select count(*) from {in_batch} b) as rows_in, "
+            f"cast(0 as bigint) as rows_bad, (select count(*) from j{i} where t_id is null) as inserted, "
+            f"(select count(*) from j{i} where upd) as updated, "
+            f"(select count(*) from j{i} where t_id is not null and not coalesce(upd, false) "
+            f"and s_id in (select order_id from {in_batch} c)) as unchanged, "
+            f"(select max(status_ts) from {in_batch} d) as max_status_ts")
+    return with_ctes(ctes, " union all ".join(parts))
+
+
 def with_ctes(ctes: list[str], select: str) -> str:
     return "with " + ",\n".join(ctes) + "\n" + select
 

@@ -36,7 +36,8 @@ def replay_state(events: DataFrame, batches: Sequence[Sequence[int]], mode: str
     for i, group in enumerate(batches, start=1):
         arrived.extend(group)
         if mode == "full":
-            state = full_state(state, events.where(F.col(batch_col).isin(arrived)), with_action)
+            state = full_state(state, events.where(F.col(batch_col).isin(list(arrived))), with_action,
+                               touched=F.col(batch_col).isin(list(group)))
         elif mode == "incremental":
             state = advance_state(state, events.where(F.col(batch_col).isin(list(group))), with_action)
         else:

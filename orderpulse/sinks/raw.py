@@ -32,8 +32,7 @@ def land_batch(events: DataFrame, root: str, batch_id: int) -> None:
 
 
 def read_raw(spark: SparkSession, root: str, batch_ids=None) -> DataFrame:
-    df = spark.read.schema(EVENT_SCHEMA.add("batch_id", "bigint") if False else None or
-                           _raw_schema()).parquet(root)
+    df = spark.read.schema(_raw_schema()).parquet(root)
     if batch_ids is not None:
         df = df.where(F.col("batch_id").isin(list(batch_ids)))
     return df

@@ -1,0 +1,170 @@
+"""Topic -> raw table -> current status, as Structured Streaming queries.
+
+Shape (a), one query: ``foreachBatch`` lands the micro-batch in the raw table
+(partition ``batch_id``, overwritten on replay), quarantines bad messages, then
+merges into the versioned state (skipped if this batch is already committed).
+
+Shape (b), two queries: the raw landing uses Spark's parquet file sink
+(exactly-once through its ``_spark_metadata`` log); a second query streams that
+folder on a schedule and merges each new slice.
+
+Offsets are committed by Spark only after ``foreachBatch`` returns, so a crash
+replays the batch, and both writes are idempotent under replay.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from orderpulse.functions.scalars import truncate_ts
+from orderpulse.operators.upsert import advance_state, full_state
+from orderpulse.schemas import EVENT_SCHEMA
+from orderpulse.sinks.raw import land_batch, read_raw
+from orderpulse.sinks.snapshot import SnapshotStore
+from orderpulse.sources.messages import decode_messages, split_quarantine
+from orderpulse.streaming.sources import trigger_options
+
+
+@dataclass(frozen=True)
+class PipelinePaths:
+    root: str
+
+    @property
+    def raw(self) -> str:
+        return f"{self.root}/raw"
+
+    @property
+    def quarantine(self) -> str:
+        return f"{self.root}/quarantine"
+
+    @property
+    def store(self) -> str:
+        return f"{self.root}/store"
+
+    @property
+    def checkpoint(self) -> str:
+        return f"{self.root}/_checkpoint/land_merge"
+
+    @property
+    def landing_checkpoint(self) -> str:
+        return f"{self.root}/_checkpoint/raw_landing"
+
+    @property
+    def refresh_checkpoint(self) -> str:
+        return f"{self.root}/_checkpoint/refresh"
+
+
+def _prepare(good: DataFrame, ts_grain: str | None, dedupe: bool) -> DataFrame:
+    if ts_grain:
+        good = good.withColumn("status_ts", truncate_ts(F.col("status_ts"), ts_grain))
+    if dedupe:
+        good = good.dropDuplicates(["event_id"])
+    return good
+
+
+def merge_batch(spark: SparkSession, store: SnapshotStore, delta: DataFrame, batch_id: int,
+                source_id: str, mode: str, rows_bad: int, all_events: DataFrame | None = None) -> int | None:
+    """Merge one batch of events into the store; returns the new version (None if skipped)."""
+    if store.already_committed(source_id, batch_id):
+        return None
+    stats = delta.agg(F.count(F.lit(1)).alias("n"), F.max("status_ts").alias("mx")).first()
+    state = store.read_state()
+    if mode == "incremental":
+        new = advance_state(state, delta, with_action=True)
+    elif mode == "full":
+        new = full_state(state, all_events, with_action=True, touched=F.col("batch_id") == F.lit(batch_id))
+    else:
+        raise ValueError(f"unknown mode {mode!r}")
+    return store.write_version(new, batch_id, source_id, mode, stats["n"], rows_bad, stats["mx"])
+
+
+class LandAndMerge:
+    """The ``foreachBatch`` body of shape (a)."""
+
+    def __init__(self, paths: PipelinePaths, mode: str = "incremental",
+                 ts_grain: str | None = None, dedupe: bool = False):
+        self.paths, self.mode, self.ts_grain, self.dedupe = paths, mode, ts_grain, dedupe
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        decoded = batch.persist()
+        try:
+            if decoded.isEmpty():  # e.g. a batch fired by a trigger with no new input
+                return
+            good, bad = split_quarantine(decoded)
+            good = _prepare(good, self.ts_grain, self.dedupe)
+            land_batch(good.select(*EVENT_SCHEMA.names), self.paths.raw, batch_id)
+            rows_bad = bad.count()
+            if rows_bad:
+                bad.write.mode("overwrite").json(f"{self.paths.quarantine}/batch_id={int(batch_id)}")
+            store = SnapshotStore(spark, self.paths.store)
+            delta = read_raw(spark, self.paths.raw, [batch_id])
+            all_events = read_raw(spark, self.paths.raw) if self.mode == "full" else None
+            merge_batch(spark, store, delta, batch_id, self.paths.checkpoint, self.mode, rows_bad, all_events)
+        finally:
+            decoded.unpersist()
+
+
+def _check_single_source(spark: SparkSession, store_root: str, source_id: str) -> None:
+    c = SnapshotStore(spark, store_root).latest_commit()
+    if c is not None and c.source_id != source_id:
+        raise ValueError(f"store {store_root} is owned by {c.source_id}; one writer per target")
+
+
+def start_land_merge(messages: DataFrame, paths: PipelinePaths, mode: str = "incremental",
+                     trigger: str = "flush", ts_grain: str | None = None,
+                     dedupe: bool = False) -> StreamingQuery:
+    spark = messages.sparkSession
+    _check_single_source(spark, paths.store, paths.checkpoint)
+    decoded = decode_messages(messages)
+    return (decoded.writeStream.foreachBatch(LandAndMerge(paths, mode, ts_grain, dedupe))
+            .option("checkpointLocation", paths.checkpoint)
+            .trigger(**trigger_options(trigger)).start())
+
+
+def start_raw_landing(messages: DataFrame, paths: PipelinePaths, trigger: str = "flush") -> StreamingQuery:
+    """Shape (b), query A: good messages appended to the raw folder by the file sink."""
+    good, _ = split_quarantine(decode_messages(messages))
+    return (good.select(*EVENT_SCHEMA.names).writeStream.format("parquet")
+            .option("path", paths.raw).option("checkpointLocation", paths.landing_checkpoint)
+            .outputMode("append").trigger(**trigger_options(trigger)).start())
+
+
+def start_refresh(spark: SparkSession, paths: PipelinePaths, trigger: str = "schedule") -> StreamingQuery:
+    """Shape (b), query B: each new slice of the raw folder is merged incrementally."""
+    _check_single_source(spark, paths.store, paths.refresh_checkpoint)
+    raw = spark.readStream.schema(EVENT_SCHEMA).parquet(paths.raw)
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        store = SnapshotStore(batch.sparkSession, paths.store)
+        merge_batch(batch.sparkSession, store, batch, batch_id, paths.refresh_checkpoint, "incremental", 0)
+
+    return (raw.writeStream.foreachBatch(merge).option("checkpointLocation", paths.refresh_checkpoint)
+            .trigger(**trigger_options(trigger)).start())
+
+
+def run_to_completion(query: StreamingQuery, timeout_s: int = 600) -> None:
+    """Wait for an ``availableNow`` query to finish; raise its error if it failed."""
+    query.awaitTermination(timeout_s)
+    if query.isActive:
+        query.stop()
+        raise TimeoutError(f"streaming query {query.id} did not finish in {timeout_s}s")
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
+def query_status(spark: SparkSession) -> DataFrame:
+    """Active streaming queries and their last progress (the task list)."""
+    rows = []
+    for q in spark.streams.active:
+        p = q.lastProgress or {}
+        rows.append((str(q.id), q.name, q.status.get("message"), p.get("batchId"),
+                     p.get("numInputRows"), p.get("timestamp")))
+    return spark.createDataFrame(rows, "id string, name string, message string, batch_id long, "
+                                       "input_rows long, last_progress string")
