@@ -19,22 +19,23 @@ from pyspark.sql import functions as F
 LATEST_PAYLOAD = ["customer_id", "new_status"]
 
 
-def latest_per_key(df: DataFrame, key: str = "order_id", ts: str = "status_ts",
+def latest_per_key(df: DataFrame, key: str | list[str] = "order_id", ts: str = "status_ts",
                    tie: str = "event_id", payload: list[str] | None = None,
                    method: str = "max_struct") -> DataFrame:
     """One row per ``key``: (key, ts, tie, *payload) of its latest event."""
     payload = LATEST_PAYLOAD if payload is None else payload
     cols = [ts, tie, *payload]
+    keys = [key] if isinstance(key, str) else list(key)
     if method == "max_struct":
         best = F.max(F.struct(*[F.col(c) for c in cols])).alias("_latest")
-        return df.groupBy(key).agg(best).select(key, *[F.col(f"_latest.{c}").alias(c) for c in cols])
+        return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in cols])
     if method == "max_by":
         order = F.struct(F.col(ts), F.col(tie))
         best = F.max_by(F.struct(*[F.col(c) for c in cols]), order).alias("_latest")
-        return df.groupBy(key).agg(best).select(key, *[F.col(f"_latest.{c}").alias(c) for c in cols])
+        return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in cols])
     if method == "window":
-        w = Window.partitionBy(key).orderBy(F.col(ts).desc_nulls_last(), F.col(tie).desc_nulls_last())
-        return (df.select(key, *cols).withColumn("_rn", F.row_number().over(w))
+        w = Window.partitionBy(*keys).orderBy(F.col(ts).desc_nulls_last(), F.col(tie).desc_nulls_last())
+        return (df.select(*keys, *cols).withColumn("_rn", F.row_number().over(w))
                 .where(F.col("_rn") == 1).drop("_rn"))
     raise ValueError(f"unknown method {method!r}")
 

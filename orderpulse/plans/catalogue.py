@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from orderpulse.operators.latest import latest_status
 from orderpulse.plans import oracle as O
-from orderpulse.plans.replay import FIVE_BATCHES, TWO_BATCHES, replay_status
+from orderpulse.plans.replay import FIVE_BATCHES, TWO_BATCHES, replay_fold, replay_status
 from orderpulse.sources.fixtures import fx_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +93,21 @@ def q_merge_five_batches_incremental(spark, sf_dir):
     return replay_status(fx_events(spark, sf_dir), FIVE_BATCHES, "incremental")
 
 
+@register("merge_two_batches_fold", O.status_chain_sql("base", TWO_BATCHES))
+def q_merge_two_batches_fold(spark, sf_dir):
+    return replay_fold(fx_events(spark, sf_dir), TWO_BATCHES)
+
+
+@register("merge_five_batches_fold", O.status_chain_sql("base", FIVE_BATCHES))
+def q_merge_five_batches_fold(spark, sf_dir):
+    return replay_fold(fx_events(spark, sf_dir), FIVE_BATCHES)
+
+
+@register("merge_nulls_fold", O.status_chain_sql("nulls", FIVE_BATCHES))
+def q_merge_nulls_fold(spark, sf_dir):
+    return replay_fold(fx_events(spark, sf_dir, "nulls"), FIVE_BATCHES)
+
+
 @register("merge_day_grain", O.status_chain_sql("day", FIVE_BATCHES))
 def q_merge_day_grain(spark, sf_dir):
     return replay_status(fx_events(spark, sf_dir, "day"), FIVE_BATCHES, "incremental")
@@ -120,8 +135,8 @@ from orderpulse.sources.messages import decode_messages, encode_messages  # noqa
 
 
 def fx_status(spark, sf_dir, variant="base", batches=TWO_BATCHES):
-    """Current status after merging the arrival batches (incremental mode)."""
-    return replay_status(fx_events(spark, sf_dir, variant), batches, "incremental")
+    """Current status after merging the arrival batches (one-pass replay)."""
+    return replay_fold(fx_events(spark, sf_dir, variant), batches)
 
 
 def _on_status(select: str, variant: str = "base", batches=TWO_BATCHES) -> str:

@@ -12,8 +12,22 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an under-split scan over the cluster's cores.
+
+    A table stored as one file with one row group scans in a single task, which
+    then also runs every per-row expression above it. Only when the scan has
+    fewer splits than ``defaultParallelism`` is it redistributed; a table of many
+    files (the large-scale case) is left exactly as scanned.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str,
-               columns: list[str] | None = None) -> DataFrame:
+               columns: list[str] | None = None, spread_small: bool = True) -> DataFrame:
     """Read one table; ``columns`` becomes the parquet ReadSchema."""
     df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*columns) if columns else df
+    if columns:
+        df = df.select(*columns)
+    return spread(df) if spread_small else df
