@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -71,9 +71,10 @@ class SnapshotStore:
         row = self.commits().orderBy(F.col("version").desc()).select("version", "batch_id", "source_id").first()
         return None if row is None else Commit(row["version"], row["batch_id"], row["source_id"])
 
-    def read_state(self, version: int | None = None) -> DataFrame:
+    def read_state(self, version: int | None = None, commit: Commit | None = None) -> DataFrame:
+        """State of ``version`` (default: the latest committed; ``commit`` if already looked up)."""
         if version is None:
-            c = self.latest_commit()
+            c = commit or self.latest_commit()
             if c is None:
                 return empty_state(self.spark)
             version = c.version
@@ -85,20 +86,28 @@ class SnapshotStore:
 
         return self.read_state(version).select(*STATUS_COLUMNS)
 
-    def already_committed(self, source_id: str, batch_id: int) -> bool:
-        c = self.latest_commit()
+    @staticmethod
+    def is_committed(c: Commit | None, source_id: str, batch_id: int) -> bool:
         return c is not None and c.source_id == source_id and c.batch_id >= batch_id
 
+    def already_committed(self, source_id: str, batch_id: int) -> bool:
+        return self.is_committed(self.latest_commit(), source_id, batch_id)
+
     def write_version(self, state_with_action: DataFrame, batch_id: int, source_id: str, mode: str,
-                      rows_in: int, rows_bad: int, max_status_ts) -> int:
-        c = self.latest_commit()
+                      rows_in: int, rows_bad: int, max_status_ts, base: Commit | None = None) -> int:
+        """Write state as the version after ``base`` (the commit it was derived from), then commit."""
+        c = base if base is not None else self.latest_commit()
         version = 0 if c is None else c.version + 1
         path = self.state_path(version)
-        state_with_action.write.mode("overwrite").parquet(path)
-        counts = {r["_action"]: r["n"] for r in
-                  self.spark.read.parquet(path).groupBy("_action").agg(F.count(F.lit(1)).alias("n")).collect()}
+        # Action counters are observed while the state is written: no second pass.
+        obs = Observation(f"merge_v{version}")
+        act = F.col("_action")
+        (state_with_action.observe(obs, *[F.count(F.when(act == a, F.lit(1))).alias(a)
+                                          for a in ("insert", "update", "unchanged")])
+         .write.mode("overwrite").parquet(path))
+        counts = obs.get
         row = (version, int(batch_id), source_id, mode, int(rows_in), int(rows_bad),
-               int(counts.get("insert", 0)), int(counts.get("update", 0)), int(counts.get("unchanged", 0)),
+               int(counts["insert"]), int(counts["update"]), int(counts["unchanged"]),
                None if max_status_ts is None else str(max_status_ts))
         (self.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1)
          .write.mode("overwrite").json(f"{self._commits_path()}/v={version}"))

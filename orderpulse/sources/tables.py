@@ -8,6 +8,20 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+# Declared input schemas (no footer inference at plan time). Tables not listed
+# here are read with the schema stored in their files.
+TABLE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+              "props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+}
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
@@ -27,7 +41,10 @@ def spread(df: DataFrame) -> DataFrame:
 def read_table(spark: SparkSession, sf_dir: str, name: str,
                columns: list[str] | None = None, spread_small: bool = True) -> DataFrame:
     """Read one table; ``columns`` becomes the parquet ReadSchema."""
-    df = spark.read.parquet(table_path(sf_dir, name))
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    df = reader.parquet(table_path(sf_dir, name))
     if columns:
         df = df.select(*columns)
     return spread(df) if spread_small else df

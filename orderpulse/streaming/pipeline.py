@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,7 +24,7 @@ from orderpulse.functions.scalars import truncate_ts
 from orderpulse.operators.upsert import advance_state, full_state
 from orderpulse.schemas import EVENT_SCHEMA
 from orderpulse.sinks.raw import land_batch, read_raw
-from orderpulse.sinks.snapshot import SnapshotStore
+from orderpulse.sinks.snapshot import Commit, SnapshotStore
 from orderpulse.sources.messages import decode_messages, split_quarantine
 from orderpulse.streaming.sources import trigger_options
 
@@ -67,44 +67,64 @@ def _prepare(good: DataFrame, ts_grain: str | None, dedupe: bool) -> DataFrame:
 
 
 def merge_batch(spark: SparkSession, store: SnapshotStore, delta: DataFrame, batch_id: int,
-                source_id: str, mode: str, rows_bad: int, all_events: DataFrame | None = None) -> int | None:
-    """Merge one batch of events into the store; returns the new version (None if skipped)."""
-    if store.already_committed(source_id, batch_id):
+                source_id: str, mode: str, rows_in: int, rows_bad: int, max_status_ts,
+                all_events: DataFrame | None = None, base: Commit | None = None) -> Commit | None:
+    """Merge one batch of events into the store; returns the new commit (None if skipped).
+
+    ``base`` is the store's latest commit when the caller already knows it.
+    """
+    base = base if base is not None else store.latest_commit()
+    if store.is_committed(base, source_id, batch_id):
         return None
-    stats = delta.agg(F.count(F.lit(1)).alias("n"), F.max("status_ts").alias("mx")).first()
-    state = store.read_state()
+    state = store.read_state(commit=base)
     if mode == "incremental":
         new = advance_state(state, delta, with_action=True)
     elif mode == "full":
         new = full_state(state, all_events, with_action=True, touched=F.col("batch_id") == F.lit(batch_id))
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    return store.write_version(new, batch_id, source_id, mode, stats["n"], rows_bad, stats["mx"])
+    version = store.write_version(new, batch_id, source_id, mode, rows_in, rows_bad, max_status_ts, base)
+    return Commit(version, int(batch_id), source_id)
 
 
 class LandAndMerge:
-    """The ``foreachBatch`` body of shape (a)."""
+    """The ``foreachBatch`` body of shape (a).
+
+    Per micro-batch: land good rows (partition ``batch_id``), quarantine bad ones,
+    merge, commit -- four writes, with every counter observed during them.
+    """
 
     def __init__(self, paths: PipelinePaths, mode: str = "incremental",
                  ts_grain: str | None = None, dedupe: bool = False):
         self.paths, self.mode, self.ts_grain, self.dedupe = paths, mode, ts_grain, dedupe
+        self._last: Commit | None = None  # this query is the store's only writer
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        store = SnapshotStore(spark, self.paths.store)
+        if self._last is None:
+            self._last = store.latest_commit()
+        if store.is_committed(self._last, self.paths.checkpoint, batch_id):
+            return  # replay of a batch merged before a restart
         decoded = batch.persist()
         try:
-            if decoded.isEmpty():  # e.g. a batch fired by a trigger with no new input
-                return
             good, bad = split_quarantine(decoded)
             good = _prepare(good, self.ts_grain, self.dedupe)
-            land_batch(good.select(*EVENT_SCHEMA.names), self.paths.raw, batch_id)
-            rows_bad = bad.count()
-            if rows_bad:
-                bad.write.mode("overwrite").json(f"{self.paths.quarantine}/batch_id={int(batch_id)}")
-            store = SnapshotStore(spark, self.paths.store)
+            seen_good, seen_bad = Observation(f"good_{batch_id}"), Observation(f"bad_{batch_id}")
+            land_batch(good.select(*EVENT_SCHEMA.names).observe(
+                seen_good, F.count(F.lit(1)).alias("n"), F.max("status_ts").alias("mx")),
+                self.paths.raw, batch_id)
+            (bad.observe(seen_bad, F.count(F.lit(1)).alias("n"))
+             .write.mode("overwrite").json(f"{self.paths.quarantine}/batch_id={int(batch_id)}"))
+            g, b = seen_good.get, seen_bad.get
+            if g["n"] + b["n"] == 0:
+                return
             delta = read_raw(spark, self.paths.raw, [batch_id])
             all_events = read_raw(spark, self.paths.raw) if self.mode == "full" else None
-            merge_batch(spark, store, delta, batch_id, self.paths.checkpoint, self.mode, rows_bad, all_events)
+            commit = merge_batch(spark, store, delta, batch_id, self.paths.checkpoint, self.mode,
+                                 g["n"], b["n"], g["mx"], all_events, self._last)
+            if commit is not None:
+                self._last = commit
         finally:
             decoded.unpersist()
 
@@ -140,10 +160,12 @@ def start_refresh(spark: SparkSession, paths: PipelinePaths, trigger: str = "sch
     raw = spark.readStream.schema(EVENT_SCHEMA).parquet(paths.raw)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+        stats = batch.agg(F.count(F.lit(1)).alias("n"), F.max("status_ts").alias("mx")).first()
+        if stats["n"] == 0:
             return
         store = SnapshotStore(batch.sparkSession, paths.store)
-        merge_batch(batch.sparkSession, store, batch, batch_id, paths.refresh_checkpoint, "incremental", 0)
+        merge_batch(batch.sparkSession, store, batch, batch_id, paths.refresh_checkpoint, "incremental",
+                    stats["n"], 0, stats["mx"])
 
     return (raw.writeStream.foreachBatch(merge).option("checkpointLocation", paths.refresh_checkpoint)
             .trigger(**trigger_options(trigger)).start())
