@@ -290,6 +290,14 @@ def q_price_band(spark, sf_dir):
     return price_band(fx_inventory(spark, sf_dir))
 
 
+@register("existing_orders_sample", "select o_orderkey as order_id, o_custkey as customer_id from orders "
+                                    "order by o_orderkey limit 20")
+def q_existing_orders_sample(spark, sf_dir):
+    from orderpulse.sources.fixtures import existing_orders_sample
+
+    return existing_orders_sample(fx_order_lines(spark, sf_dir))
+
+
 AVAILABLE_PARTITIONS = [0, 1, 2, 4, 5, 7]
 _KEYS_SQL = ("select 'customer:' || cast(c_custkey as varchar) as key from customer "
              "union all select 'abc' union all select '' union all select null")
@@ -349,7 +357,9 @@ from orderpulse.streaming.sources import file_messages  # noqa: E402
 
 def _publish(events: DataFrame, landing: str) -> None:
     """Publish events as JSON-line messages into the landing folder (the topic stand-in)."""
-    encode_messages(events.drop("batch_id")).write.mode("append").text(landing)
+    from orderpulse.sinks.topic import publish_files
+
+    publish_files(events, landing)
 
 
 def run_stream_waves(spark, sf_dir, batches, shape: str = "land_merge", mode: str = "incremental",

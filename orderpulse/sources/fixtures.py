@@ -98,8 +98,24 @@ def fx_orders(spark: SparkSession, sf_dir: str, partial: bool = False) -> DataFr
 
     lines = fx_order_lines(spark, sf_dir, partial)
     priced = enrich_price(lines, fx_inventory(spark, sf_dir), F.col("fallback_price"))
-    return priced.select("order_id", "customer_id", "product_id", "quantity",
-                         "unit_price", "order_total", "sold_at")
+    return normalize_order_columns(priced)
+
+
+# The order column names (upper-case as loaded) and their order.
+ORDER_COLUMN_RENAMES = {"ORDER_ID": "order_id", "CUSTOMER_ID": "customer_id", "PRODUCT_ID": "product_id",
+                        "QUANTITY": "quantity", "UNIT_PRICE": "unit_price", "ORDER_TOTAL": "order_total",
+                        "SOLD_AT": "sold_at"}
+ORDER_COLUMNS = ["order_id", "customer_id", "product_id", "quantity", "unit_price", "order_total", "sold_at"]
+
+
+def normalize_order_columns(df: DataFrame) -> DataFrame:
+    """Rename by map (absent names are ignored) and put the columns in table order."""
+    return df.withColumnsRenamed(ORDER_COLUMN_RENAMES).select(*ORDER_COLUMNS)
+
+
+def existing_orders_sample(orders: DataFrame, n: int = 20) -> DataFrame:
+    """The producer's pick of existing orders: (order_id, customer_id), first ``n`` by id."""
+    return orders.select("order_id", "customer_id").orderBy("order_id").limit(n)
 
 
 def fx_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
