@@ -131,7 +131,14 @@ def _merge_state(state: DataFrame, d: DataFrame, incremental: bool, with_action:
     return j.select(*out)
 
 
-def advance_state(state: DataFrame, delta_events: DataFrame, with_action: bool = False) -> DataFrame:
+def _co_partition(d: DataFrame, buckets: int | None) -> DataFrame:
+    """Hash the reduced source into the state's buckets (one row per order: cheap), so the
+    bucketed state joins it without being exchanged."""
+    return d.repartition(buckets, "order_id") if buckets else d
+
+
+def advance_state(state: DataFrame, delta_events: DataFrame, with_action: bool = False,
+                  buckets: int | None = None) -> DataFrame:
     """Incremental merge: fold a batch of new events into the per-order state.
 
     ``state`` holds the status columns and the latest event seen so far (``le_*``).
@@ -141,16 +148,16 @@ def advance_state(state: DataFrame, delta_events: DataFrame, with_action: bool =
     equals the full-rescan MERGE for any split of the events into batches, for
     one pass over state + batch instead of the whole event history.
     """
-    return _merge_state(state, _latest_source(delta_events), True, with_action)
+    return _merge_state(state, _co_partition(_latest_source(delta_events), buckets), True, with_action)
 
 
 def full_state(state: DataFrame, all_events: DataFrame, with_action: bool = False,
-               touched: Column | None = None) -> DataFrame:
+               touched: Column | None = None, buckets: int | None = None) -> DataFrame:
     """Full-rescan merge (the reference's behaviour) into the same state layout.
 
     ``touched`` (e.g. ``batch_id == current``) only feeds the action report.
     """
-    return _merge_state(state, _latest_source(all_events, touched), False, with_action)
+    return _merge_state(state, _co_partition(_latest_source(all_events, touched), buckets), False, with_action)
 
 
 def status_as_state(status: DataFrame) -> DataFrame:

@@ -2,8 +2,16 @@
 
 Layout under ``root``::
 
-    state/v=<N>/part-*.parquet     status columns + latest event + _action of merge N
-    _commits/v=<N>/part-*.json     one row: version, batch_id, source_id, run counters
+    state/v=<N>/part-*.parquet     status columns + latest event + _action of merge N,
+                                   bucketed by order_id (Spark bucketing, B files)
+    _commits/v=<N>/part-*.json     one row: version, batch_id, source_id, buckets, run counters
+
+Each version is a bucketed external table in the session catalog. The merge
+reads it with the bucketed scan (hash-partitioned on ``order_id``, no exchange),
+the reduced batch is hash-partitioned into the same B buckets, and the joined
+result is written straight back one file per bucket: the state is never
+shuffled, only the batch. B is fixed when the store is created and recorded in
+every commit.
 
 A version becomes visible only when its commit row exists, and the commit row is
 written after the state files, so readers never see a half-written version. The
@@ -19,15 +27,16 @@ this folder layout behind the same functions.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from orderpulse.operators.upsert import empty_state
 from orderpulse.schemas import STATE_SCHEMA
+from orderpulse.session import path_exists
 
 COMMIT_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
@@ -40,6 +49,7 @@ COMMIT_SCHEMA = T.StructType([
     T.StructField("updated", T.LongType()),
     T.StructField("unchanged", T.LongType()),
     T.StructField("max_status_ts", T.StringType()),
+    T.StructField("buckets", T.IntegerType()),
 ])
 
 
@@ -48,12 +58,37 @@ class Commit:
     version: int
     batch_id: int
     source_id: str
+    buckets: int | None = None
+
+
+def default_buckets(spark: SparkSession) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
 class SnapshotStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._buckets = buckets
+        self._tag = hashlib.sha1(self.root.encode()).hexdigest()[:12]
+
+    def buckets(self, commit: Commit | None = None) -> int:
+        """Bucket count: the store's recorded one, else the configured/default one."""
+        c = commit if commit is not None else self.latest_commit()
+        if c is not None and c.buckets:
+            return c.buckets
+        return self._buckets or default_buckets(self.spark)
+
+    def _table(self, version: int) -> str:
+        return f"orderpulse_state_{self._tag}_v{int(version)}"
+
+    def _register(self, version: int, buckets: int) -> str:
+        name = self._table(version)
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _STATE_WITH_ACTION.fields)
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet "
+                       f"CLUSTERED BY (order_id) INTO {int(buckets)} BUCKETS "
+                       f"LOCATION '{self.state_path(version)}'")
+        return name
 
     def _commits_path(self) -> str:
         return f"{self.root}/_commits"
@@ -62,24 +97,23 @@ class SnapshotStore:
         return f"{self.root}/state/v={int(version)}"
 
     def commits(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(COMMIT_SCHEMA).json(self._commits_path())
-        except AnalysisException:
+        if not path_exists(self.spark, self._commits_path()):
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
+        return self.spark.read.schema(COMMIT_SCHEMA).json(self._commits_path())
 
     def latest_commit(self) -> Commit | None:
-        row = self.commits().orderBy(F.col("version").desc()).select("version", "batch_id", "source_id").first()
-        return None if row is None else Commit(row["version"], row["batch_id"], row["source_id"])
+        row = (self.commits().orderBy(F.col("version").desc())
+               .select("version", "batch_id", "source_id", "buckets").first())
+        return None if row is None else Commit(row["version"], row["batch_id"], row["source_id"], row["buckets"])
 
     def read_state(self, version: int | None = None, commit: Commit | None = None) -> DataFrame:
         """State of ``version`` (default: the latest committed; ``commit`` if already looked up)."""
+        c = commit or self.latest_commit()
         if version is None:
-            c = commit or self.latest_commit()
             if c is None:
                 return empty_state(self.spark)
             version = c.version
-        return (self.spark.read.schema(_STATE_WITH_ACTION).parquet(self.state_path(version))
-                .select(*STATE_SCHEMA.names))
+        return self.spark.table(self._register(version, self.buckets(c))).select(*STATE_SCHEMA.names)
 
     def read_status(self, version: int | None = None) -> DataFrame:
         from orderpulse.schemas import STATUS_COLUMNS
@@ -98,17 +132,20 @@ class SnapshotStore:
         """Write state as the version after ``base`` (the commit it was derived from), then commit."""
         c = base if base is not None else self.latest_commit()
         version = 0 if c is None else c.version + 1
-        path = self.state_path(version)
+        buckets = self.buckets(c)
+        name = self._table(version)
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # leftover of a failed attempt; files stay
         # Action counters are observed while the state is written: no second pass.
-        obs = Observation(f"merge_v{version}")
+        obs = Observation(f"merge_{self._tag}_v{version}")
         act = F.col("_action")
         (state_with_action.observe(obs, *[F.count(F.when(act == a, F.lit(1))).alias(a)
                                           for a in ("insert", "update", "unchanged")])
-         .write.mode("overwrite").parquet(path))
+         .write.mode("overwrite").bucketBy(buckets, "order_id")
+         .option("path", self.state_path(version)).saveAsTable(name))
         counts = obs.get
         row = (version, int(batch_id), source_id, mode, int(rows_in), int(rows_bad),
                int(counts["insert"]), int(counts["update"]), int(counts["unchanged"]),
-               None if max_status_ts is None else str(max_status_ts))
+               None if max_status_ts is None else str(max_status_ts), int(buckets))
         (self.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1)
          .write.mode("overwrite").json(f"{self._commits_path()}/v={version}"))
         return version

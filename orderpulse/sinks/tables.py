@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
+from orderpulse.session import path_exists
 
 
 def ensure_database(spark: SparkSession, name: str) -> None:
@@ -13,11 +13,7 @@ def ensure_database(spark: SparkSession, name: str) -> None:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
+    return path_exists(spark, path)
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType, replace: bool = False) -> DataFrame:

@@ -77,14 +77,16 @@ def merge_batch(spark: SparkSession, store: SnapshotStore, delta: DataFrame, bat
     if store.is_committed(base, source_id, batch_id):
         return None
     state = store.read_state(commit=base)
+    buckets = store.buckets(base)
     if mode == "incremental":
-        new = advance_state(state, delta, with_action=True)
+        new = advance_state(state, delta, with_action=True, buckets=buckets)
     elif mode == "full":
-        new = full_state(state, all_events, with_action=True, touched=F.col("batch_id") == F.lit(batch_id))
+        new = full_state(state, all_events, with_action=True, touched=F.col("batch_id") == F.lit(batch_id),
+                         buckets=buckets)
     else:
         raise ValueError(f"unknown mode {mode!r}")
     version = store.write_version(new, batch_id, source_id, mode, rows_in, rows_bad, max_status_ts, base)
-    return Commit(version, int(batch_id), source_id)
+    return Commit(version, int(batch_id), source_id, buckets)
 
 
 class LandAndMerge:
