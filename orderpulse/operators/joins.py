@@ -45,3 +45,19 @@ def sized_broadcast(small: DataFrame, max_bytes: int | None = None) -> DataFrame
     if limit <= 0:
         return small
     return F.broadcast(small) if size_bound_bytes(small) <= limit else small
+
+
+def combine_one_row(*frames: DataFrame) -> DataFrame:
+    """Side-by-side columns of several one-row frames, without a cross join.
+
+    Each frame is padded with typed nulls to the union of columns, the frames are
+    stacked (``unionByName``) and collapsed with a global ``max`` (ignores nulls),
+    so every input is computed exactly once.
+    """
+    fields = [f for df in frames for f in df.schema.fields]
+    padded = [df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                          for f in fields]) for df in frames]
+    stacked = padded[0]
+    for df in padded[1:]:
+        stacked = stacked.unionByName(df)
+    return stacked.agg(*[F.max(f.name).alias(f.name) for f in fields])

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderpulse.functions.scalars import display_ts
+from orderpulse.operators.joins import combine_one_row
 
 SLICE_ROWS = 1000
 SLICE_COLUMNS = ["order_id", "customer_id", "current_status", "previous_status", "last_update_ts"]
@@ -30,15 +31,12 @@ def dashboard_metrics(status: DataFrame, events: DataFrame, n: int = SLICE_ROWS)
     slice_ = recent_status(status, n)
     sl = slice_.agg(F.countDistinct("order_id").alias("tracked_orders"),
                     F.max("last_update_ts").alias("_latest_update"))
-    ev = event_stats(events)
-    full = status.agg(F.countDistinct("order_id").alias("n"))
-    return sl.select(
+    full = status.agg(F.countDistinct("order_id").alias("tracked_orders_full"))
+    row = combine_one_row(sl, event_stats(events), full)  # each input computed once
+    return row.select(
         "tracked_orders",
         F.coalesce(display_ts(F.col("_latest_update")), F.lit("N/A")).alias("latest_update"),
-        ev.select("total_events").scalar().alias("total_events"),
-        ev.select("unique_orders").scalar().alias("unique_orders"),
-        ev.select("latest_event").scalar().alias("latest_event"),
-        full.select("n").scalar().alias("tracked_orders_full"))
+        "total_events", "unique_orders", "latest_event", "tracked_orders_full")
 
 
 def status_counts_slice(status: DataFrame, n: int = SLICE_ROWS) -> DataFrame:

@@ -19,12 +19,15 @@ def validate_counts(events: DataFrame, status: DataFrame) -> DataFrame:
     """raw_events, raw_orders (distinct order ids in events), dwh_orders: one row.
 
     The status table has one row per order, so it reconciles with raw_orders,
-    not raw_events. The second count is a scalar subquery, not a join.
+    not raw_events. Each table is aggregated once; the one-row results are combined
+    without a join.
     """
+    from orderpulse.operators.joins import combine_one_row
+
     raw = events.agg(F.count(F.lit(1)).alias("raw_events"),
                      F.countDistinct("order_id").alias("raw_orders"))
-    return raw.select("raw_events", "raw_orders",
-                      status.select(F.count(F.lit(1))).scalar().alias("dwh_orders"))
+    dwh = status.agg(F.count(F.lit(1)).alias("dwh_orders"))
+    return combine_one_row(raw, dwh)
 
 
 def validate_freshness(status: DataFrame) -> DataFrame:
