@@ -58,3 +58,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def write_small_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small text file (e.g. a commit record): written under a hidden temporary
+    name in the same folder, then renamed, so readers never see a partial file."""
+    jvm = spark.sparkContext._jvm
+    final = jvm.org.apache.hadoop.fs.Path(path)
+    fs = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    tmp = jvm.org.apache.hadoop.fs.Path(final.getParent(), f".{final.getName()}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if not fs.rename(tmp, final):
+        fs.delete(tmp, False)
+        raise OSError(f"could not publish {path}")

@@ -4,7 +4,7 @@ Layout under ``root``::
 
     state/v=<N>/part-*.parquet     status columns + latest event + _action of merge N,
                                    bucketed by order_id (Spark bucketing, B files)
-    _commits/v=<N>/part-*.json     one row: version, batch_id, source_id, buckets, run counters
+    _commits/commit-<N>.json       one row: version, batch_id, source_id, buckets, run counters
 
 Each version is a bucketed external table in the session catalog. The merge
 reads it with the bucketed scan (hash-partitioned on ``order_id``, no exchange),
@@ -28,6 +28,7 @@ this folder layout behind the same functions.
 from __future__ import annotations
 
 import hashlib
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -36,7 +37,7 @@ from pyspark.sql import types as T
 
 from orderpulse.operators.upsert import empty_state
 from orderpulse.schemas import STATE_SCHEMA
-from orderpulse.session import path_exists
+from orderpulse.session import path_exists, write_small_file
 
 COMMIT_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
@@ -146,8 +147,8 @@ class SnapshotStore:
         row = (version, int(batch_id), source_id, mode, int(rows_in), int(rows_bad),
                int(counts["insert"]), int(counts["update"]), int(counts["unchanged"]),
                None if max_status_ts is None else str(max_status_ts), int(buckets))
-        (self.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1)
-         .write.mode("overwrite").json(f"{self._commits_path()}/v={version}"))
+        record = json.dumps(dict(zip(COMMIT_SCHEMA.names, row)))
+        write_small_file(self.spark, f"{self._commits_path()}/commit-{version:020d}.json", record + "\n")
         return version
 
     def run_log(self) -> DataFrame:

@@ -26,7 +26,10 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def spread(df: DataFrame) -> DataFrame:
+_SPLITS: dict[str, int] = {}
+
+
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Round-robin an under-split scan over the cluster's cores.
 
     A table stored as one file with one row group scans in a single task, which
@@ -35,7 +38,13 @@ def spread(df: DataFrame) -> DataFrame:
     files (the large-scale case) is left exactly as scanned.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if key is None:
+        splits = df.rdd.getNumPartitions()
+    else:  # a path's split count only steers this heuristic, so it is looked up once
+        splits = _SPLITS.get(key)
+        if splits is None:
+            splits = _SPLITS[key] = df.rdd.getNumPartitions()
+    return df.repartition(cores) if splits < cores else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
@@ -47,4 +56,4 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     df = reader.parquet(table_path(sf_dir, name))
     if columns:
         df = df.select(*columns)
-    return spread(df) if spread_small else df
+    return spread(df, table_path(sf_dir, name)) if spread_small else df

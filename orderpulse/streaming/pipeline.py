@@ -110,21 +110,29 @@ class LandAndMerge:
             return  # replay of a batch merged before a restart
         decoded = batch.persist()
         try:
-            good, bad = split_quarantine(decoded)
+            # Counters are observed during the landing write (no extra pass).
+            seen = Observation(f"land_{batch_id}")
+            ok = F.col("_bad").isNull()
+            observed = decoded.observe(seen, F.count(F.when(ok, F.lit(1))).alias("good"),
+                                       F.count(F.when(~ok, F.lit(1))).alias("bad"),
+                                       F.max(F.when(ok, F.col("status_ts"))).alias("mx"))
+            good, _ = split_quarantine(observed)
             good = _prepare(good, self.ts_grain, self.dedupe)
-            seen_good, seen_bad = Observation(f"good_{batch_id}"), Observation(f"bad_{batch_id}")
-            land_batch(good.select(*EVENT_SCHEMA.names).observe(
-                seen_good, F.count(F.lit(1)).alias("n"), F.max("status_ts").alias("mx")),
-                self.paths.raw, batch_id)
-            (bad.observe(seen_bad, F.count(F.lit(1)).alias("n"))
-             .write.mode("overwrite").json(f"{self.paths.quarantine}/batch_id={int(batch_id)}"))
-            g, b = seen_good.get, seen_bad.get
-            if g["n"] + b["n"] == 0:
+            land_batch(good.select(*EVENT_SCHEMA.names), self.paths.raw, batch_id)
+            counts = seen.get
+            if counts["bad"]:
+                _, bad = split_quarantine(decoded)
+                bad.write.mode("overwrite").json(f"{self.paths.quarantine}/batch_id={int(batch_id)}")
+            if counts["good"] + counts["bad"] == 0:
                 return
             delta = read_raw(spark, self.paths.raw, [batch_id])
             all_events = read_raw(spark, self.paths.raw) if self.mode == "full" else None
+            stats = delta.agg(F.count(F.lit(1)).alias("n"), F.max("status_ts").alias("mx")).first() \
+                if (self.ts_grain or self.dedupe) else None
+            rows_in = stats["n"] if stats else counts["good"]
+            max_ts = stats["mx"] if stats else counts["mx"]
             commit = merge_batch(spark, store, delta, batch_id, self.paths.checkpoint, self.mode,
-                                 g["n"], b["n"], g["mx"], all_events, self._last)
+                                 rows_in, counts["bad"], max_ts, all_events, self._last)
             if commit is not None:
                 self._last = commit
         finally:
