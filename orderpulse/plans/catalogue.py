@@ -412,3 +412,39 @@ def q_run_log(spark, sf_dir):
     "coalesce(total_orders >= lag(total_orders) over (order by batch_id), true) as orders_grew from c"))
 def q_counts_over_time(spark, sf_dir):
     return V.counts_over_time(run_stream_waves(spark, sf_dir, FIVE_BATCHES).run_log())
+
+
+def run_refresh(spark, sf_dir, batches, mode: str = "incremental") -> SnapshotStore:
+    """Land every batch into the raw table at once, then run the scheduled merge after
+    each batch group's arrival (``up_to_batch``)."""
+    paths = P.PipelinePaths(scratch_path(spark, f"refresh_{mode}"))
+    P.land_all(fx_events(spark, sf_dir), paths)
+    for group in batches:
+        P.refresh(spark, paths, mode, up_to_batch=max(group))
+    P.refresh(spark, paths, mode, up_to_batch=max(max(g) for g in batches))  # nothing new: no-op
+    return SnapshotStore(spark, paths.store)
+
+
+@register("refresh_incremental", O.status_chain_sql("base", TWO_BATCHES))
+def q_refresh_incremental(spark, sf_dir):
+    return run_refresh(spark, sf_dir, TWO_BATCHES).read_status()
+
+
+@register("refresh_full", O.status_chain_sql("base", FIVE_BATCHES))
+def q_refresh_full(spark, sf_dir):
+    return run_refresh(spark, sf_dir, FIVE_BATCHES, "full").read_status()
+
+
+@register("unconsumed_after_refresh", O.with_ctes(
+    [f"fx as ({O.fx_events_sql()})"],
+    "select event_id, order_id, customer_id, new_status, status_ts, source, batch_id from fx where batch_id > 1"))
+def q_unconsumed_after_refresh(spark, sf_dir):
+    """Raw rows not yet merged: raw partitions after the last batch in the run log."""
+    from orderpulse.sinks.raw import read_raw
+
+    paths = P.PipelinePaths(scratch_path(spark, "refresh_peek"))
+    P.land_all(fx_events(spark, sf_dir), paths)
+    P.refresh(spark, paths, "incremental", up_to_batch=0)
+    P.refresh(spark, paths, "incremental", up_to_batch=1)
+    last = SnapshotStore(spark, paths.store).run_log().agg(F.max("batch_id")).scalar()
+    return read_raw(spark, paths.raw).where(F.col("batch_id") > F.coalesce(last, F.lit(-1)))

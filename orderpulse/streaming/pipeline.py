@@ -200,3 +200,49 @@ def query_status(spark: SparkSession) -> DataFrame:
                      p.get("numInputRows"), p.get("timestamp")))
     return spark.createDataFrame(rows, "id string, name string, message string, batch_id long, "
                                        "input_rows long, last_progress string")
+
+
+def land_all(events: DataFrame, paths: PipelinePaths, batch_col: str = "batch_id") -> None:
+    """Bulk-land already-batched events into the raw table (one partition per batch),
+    replacing exactly the partitions present (dynamic partition overwrite)."""
+    (events.select(*EVENT_SCHEMA.names, F.col(batch_col).cast("bigint").alias("batch_id"))
+     .repartition("batch_id", "order_id")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").parquet(paths.raw))
+
+
+def refresh(spark: SparkSession, paths: PipelinePaths, mode: str = "incremental",
+            up_to_batch: int | None = None, source_id: str = "refresh") -> Commit | None:
+    """The scheduled merge as a batch job (also the initial load).
+
+    Merges the raw batches landed after the store's last committed batch (up to
+    ``up_to_batch``) in one merge. ``incremental`` folds only those partitions into
+    the state (partition pruning on ``batch_id``); ``full`` rescans the whole raw
+    table, as the reference's scheduled MERGE does. Re-running with nothing new
+    is a no-op.
+    """
+    store = SnapshotStore(spark, paths.store)
+    base = store.latest_commit()
+    if base is not None and base.source_id != source_id:
+        raise ValueError(f"store {paths.store} is owned by {base.source_id}; one writer per target")
+    after = -1 if base is None else base.batch_id
+    raw = read_raw(spark, paths.raw)
+    pending = raw.where(F.col("batch_id") > after)
+    if up_to_batch is not None:
+        pending = pending.where(F.col("batch_id") <= up_to_batch)
+    stats = pending.agg(F.count(F.lit(1)).alias("n"), F.max("status_ts").alias("mx"),
+                        F.max("batch_id").alias("last")).first()
+    if not stats["n"]:
+        return None
+    seen = raw.where(F.col("batch_id") <= stats["last"]) if mode == "full" else None
+    state = store.read_state(commit=base)
+    buckets = store.buckets(base)
+    if mode == "incremental":
+        new = advance_state(state, pending, with_action=True, buckets=buckets)
+    elif mode == "full":
+        new = full_state(state, seen, with_action=True, touched=F.col("batch_id") > F.lit(after),
+                         buckets=buckets)
+    else:
+        raise ValueError(f"unknown mode {mode!r}")
+    version = store.write_version(new, stats["last"], source_id, mode, stats["n"], 0, stats["mx"], base)
+    return Commit(version, int(stats["last"]), source_id, buckets)

@@ -101,3 +101,17 @@ def test_one_writer_per_store(spark):
     drain(spark, landing, paths)
     with pytest.raises(ValueError):
         P.start_refresh(spark, paths, trigger="drain")
+
+
+def test_query_status_lists_running_queries(spark):
+    root = scratch_path(spark, "test_status")
+    paths, landing = P.PipelinePaths(root), f"{root}/landing"
+    publish(spark, landing, [msg("a", 1, "CREATED", "2024-01-01T10:00:00+00:00")])
+    q = P.start_land_merge(file_messages(spark, landing), paths, trigger="flush")
+    try:
+        q.processAllAvailable()
+        rows = P.query_status(spark).collect()
+        assert any(r.id == str(q.id) for r in rows)
+    finally:
+        q.stop()
+    assert status(SnapshotStore(spark, paths.store)) == {1: (None, "CREATED", "2024-01-01 10:00:00")}
