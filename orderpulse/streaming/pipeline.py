@@ -204,9 +204,11 @@ def query_status(spark: SparkSession) -> DataFrame:
 
 def land_all(events: DataFrame, paths: PipelinePaths, batch_col: str = "batch_id") -> None:
     """Bulk-land already-batched events into the raw table (one partition per batch),
-    replacing exactly the partitions present (dynamic partition overwrite)."""
+    replacing exactly the partitions present (dynamic partition overwrite).
+
+    No shuffle before the write: every input task writes its own rows of each
+    batch, so a hot order or batch never funnels into one writer."""
     (events.select(*EVENT_SCHEMA.names, F.col(batch_col).cast("bigint").alias("batch_id"))
-     .repartition("batch_id", "order_id")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(paths.raw))
 

@@ -25,8 +25,10 @@ def file_messages(spark: SparkSession, path: str, max_files_per_trigger: int | N
 
 def kafka_messages(spark: SparkSession, bootstrap_servers: str, topic: str,
                    starting_offsets: str = "latest", min_rows: int = FLUSH_ROWS,
-                   max_delay_seconds: int = FLUSH_SECONDS, extra: dict | None = None) -> DataFrame:
-    """Topic source; a batch fires at ``min_rows`` messages or after ``max_delay_seconds``.
+                   max_delay_seconds: int = FLUSH_SECONDS, max_rows: int | None = None,
+                   extra: dict | None = None) -> DataFrame:
+    """Topic source; a batch fires at ``min_rows`` messages or after ``max_delay_seconds``,
+    and holds at most ``max_rows`` (bounds what one micro-batch persists after a backlog).
 
     Offsets live in the query checkpoint (committed after the batch succeeds),
     replacing consumer-group auto-commit.
@@ -37,6 +39,8 @@ def kafka_messages(spark: SparkSession, bootstrap_servers: str, topic: str,
               .option("startingOffsets", starting_offsets)
               .option("minOffsetsPerTrigger", str(min_rows))
               .option("maxTriggerDelay", f"{max_delay_seconds}s"))
+    if max_rows:
+        reader = reader.option("maxOffsetsPerTrigger", str(max_rows))
     for k, v in (extra or {}).items():
         reader = reader.option(k, v)
     return reader.load().select(F.col("value").cast("string").alias("value"))

@@ -13,13 +13,14 @@ EVENTS_DDL = ("event_id string, order_id long, customer_id long, new_status stri
 STATUSES = ["CREATED", "PAID", "PACKED", "SHIPPED", "DELIVERED", None]
 
 
-def random_events(seed, n_orders=25, n_events=300, n_batches=6):
+def random_events(seed, n_orders=25, n_events=300, n_batches=6, hot_share=0.0):
     rng = random.Random(seed)
     base = dt.datetime(2024, 1, 1)
     rows = []
     for i in range(n_events):
         ts = None if rng.random() < 0.05 else base + dt.timedelta(minutes=rng.randint(0, 40))  # ties
-        rows.append((f"{rng.randint(0, 60):04d}", rng.randint(0, n_orders - 1), rng.randint(1, 5),
+        order = 0 if rng.random() < hot_share else rng.randint(0, n_orders - 1)
+        rows.append((f"{rng.randint(0, 60):04d}", order, rng.randint(1, 5),
                      rng.choice(STATUSES), ts, "test", rng.randint(0, n_batches - 1)))
     return rows
 
@@ -81,3 +82,12 @@ def test_delta_only_differs_somewhere(spark):
         groups = [[0], [1], [2], [3], [4]]
         diffs += rows(replay_status(ev, groups, "full")) != rows(replay_status(ev, groups, "delta_only"))
     assert diffs > 0
+
+
+def test_hot_order_full_equals_incremental_and_fold(spark):
+    # one order holds a third of all events
+    ev = spark.createDataFrame(random_events(21, n_events=900, hot_share=1 / 3), EVENTS_DDL).repartition(8)
+    groups = [[0, 1], [2], [3, 4, 5]]
+    full = rows(replay_status(ev, groups, "full"))
+    assert full == rows(replay_status(ev, groups, "incremental"))
+    assert full == rows(replay_fold(ev, groups))
