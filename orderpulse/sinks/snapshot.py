@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -137,7 +138,7 @@ class SnapshotStore:
         name = self._table(version)
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # leftover of a failed attempt; files stay
         # Action counters are observed while the state is written: no second pass.
-        obs = Observation(f"merge_{self._tag}_v{version}")
+        obs = Observation(f"merge_{self._tag}_v{version}_{uuid.uuid4().hex[:8]}")
         act = F.col("_action")
         (state_with_action.observe(obs, *[F.count(F.when(act == a, F.lit(1))).alias(a)
                                           for a in ("insert", "update", "unchanged")])

@@ -14,6 +14,7 @@ replays the batch, and both writes are idempotent under replay.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -111,7 +112,7 @@ class LandAndMerge:
         decoded = batch.persist()
         try:
             # Counters are observed during the landing write (no extra pass).
-            seen = Observation(f"land_{batch_id}")
+            seen = Observation(f"land_{batch_id}_{uuid.uuid4().hex[:8]}")
             ok = F.col("_bad").isNull()
             observed = decoded.observe(seen, F.count(F.when(ok, F.lit(1))).alias("good"),
                                        F.count(F.when(~ok, F.lit(1))).alias("bad"),
