@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderpulse.functions.predicates import changed, newer
-from orderpulse.operators.latest import latest_per_key
 from orderpulse.schemas import STATE_SCHEMA, STATUS_COLUMNS, STATUS_SCHEMA
 
 INSERT, UPDATE, UNCHANGED, KEPT = "insert", "update", "unchanged", "kept"

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderpulse.functions.scalars import display_ts
 from orderpulse.operators.latest import latest_status
 from orderpulse.operators.sequence import with_previous, with_previous_window
 from orderpulse.schemas import STATUSES
@@ -123,8 +122,3 @@ def counts_over_time(run_log: DataFrame) -> DataFrame:
            .withColumn("total_orders", F.sum("inserted").over(w)))
     prev = F.lag("total_orders").over(Window.orderBy("batch_id"))
     return cum.withColumn("orders_grew", F.coalesce(F.col("total_orders") >= prev, F.lit(True)))
-
-
-__all__ = ["validate_counts", "validate_freshness", "status_distribution", "orphan_orders",
-           "latest_mismatch", "duplicate_events", "duplicate_orders", "status_transitions",
-           "transition_class", "freshness_lag", "counts_over_time", "display_ts"]

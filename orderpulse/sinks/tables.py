@@ -34,11 +34,10 @@ def load_table(df: DataFrame, path: str, schema: T.StructType | None = None) ->
 def append_table(df: DataFrame, path: str, schema: T.StructType) -> None:
     """Append to an existing table; the frame must already have the table's schema
     (no auto-create, no silent casts)."""
-    if not table_exists(spark := df.sparkSession, path):
+    if not table_exists(df.sparkSession, path):
         raise ValueError(f"table {path} does not exist")
     want = [(f.name, f.dataType) for f in schema.fields]
     got = [(f.name, f.dataType) for f in df.schema.fields]
     if got != want:
         raise ValueError(f"schema mismatch: {got} != {want}")
-    del spark
     df.write.mode("append").parquet(path)

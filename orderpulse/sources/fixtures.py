@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderpulse.operators.joins import sized_broadcast
 from orderpulse.sources.tables import read_table
 
 # event_type -> order status, and the number of arrival batches.
@@ -125,6 +124,3 @@ def fx_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     edge = spark.createDataFrame([("abc",), ("",), (None,)], "key string")
     return keys.unionByName(edge)
 
-
-__all__ = ["fx_events", "fx_inventory", "fx_order_lines", "fx_orders", "fx_keys",
-           "N_BATCHES", "sized_broadcast"]
