@@ -448,3 +448,17 @@ def q_unconsumed_after_refresh(spark, sf_dir):
     P.refresh(spark, paths, "incremental", up_to_batch=1)
     last = SnapshotStore(spark, paths.store).run_log().agg(F.max("batch_id")).scalar()
     return read_raw(spark, paths.raw).where(F.col("batch_id") > F.coalesce(last, F.lit(-1)))
+
+
+@register("stream_stateful_merge", O.status_chain_sql("base", TWO_BATCHES))
+def q_stream_stateful_merge(spark, sf_dir):
+    """The same two arrival waves through the keyed-state (applyInPandasWithState) variant."""
+    from orderpulse.streaming import stateful as S
+
+    root = scratch_path(spark, "stream_stateful")
+    landing = f"{root}/landing"
+    events = fx_events(spark, sf_dir)
+    for group in TWO_BATCHES:
+        _publish(events.where(F.col("batch_id").isin(list(group))), landing)
+        P.run_to_completion(S.start_stateful_merge(file_messages(spark, landing), root, trigger="drain"))
+    return S.current_status(spark, root)

@@ -115,3 +115,27 @@ def test_query_status_lists_running_queries(spark):
     finally:
         q.stop()
     assert status(SnapshotStore(spark, paths.store)) == {1: (None, "CREATED", "2024-01-01 10:00:00")}
+
+
+def test_stateful_variant_agrees_with_snapshot_pipeline(spark):
+    from orderpulse.streaming import stateful as S
+
+    root = scratch_path(spark, "test_stateful")
+    paths, landing = P.PipelinePaths(root), f"{root}/landing"
+    waves = [
+        [msg("e1", 1, "CREATED", "2024-01-01T10:00:00+00:00"), msg("e2", 1, "PAID", "2024-01-01T11:00:00+00:00"),
+         msg("e3", 2, "CREATED", "2024-01-01T10:00:00+02:00"), "{not json", msg("n1", 3, None, None)],
+        [msg("e0", 1, "SHIPPED", "2024-01-01T09:00:00+00:00"), msg("e2", 1, "PAID", "2024-01-01T11:00:00+00:00"),
+         msg("e5", 2, "PACKED", "2024-01-02T00:00:00+00:00"), msg("n2", 3, "PAID", None)],
+        [msg("e6", 1, "PAID", "2024-01-03T00:00:00+00:00"), msg("e7", 3, "SHIPPED", "2024-01-01T00:00:00+00:00")],
+    ]
+    for lines in waves:
+        publish(spark, landing, lines)
+        drain(spark, landing, paths)
+        P.run_to_completion(S.start_stateful_merge(file_messages(spark, landing), root, trigger="drain"))
+    want = status(SnapshotStore(spark, paths.store))
+    got = {r.order_id: (r.previous_status, r.current_status, str(r.last_update_ts))
+           for r in S.current_status(spark, root).collect()}
+    assert got == want
+    assert want[1] == (None, "PAID", "2024-01-01 11:00:00")  # same status later: guard holds it
+    assert want[3] == ("PAID", "SHIPPED", "2024-01-01 00:00:00")
