@@ -11,10 +11,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderpulse.functions.partitioning import customer_partition, hash_partition
+from orderpulse.operators import monitor as M
+from orderpulse.operators import validate as V
+from orderpulse.operators.enrich import price_band
 from orderpulse.operators.latest import latest_status
 from orderpulse.plans import oracle as O
 from orderpulse.plans.replay import FIVE_BATCHES, TWO_BATCHES, replay_fold, replay_status
-from orderpulse.sources.fixtures import fx_events
+from orderpulse.session import scratch_path
+from orderpulse.sinks.snapshot import SnapshotStore
+from orderpulse.sources.fixtures import (existing_orders_sample, fx_events, fx_inventory, fx_keys,
+                                         fx_order_lines, fx_orders)
+from orderpulse.sources.messages import decode_messages, encode_messages
+from orderpulse.sinks.raw import read_raw, unconsumed
+from orderpulse.sinks.topic import publish_files
+from orderpulse.streaming import pipeline as P
+from orderpulse.streaming import stateful as S
+from orderpulse.streaming.sources import file_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -126,12 +139,6 @@ def q_merge_delta_only(spark, sf_dir):
 
 # --- validation (V1-V5, V8-V10) ----------------------------------------------------
 
-from orderpulse.operators import monitor as M  # noqa: E402
-from orderpulse.operators import validate as V  # noqa: E402
-from orderpulse.operators.enrich import price_band  # noqa: E402
-from orderpulse.functions.partitioning import customer_partition, hash_partition  # noqa: E402
-from orderpulse.sources.fixtures import fx_inventory, fx_keys, fx_order_lines, fx_orders  # noqa: E402
-from orderpulse.sources.messages import decode_messages, encode_messages  # noqa: E402
 
 
 def fx_status(spark, sf_dir, variant="base", batches=TWO_BATCHES):
@@ -293,8 +300,6 @@ def q_price_band(spark, sf_dir):
 @register("existing_orders_sample", "select o_orderkey as order_id, o_custkey as customer_id from orders "
                                     "order by o_orderkey limit 20")
 def q_existing_orders_sample(spark, sf_dir):
-    from orderpulse.sources.fixtures import existing_orders_sample
-
     return existing_orders_sample(fx_order_lines(spark, sf_dir))
 
 
@@ -340,8 +345,6 @@ CONSUMED_BEFORE = 3
      f"consumed as (select distinct batch_id from fx where batch_id < {CONSUMED_BEFORE})"],
     "select * from fx where not exists (select 1 from consumed c where c.batch_id = fx.batch_id)"))
 def q_unconsumed_delta(spark, sf_dir):
-    from orderpulse.sinks.raw import unconsumed
-
     events = fx_events(spark, sf_dir)
     consumed = events.where(F.col("batch_id") < CONSUMED_BEFORE).select("batch_id").distinct()
     return unconsumed(events, consumed)
@@ -349,16 +352,10 @@ def q_unconsumed_delta(spark, sf_dir):
 
 # --- streaming: topic -> raw -> status (S1 S6 K1 T1-T9) ----------------------------------
 
-from orderpulse.session import scratch_path  # noqa: E402
-from orderpulse.sinks.snapshot import SnapshotStore  # noqa: E402
-from orderpulse.streaming import pipeline as P  # noqa: E402
-from orderpulse.streaming.sources import file_messages  # noqa: E402
 
 
 def _publish(events: DataFrame, landing: str) -> None:
     """Publish events as JSON-line messages into the landing folder (the topic stand-in)."""
-    from orderpulse.sinks.topic import publish_files
-
     publish_files(events, landing)
 
 
@@ -440,8 +437,6 @@ def q_refresh_full(spark, sf_dir):
     "select event_id, order_id, customer_id, new_status, status_ts, source, batch_id from fx where batch_id > 1"))
 def q_unconsumed_after_refresh(spark, sf_dir):
     """Raw rows not yet merged: raw partitions after the last batch in the run log."""
-    from orderpulse.sinks.raw import read_raw
-
     paths = P.PipelinePaths(scratch_path(spark, "refresh_peek"))
     P.land_all(fx_events(spark, sf_dir), paths)
     P.refresh(spark, paths, "incremental", up_to_batch=0)
@@ -453,8 +448,6 @@ def q_unconsumed_after_refresh(spark, sf_dir):
 @register("stream_stateful_merge", O.status_chain_sql("base", TWO_BATCHES))
 def q_stream_stateful_merge(spark, sf_dir):
     """The same two arrival waves through the keyed-state (applyInPandasWithState) variant."""
-    from orderpulse.streaming import stateful as S
-
     root = scratch_path(spark, "stream_stateful")
     landing = f"{root}/landing"
     events = fx_events(spark, sf_dir)
