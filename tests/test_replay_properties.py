@@ -91,3 +91,18 @@ def test_hot_order_full_equals_incremental_and_fold(spark):
     full = rows(replay_status(ev, groups, "full"))
     assert full == rows(replay_status(ev, groups, "incremental"))
     assert full == rows(replay_fold(ev, groups))
+
+
+def test_no_mismatch_without_ties_or_nulls(spark):
+    from orderpulse.operators.validate import latest_mismatch
+
+    rng = random.Random(5)
+    base = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(400):  # distinct timestamps, no null status: the latest event always wins
+        rows.append((f"{i:05d}", rng.randint(0, 19), 1, rng.choice(STATUSES[:-1]),
+                     base + dt.timedelta(seconds=i * 7 + rng.randint(0, 6)), "test", rng.randint(0, 5)))
+    ev = spark.createDataFrame(rows, EVENTS_DDL)
+    for groups in ([[0, 1, 2, 3, 4, 5]], [[0], [1], [2], [3], [4], [5]], [[3], [0, 5], [1, 2, 4]]):
+        for status in (replay_status(ev, groups, "incremental"), replay_fold(ev, groups)):
+            assert latest_mismatch(ev, status).first().mismatches == 0
