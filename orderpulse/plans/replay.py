@@ -98,7 +98,9 @@ def replay_fold(events: DataFrame, batches: Sequence[Sequence[int]], batch_col:
                         *[cols[c].alias(c) for c in STATUS_COLUMNS if c != "order_id"],
                         le.alias("le"))
 
-    folded = per.select("order_id", F.aggregate(F.array(*[F.col(f"_g{i}") for i in range(len(batches))]),
-                                                init, step).alias("_st"))
-    return folded.where(F.col("_st.t")).select(
-        "order_id", *[F.col(f"_st.{c}").alias(c) for c in STATUS_COLUMNS if c != "order_id"])
+    groups = [F.col(f"_g{i}") for i in range(len(batches))]
+    # Orders with no event in any group never get a row. Filter before the fold, not on its
+    # result: a filter on the folded column would be inlined and fold every order twice.
+    present = per.where(F.coalesce(*groups).isNotNull())
+    folded = present.select("order_id", F.aggregate(F.array(*groups), init, step).alias("_st"))
+    return folded.select("order_id", *[F.col(f"_st.{c}").alias(c) for c in STATUS_COLUMNS if c != "order_id"])
