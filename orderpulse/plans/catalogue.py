@@ -131,9 +131,9 @@ def q_merge_nulls(spark, sf_dir):
     return replay_status(fx_events(spark, sf_dir, "nulls"), FIVE_BATCHES, "incremental")
 
 
-@register("merge_delta_only", None)
+@register("merge_delta_only", O.status_chain_sql("base", FIVE_BATCHES, cumulative=False))
 def q_merge_delta_only(spark, sf_dir):
-    # Deliberately not the reference semantics (see replay.py); no oracle claimed.
+    # Deliberately not the reference semantics (see replay.py): each merge sees its own batch only.
     return replay_status(fx_events(spark, sf_dir), FIVE_BATCHES, "delta_only")
 
 

@@ -73,15 +73,19 @@ def _merge_step_sql(joined: str) -> str:
         f"from {joined}")
 
 
-def merge_chain_ctes(batches: Sequence[Sequence[int]], fx: str = "fx") -> tuple[list[str], str]:
-    """CTEs s_i (merge source), j_i (joined with guard), t_i (status after merge i)."""
+def merge_chain_ctes(batches: Sequence[Sequence[int]], fx: str = "fx",
+                     cumulative: bool = True) -> tuple[list[str], str]:
+    """CTEs s_i (merge source), j_i (joined with guard), t_i (status after merge i).
+
+    ``cumulative``: merge i reads every batch arrived so far (the reference's rescan);
+    otherwise only batch group i (the delta-only variant)."""
     ctes = ["t0 as (select cast(null as bigint) as order_id, cast(null as bigint) as customer_id, "
             "cast(null as varchar) as previous_status, cast(null as varchar) as current_status, "
             "cast(null as timestamp) as last_update_ts where false)"]
     arrived: list[int] = []
     for i, group in enumerate(batches, start=1):
         arrived.extend(group)
-        ids = ", ".join(str(b) for b in arrived)
+        ids = ", ".join(str(b) for b in (arrived if cumulative else group))
         ctes.append(f"s{i} as ({latest_sql(fx, f'batch_id in ({ids})')})")
         ctes.append(f"j{i} as ({_joined_sql(f't{i - 1}', f's{i}')})")
         ctes.append(f"t{i} as ({_merge_step_sql(f'j{i}')})")
@@ -111,8 +115,9 @@ def with_ctes(ctes: list[str], select: str) -> str:
     return "with " + ",\n".join(ctes) + "\n" + select
 
 
-def status_chain_sql(variant: str, batches: Sequence[Sequence[int]], select: str | None = None) -> str:
-    ctes, last = merge_chain_ctes(batches)
+def status_chain_sql(variant: str, batches: Sequence[Sequence[int]], select: str | None = None,
+                     cumulative: bool = True) -> str:
+    ctes, last = merge_chain_ctes(batches, cumulative=cumulative)
     ctes = [f"fx as ({fx_events_sql(variant)})"] + ctes + [f"st as (select * from {last})"]
     return with_ctes(ctes, select or "select * from st")
 
