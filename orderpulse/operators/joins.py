@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,11 +11,23 @@ from pyspark.sql import types as T
 FALLBACK_BROADCAST_BYTES = 10 * 1024 * 1024
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def parse_bytes(text: str) -> int:
+    """Spark size strings: ``10485760``, ``10485760b``, ``10MB``, ``-1``."""
+    m = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]*)\s*", str(text))
+    if not m or m.group(2).lower() not in _UNITS:
+        raise ValueError(f"not a size: {text!r}")
+    return int(m.group(1)) * _UNITS[m.group(2).lower()]
+
+
 def _threshold(df: DataFrame) -> int:
     raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
     try:
-        value = int(str(raw).lower().rstrip("b"))
-    except (TypeError, ValueError):
+        value = parse_bytes(raw)
+    except ValueError:
         value = FALLBACK_BROADCAST_BYTES
     return value if value > 0 else 0
 
@@ -22,14 +36,14 @@ def size_bound_bytes(df: DataFrame) -> int:
     """Upper bound of the in-memory size of ``df``, measured (one aggregate pass).
 
     Each row costs a null-bitset word plus one 8-byte slot per column; strings and
-    binaries add their byte length rounded up to a word.
+    binaries add their byte length rounded up to whole 8-byte words.
     """
     fields = df.schema.fields
     var = [f.name for f in fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     aggs = [F.count(F.lit(1)).alias("rows")]
     if var:
-        aggs.append(F.sum(sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) + 8
-                               for c in var), F.lit(0))).alias("var_bytes"))
+        words = sum((F.ceil(F.coalesce(F.octet_length(F.col(c)), F.lit(0)) / 8) for c in var), F.lit(0))
+        aggs.append((F.sum(words) * 8).cast("long").alias("var_bytes"))
     row = df.agg(*aggs).first()
     rows = row["rows"]
     var_bytes = (row["var_bytes"] or 0) if var else 0

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderpulse.operators.joins import sized_broadcast
 from orderpulse.schemas import EVENT_SCHEMA
 
 RAW_COLUMNS = [f.name for f in EVENT_SCHEMA.fields]
+RAW_SCHEMA = T.StructType(EVENT_SCHEMA.fields + [T.StructField("batch_id", T.LongType())])
 
 
 def assert_schema(df: DataFrame, expected=EVENT_SCHEMA) -> None:
@@ -32,18 +34,12 @@ def land_batch(events: DataFrame, root: str, batch_id: int) -> None:
 
 
 def read_raw(spark: SparkSession, root: str, batch_ids=None) -> DataFrame:
-    df = spark.read.schema(_raw_schema()).parquet(root)
+    df = spark.read.schema(RAW_SCHEMA).parquet(root)
     if batch_ids is not None:
         df = df.where(F.col("batch_id").isin(list(batch_ids)))
     return df
 
 
-def _raw_schema():
-    from pyspark.sql import types as T
-
-    return T.StructType(EVENT_SCHEMA.fields + [T.StructField("batch_id", T.LongType())])
-
-
 def unconsumed(events: DataFrame, consumed_batches: DataFrame) -> DataFrame:
     """Rows of batches not yet merged (the change-stream peek): a left anti join on batch_id."""
     return events.join(sized_broadcast(consumed_batches.select("batch_id")), "batch_id", "left_anti") \

@@ -36,3 +36,13 @@ def test_publish_round_trip(spark):
     assert len(back) == 1 and back[0]._bad is None
     assert back[0].status_ts == dt.datetime(2024, 1, 1, 5, 6, 7, 123456)
     assert len(back[0].event_id) == 36
+
+
+def test_size_strings_and_bound(spark):
+    from orderpulse.operators.joins import parse_bytes, size_bound_bytes
+
+    assert parse_bytes("10485760b") == parse_bytes("10MB") == parse_bytes("10485760") == 10 << 20
+    assert parse_bytes("-1") == -1
+    df = spark.createDataFrame([("abcdefghi", 1), (None, 2)], "s string, n long")
+    # 2 rows x (bitset word + 2 slots) + words of "abcdefghi" (9 bytes -> 16)
+    assert size_bound_bytes(df) == 2 * 24 + 16
