@@ -1,58 +1,94 @@
 """Previous row within a key's ordered sequence, without a hot reducer.
 
 ``lag() OVER (PARTITION BY key ORDER BY ...)`` sends a whole key to one task; a
-key holding a third of all rows would make that task a third of the job. Here
-the rows are range-partitioned on (key, order...) instead, so a hot key spans
-many partitions, and each run's first row borrows its predecessor from the
-previous partition's last row of the same key:
-
-1. ``repartitionByRange(key, order...)`` + ``spark_partition_id`` -> ``_pid``;
-   written as a reliable checkpoint so ``_pid`` is stable for the two uses below.
-2. In-run previous: ``lag`` over (``_pid``, key) -- runs are bounded by partition size.
-3. Run tails: ``max(struct(order..., values...))`` per (``_pid``, key), then
-   ``lag`` over key ordered by ``_pid``: at most one row per partition a key
-   spans, so even a hot key's group is small.
-4. Run heads take the carried tail.
+key holding a third of all rows makes that task a third of the job. Here:
+
+1. ``repartitionByRange(key, order...)`` + ``sortWithinPartitions``: balanced,
+   contiguous runs of the global order; a hot key spans several partitions.
+   Written as a reliable checkpoint so partition ids and row order are fixed.
+2. Partition tails: the last row of each partition -- at most one row per
+   partition, a bound set by the partition count, not the data.
+3. ``mapInPandas`` over the same partitions (no further shuffle): the previous
+   row is the row above when it has the same key; a partition's first row takes
+   the tail of the nearest non-empty partition before it, if the key matches.
+
+Order is ascending with nulls first, on (order...) within the key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderpulse.session import checkpoint_root
 
 
+def _same(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Element-wise equality where null == null (keys group nulls together)."""
+    return (a == b) | (a.isna() & b.isna())
+
+
 def with_previous(df: DataFrame, key: str, order_cols: Sequence[str], value_cols: Sequence[str],
                   num_partitions: int | None = None, prefix: str = "prev_") -> DataFrame:
-    """Adds ``prev_<v>`` for each value column and ``has_prev`` (ascending order, nulls first)."""
+    """Adds ``prev_<v>`` for each value column and ``has_prev``."""
     spark = df.sparkSession
     checkpoint_root(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order_cols, value_cols = list(order_cols), list(value_cols)
     keep = list(dict.fromkeys([key, *order_cols, *value_cols, *df.columns]))
     ranged = (df.select(*keep).repartitionByRange(n, key, *order_cols)
-              .withColumn("_pid", F.spark_partition_id())
+              .sortWithinPartitions(key, *order_cols)
               .checkpoint(eager=True))
 
-    run = Window.partitionBy("_pid", key).orderBy(*order_cols)
-    vals = F.struct(*[F.col(v) for v in value_cols])
-    local = (ranged.withColumn("_prev", F.lag(vals).over(run))
-             .withColumn("_head", F.row_number().over(run) == 1))
-
-    tails = (ranged.groupBy("_pid", key)
-             .agg(F.max(F.struct(*[F.col(c) for c in order_cols + value_cols])).alias("_tail")))
-    carry = (tails.withColumn("_carry", F.lag("_tail").over(Window.partitionBy(key).orderBy("_pid")))
-             .select("_pid", key, F.struct(*[F.col(f"_carry.{v}").alias(v) for v in value_cols]).alias("_c"),
-                     F.col("_carry").isNotNull().alias("_has_c")))
-
-    out = local.join(carry, ["_pid", key], "left")
-    prev = F.when(F.col("_head"), F.when(F.col("_has_c"), F.col("_c"))).otherwise(F.col("_prev"))
-    has_prev = F.when(F.col("_head"), F.coalesce(F.col("_has_c"), F.lit(False))).otherwise(F.lit(True))
-    out = out.withColumn("_p", prev).withColumn("has_prev", has_prev)
-    return out.select(*keep, *[F.col(f"_p.{v}").alias(f"{prefix}{v}") for v in value_cols], "has_prev")
+    # Struct max = last row in (key, order...) order, nulls lowest, as sorted above.
+    tail_fields = [key, *value_cols]
+    tails = (ranged.withColumn("_pid", F.spark_partition_id())
+             .groupBy("_pid").agg(F.max(F.struct(*[F.col(c) for c in [key, *order_cols, *value_cols]])).alias("_t"))
+             .select("_pid", *[F.col(f"_t.{c}").alias(c) for c in tail_fields])
+             .collect())  # one row per non-empty partition
+    by_pid = {r["_pid"]: tuple(r[c] for c in tail_fields) for r in tails}
+    carry, last = {}, None
+    for pid in range(ranged.rdd.getNumPartitions()):
+        carry[pid] = last
+        if pid in by_pid:
+            last = by_pid[pid]
+
+    out_schema = T.StructType(
+        [ranged.schema[c] for c in keep]
+        + [T.StructField(f"{prefix}{v}", ranged.schema[v].dataType, True) for v in value_cols]
+        + [T.StructField("has_prev", T.BooleanType(), False)])
+    prev_names = [f"{prefix}{v}" for v in value_cols]
+
+    def per_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        before = carry.get(TaskContext.get().partitionId())  # (key, *values) or None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            prev_key = pdf[key].shift(1)
+            prev_vals = {v: pdf[v].shift(1) for v in value_cols}
+            if before is not None:
+                prev_key.iloc[0] = before[0]
+                for i, v in enumerate(value_cols, start=1):
+                    prev_vals[v] = prev_vals[v].astype(object)
+                    prev_vals[v].iloc[0] = before[i]
+            has = _same(pdf[key], prev_key)
+            if before is None:
+                has.iloc[0] = False
+            out = pdf.copy()
+            for v, name in zip(value_cols, prev_names):
+                out[name] = prev_vals[v].where(has, None)
+            out["has_prev"] = has.astype(bool)
+            last_row = pdf.iloc[-1]
+            before = (last_row[key], *[last_row[v] for v in value_cols])
+            yield out
+
+    return ranged.mapInPandas(per_partition, out_schema)
 
 
 def with_previous_window(df: DataFrame, key: str, order_cols: Sequence[str], value_cols: Sequence[str],
