@@ -18,21 +18,27 @@ def recent_status(status: DataFrame, n: int = SLICE_ROWS) -> DataFrame:
         F.col("last_update_ts").desc_nulls_last(), F.col("order_id").asc_nulls_last()).limit(n)
 
 
-def event_stats(events: DataFrame) -> DataFrame:
-    """total_events, unique_orders, latest_event in one pass over the events."""
-    return events.agg(F.count(F.lit(1)).alias("total_events"),
-                      F.countDistinct("order_id").alias("unique_orders"),
+def event_stats(events: DataFrame, approx_rsd: float | None = None) -> DataFrame:
+    """total_events, unique_orders, latest_event in one pass over the events.
+
+    ``approx_rsd`` switches unique_orders to ``approx_count_distinct`` (HyperLogLog++,
+    fixed-size sketches instead of a shuffle of every distinct id) for very large tables.
+    """
+    unique = (F.countDistinct("order_id") if approx_rsd is None
+              else F.approx_count_distinct("order_id", approx_rsd))
+    return events.agg(F.count(F.lit(1)).alias("total_events"), unique.alias("unique_orders"),
                       F.max("status_ts").alias("latest_event"))
 
 
-def dashboard_metrics(status: DataFrame, events: DataFrame, n: int = SLICE_ROWS) -> DataFrame:
+def dashboard_metrics(status: DataFrame, events: DataFrame, n: int = SLICE_ROWS,
+                      approx_rsd: float | None = None) -> DataFrame:
     """One row: tracked_orders and latest_update over the top-n slice (as displayed),
     plus the event statistics over the whole raw table, and full-table counterparts."""
     slice_ = recent_status(status, n)
     sl = slice_.agg(F.countDistinct("order_id").alias("tracked_orders"),
                     F.max("last_update_ts").alias("_latest_update"))
     full = status.agg(F.countDistinct("order_id").alias("tracked_orders_full"))
-    row = combine_one_row(sl, event_stats(events), full)  # each input computed once
+    row = combine_one_row(sl, event_stats(events, approx_rsd), full)  # each input computed once
     return row.select(
         "tracked_orders",
         F.coalesce(display_ts(F.col("_latest_update")), F.lit("N/A")).alias("latest_update"),

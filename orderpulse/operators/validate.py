@@ -100,8 +100,15 @@ def status_transitions(events: DataFrame, skew_safe: bool = True) -> DataFrame:
             .withColumn("transition", transition_class(F.col("from_status"), F.col("to_status"))))
 
 
-def freshness_lag(events: DataFrame, as_of: Column, max_lag_seconds: int) -> DataFrame:
-    """latest_event_ts, as_of, lag_seconds (whole seconds, floor), is_fresh."""
+def freshness_lag(events: DataFrame, as_of: Column | None, max_lag_seconds: int) -> DataFrame:
+    """latest_event_ts, as_of, lag_seconds (whole seconds, floor), is_fresh.
+
+    ``as_of`` defaults to the current time as a UTC wall clock (tests pin a literal).
+    """
+    if as_of is None:
+        from orderpulse.functions.scalars import instant_to_utc_ntz
+
+        as_of = instant_to_utc_ntz(F.current_timestamp())
     latest = events.agg(F.max("status_ts").alias("latest_event_ts"))
     lag = F.floor(F.timestamp_diff("MICROSECOND", F.col("latest_event_ts"), as_of) / F.lit(1_000_000))
     return latest.select(

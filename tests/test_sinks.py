@@ -46,3 +46,21 @@ def test_size_strings_and_bound(spark):
     df = spark.createDataFrame([("abcdefghi", 1), (None, 2)], "s string, n long")
     # 2 rows x (bitset word + 2 slots) + words of "abcdefghi" (9 bytes -> 16)
     assert size_bound_bytes(df) == 2 * 24 + 16
+
+
+def test_approx_unique_orders_and_default_as_of(spark):
+    import datetime as dt
+
+    from orderpulse.operators.monitor import event_stats
+    from orderpulse.operators.validate import freshness_lag
+    from orderpulse.sources.fixtures import fx_events
+
+    from conftest import SF_CHECK
+
+    ev = fx_events(spark, SF_CHECK)
+    exact = event_stats(ev).first().unique_orders
+    approx = event_stats(ev, approx_rsd=0.02).first().unique_orders
+    assert abs(approx - exact) <= 0.06 * exact
+    row = freshness_lag(ev, None, 60).first()
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    assert abs((row.as_of - now).total_seconds()) < 600 and row.is_fresh is False
