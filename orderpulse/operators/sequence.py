@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderpulse.session import checkpoint_root
+from orderpulse.session import checkpoint_root, ship_package
 
 
 def _same(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -37,6 +37,7 @@ def with_previous(df: DataFrame, key: str, order_cols: Sequence[str], value_cols
     """Adds ``prev_<v>`` for each value column and ``has_prev``."""
     spark = df.sparkSession
     checkpoint_root(spark)
+    ship_package(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order_cols, value_cols = list(order_cols), list(value_cols)
     keep = list(dict.fromkeys([key, *order_cols, *value_cols, *df.columns]))

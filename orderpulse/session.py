@@ -75,3 +75,29 @@ def write_small_file(spark: SparkSession, path: str, text: str) -> None:
     if not fs.rename(tmp, final):
         fs.delete(tmp, False)
         raise OSError(f"could not publish {path}")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (``addPyFile`` of a zip of it), once
+    per application. Needed by the operators that run Python in tasks (``mapInPandas``,
+    ``applyInPandasWithState``): executors do not share the driver's ``sys.path``."""
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="orderpulse-pkg-"), "orderpulse.zip")
+    with zipfile.ZipFile(zpath, "w") as z:
+        for root, _, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)

@@ -26,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from orderpulse.schemas import STATUS_COLUMNS
+from orderpulse.session import ship_package
 from orderpulse.sources.messages import decode_messages, split_quarantine
 from orderpulse.streaming.sources import trigger_options
 
@@ -81,6 +82,7 @@ def merge_order(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) ->
 
 def status_changes(events: DataFrame) -> DataFrame:
     """Streaming frame of per-batch status changes (output mode update)."""
+    ship_package(events.sparkSession)
     return (events.where(F.col("order_id").isNotNull())
             .select("order_id", *_EVENT)
             .groupBy("order_id")
