@@ -43,7 +43,10 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     names = sys.argv[1:] or HEADLINE
-    spark = get_spark(f"local[{cpus}]", shuffle_partitions=cpus)
+    # local mode runs every task in the driver JVM: give it a heap that fits the run
+    spark = get_spark(f"local[{cpus}]", shuffle_partitions=cpus,
+                      extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
+
     def run(name: str) -> tuple[float, float]:
         t0 = time.perf_counter()
         df = QUERIES[name](spark, sf_dir)
