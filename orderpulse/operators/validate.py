@@ -116,16 +116,34 @@ def freshness_lag(events: DataFrame, as_of: Column | None, max_lag_seconds: int)
         (lag <= F.lit(max_lag_seconds)).alias("is_fresh"))
 
 
-def counts_over_time(run_log: DataFrame) -> DataFrame:
-    """Per batch: cumulative events and orders, and whether the order count kept growing.
+def running_totals(df: DataFrame, order_col: str, value_cols: list[str], block: int = 100_000) -> DataFrame:
+    """Running sums ordered by an integer column, without a single-task window.
 
-    The run log has one row per merge, so the un-partitioned running window is small.
+    Rows are windowed within blocks of ``block`` consecutive ``order_col`` values; the
+    blocks' own running totals (one row per block) give each block its offset, joined
+    back on the block id. Adds ``total_<v>`` and ``prev_total_<v>`` (the total before the row).
     """
     from pyspark.sql import Window
 
-    w = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = (run_log.select("batch_id", "rows_in", "inserted")
-           .withColumn("total_events", F.sum("rows_in").over(w))
-           .withColumn("total_orders", F.sum("inserted").over(w)))
-    prev = F.lag("total_orders").over(Window.orderBy("batch_id"))
-    return cum.withColumn("orders_grew", F.coalesce(F.col("total_orders") >= prev, F.lit(True)))
+    blk = F.floor(F.col(order_col) / F.lit(block)).cast("bigint")
+    df = df.withColumn("_blk", blk)
+    inner = Window.partitionBy("_blk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    totals = df.groupBy("_blk").agg(*[F.sum(v).alias(f"_bt_{v}") for v in value_cols])
+    outer = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)  # one row per block
+    offsets = totals.select("_blk", *[F.coalesce(F.sum(f"_bt_{v}").over(outer), F.lit(0)).alias(f"_off_{v}")
+                                      for v in value_cols])
+    out = df.join(offsets, "_blk", "left")
+    for v in value_cols:
+        total = F.sum(v).over(inner) + F.col(f"_off_{v}")
+        out = out.withColumn(f"total_{v}", total.cast("bigint"))
+        out = out.withColumn(f"prev_total_{v}", (F.col(f"total_{v}") - F.col(v)).cast("bigint"))
+    return out.drop("_blk", *[f"_off_{v}" for v in value_cols])
+
+
+def counts_over_time(run_log: DataFrame) -> DataFrame:
+    """Per batch: cumulative events and orders, and whether the order count kept growing."""
+    cum = running_totals(run_log.select("batch_id", "rows_in", "inserted"), "batch_id", ["rows_in", "inserted"])
+    return cum.select(
+        "batch_id", "rows_in", "inserted",
+        F.col("total_rows_in").alias("total_events"), F.col("total_inserted").alias("total_orders"),
+        F.coalesce(F.col("total_inserted") >= F.col("prev_total_inserted"), F.lit(True)).alias("orders_grew"))

@@ -106,3 +106,15 @@ def test_no_mismatch_without_ties_or_nulls(spark):
     for groups in ([[0, 1, 2, 3, 4, 5]], [[0], [1], [2], [3], [4], [5]], [[3], [0, 5], [1, 2, 4]]):
         for status in (replay_status(ev, groups, "incremental"), replay_fold(ev, groups)):
             assert latest_mismatch(ev, status).first().mismatches == 0
+
+
+def test_running_totals_across_blocks(spark):
+    from orderpulse.operators.validate import running_totals
+
+    rows = [(i, (i * 7) % 5) for i in range(0, 250, 3)]
+    df = spark.createDataFrame(rows, "b long, x long")
+    got = {r.b: (r.total_x, r.prev_total_x) for r in running_totals(df, "b", ["x"], block=10).collect()}
+    acc = 0
+    for b, x in rows:
+        assert got[b] == (acc + x, acc)
+        acc += x
