@@ -101,3 +101,13 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, base))
     sc.addPyFile(zpath)
     _SHIPPED.add(sc.applicationId)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries directly under ``path`` (empty if it does not exist)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p)]

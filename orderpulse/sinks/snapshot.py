@@ -4,7 +4,9 @@ Layout under ``root``::
 
     state/v=<N>/part-*.parquet     status columns + latest event + _action of merge N,
                                    bucketed by order_id (Spark bucketing, B files)
-    _commits/commit-<N>.json       one row: version, batch_id, source_id, buckets, run counters
+    _commits/block=<B>/commit-<N>.json   one row: version, batch_id, source_id, buckets, run
+                                         counters; B = N // 1000, so finding the latest commit
+                                         lists block folders and reads one block
 
 Each version is a bucketed external table in the session catalog. The merge
 reads it with the bucketed scan (hash-partitioned on ``order_id``, no exchange),
@@ -38,7 +40,7 @@ from pyspark.sql import types as T
 
 from orderpulse.operators.upsert import empty_state
 from orderpulse.schemas import STATE_SCHEMA
-from orderpulse.session import path_exists, write_small_file
+from orderpulse.session import list_names, path_exists, write_small_file
 
 COMMIT_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
@@ -55,6 +57,9 @@ COMMIT_SCHEMA = T.StructType([
 ])
 
 
+COMMITS_PER_BLOCK = 1000
+
+
 @dataclass
 class Commit:
     version: int
@@ -99,13 +104,17 @@ class SnapshotStore:
         return f"{self.root}/state/v={int(version)}"
 
     def commits(self) -> DataFrame:
+        """The whole commit log (for the run log)."""
         if not path_exists(self.spark, self._commits_path()):
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
-        return self.spark.read.schema(COMMIT_SCHEMA).json(self._commits_path())
+        return self.spark.read.schema(COMMIT_SCHEMA).json(f"{self._commits_path()}/block=*")
 
     def latest_commit(self) -> Commit | None:
-        row = (self.commits().orderBy(F.col("version").desc())
-               .select("version", "batch_id", "source_id", "buckets").first())
+        blocks = sorted(n for n in list_names(self.spark, self._commits_path()) if n.startswith("block="))
+        if not blocks:
+            return None
+        row = (self.spark.read.schema(COMMIT_SCHEMA).json(f"{self._commits_path()}/{blocks[-1]}")
+               .orderBy(F.col("version").desc()).select("version", "batch_id", "source_id", "buckets").first())
         return None if row is None else Commit(row["version"], row["batch_id"], row["source_id"], row["buckets"])
 
     def read_state(self, version: int | None = None, commit: Commit | None = None) -> DataFrame:
@@ -149,7 +158,8 @@ class SnapshotStore:
                int(counts["insert"]), int(counts["update"]), int(counts["unchanged"]),
                None if max_status_ts is None else str(max_status_ts), int(buckets))
         record = json.dumps(dict(zip(COMMIT_SCHEMA.names, row)))
-        write_small_file(self.spark, f"{self._commits_path()}/commit-{version:020d}.json", record + "\n")
+        path = f"{self._commits_path()}/block={version // COMMITS_PER_BLOCK:010d}/commit-{version:020d}.json"
+        write_small_file(self.spark, path, record + "\n")
         return version
 
     def run_log(self) -> DataFrame:

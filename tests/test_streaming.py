@@ -139,3 +139,23 @@ def test_stateful_variant_agrees_with_snapshot_pipeline(spark):
     assert got == want
     assert want[1] == (None, "PAID", "2024-01-01 11:00:00")  # same status later: guard holds it
     assert want[3] == ("PAID", "SHIPPED", "2024-01-01 00:00:00")
+
+
+def test_commit_log_blocks(spark, monkeypatch):
+    import orderpulse.sinks.snapshot as snap
+    from orderpulse.operators.upsert import advance_state, empty_state
+
+    monkeypatch.setattr(snap, "COMMITS_PER_BLOCK", 2)
+    store = SnapshotStore(spark, scratch_path(spark, "test_blocks"), buckets=2)
+    ev = spark.createDataFrame([("a", 1, 1, "PAID", None, "t")],
+                               "event_id string, order_id long, customer_id long, new_status string, "
+                               "status_ts timestamp_ntz, source string")
+    state = empty_state(spark)
+    for b in range(5):
+        store.write_version(advance_state(state, ev, with_action=True, buckets=2), b, "src", "incremental", 1, 0, None)
+        state = store.read_state()
+    c = store.latest_commit()
+    assert (c.version, c.batch_id, c.buckets) == (4, 4, 2)
+    assert store.commits().count() == 5
+    assert sorted(n for n in __import__("os").listdir(store.root + "/_commits")) == [
+        "block=0000000000", "block=0000000001", "block=0000000002"]
