@@ -159,3 +159,17 @@ def test_commit_log_blocks(spark, monkeypatch):
     assert store.commits().count() == 5
     assert sorted(n for n in __import__("os").listdir(store.root + "/_commits")) == [
         "block=0000000000", "block=0000000001", "block=0000000002"]
+
+
+def test_retry_over_leftover_uncommitted_version(spark):
+    from orderpulse.operators.upsert import advance_state, empty_state
+
+    store = SnapshotStore(spark, scratch_path(spark, "test_retry"), buckets=2)
+    ev = spark.createDataFrame([("a", 1, 1, "PAID", None, "t")],
+                               "event_id string, order_id long, customer_id long, new_status string, "
+                               "status_ts timestamp_ntz, source string")
+    spark.range(5).write.parquet(store.state_path(0))  # a failed attempt's files, never committed
+    assert store.latest_commit() is None
+    v = store.write_version(advance_state(empty_state(spark), ev, with_action=True, buckets=2),
+                            0, "src", "incremental", 1, 0, None)
+    assert v == 0 and [r.current_status for r in store.read_status().collect()] == ["PAID"]
