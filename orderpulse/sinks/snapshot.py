@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 
 from orderpulse.operators.upsert import empty_state
 from orderpulse.schemas import STATE_SCHEMA
-from orderpulse.session import list_names, path_exists, write_small_file
+from orderpulse.session import delete_path, list_names, path_exists, write_small_file
 
 COMMIT_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
@@ -162,6 +162,25 @@ class SnapshotStore:
         write_small_file(self.spark, path, record + "\n")
         return version
 
+    def retain(self, keep: int = 10) -> list[int]:
+        """Delete state versions older than the newest ``keep`` (the latest is always kept).
+
+        Readers still on an older version keep working as long as it is within ``keep``.
+        The commit log is kept whole (it is the run history).
+        """
+        c = self.latest_commit()
+        if c is None:
+            return []
+        cutoff = c.version - max(int(keep), 1) + 1
+        removed = []
+        for name in list_names(self.spark, f"{self.root}/state"):
+            if name.startswith("v=") and name[2:].isdigit() and int(name[2:]) < cutoff:
+                v = int(name[2:])
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._table(v)}")
+                delete_path(self.spark, self.state_path(v))
+                removed.append(v)
+        return sorted(removed)
+
     def run_log(self) -> DataFrame:
         """One row per committed merge (latest commit per batch and source)."""
         return self.commits().select(

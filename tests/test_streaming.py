@@ -173,3 +173,19 @@ def test_retry_over_leftover_uncommitted_version(spark):
     v = store.write_version(advance_state(empty_state(spark), ev, with_action=True, buckets=2),
                             0, "src", "incremental", 1, 0, None)
     assert v == 0 and [r.current_status for r in store.read_status().collect()] == ["PAID"]
+
+
+def test_retain_keeps_the_newest_versions(spark):
+    from orderpulse.operators.upsert import advance_state
+
+    store = SnapshotStore(spark, scratch_path(spark, "test_retain"), buckets=2)
+    ev = spark.createDataFrame([("a", 1, 1, "PAID", None, "t")],
+                               "event_id string, order_id long, customer_id long, new_status string, "
+                               "status_ts timestamp_ntz, source string")
+    for b in range(4):
+        store.write_version(advance_state(store.read_state(), ev, with_action=True, buckets=2),
+                            b, "src", "incremental", 1, 0, None)
+    assert store.retain(keep=2) == [0, 1]
+    assert store.retain(keep=2) == []
+    assert store.read_status().count() == 1 and store.read_state(version=2).count() == 1
+    assert store.commits().count() == 4
