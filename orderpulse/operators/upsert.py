@@ -35,7 +35,7 @@ def empty_state(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], STATE_SCHEMA)
 
 
-def _merge_columns(t_present: Column, s_present: Column, t: dict, s: dict) -> dict:
+def merge_columns(t_present: Column, s_present: Column, t: dict, s: dict) -> dict:
     """Output columns of the MERGE for one joined row.
 
     ``t``: customer_id, previous_status, current_status, last_update_ts of the target.
@@ -69,7 +69,7 @@ def upsert_status(target: DataFrame, source: DataFrame, with_action: bool = Fals
         F.col("new_status").alias("s_new_status"),
         F.col("last_event_ts").alias("s_ts"))
     j = t.join(s, "order_id", "full_outer")
-    cols = _merge_columns(
+    cols = merge_columns(
         F.col("_t"), F.col("_s"),
         {c: F.col(f"t_{c}") for c in STATUS_COLUMNS if c != "order_id"},
         {"customer_id": F.col("s_customer_id"), "new_status": F.col("s_new_status"), "ts": F.col("s_ts")})
@@ -111,7 +111,7 @@ def _merge_state(state: DataFrame, d: DataFrame, incremental: bool, with_action:
         le = F.when(F.col("_s").isNotNull(), _event_struct("d_")).otherwise(_event_struct("le_"))
         s_present = F.col("_s")
     j = j.withColumn("_le", le)
-    cols = _merge_columns(
+    cols = merge_columns(
         F.col("_t"), s_present,
         {c: F.col(c) for c in STATUS_COLUMNS if c != "order_id"},
         {"customer_id": F.col("_le.customer_id"), "new_status": F.col("_le.new_status"),

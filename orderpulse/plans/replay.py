@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderpulse.operators.latest import latest_per_key, latest_status
-from orderpulse.operators.upsert import (_merge_columns, advance_state, empty_state, empty_status,
+from orderpulse.operators.upsert import (merge_columns, advance_state, empty_state, empty_status,
                                          full_state, state_to_status, upsert_status)
 from orderpulse.schemas import STATUS_COLUMNS
 from orderpulse.session import checkpoint_root
@@ -99,7 +99,7 @@ def replay_fold(events: DataFrame, batches: Sequence[Sequence[int]], batch_col:
     def step(acc, g):
         le = (F.when(acc["le"].isNull(), g).when(g.isNull(), acc["le"])
               .otherwise(F.greatest(acc["le"], g)))
-        cols = _merge_columns(
+        cols = merge_columns(
             acc["t"], F.when(le.isNotNull(), F.lit(True)),
             {c: acc[c] for c in STATUS_COLUMNS if c != "order_id"},
             {"customer_id": le["customer_id"], "new_status": le["new_status"], "ts": le["status_ts"]})
