@@ -64,3 +64,16 @@ def test_approx_unique_orders_and_default_as_of(spark):
     row = freshness_lag(ev, None, 60).first()
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     assert abs((row.as_of - now).total_seconds()) < 600 and row.is_fresh is False
+
+
+def test_dashboard_on_empty_status_says_na(spark):
+    from orderpulse.operators.monitor import dashboard_metrics, status_counts_slice
+    from orderpulse.operators.upsert import empty_status
+    from orderpulse.sources.fixtures import fx_events
+
+    from conftest import SF_SMALL
+
+    row = dashboard_metrics(empty_status(spark), fx_events(spark, SF_SMALL)).first()
+    assert row.latest_update == "N/A" and row.tracked_orders == 0 and row.tracked_orders_full == 0
+    assert row.total_events == 1000 and row.unique_orders == 15
+    assert status_counts_slice(empty_status(spark)).count() == 0
