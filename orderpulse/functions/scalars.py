@@ -24,8 +24,9 @@ def instant_to_utc_ntz(instant: Column) -> Column:
 
 
 def parse_iso_utc(text: Column) -> Column:
-    """ISO-8601 text with an offset -> UTC wall clock (timestamp_ntz)."""
-    return instant_to_utc_ntz(F.to_timestamp(text))
+    """ISO-8601 text with an offset -> UTC wall clock (timestamp_ntz); null if unparsable
+    (``try_to_timestamp``: under ANSI mode ``to_timestamp`` would fail the whole batch)."""
+    return instant_to_utc_ntz(F.try_to_timestamp(text))
 
 
 def iso_utc(ts_ntz: Column) -> Column:

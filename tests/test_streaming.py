@@ -38,13 +38,15 @@ def test_quarantine_late_duplicate_and_restart(spark):
         "{not json",
         json.dumps({"event_id": "e4", "customer_id": 1, "new_status": "PAID",
                     "status_ts": "2024-01-01T12:00:00+00:00"}),
+        msg("e9", 9, "PAID", "yesterday-ish"),
     ])
     drain(spark, landing, paths)
     assert status(store) == {1: (None, "PAID", "2024-01-01 11:00:00"),
                              2: (None, "CREATED", "2024-01-01 08:00:00")}
     log = store.run_log().collect()
-    assert [(r.batch_id, r.rows_in, r.rows_bad, r.inserted) for r in log] == [(0, 3, 2, 2)]
-    assert spark.read.json(f"{paths.quarantine}/batch_id=0").count() == 2
+    assert [(r.batch_id, r.rows_in, r.rows_bad, r.inserted) for r in log] == [(0, 3, 3, 2)]
+    bad = spark.read.json(f"{paths.quarantine}/batch_id=0")
+    assert sorted(r._bad for r in bad.collect()) == ["bad status_ts", "malformed", "missing order_id"]
 
     # second wave: a late event (older than current) and a duplicate of e2
     publish(spark, landing, [msg("e0", 1, "SHIPPED", "2024-01-01T09:00:00+00:00"),
