@@ -52,3 +52,23 @@ def test_digits_mod_exact_for_long_numbers(spark):
     df = spark.createDataFrame([(digits,)], "d string")
     for n in (6, 97, 2 ** 31 - 1):
         assert df.select(digits_mod(F.col("d"), n).alias("m")).first().m == int(digits) % n
+
+
+def test_partitioners_on_random_keys(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    keys = st.lists(st.one_of(st.none(), st.text(max_size=30),
+                              st.from_regex(r"customer:[0-9]{1,45}", fullmatch=True)), min_size=1, max_size=60)
+
+    @settings(max_examples=6, deadline=None)
+    @given(keys, st.lists(st.integers(0, 63), min_size=1, max_size=9, unique=True))
+    def check(ks, avail):
+        df = spark.createDataFrame([(i, k) for i, k in enumerate(ks)], "i long, key string")
+        got = df.select("i", "key", hash_partition(F.col("key"), avail).alias("h"),
+                        customer_partition(F.col("key"), avail).alias("c")).collect()
+        for r in got:
+            assert r.h == model_hash(r.key, avail), (r.key, avail)
+            assert r.c == model_customer(r.key, avail), (r.key, avail)
+
+    check()
