@@ -82,3 +82,11 @@ def test_status_filters_reach_the_scan(spark):
     p = plan(filter_status(spark.read.parquet(path), statuses=["PAID"], since="2024-01-10 00:00:00"))
     pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", p)
     assert pushed and "current_status" in pushed[0] and "last_update_ts" in pushed[0]
+
+
+def test_transitions_never_hash_the_events_by_order(spark):
+    p = plan(QUERIES["status_transitions"](spark, SF_SMALL))
+    main = p.split("===== Subqueries")[0]
+    assert "MapInPandas" in main
+    assert not re.search(r"Exchange hashpartitioning\(order_id", main)
+    assert re.search(r"Exchange hashpartitioning\(from_status, to_status", main)
