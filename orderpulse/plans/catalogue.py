@@ -25,7 +25,7 @@ from orderpulse.sources.fixtures import (existing_orders_sample, fx_events, fx_i
 from orderpulse.sources.messages import decode_messages, encode_messages
 from orderpulse.sinks.raw import read_raw, unconsumed
 from orderpulse.sinks.topic import publish_files
-from orderpulse.streaming import pipeline as P
+from orderpulse.streaming import land_merge as P
 from orderpulse.streaming import stateful as S
 from orderpulse.streaming.sources import file_messages
 

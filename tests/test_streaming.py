@@ -5,7 +5,7 @@ import json
 from orderpulse.session import scratch_path
 from orderpulse.sinks.raw import read_raw
 from orderpulse.sinks.snapshot import SnapshotStore
-from orderpulse.streaming import pipeline as P
+from orderpulse.streaming import land_merge as P
 from orderpulse.streaming.sources import file_messages
 
 
