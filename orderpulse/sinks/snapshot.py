@@ -68,6 +68,10 @@ class Commit:
     buckets: int | None = None
 
 
+def _sql_string(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def default_buckets(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
@@ -94,7 +98,7 @@ class SnapshotStore:
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _STATE_WITH_ACTION.fields)
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet "
                        f"CLUSTERED BY (order_id) INTO {int(buckets)} BUCKETS "
-                       f"LOCATION '{self.state_path(version)}'")
+                       f"LOCATION '{_sql_string(self.state_path(version))}'")
         return name
 
     def _commits_path(self) -> str:
