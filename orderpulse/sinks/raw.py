@@ -33,6 +33,13 @@ def land_batch(events: DataFrame, root: str, batch_id: int) -> None:
      .parquet(f"{root.rstrip('/')}/batch_id={int(batch_id)}"))
 
 
+def read_batch(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
+    """One landed batch, read from its own partition folder: no listing of the other
+    batches (which grow with the stream's age)."""
+    return (spark.read.schema(EVENT_SCHEMA).parquet(f"{root.rstrip('/')}/batch_id={int(batch_id)}")
+            .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")))
+
+
 def read_raw(spark: SparkSession, root: str, batch_ids=None) -> DataFrame:
     df = spark.read.schema(RAW_SCHEMA).parquet(root)
     if batch_ids is not None:

@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from orderpulse.functions.scalars import truncate_ts
 from orderpulse.operators.upsert import advance_state, full_state
 from orderpulse.schemas import EVENT_SCHEMA
-from orderpulse.sinks.raw import land_batch, read_raw
+from orderpulse.sinks.raw import land_batch, read_batch, read_raw
 from orderpulse.sinks.snapshot import Commit, SnapshotStore
 from orderpulse.sources.messages import decode_messages, split_quarantine
 from orderpulse.streaming.sources import trigger_options
@@ -126,7 +126,7 @@ class LandAndMerge:
                 bad.write.mode("overwrite").json(f"{self.paths.quarantine}/batch_id={int(batch_id)}")
             if counts["good"] + counts["bad"] == 0:
                 return
-            delta = read_raw(spark, self.paths.raw, [batch_id])
+            delta = read_batch(spark, self.paths.raw, batch_id)
             all_events = read_raw(spark, self.paths.raw) if self.mode == "full" else None
             stats = delta.agg(F.count(F.lit(1)).alias("n"), F.max("status_ts").alias("mx")).first() \
                 if (self.ts_grain or self.dedupe) else None
