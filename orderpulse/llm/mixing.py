@@ -3,11 +3,12 @@
 Every document of a source expects ``target / source size`` copies. Within its source the expected
 copies are prefix-summed in a fixed order, one random offset is added, and a document is emitted
 once for every whole number that its interval crosses; so its copies are the expected number
-rounded down or up. The order runs by octave of the size, then by a hash of the id, then by size:
-a sample taken at even steps then holds every size in proportion, and its words come near the target.
+rounded down or up. The order runs by the five leading bits of the size, then by a hash of the id, then
+by size: a sample taken at even steps then holds every size in proportion, and its words come near the
+target.
 
-The prefix sum has two levels: sums of blocks (source, octave, hash prefix: some thousands a source,
-however many rows it has), added up over the blocks of a source, then a window inside each block. A
+The prefix sum has two levels: sums of blocks (source, leading bits, hash prefix: some ten thousands a
+source, however many rows it has), added up over the blocks of a source, then a window inside each block. A
 source with a third of all rows is spread over its blocks. Expected copies are whole multiples of
 2^-24, so sums are exact and reruns agree.
 
@@ -64,24 +65,27 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     unchanged. Only the columns that are asked for later pass the shuffle."""
     key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     rows = docs.withColumns({"_size": text_size(text_col), "_salt": F.substring(F.md5(key), 1, 2)})
-    rows = rows.withColumn("_octave", F.length(F.bin("_size")))
+    octave = F.length(F.bin("_size"))
+    # bits of the size, and the five leading ones: sizes of a block differ by a sixteenth at most
+    rows = rows.withColumn("_bits", octave * 32 + F.call_function("shiftright", F.col("_size"), F.greatest(octave - 5, F.lit(0))))
     targets = source_targets(rows, source_col, "_size", weights, max_rate).withColumn(
         "_each", F.coalesce(F.floor(F.try_divide(F.col("target") * UNIT, F.col("source_size"))), F.lit(0)).cast("bigint"))
-    block = [F.col(source_col).alias("source"), "_octave", "_salt"]
+    block = [F.col(source_col).alias("source"), "_bits", "_salt"]
     blocks = rows.groupBy(*block).agg(F.count("*").alias("n"))
     # sources are few beside rows, and so are blocks: some thousands a source
     blocks = blocks.join(targets, blocks.source.eqNullSafe(targets.source)).select(
-        blocks.source.alias("_b_source"), F.col("_octave").alias("_b_octave"), F.col("_salt").alias("_b_salt"),
+        blocks.source.alias("_b_source"), F.col("_bits").alias("_b_bits"), F.col("_salt").alias("_b_salt"),
         F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), "_each", "n")
-    offset = F.pmod(F.xxhash64(F.lit(seed), F.coalesce(F.col("_b_source"), F.lit(""))), F.lit(UNIT))
-    so_far = W.partitionBy("_b_source").orderBy("_b_octave", "_b_salt").rowsBetween(W.unboundedPreceding, -1)
+    label = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("_b_source"), F.lit("")))
+    offset = F.conv(F.substring(F.md5(label), 1, 6), 16, 10).cast("bigint")  # 24 bits: one unit at most
+    so_far = W.partitionBy("_b_source").orderBy("_b_bits", "_b_salt").rowsBetween(W.unboundedPreceding, -1)
     blocks = blocks.withColumn("_before", offset + F.coalesce(F.sum(F.col("n") * F.col("_each")).over(so_far), F.lit(0))).drop("n")
-    rows = rows.join(blocks, rows[source_col].eqNullSafe(blocks._b_source) & (rows._octave == blocks._b_octave)
-                     & (rows._salt == blocks._b_salt)).drop("_b_source", "_b_octave", "_b_salt")
-    inside = W.partitionBy(source_col, "_octave", "_salt").orderBy("_size", id_col, F.xxhash64(text_col))
+    rows = rows.join(blocks, rows[source_col].eqNullSafe(blocks._b_source) & (rows._bits == blocks._b_bits)
+                     & (rows._salt == blocks._b_salt)).drop("_b_source", "_b_bits", "_b_salt")
+    inside = W.partitionBy(source_col, "_bits", "_salt").orderBy("_size", id_col, F.md5(text_col))
     end = F.col("_before") + F.row_number().over(inside) * F.col("_each")
     copies = F.expr(f"_end div {UNIT} - (_end - _each) div {UNIT}")
-    return rows.withColumn("_end", end).withColumn("_copies", copies).drop("_end", "_before", "_each", "_octave", "_salt")
+    return rows.withColumn("_end", end).withColumn("_copies", copies).drop("_end", "_before", "_each", "_bits", "_salt")
 
 
 def emit(mixed: DataFrame) -> DataFrame:
