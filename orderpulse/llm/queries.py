@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orderpulse.llm import chat, covertree, decontam, html, mixing, quality, simhash, tokens, toxicity
+from orderpulse.llm import chat, covertree, decontam, html, mixing, pii, quality, simhash, tokens, toxicity
 from orderpulse.llm.common import read_table
 
 QUERIES: dict = {}
@@ -110,7 +110,7 @@ def op8(spark, sf_dir):
 @register("op9_cover_tree")
 def op9(spark, sf_dir):
     found = covertree.near_vectors(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
-    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
 @register("op1_chat")
@@ -125,3 +125,11 @@ def op1(spark, sf_dir):
 def op2(spark, sf_dir):
     found = html.extract_pages(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
     return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+@register("op10_pii")
+def op10(spark, sf_dir):
+    found = pii.personal_data(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    number = lambda k: F.size(F.filter("base", lambda s: s["k"] == k)).cast("bigint")
+    return found.select("doc_id", *(number(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)),
+                        F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
