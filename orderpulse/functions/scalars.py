@@ -19,8 +19,14 @@ def clamp(x: Column, low: Column, high: Column) -> Column:
 
 
 def instant_to_utc_ntz(instant: Column) -> Column:
-    """A zoned instant as its UTC wall clock (timestamp_ntz), independent of the session zone."""
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
+    """A zoned instant as its UTC wall clock (timestamp_ntz), from its microseconds since the epoch:
+    the session zone's wall clock (ambiguous when clocks go back) plays no part."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    micros = F.unix_micros(instant)
+    # an interval of days and microseconds: whole days and the rest, each within its field's range
+    day = 86_400_000_000
+    return epoch + F.make_dt_interval(F.floor(micros / day).cast("int"), F.lit(0), F.lit(0),
+                                      (F.pmod(micros, F.lit(day)) / 1_000_000).cast("decimal(18,6)"))
 
 
 def parse_iso_utc(text: Column) -> Column:
@@ -61,5 +67,7 @@ def display_ts(ts: Column) -> Column:
 
 
 def synthetic_event_id(*cols: Column) -> Column:
-    """Deterministic id for a message that carries none: replays get the same id."""
-    return F.sha2(F.concat_ws("|", *[c.cast("string") for c in cols]), 256)
+    """Deterministic id for a message that carries none: replays get the same id. Every part is written
+    with its length (or as null), so different messages never share an encoding."""
+    parts = [c.cast("string") for c in cols]
+    return F.sha2(F.concat(*[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]), 256)

@@ -32,13 +32,17 @@ def _threshold(df: DataFrame) -> int:
     return value if value > 0 else 0
 
 
-def size_bound_bytes(df: DataFrame) -> int:
-    """Upper bound of the in-memory size of ``df``, measured (one aggregate pass).
+def size_bound_bytes(df: DataFrame) -> int | None:
+    """Upper bound of the in-memory size of ``df``, measured (one aggregate pass); None where a
+    column's size isn't bounded by what is measured (arrays, maps, structs, ...).
 
-    Each row costs a null-bitset word plus one 8-byte slot per column; strings and
-    binaries add their byte length rounded up to whole 8-byte words.
+    Each row costs null-bitset words plus one 8-byte slot per column; strings and
+    binaries add their byte length rounded up to whole 8-byte words, wide decimals 16 bytes.
     """
     fields = df.schema.fields
+    if not all(isinstance(f.dataType, (T.StringType, T.BinaryType, T.NumericType, T.BooleanType, T.DateType,
+                                       T.TimestampType, T.TimestampNTZType)) for f in fields):
+        return None
     var = [f.name for f in fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     aggs = [F.count(F.lit(1)).alias("rows")]
     if var:
@@ -47,7 +51,8 @@ def size_bound_bytes(df: DataFrame) -> int:
     row = df.agg(*aggs).first()
     rows = row["rows"]
     var_bytes = (row["var_bytes"] or 0) if var else 0
-    return rows * (8 + 8 * len(fields)) + var_bytes
+    wide = sum(16 for f in fields if isinstance(f.dataType, T.DecimalType) and f.dataType.precision > 18)
+    return rows * (8 * -(-len(fields) // 64) + 8 * len(fields) + wide) + var_bytes
 
 
 def sized_broadcast(small: DataFrame, max_bytes: int | None = None) -> DataFrame:
@@ -58,7 +63,8 @@ def sized_broadcast(small: DataFrame, max_bytes: int | None = None) -> DataFrame
     limit = _threshold(small) if max_bytes is None else max_bytes
     if limit <= 0:
         return small
-    return F.broadcast(small) if size_bound_bytes(small) <= limit else small
+    bound = size_bound_bytes(small)
+    return F.broadcast(small) if bound is not None and bound <= limit else small
 
 
 def combine_one_row(*frames: DataFrame) -> DataFrame:

@@ -84,7 +84,7 @@ def _event_struct(prefix: str) -> Column:
                       for c in ("status_ts", "event_id", "customer_id", "new_status")])
 
 
-def _latest_source(events: DataFrame, touched: Column | None = None) -> DataFrame:
+def latest_source(events: DataFrame, touched: Column | None = None) -> DataFrame:
     """Latest event per order as merge source; ``_touched`` marks orders with events
     matching ``touched`` (the current batch), computed in the same aggregate."""
     ev = events.where(F.col("order_id").isNotNull())
@@ -130,14 +130,12 @@ def _merge_state(state: DataFrame, d: DataFrame, incremental: bool, with_action:
     return j.select(*out)
 
 
-def _co_partition(d: DataFrame, buckets: int | None) -> DataFrame:
-    """Hash the reduced source into the state's buckets (one row per order: cheap), so the
-    bucketed state joins it without being exchanged."""
-    return d.repartition(buckets, "order_id") if buckets else d
+def merge_latest(state: DataFrame, source: DataFrame, with_action: bool = False) -> DataFrame:
+    """``advance_state`` for a batch that is already reduced (``latest_source``)."""
+    return _merge_state(state, source, True, with_action)
 
 
-def advance_state(state: DataFrame, delta_events: DataFrame, with_action: bool = False,
-                  buckets: int | None = None) -> DataFrame:
+def advance_state(state: DataFrame, delta_events: DataFrame, with_action: bool = False) -> DataFrame:
     """Incremental merge: fold a batch of new events into the per-order state.
 
     ``state`` holds the status columns and the latest event seen so far (``le_*``).
@@ -147,22 +145,16 @@ def advance_state(state: DataFrame, delta_events: DataFrame, with_action: bool =
     equals the full-rescan MERGE for any split of the events into batches, for
     one pass over state + batch instead of the whole event history.
     """
-    return _merge_state(state, _co_partition(_latest_source(delta_events), buckets), True, with_action)
+    return _merge_state(state, latest_source(delta_events), True, with_action)
 
 
 def full_state(state: DataFrame, all_events: DataFrame, with_action: bool = False,
-               touched: Column | None = None, buckets: int | None = None) -> DataFrame:
+               touched: Column | None = None) -> DataFrame:
     """Full-rescan merge (the reference's behaviour) into the same state layout.
 
     ``touched`` (e.g. ``batch_id == current``) only feeds the action report.
     """
-    return _merge_state(state, _co_partition(_latest_source(all_events, touched), buckets), False, with_action)
-
-
-def status_as_state(status: DataFrame) -> DataFrame:
-    """A plain status table in the state layout (no latest event known yet)."""
-    return status.select(*STATUS_COLUMNS, *[F.lit(None).cast(f.dataType).alias(f.name)
-                                            for f in STATE_SCHEMA.fields if f.name.startswith("le_")])
+    return _merge_state(state, latest_source(all_events, touched), False, with_action)
 
 
 def state_to_status(state: DataFrame) -> DataFrame:

@@ -14,17 +14,21 @@ from pyspark.sql import functions as F
 from orderpulse.functions.partitioning import customer_partition, hash_partition
 from orderpulse.operators import monitor as M
 from orderpulse.operators import validate as V
-from orderpulse.operators.enrich import price_band
+from orderpulse.functions.scalars import add_seconds, seconds_between
+from orderpulse.operators.enrich import CATEGORY_BASE_PRICE, price_band
 from orderpulse.operators.latest import latest_status
 from orderpulse.plans import oracle as O
 from orderpulse.plans.replay import FIVE_BATCHES, TWO_BATCHES, replay_fold, replay_status
+from orderpulse.schemas import STATUS_SCHEMA
 from orderpulse.session import scratch_path
 from orderpulse.sinks.snapshot import SnapshotStore
 from orderpulse.sources.fixtures import (existing_orders_sample, fx_events, fx_inventory, fx_keys,
                                          fx_order_lines, fx_orders)
 from orderpulse.sources.messages import decode_messages, encode_messages
 from orderpulse.sinks.raw import read_raw, unconsumed
+from orderpulse.sinks.tables import append_table, ensure_database, ensure_table, load_table
 from orderpulse.sinks.topic import publish_files
+from orderpulse.sources.tables import read_table
 from orderpulse.streaming import land_merge as P
 from orderpulse.streaming import stateful as S
 from orderpulse.streaming.sources import file_messages
@@ -189,6 +193,13 @@ def q_latest_mismatch_day_grain(spark, sf_dir):
     return V.latest_mismatch(fx_events(spark, sf_dir, "day"), fx_status(spark, sf_dir, "day", FIVE_BATCHES))
 
 
+@register("orphan_orders_all", _on_status(
+    "select count(*) as missing_in_raw_orders from st d where not exists (select 1 from orders o "
+    "where o.o_orderkey = d.order_id)"))
+def q_orphan_orders_all(spark, sf_dir):
+    return V.orphan_orders(fx_status(spark, sf_dir), fx_order_lines(spark, sf_dir))
+
+
 @register("duplicate_events", O.with_ctes(
     [f"fx as ({O.fx_events_sql('dup')})"],
     "select event_id, count(*) as copies from fx group by event_id having count(*) > 1"))
@@ -223,6 +234,17 @@ def q_status_transitions_nulls(spark, sf_dir):
     return V.status_transitions(fx_events(spark, sf_dir, "nulls"))
 
 
+# Far past 2^53, where neighbouring whole numbers share one double.
+LARGE_ID = 1_800_000_000_000_000_000
+
+
+@register("status_transitions_large_ids", _transitions_sql("base").replace(
+    "user_id as order_id", f"user_id + {LARGE_ID} as order_id"))
+def q_status_transitions_large_ids(spark, sf_dir):
+    events = fx_events(spark, sf_dir)
+    return V.status_transitions(events.withColumn("order_id", F.col("order_id") + F.lit(LARGE_ID)))
+
+
 AS_OF = "2024-02-01 00:00:00"
 MAX_LAG_SECONDS = 2 * 86400
 
@@ -297,6 +319,37 @@ def q_price_band(spark, sf_dir):
     return price_band(fx_inventory(spark, sf_dir))
 
 
+_CATEGORY_NAMES = [*sorted(CATEGORY_BASE_PRICE), "Other"]
+
+
+@register("price_band_fixed", O.with_ctes(
+    ["inv as (select p_partkey as product_id, p_name as product_name, cast(p_retailprice as decimal(10,2)) as unit_price, "
+     f"({_CATEGORY_NAMES})[p_partkey % {len(_CATEGORY_NAMES)} + 1] as category from part)",
+     "base as (select * from (values " + ", ".join(f"('{k}', cast({v} as decimal(10,2)))" for k, v in CATEGORY_BASE_PRICE.items())
+     + ") v(category, base_price))",
+     "b as (select inv.*, base_price, cast(round(base_price * 0.4, 2) as decimal(10,2)) as band_low, "
+     "cast(round(base_price * 1.8, 2) as decimal(10,2)) as band_high from inv left join base using (category))"],
+    "select product_id, category, unit_price, base_price, band_low, band_high, "
+    "case when unit_price is not null then greatest(band_low, least(band_high, unit_price)) end as banded_price, "
+    "concat_ws(' ', category, product_name) as product_label from b"))
+def q_price_band_fixed(spark, sf_dir):
+    """Bands around the fixed base prices; a product of no listed category has no band."""
+    names = F.array(*map(F.lit, _CATEGORY_NAMES))
+    category = F.element_at(names, (F.col("product_id") % len(_CATEGORY_NAMES) + 1).cast("int"))
+    return price_band(fx_inventory(spark, sf_dir).withColumn("category", category), CATEGORY_BASE_PRICE)
+
+
+@register("seconds_plus", O.with_ctes(
+    [f"fx as ({O.fx_events_sql('nulls')})"],
+    "select event_id, status_ts + to_seconds(cast(event_id as bigint) % 86400) as due_ts, "
+    "case when status_ts is not null then cast(event_id as bigint) % 86400 end as wait_seconds from fx"))
+def q_seconds_plus(spark, sf_dir):
+    """Times a number of seconds later, and the whole seconds between."""
+    events = fx_events(spark, sf_dir, "nulls")
+    due = add_seconds(F.col("status_ts"), F.col("event_id").cast("bigint") % 86400)
+    return events.select("event_id", due.alias("due_ts"), seconds_between(F.col("status_ts"), due).alias("wait_seconds"))
+
+
 @register("existing_orders_sample", "select o_orderkey as order_id, o_custkey as customer_id from orders "
                                     "order by o_orderkey limit 20")
 def q_existing_orders_sample(spark, sf_dir):
@@ -345,35 +398,58 @@ CONSUMED_BEFORE = 3
      f"consumed as (select distinct batch_id from fx where batch_id < {CONSUMED_BEFORE})"],
     "select * from fx where not exists (select 1 from consumed c where c.batch_id = fx.batch_id)"))
 def q_unconsumed_delta(spark, sf_dir):
-    events = fx_events(spark, sf_dir)
-    consumed = events.where(F.col("batch_id") < CONSUMED_BEFORE).select("batch_id").distinct()
-    return unconsumed(events, consumed)
+    """Raw rows of the batches after the last one in the run log: one scan, pruned by partition."""
+    paths = P.PipelinePaths(scratch_path(spark, "unconsumed"))
+    P.land_all(fx_events(spark, sf_dir), paths)
+    P.refresh(spark, paths, "incremental", up_to_batch=CONSUMED_BEFORE - 1)
+    return unconsumed(read_raw(spark, paths.raw), SnapshotStore(spark, paths.store).latest_commit())
 
 
 # --- streaming: topic -> raw -> status (S1 S6 K1 T1-T9) ----------------------------------
 
 
 
-def _publish(events: DataFrame, landing: str) -> None:
-    """Publish events as JSON-line messages into the landing folder (the topic stand-in)."""
-    publish_files(events, landing)
+# Which events are also sent as bad messages (malformed, without the order's key, with a bad
+# time), and those messages as SQL text.
+BAD_EVERY = {"malformed": 53, "missing order_id": 59, "bad status_ts": 61}
+BAD_TEXT = {
+    "malformed": """concat('{"event_id":"', event_id, '", oops')""",
+    "missing order_id": """concat('{"event_id":"', event_id, '","customer_id":1,"new_status":"PAID",'
+                       '"status_ts":"2024-01-01T00:00:00+00:00"}')""".replace("'\n                       '", ""),
+    "bad status_ts": """concat('{"event_id":"', event_id, '","order_id":1,"customer_id":1,"new_status":"PAID","status_ts":"soon"}')""",
+}
+_BAD_SQL = " union all ".join(
+    f"select '{reason}' as reason, {BAD_TEXT[reason]} as value, batch_id from fx where cast(event_id as bigint) % {n} = 0"
+    for reason, n in BAD_EVERY.items())
+
+
+def bad_messages(events: DataFrame) -> DataFrame:
+    parts = [events.where(F.col("event_id").cast("bigint") % n == 0)
+             .select(F.expr(BAD_TEXT[reason]).alias("value"), "batch_id") for reason, n in BAD_EVERY.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def run_stream_waves(spark, sf_dir, batches, shape: str = "land_merge", mode: str = "incremental",
-                     variant: str = "base") -> SnapshotStore:
-    """Publish each batch group in turn and drain the pipeline after each (restarting
-    from its checkpoint every time)."""
-    root = scratch_path(spark, f"stream_{shape}")
+                     variant: str = "base", with_bad: bool = False, dedupe: bool = False,
+                     root: str | None = None, events: DataFrame | None = None) -> SnapshotStore:
+    """Publish each batch group in turn (JSON-line files, the topic stand-in) and drain the
+    pipeline after each, restarting from its checkpoint every time."""
+    root = root or scratch_path(spark, f"stream_{shape}")
     paths = P.PipelinePaths(root)
     landing = f"{root}/landing"
-    events = fx_events(spark, sf_dir, variant)
+    events = fx_events(spark, sf_dir, variant) if events is None else events
     for group in batches:
-        _publish(events.where(F.col("batch_id").isin(list(group))), landing)
+        wave = events.where(F.col("batch_id").isin(list(group)))
+        publish_files(wave, landing)
+        if with_bad:
+            bad_messages(wave).select("value").write.mode("append").text(landing)
+        messages = file_messages(spark, landing)
         if shape == "land_merge":
-            P.run_to_completion(P.start_land_merge(file_messages(spark, landing), paths, mode, trigger="drain"))
-        else:
-            P.run_to_completion(P.start_raw_landing(file_messages(spark, landing), paths, trigger="drain"))
-            P.run_to_completion(P.start_refresh(spark, paths, trigger="drain"))
+            P.run_to_completion(P.start_land_merge(messages, paths, mode, trigger="drain", dedupe=dedupe))
+            continue
+        P.run_to_completion(P.start_raw_landing(messages, paths, trigger="drain", dedupe=dedupe))
+        merge = P.start_refresh if shape == "raw_refresh" else S.start_stateful_merge
+        P.run_to_completion(merge(spark, paths, trigger="drain"))
     return SnapshotStore(spark, paths.store)
 
 
@@ -400,6 +476,43 @@ def q_run_log(spark, sf_dir):
     return run_stream_waves(spark, sf_dir, FIVE_BATCHES).run_log().select(*_RUN_LOG_COLUMNS)
 
 
+def _run_log_bad_sql() -> str:
+    bad = " union all ".join(
+        f"select cast({i} as bigint) as batch_id, count(*) as n from bad where batch_id in ({', '.join(map(str, g))})"
+        for i, g in enumerate(FIVE_BATCHES))
+    return O.with_ctes(
+        [f"rl as ({O.run_log_sql('base', FIVE_BATCHES)})", f"fx as ({O.fx_events_sql()})", f"bad as ({_BAD_SQL})", f"c as ({bad})"],
+        "select rl.batch_id, rows_in, c.n as rows_bad, inserted, updated, unchanged, max_status_ts "
+        "from rl join c on rl.batch_id = c.batch_id")
+
+
+@register("run_log_bad", _run_log_bad_sql())
+def q_run_log_bad(spark, sf_dir):
+    return run_stream_waves(spark, sf_dir, FIVE_BATCHES, with_bad=True).run_log().select(*_RUN_LOG_COLUMNS)
+
+
+@register("run_log_refresh_bad", _run_log_bad_sql())
+def q_run_log_refresh_bad(spark, sf_dir):
+    store = run_stream_waves(spark, sf_dir, FIVE_BATCHES, shape="raw_refresh", with_bad=True)
+    return store.run_log().select(*_RUN_LOG_COLUMNS)
+
+
+@register("stream_quarantine", O.with_ctes([f"fx as ({O.fx_events_sql()})"], f"select reason, value from ({_BAD_SQL}) b"))
+def q_stream_quarantine(spark, sf_dir):
+    root = scratch_path(spark, "stream_quarantine")
+    run_stream_waves(spark, sf_dir, TWO_BATCHES, shape="raw_refresh", with_bad=True, root=root)
+    return P.quarantined(spark, P.PipelinePaths(root)).select("reason", "value")
+
+
+@register("stream_dedupe", O.with_ctes(
+    [f"fx as ({O.fx_events_sql()})"], "select event_id, order_id, customer_id, new_status, status_ts, source from fx"))
+def q_stream_dedupe(spark, sf_dir):
+    """Every wave is sent twice; the raw table holds each event once."""
+    root = scratch_path(spark, "stream_dedupe")
+    run_stream_waves(spark, sf_dir, [*TWO_BATCHES, *TWO_BATCHES], shape="raw_refresh", dedupe=True, root=root)
+    return read_raw(spark, P.PipelinePaths(root).raw).drop("batch_id")
+
+
 @register("counts_over_time", O.with_ctes(
     [f"rl as ({O.run_log_sql('base', FIVE_BATCHES)})",
      "c as (select batch_id, rows_in, inserted, cast(sum(rows_in) over w as bigint) as total_events, "
@@ -447,11 +560,38 @@ def q_unconsumed_after_refresh(spark, sf_dir):
 
 @register("stream_stateful_merge", O.status_chain_sql("base", TWO_BATCHES))
 def q_stream_stateful_merge(spark, sf_dir):
-    """The same two arrival waves through the keyed-state (applyInPandasWithState) variant."""
-    root = scratch_path(spark, "stream_stateful")
-    landing = f"{root}/landing"
-    events = fx_events(spark, sf_dir)
-    for group in TWO_BATCHES:
-        _publish(events.where(F.col("batch_id").isin(list(group))), landing)
-        P.run_to_completion(S.start_stateful_merge(file_messages(spark, landing), root, trigger="drain"))
-    return S.current_status(spark, root)
+    """The same two arrival waves through the keyed-state variant."""
+    return run_stream_waves(spark, sf_dir, TWO_BATCHES, shape="stateful").read_status()
+
+
+@register("stream_stateful_hot_large", O.status_chain_sql("base", TWO_BATCHES).replace(
+    "user_id as order_id", f"case when event_id % 3 = 0 then {LARGE_ID} else user_id + {LARGE_ID} end as order_id"))
+def q_stream_stateful_hot_large(spark, sf_dir):
+    """Keyed state with one order that a third of all events have, and ids past 2^53."""
+    hot = F.when(F.col("event_id").cast("bigint") % 3 == 0, F.lit(LARGE_ID)).otherwise(F.col("order_id") + F.lit(LARGE_ID))
+    events = fx_events(spark, sf_dir).withColumn("order_id", hot)
+    return run_stream_waves(spark, sf_dir, TWO_BATCHES, shape="stateful", events=events).read_status()
+
+
+@register("table_lifecycle", "select c_custkey as order_id, c_nationkey as customer_id, cast(null as varchar) as previous_status, "
+                             "c_mktsegment as current_status, timestamp '2024-01-01' as last_update_ts from customer "
+                             "union all select c_custkey + 1000000000, c_nationkey, c_mktsegment, c_mktsegment, "
+                             "timestamp '2024-01-02' from customer")
+def q_table_lifecycle(spark, sf_dir):
+    """Create database and typed table, overwrite-load, append, empty append (no rows), replace and load
+    again, read back."""
+    ensure_database(spark, "orderpulse")
+    path = f"{scratch_path(spark, 'lifecycle')}/status"
+    customers = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
+    first = customers.select(F.col("c_custkey").alias("order_id"), F.col("c_nationkey").cast("bigint").alias("customer_id"),
+                             F.lit(None).cast("string").alias("previous_status"), F.col("c_mktsegment").alias("current_status"),
+                             F.lit("2024-01-01").cast("timestamp_ntz").alias("last_update_ts"))
+    second = first.withColumns({"order_id": F.col("order_id") + 1_000_000_000, "previous_status": F.col("current_status"),
+                                "last_update_ts": F.lit("2024-01-02").cast("timestamp_ntz")})
+    ensure_table(spark, path, STATUS_SCHEMA)
+    load_table(second, path, STATUS_SCHEMA)
+    ensure_table(spark, path, STATUS_SCHEMA, replace=True)
+    load_table(first, path, STATUS_SCHEMA)
+    append_table(second, path, STATUS_SCHEMA)
+    append_table(second.limit(0), path, STATUS_SCHEMA)
+    return ensure_table(spark, path, STATUS_SCHEMA)

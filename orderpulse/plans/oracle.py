@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from orderpulse.sources.fixtures import EVENT_TYPE_STATUS, N_BATCHES, BATCH_MULTIPLIER, PRODUCT_MODULUS
+from orderpulse.sources.fixtures import EVENT_TYPE_STATUS, N_BATCHES, BATCH_MULTIPLIER
 
+_PRODUCT_RANGE = "(select greatest(1, count(*) * 11 // 10) from part)"
 _STATUS_CASE = "case event_type " + " ".join(
     f"when '{k}' then '{v}'" for k, v in EVENT_TYPE_STATUS.items()) + " end"
 
@@ -39,9 +40,9 @@ def fx_orders_sql(partial: bool = False) -> str:
     where = " where o_orderstatus is null or o_orderstatus <> 'F'" if partial else ""
     price = "coalesce(cast(p_retailprice as decimal(10,2)), cast(o_totalprice as decimal(10,2)))"
     return (f"select o_orderkey as order_id, o_custkey as customer_id, "
-            f"o_orderkey % {PRODUCT_MODULUS} as product_id, 1 + o_orderkey % 5 as quantity, "
+            f"o_orderkey % {_PRODUCT_RANGE} as product_id, 1 + o_orderkey % 5 as quantity, "
             f"{price} as unit_price, cast((1 + o_orderkey % 5) * {price} as decimal(12,2)) as order_total, "
-            f"o_orderdate as sold_at from orders left join part on p_partkey = o_orderkey % {PRODUCT_MODULUS}"
+            f"o_orderdate as sold_at from orders left join part on p_partkey = o_orderkey % {_PRODUCT_RANGE}"
             f"{where}")
 
 

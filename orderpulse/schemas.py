@@ -30,17 +30,6 @@ EVENT_SCHEMA = T.StructType([
     T.StructField("source", T.StringType()),
 ])
 
-# Raw orders.
-ORDER_SCHEMA = T.StructType([
-    T.StructField("order_id", T.LongType()),
-    T.StructField("customer_id", T.LongType()),
-    T.StructField("product_id", T.LongType()),
-    T.StructField("quantity", T.LongType()),
-    T.StructField("unit_price", T.DecimalType(10, 2)),
-    T.StructField("order_total", T.DecimalType(12, 2)),
-    T.StructField("sold_at", T.TimestampNTZType()),
-])
-
 # Current status, one row per order.
 STATUS_SCHEMA = T.StructType([
     T.StructField("order_id", T.LongType()),
@@ -52,9 +41,6 @@ STATUS_SCHEMA = T.StructType([
 
 STATUS_COLUMNS = [f.name for f in STATUS_SCHEMA.fields]
 
-# Latest event seen per order (incremental-merge state).
-LATEST_EVENT_FIELDS = ["event_id", "customer_id", "new_status", "status_ts"]
-
 # Stored per-order state: the current-status row and the latest event side by side,
 # so one shuffle of one table serves both the merge and the state update.
 STATE_SCHEMA = T.StructType(STATUS_SCHEMA.fields + [
@@ -63,20 +49,3 @@ STATE_SCHEMA = T.StructType(STATUS_SCHEMA.fields + [
     T.StructField("le_new_status", T.StringType()),
     T.StructField("le_status_ts", T.TimestampNTZType()),
 ])
-
-INVENTORY_SCHEMA = T.StructType([
-    T.StructField("product_id", T.LongType()),
-    T.StructField("product_name", T.StringType()),
-    T.StructField("category", T.StringType()),
-    T.StructField("unit_price", T.DecimalType(10, 2)),
-])
-
-RUN_LOG_SCHEMA = T.StructType([
-    T.StructField("batch_id", T.LongType()),
-    T.StructField("rows_in", T.LongType()),
-    T.StructField("rows_bad", T.LongType()),
-    T.StructField("inserted", T.LongType()),
-    T.StructField("updated", T.LongType()),
-    T.StructField("unchanged", T.LongType()),
-    T.StructField("max_status_ts", T.TimestampNTZType()),
-])

@@ -7,24 +7,20 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-DEFAULT_CONF = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
-}
-
-
-def get_spark(master: str | None = None, shuffle_partitions: int = 8,
+#: Only for sessions that run here (``local[...]``); a deployment's own settings always stand.
+LOCAL_CONF = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+              "spark.sql.session.timeZone": "UTC"}
+
+
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "orderpulse", extra: dict | None = None) -> SparkSession:
+    """A session that sets what the caller asks for and nothing else."""
     builder = SparkSession.builder.appName(app_name)
+    conf = dict(LOCAL_CONF) if master and master.startswith("local") else {}
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -37,10 +33,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and is visible to every executor.
-    Only when it is unset (unit tests, a laptop) do we pick a folder ourselves.
+    Only when it is unset and everything runs on this machine (unit tests, a laptop) do we
+    pick a folder ourselves; on a cluster an unset folder is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -77,6 +77,20 @@ def write_small_file(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"could not publish {path}")
 
 
+def read_small_file(spark: SparkSession, path: str) -> str | None:
+    """The text of one small file (e.g. a checkpoint's metadata), or None where there is none."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 _SHIPPED: set[str] = set()
 
 

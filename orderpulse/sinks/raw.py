@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderpulse.operators.joins import sized_broadcast
 from orderpulse.schemas import EVENT_SCHEMA
 
 RAW_COLUMNS = [f.name for f in EVENT_SCHEMA.fields]
@@ -47,7 +46,7 @@ def read_raw(spark: SparkSession, root: str, batch_ids=None) -> DataFrame:
     return df
 
 
-def unconsumed(events: DataFrame, consumed_batches: DataFrame) -> DataFrame:
-    """Rows of batches not yet merged (the change-stream peek): a left anti join on batch_id."""
-    return events.join(sized_broadcast(consumed_batches.select("batch_id")), "batch_id", "left_anti") \
-                 .select(*events.columns)
+def unconsumed(raw: DataFrame, last) -> DataFrame:
+    """Raw rows that are not yet merged (the change-stream peek): the batches after the commit ``last``
+    of the run log (none: all), a literal that prunes partitions."""
+    return raw if last is None else raw.where(F.col("batch_id") > F.lit(last.batch_id))

@@ -1,45 +1,40 @@
-"""Versioned per-order state on plain parquet.
+"""Per-order state in plain parquet folders; a merge rewrites only the buckets it touches.
 
 Layout under ``root``::
 
-    state/v=<N>/part-*.parquet     status columns + latest event + _action of merge N,
-                                   bucketed by order_id (Spark bucketing, B files)
-    _commits/block=<B>/commit-<N>.json   one row: version, batch_id, source_id, buckets, run
-                                         counters; B = N // 1000, so finding the latest commit
-                                         lists block folders and reads one block
+    state/v=<N>/bucket=<b>/part-*     rows of bucket b as rewritten by merge N
+    _commits/block=<B>/commit-<N>.json   one row: version, batch_id, source_id, run counters, and
+                                      ``manifest``: the version that holds each bucket;
+                                      B = N // 1000, so finding the latest commit lists
+                                      block folders and reads one block
 
-Each version is a bucketed external table in the session catalog. The merge
-reads it with the bucketed scan (hash-partitioned on ``order_id``, no exchange),
-the reduced batch is hash-partitioned into the same B buckets, and the joined
-result is written straight back one file per bucket: the state is never
-shuffled, only the batch. B is fixed when the store is created and recorded in
-every commit.
+``bucket`` is a hash of ``order_id``. A merge finds the buckets of the reduced batch (at most
+the bucket count), reads those alone, joins, and writes them as version N; the other
+buckets stay where they are. The bucket count is fixed when the store is created and
+recorded in every commit. Reading needs no DDL and no catalog: the manifest names the folders.
 
 A version becomes visible only when its commit row exists, and the commit row is
-written after the state files, so readers never see a half-written version. The
-newest version is never overwritten; a new merge always writes ``v=N+1``.
+written after the state files, so readers never see a half-written version. A retry
+overwrites the leftover of a failed attempt. Bucket versions that the newest ``keep``
+commits no longer name are deleted after each commit.
 
-Idempotent replay: the commit records (source_id, batch_id). A micro-batch that
-was already committed for the same source is skipped, so a restart that
-re-delivers the last batch does not merge it twice.
-
-Where a table format with MERGE is installed, ``DataFrame.mergeInto`` replaces
-this folder layout behind the same functions.
+Idempotent replay: the commit records (source_id, batch_id); ``source_id`` holds the
+streaming query's id, so a query with another checkpoint is refused instead of being
+taken for a replay.
 """
 
 from __future__ import annotations
 
-import hashlib
 import json
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderpulse.operators.upsert import empty_state
-from orderpulse.schemas import STATE_SCHEMA
+from orderpulse.schemas import STATE_SCHEMA, STATUS_COLUMNS
 from orderpulse.session import delete_path, list_names, path_exists, write_small_file
 
 COMMIT_SCHEMA = T.StructType([
@@ -54,10 +49,13 @@ COMMIT_SCHEMA = T.StructType([
     T.StructField("unchanged", T.LongType()),
     T.StructField("max_status_ts", T.StringType()),
     T.StructField("buckets", T.IntegerType()),
+    T.StructField("manifest", T.ArrayType(T.LongType())),
+    T.StructField("replaced", T.ArrayType(T.StringType())),
+    T.StructField("unsettled", T.ArrayType(T.IntegerType())),
 ])
 
-
 COMMITS_PER_BLOCK = 1000
+KEEP = 10
 
 
 @dataclass
@@ -66,22 +64,27 @@ class Commit:
     batch_id: int
     source_id: str
     buckets: int | None = None
-
-
-def _sql_string(text: str) -> str:
-    return text.replace("\\", "\\\\").replace("'", "\\'")
+    manifest: list[int] = field(default_factory=list)
+    #: buckets with rows that the next merge changes even without new events (see ``unsettled_row``)
+    unsettled: list[int] = field(default_factory=list)
 
 
 def default_buckets(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
+def unsettled_row() -> Column:
+    """A full rescan merges every stored order again. That changes nothing but a previous status
+    whose current status and time are both null: the guards are then true once more."""
+    return (F.col("current_status").isNull() & F.col("last_update_ts").isNull()
+            & F.col("previous_status").isNotNull())
+
+
 class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self._buckets = buckets
-        self._tag = hashlib.sha1(self.root.encode()).hexdigest()[:12]
 
     def buckets(self, commit: Commit | None = None) -> int:
         """Bucket count: the store's recorded one, else the configured/default one."""
@@ -90,20 +93,16 @@ class SnapshotStore:
             return c.buckets
         return self._buckets or default_buckets(self.spark)
 
-    def _table(self, version: int) -> str:
-        return f"orderpulse_state_{self._tag}_v{int(version)}"
-
-    def _register(self, version: int, buckets: int) -> str:
-        name = self._table(version)
-        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _STATE_WITH_ACTION.fields)
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet "
-                       f"CLUSTERED BY (order_id) INTO {int(buckets)} BUCKETS "
-                       f"LOCATION '{_sql_string(self.state_path(version))}'")
-        return name
+    @staticmethod
+    def bucket_of(buckets: int) -> Column:
+        return F.pmod(F.xxhash64("order_id"), F.lit(buckets)).cast("int")
 
     def _commits_path(self) -> str:
         return f"{self.root}/_commits"
 
+    def _commit_file(self, version: int) -> str:
+        return f"{self._commits_path()}/block={version // COMMITS_PER_BLOCK:010d}/commit-{version:020d}.json"
+
     def state_path(self, version: int) -> str:
         return f"{self.root}/state/v={int(version)}"
 
@@ -117,79 +116,97 @@ class SnapshotStore:
         blocks = sorted(n for n in list_names(self.spark, self._commits_path()) if n.startswith("block="))
         if not blocks:
             return None
-        row = (self.spark.read.schema(COMMIT_SCHEMA).json(f"{self._commits_path()}/{blocks[-1]}")
-               .orderBy(F.col("version").desc()).select("version", "batch_id", "source_id", "buckets").first())
-        return None if row is None else Commit(row["version"], row["batch_id"], row["source_id"], row["buckets"])
-
-    def read_state(self, version: int | None = None, commit: Commit | None = None) -> DataFrame:
-        """State of ``version`` (default: the latest committed; ``commit`` if already looked up)."""
-        c = commit or self.latest_commit()
-        if version is None:
-            if c is None:
-                return empty_state(self.spark)
-            version = c.version
-        return self.spark.table(self._register(version, self.buckets(c))).select(*STATE_SCHEMA.names)
+        names = sorted(n for n in list_names(self.spark, f"{self._commits_path()}/{blocks[-1]}") if n.startswith("commit-"))
+        return self.commit(int(names[-1][len("commit-"):-len(".json")])) if names else None
+
+    def commit(self, version: int) -> Commit:
+        r = self.spark.read.schema(COMMIT_SCHEMA).json(self._commit_file(version)).first()
+        return Commit(r["version"], r["batch_id"], r["source_id"], r["buckets"], list(r["manifest"]), list(r["unsettled"]))
+
+    def read_state(self, version: int | None = None, commit: Commit | None = None,
+                   only: list[int] | None = None) -> DataFrame:
+        """State of ``version`` (default: the latest committed; ``commit`` if already looked up),
+        all buckets or ``only`` some."""
+        c = commit or (self.latest_commit() if version is None else self.commit(version))
+        if c is None:
+            return empty_state(self.spark)
+        wanted = range(len(c.manifest)) if only is None else only
+        paths = [f"{self.state_path(c.manifest[b])}/bucket={b}" for b in wanted if c.manifest[b] >= 0]
+        if not paths:
+            return empty_state(self.spark)
+        return self.spark.read.schema(STATE_SCHEMA).parquet(*paths).select(*STATE_SCHEMA.names)
 
     def read_status(self, version: int | None = None) -> DataFrame:
-        from orderpulse.schemas import STATUS_COLUMNS
-
         return self.read_state(version).select(*STATUS_COLUMNS)
 
     @staticmethod
     def is_committed(c: Commit | None, source_id: str, batch_id: int) -> bool:
         return c is not None and c.source_id == source_id and c.batch_id >= batch_id
 
-    def already_committed(self, source_id: str, batch_id: int) -> bool:
-        return self.is_committed(self.latest_commit(), source_id, batch_id)
+    def touched(self, source: DataFrame, base: Commit | None) -> list[int]:
+        """Buckets that a merge of ``source`` (one row per order) must rewrite: at most all."""
+        n = self.buckets(base)
+        rows = source.select(self.bucket_of(n).alias("b")).distinct().collect()
+        return sorted({r["b"] for r in rows} | set(base.unsettled if base else ()))
 
     def write_version(self, state_with_action: DataFrame, batch_id: int, source_id: str, mode: str,
-                      rows_in: int, rows_bad: int, max_status_ts, base: Commit | None = None) -> int:
-        """Write state as the version after ``base`` (the commit it was derived from), then commit."""
+                      rows_in: int, rows_bad: int, max_status_ts, base: Commit | None = None,
+                      touched: list[int] | None = None, keep: int = KEEP) -> Commit:
+        """Write the touched buckets (default: all) as the version after ``base`` (the commit they
+        were derived from), commit, and delete what the newest ``keep`` commits no longer name."""
         c = base if base is not None else self.latest_commit()
         version = 0 if c is None else c.version + 1
         buckets = self.buckets(c)
-        name = self._table(version)
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # leftover of a failed attempt; files stay
+        old = c.manifest if c is not None else [-1] * buckets
+        touched = list(range(buckets)) if touched is None else touched
         # Action counters are observed while the state is written: no second pass.
-        obs = Observation(f"merge_{self._tag}_v{version}_{uuid.uuid4().hex[:8]}")
+        obs = Observation(f"merge_{uuid.uuid4().hex[:12]}_v{version}")
         act = F.col("_action")
-        (state_with_action.observe(obs, *[F.count(F.when(act == a, F.lit(1))).alias(a)
-                                          for a in ("insert", "update", "unchanged")])
-         .write.mode("overwrite").bucketBy(buckets, "order_id")
-         .option("path", self.state_path(version)).saveAsTable(name))
-        counts = obs.get
+        bucket = self.bucket_of(buckets)
+        rows = state_with_action.withColumn("bucket", bucket).observe(
+            obs, *[F.count(F.when(act == a, F.lit(1))).alias(a) for a in ("insert", "update", "unchanged")],
+            F.count(F.when(unsettled_row(), F.lit(1))).alias("unsettled"))
+        (rows.drop("_action").repartition(min(buckets, max(len(touched), 1)), "bucket").write.mode("overwrite")
+         .partitionBy("bucket").parquet(self.state_path(version)))
+        seen = obs.get
+        written = {int(n.split("=")[1]) for n in list_names(self.spark, self.state_path(version)) if n.startswith("bucket=")}
+        unsettled = sorted(set(c.unsettled if c else ()) - set(touched))
+        if seen["unsettled"]:
+            rows = self.spark.read.schema(STATE_SCHEMA).parquet(self.state_path(version)).where(unsettled_row())
+            unsettled += [r["b"] for r in rows.select(bucket.alias("b")).distinct().collect()]
+        manifest = [version if b in written else -1 if b in set(touched) else old[b] for b in range(buckets)]
+        replaced = [f"{old[b]}/{b}" for b in touched if old[b] >= 0]
         row = (version, int(batch_id), source_id, mode, int(rows_in), int(rows_bad),
-               int(counts["insert"]), int(counts["update"]), int(counts["unchanged"]),
-               None if max_status_ts is None else str(max_status_ts), int(buckets))
+               int(seen["insert"]), int(seen["update"]), int(seen["unchanged"]),
+               None if max_status_ts is None else str(max_status_ts), int(buckets), manifest, replaced,
+               sorted(unsettled))
         record = json.dumps(dict(zip(COMMIT_SCHEMA.names, row)))
-        path = f"{self._commits_path()}/block={version // COMMITS_PER_BLOCK:010d}/commit-{version:020d}.json"
-        write_small_file(self.spark, path, record + "\n")
-        return version
-
-    def retain(self, keep: int = 10) -> list[int]:
-        """Delete state versions older than the newest ``keep`` (the latest is always kept).
-
-        Readers still on an older version keep working as long as it is within ``keep``.
-        The commit log is kept whole (it is the run history).
-        """
-        c = self.latest_commit()
-        if c is None:
+        write_small_file(self.spark, self._commit_file(version), record + "\n")
+        self.retain(keep, version)
+        return Commit(version, int(batch_id), source_id, buckets, manifest, row[-1])
+
+    def retain(self, keep: int = KEEP, version: int | None = None) -> list[str]:
+        """Delete the bucket versions that commit ``version - keep + 1`` replaced (the newest ``keep``
+        commits stay readable). Called after every commit, so each replaced folder is deleted once.
+        The commit log is kept whole (it is the run history)."""
+        if version is None:
+            c = self.latest_commit()
+            if c is None:
+                return []
+            version = c.version
+        out = version - max(int(keep), 1) + 1
+        if out <= 0:
             return []
-        cutoff = c.version - max(int(keep), 1) + 1
-        removed = []
-        for name in list_names(self.spark, f"{self.root}/state"):
-            if name.startswith("v=") and name[2:].isdigit() and int(name[2:]) < cutoff:
-                v = int(name[2:])
-                self.spark.sql(f"DROP TABLE IF EXISTS {self._table(v)}")
-                delete_path(self.spark, self.state_path(v))
-                removed.append(v)
-        return sorted(removed)
+        row = self.spark.read.schema(COMMIT_SCHEMA).json(self._commit_file(out)).select("replaced").first()
+        gone = []
+        for name in row["replaced"] or ():
+            v, b = name.split("/")
+            if delete_path(self.spark, f"{self.state_path(int(v))}/bucket={b}"):
+                gone.append(name)
+        return gone
 
     def run_log(self) -> DataFrame:
         """One row per committed merge (latest commit per batch and source)."""
         return self.commits().select(
             "batch_id", "rows_in", "rows_bad", "inserted", "updated", "unchanged",
             F.col("max_status_ts").cast("timestamp_ntz").alias("max_status_ts"), "version", "source_id")
-
-
-_STATE_WITH_ACTION = T.StructType(STATE_SCHEMA.fields + [T.StructField("_action", T.StringType())])

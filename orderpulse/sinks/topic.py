@@ -19,21 +19,23 @@ def publish_files(events: DataFrame, path: str) -> None:
     encode_messages(events.drop("batch_id")).select("value").write.mode("append").text(path)
 
 
-def publish_kafka(events: DataFrame, bootstrap_servers: str, topic: str,
-                  key_col: str | None = None, available_partitions: list[int] | None = None) -> None:
-    """Batch-publish messages to a topic (needs the Kafka connector on the classpath).
-
-    With ``key_col`` the message key is that column; with ``available_partitions``
-    an explicit ``partition`` column is computed by the hash partitioner.
-    """
+def kafka_rows(events: DataFrame, key_col: str | None = None, available_partitions: list[int] | None = None) -> DataFrame:
+    """Rows for the topic sink: value, with ``key_col`` a key, with ``available_partitions`` an explicit
+    ``partition`` by the hash partitioner."""
     src = events.drop("batch_id")
     if key_col:
         src = src.withColumn("_key", F.col(key_col).cast("string"))
-    msgs = encode_messages(src)
     cols = [F.col("value")]
     if key_col:
         cols.append(F.col("_key").alias("key"))
         if available_partitions:
             cols.append(hash_partition(F.col("_key"), available_partitions).alias("partition"))
-    (msgs.select(*cols).write.format("kafka")
+    return encode_messages(src).select(*cols)
+
+
+def publish_kafka(events: DataFrame, bootstrap_servers: str, topic: str, key_col: str | None = None,
+                  available_partitions: list[int] | None = None, writer=None) -> None:
+    """Batch-publish messages to a topic (needs the Kafka connector on the classpath)."""
+    rows = kafka_rows(events, key_col, available_partitions)
+    ((writer or rows.write).format("kafka")
      .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic).save())

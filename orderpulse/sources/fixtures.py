@@ -22,7 +22,6 @@ EVENT_TYPE_STATUS = {
 }
 N_BATCHES = 5
 BATCH_MULTIPLIER = 7919
-PRODUCT_MODULUS = 2200
 
 
 def _status_of(event_type: Column) -> Column:
@@ -75,6 +74,12 @@ def fx_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def product_range(spark: SparkSession, sf_dir: str) -> int:
+    """Product ids of the order lines run up to a tenth past the parts there are, at every size: most
+    parts are looked up, and about one line in eleven takes the fallback price."""
+    return max(1, read_table(spark, sf_dir, "part", ["p_partkey"]).count() * 11 // 10)
+
+
 def fx_order_lines(spark: SparkSession, sf_dir: str, partial: bool = False) -> DataFrame:
     """Orders before pricing: order_id, customer_id, product_id, quantity, sold_at, fallback_price."""
     cols = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]
@@ -84,7 +89,7 @@ def fx_order_lines(spark: SparkSession, sf_dir: str, partial: bool = False) -> D
     return orders.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
-        (F.col("o_orderkey") % PRODUCT_MODULUS).alias("product_id"),
+        (F.col("o_orderkey") % product_range(spark, sf_dir)).alias("product_id"),
         (F.col("o_orderkey") % 5 + 1).alias("quantity"),
         F.col("o_orderdate").alias("sold_at"),
         F.col("o_totalprice").cast("decimal(10,2)").alias("fallback_price"),
@@ -100,11 +105,9 @@ def fx_orders(spark: SparkSession, sf_dir: str, partial: bool = False) -> DataFr
     return normalize_order_columns(priced)
 
 
-# The order column names (upper-case as loaded) and their order.
-ORDER_COLUMN_RENAMES = {"ORDER_ID": "order_id", "CUSTOMER_ID": "customer_id", "PRODUCT_ID": "product_id",
-                        "QUANTITY": "quantity", "UNIT_PRICE": "unit_price", "ORDER_TOTAL": "order_total",
-                        "SOLD_AT": "sold_at"}
+# The order columns in table order; loads may name them in upper case.
 ORDER_COLUMNS = ["order_id", "customer_id", "product_id", "quantity", "unit_price", "order_total", "sold_at"]
+ORDER_COLUMN_RENAMES = {c.upper(): c for c in ORDER_COLUMNS}
 
 
 def normalize_order_columns(df: DataFrame) -> DataFrame:

@@ -2,32 +2,39 @@
 
 Shape (a), one query: ``foreachBatch`` lands the micro-batch in the raw table
 (partition ``batch_id``, overwritten on replay), quarantines bad messages, then
-merges into the versioned state (skipped if this batch is already committed).
+merges into the bucketed state (skipped if this batch is already committed).
 
-Shape (b), two queries: the raw landing uses Spark's parquet file sink
-(exactly-once through its ``_spark_metadata`` log); a second query streams that
-folder on a schedule and merges each new slice.
+Shape (b), two queries, the default for a topic (``start_pipeline``): one lands and
+quarantines on every flush; the other streams the raw folder on the merge schedule and
+merges each new slice, so the state is rewritten every few minutes and not on every flush.
 
 Offsets are committed by Spark only after ``foreachBatch`` returns, so a crash
-replays the batch, and both writes are idempotent under replay.
+replays the batch, and all writes are idempotent under replay. A store belongs to one
+streaming query, known by the id in its checkpoint: a query whose checkpoint was
+lost or replaced is refused, because its batch numbers start anew.
 """
 
 from __future__ import annotations
 
-import uuid
-from dataclasses import dataclass
+import json
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from dataclasses import dataclass
 
 from orderpulse.functions.scalars import truncate_ts
-from orderpulse.operators.upsert import advance_state, full_state
+from orderpulse.operators.upsert import full_state, latest_source, merge_latest
 from orderpulse.schemas import EVENT_SCHEMA
-from orderpulse.sinks.raw import land_batch, read_batch, read_raw
+from orderpulse.session import list_names, path_exists, read_small_file
+from orderpulse.sinks.raw import RAW_SCHEMA, land_batch, read_batch, read_raw
 from orderpulse.sinks.snapshot import Commit, SnapshotStore
 from orderpulse.sources.messages import decode_messages, split_quarantine
-from orderpulse.streaming.sources import trigger_options
+from orderpulse.streaming.sources import with_trigger
+
+QUARANTINE_SCHEMA = "reason string, value string"
+#: Arrival time within which a repeated event id is taken for a redelivery.
+DEDUPE_WITHIN = "1 day"
 
 
 @dataclass(frozen=True)
@@ -59,132 +66,191 @@ class PipelinePaths:
         return f"{self.root}/_checkpoint/refresh"
 
 
-def _prepare(good: DataFrame, ts_grain: str | None, dedupe: bool) -> DataFrame:
-    if ts_grain:
-        good = good.withColumn("status_ts", truncate_ts(F.col("status_ts"), ts_grain))
-    if dedupe:
-        good = good.dropDuplicates(["event_id"])
-    return good
+def _prepare(good: DataFrame, ts_grain: str | None) -> DataFrame:
+    return good.withColumn("status_ts", truncate_ts(F.col("status_ts"), ts_grain)) if ts_grain else good
+
+
+def decoded_stream(messages: DataFrame, dedupe: bool = False) -> DataFrame:
+    """Decoded messages; with ``dedupe`` good ones without redeliveries of an event id across
+    micro-batches. The watermark runs on arrival time, so a late event is never dropped."""
+    decoded = decode_messages(messages)
+    if not dedupe:
+        return decoded
+    ok = F.col("_bad").isNull()
+    good = (decoded.where(ok).withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", DEDUPE_WITHIN)
+            .dropDuplicatesWithinWatermark(["event_id"]).drop("_arrived"))
+    return good.unionByName(decoded.where(~ok))
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str | None:
+    """The id of the streaming query that owns the checkpoint."""
+    text = read_small_file(spark, f"{checkpoint}/metadata")
+    return json.loads(text)["id"] if text else None
+
+
+def check_owner(spark: SparkSession, store_root: str, checkpoint: str) -> None:
+    c = SnapshotStore(spark, store_root).latest_commit()
+    if c is not None and c.source_id != query_id(spark, checkpoint):
+        raise ValueError(f"store {store_root} belongs to query {c.source_id}, which has not the checkpoint {checkpoint}; "
+                         "one writer per target, and a lost checkpoint needs a new store")
 
 
-def merge_batch(spark: SparkSession, store: SnapshotStore, delta: DataFrame, batch_id: int,
-                source_id: str, mode: str, rows_in: int, rows_bad: int, max_status_ts,
-                all_events: DataFrame | None = None, base: Commit | None = None) -> Commit | None:
+def merge_batch(store: SnapshotStore, delta: DataFrame, batch_id: int, source_id: str, mode: str, rows_in: int,
+                rows_bad: int, max_status_ts, all_events: DataFrame | None = None, base: Commit | None = None,
+                touched_batches=None) -> Commit | None:
     """Merge one batch of events into the store; returns the new commit (None if skipped).
 
+    ``incremental`` reduces the batch to one row per order, and reads and rewrites only the buckets
+    that those orders are in. ``full`` rescans ``all_events``, as the reference's MERGE does.
     ``base`` is the store's latest commit when the caller already knows it.
     """
     base = base if base is not None else store.latest_commit()
     if store.is_committed(base, source_id, batch_id):
         return None
-    state = store.read_state(commit=base)
-    buckets = store.buckets(base)
     if mode == "incremental":
-        new = advance_state(state, delta, with_action=True, buckets=buckets)
-    elif mode == "full":
-        new = full_state(state, all_events, with_action=True, touched=F.col("batch_id") == F.lit(batch_id),
-                         buckets=buckets)
-    else:
+        source = latest_source(delta).persist()
+        try:
+            touched = store.touched(source, base)
+            new = merge_latest(store.read_state(commit=base, only=touched) if base else store.read_state(), source, True)
+            return store.write_version(new, batch_id, source_id, mode, rows_in, rows_bad, max_status_ts, base, touched)
+        finally:
+            source.unpersist()
+    if mode != "full":
         raise ValueError(f"unknown mode {mode!r}")
-    version = store.write_version(new, batch_id, source_id, mode, rows_in, rows_bad, max_status_ts, base)
-    return Commit(version, int(batch_id), source_id, buckets)
+    mark = F.col("batch_id") == F.lit(batch_id) if touched_batches is None else touched_batches
+    new = full_state(store.read_state(commit=base) if base else store.read_state(), all_events, with_action=True, touched=mark)
+    return store.write_version(new, batch_id, source_id, mode, rows_in, rows_bad, max_status_ts, base)
 
 
-class LandAndMerge:
-    """The ``foreachBatch`` body of shape (a).
+def land(decoded: DataFrame, paths: PipelinePaths, batch_id: int, ts_grain: str | None = None):
+    """Land the good rows of a micro-batch and quarantine the others, text and all. Returns (good, bad,
+    latest time); a batch or a half of it that is empty writes nothing."""
+    ok = F.col("_bad").isNull()
+    good, bad = split_quarantine(decoded)
+    good = _prepare(good, ts_grain)
+    counts = decoded.agg(F.count(F.when(ok, F.lit(1))).alias("good"), F.count(F.when(~ok, F.lit(1))).alias("bad")).first()
+    if counts["good"]:
+        land_batch(good.select(*EVENT_SCHEMA.names), paths.raw, batch_id)
+    if counts["bad"]:
+        bad.write.mode("overwrite").json(f"{paths.quarantine}/batch_id={int(batch_id)}")
+    return counts["good"], counts["bad"]
 
-    Per micro-batch: land good rows (partition ``batch_id``), quarantine bad ones,
-    merge, commit -- four writes, with every counter observed during them.
-    """
 
-    def __init__(self, paths: PipelinePaths, mode: str = "incremental",
-                 ts_grain: str | None = None, dedupe: bool = False):
-        self.paths, self.mode, self.ts_grain, self.dedupe = paths, mode, ts_grain, dedupe
+class LandAndMerge:
+    """The ``foreachBatch`` body of shape (a): land good rows (partition ``batch_id``), quarantine
+    bad ones, merge, commit."""
+
+    def __init__(self, paths: PipelinePaths, mode: str = "incremental", ts_grain: str | None = None):
+        self.paths, self.mode, self.ts_grain = paths, mode, ts_grain
         self._last: Commit | None = None  # this query is the store's only writer
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         store = SnapshotStore(spark, self.paths.store)
+        source_id = query_id(spark, self.paths.checkpoint) or self.paths.checkpoint
         if self._last is None:
             self._last = store.latest_commit()
-        if store.is_committed(self._last, self.paths.checkpoint, batch_id):
+        if store.is_committed(self._last, source_id, batch_id):
             return  # replay of a batch merged before a restart
         decoded = batch.persist()
         try:
-            # Counters are observed during the landing write (no extra pass).
-            seen = Observation(f"land_{batch_id}_{uuid.uuid4().hex[:8]}")
-            ok = F.col("_bad").isNull()
-            observed = decoded.observe(seen, F.count(F.when(ok, F.lit(1))).alias("good"),
-                                       F.count(F.when(~ok, F.lit(1))).alias("bad"),
-                                       F.max(F.when(ok, F.col("status_ts"))).alias("mx"))
-            good, _ = split_quarantine(observed)
-            good = _prepare(good, self.ts_grain, self.dedupe)
-            land_batch(good.select(*EVENT_SCHEMA.names), self.paths.raw, batch_id)
-            counts = seen.get
-            if counts["bad"]:
-                _, bad = split_quarantine(decoded)
-                bad.write.mode("overwrite").json(f"{self.paths.quarantine}/batch_id={int(batch_id)}")
-            if counts["good"] + counts["bad"] == 0:
+            good, bad = land(decoded, self.paths, batch_id, self.ts_grain)
+            if good + bad == 0:
                 return
-            delta = read_batch(spark, self.paths.raw, batch_id)
-            all_events = read_raw(spark, self.paths.raw) if self.mode == "full" else None
-            stats = delta.agg(F.count(F.lit(1)).alias("n"), F.max("status_ts").alias("mx")).first() \
-                if (self.ts_grain or self.dedupe) else None
-            rows_in = stats["n"] if stats else counts["good"]
-            max_ts = stats["mx"] if stats else counts["mx"]
-            commit = merge_batch(spark, store, delta, batch_id, self.paths.checkpoint, self.mode,
-                                 rows_in, counts["bad"], max_ts, all_events, self._last)
+            if good:
+                delta = read_batch(spark, self.paths.raw, batch_id)
+            else:
+                delta = spark.createDataFrame([], RAW_SCHEMA)
+            latest = delta.agg(F.max("status_ts").alias("mx")).first()["mx"]
+            all_events = None
+            if self.mode == "full":
+                all_events = read_raw(spark, self.paths.raw) if path_exists(spark, self.paths.raw) else delta
+            commit = merge_batch(store, delta, batch_id, source_id, self.mode, good, bad, latest, all_events, self._last)
             if commit is not None:
                 self._last = commit
         finally:
             decoded.unpersist()
 
 
-def _check_single_source(spark: SparkSession, store_root: str, source_id: str) -> None:
-    c = SnapshotStore(spark, store_root).latest_commit()
-    if c is not None and c.source_id != source_id:
-        raise ValueError(f"store {store_root} is owned by {c.source_id}; one writer per target")
-
-
 def start_land_merge(messages: DataFrame, paths: PipelinePaths, mode: str = "incremental",
                      trigger: str = "flush", ts_grain: str | None = None,
                      dedupe: bool = False) -> StreamingQuery:
-    spark = messages.sparkSession
-    _check_single_source(spark, paths.store, paths.checkpoint)
-    decoded = decode_messages(messages)
-    return (decoded.writeStream.foreachBatch(LandAndMerge(paths, mode, ts_grain, dedupe))
-            .option("checkpointLocation", paths.checkpoint)
-            .trigger(**trigger_options(trigger)).start())
+    check_owner(messages.sparkSession, paths.store, paths.checkpoint)
+    writer = (decoded_stream(messages, dedupe).writeStream.foreachBatch(LandAndMerge(paths, mode, ts_grain))
+              .option("checkpointLocation", paths.checkpoint))
+    return with_trigger(writer, trigger).start()
+
+
+def start_raw_landing(messages: DataFrame, paths: PipelinePaths, trigger: str = "flush",
+                      dedupe: bool = False) -> StreamingQuery:
+    """Shape (b), query A: good messages to the raw folder, the others to quarantine."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        decoded = batch.persist()
+        try:
+            land(decoded, paths, batch_id)
+        finally:
+            decoded.unpersist()
+
+    writer = (decoded_stream(messages, dedupe).writeStream.foreachBatch(sink)
+              .option("checkpointLocation", paths.landing_checkpoint))
+    return with_trigger(writer, trigger).start()
+
 
+def raw_stream(spark: SparkSession, paths: PipelinePaths) -> DataFrame:
+    """The raw folder as an append-only change stream. A landing batch that is written again after a
+    failure shows again; merging the same events twice changes nothing."""
+    return spark.readStream.schema(RAW_SCHEMA).parquet(paths.raw)
 
-def start_raw_landing(messages: DataFrame, paths: PipelinePaths, trigger: str = "flush") -> StreamingQuery:
-    """Shape (b), query A: good messages appended to the raw folder by the file sink."""
-    good, _ = split_quarantine(decode_messages(messages))
-    return (good.select(*EVENT_SCHEMA.names).writeStream.format("parquet")
-            .option("path", paths.raw).option("checkpointLocation", paths.landing_checkpoint)
-            .outputMode("append").trigger(**trigger_options(trigger)).start())
+
+def quarantined(spark: SparkSession, paths: PipelinePaths) -> DataFrame:
+    """Every quarantined message: reason, value (its text), batch_id."""
+    if not path_exists(spark, paths.quarantine):
+        return spark.createDataFrame([], QUARANTINE_SCHEMA + ", batch_id bigint")
+    return spark.read.schema(QUARANTINE_SCHEMA + ", batch_id bigint").json(paths.quarantine)
 
 
 def start_refresh(spark: SparkSession, paths: PipelinePaths, trigger: str = "schedule") -> StreamingQuery:
-    """Shape (b), query B: each new slice of the raw folder is merged incrementally."""
-    _check_single_source(spark, paths.store, paths.refresh_checkpoint)
-    raw = spark.readStream.schema(EVENT_SCHEMA).parquet(paths.raw)
+    """Shape (b), query B: each new slice of the raw folder is merged incrementally. The bad rows of
+    the landing batches in the slice are counted from their quarantine folders."""
+    check_owner(spark, paths.store, paths.refresh_checkpoint)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        stats = batch.agg(F.count(F.lit(1)).alias("n"), F.max("status_ts").alias("mx")).first()
-        if stats["n"] == 0:
-            return
-        store = SnapshotStore(batch.sparkSession, paths.store)
-        merge_batch(batch.sparkSession, store, batch, batch_id, paths.refresh_checkpoint, "incremental",
-                    stats["n"], 0, stats["mx"])
+        session = batch.sparkSession
+        store = SnapshotStore(session, paths.store)
+        source_id = query_id(session, paths.refresh_checkpoint)
+        rows = batch.persist()
+        try:
+            # one row a landing batch of the slice
+            landed = rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.max("status_ts").alias("mx")).collect()
+            if not landed:
+                return
+            names = [f"batch_id={r['batch_id']}" for r in landed]
+            have = set(list_names(session, paths.quarantine))
+            folders = [f"{paths.quarantine}/{n}" for n in names if n in have]
+            bad = session.read.schema(QUARANTINE_SCHEMA).json(folders).count() if folders else 0
+            latest = max((r["mx"] for r in landed if r["mx"] is not None), default=None)
+            merge_batch(store, rows, batch_id, source_id, "incremental", sum(r["n"] for r in landed), bad, latest)
+        finally:
+            rows.unpersist()
 
-    return (raw.writeStream.foreachBatch(merge).option("checkpointLocation", paths.refresh_checkpoint)
-            .trigger(**trigger_options(trigger)).start())
+    writer = (raw_stream(spark, paths).writeStream.foreachBatch(merge)
+              .option("checkpointLocation", paths.refresh_checkpoint))
+    return with_trigger(writer, trigger).start()
 
 
-def run_to_completion(query: StreamingQuery, timeout_s: int = 600) -> None:
-    """Wait for an ``availableNow`` query to finish; raise its error if it failed."""
-    query.awaitTermination(timeout_s)
+def start_pipeline(messages: DataFrame, paths: PipelinePaths, dedupe: bool = False) -> list[StreamingQuery]:
+    """The pipeline of a topic: land on every flush, merge on the schedule."""
+    landing = start_raw_landing(messages, paths, "flush", dedupe)
+    spark = messages.sparkSession
+    if not path_exists(spark, paths.raw):  # the change stream needs its folder
+        spark.createDataFrame([], EVENT_SCHEMA).write.mode("ignore").parquet(f"{paths.raw}/batch_id=-1")
+    return [landing, start_refresh(spark, paths, "schedule")]
+
+
+def run_to_completion(query: StreamingQuery, timeout_s: int | None = None) -> None:
+    """Wait for an ``availableNow`` query to finish, as long as it takes (a caller may set a
+    limit); raise its error if it failed."""
+    query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination()
     if query.isActive:
         query.stop()
         raise TimeoutError(f"streaming query {query.id} did not finish in {timeout_s}s")
@@ -219,8 +285,8 @@ def refresh(spark: SparkSession, paths: PipelinePaths, mode: str = "incremental"
     """The scheduled merge as a batch job (also the initial load).
 
     Merges the raw batches landed after the store's last committed batch (up to
-    ``up_to_batch``) in one merge. ``incremental`` folds only those partitions into
-    the state (partition pruning on ``batch_id``); ``full`` rescans the whole raw
+    ``up_to_batch``) in one merge. ``incremental`` reads only those partitions and rewrites
+    only the buckets that their orders are in; ``full`` rescans the whole raw
     table, as the reference's scheduled MERGE does. Re-running with nothing new
     is a no-op.
     """
@@ -238,14 +304,5 @@ def refresh(spark: SparkSession, paths: PipelinePaths, mode: str = "incremental"
     if not stats["n"]:
         return None
     seen = raw.where(F.col("batch_id") <= stats["last"]) if mode == "full" else None
-    state = store.read_state(commit=base)
-    buckets = store.buckets(base)
-    if mode == "incremental":
-        new = advance_state(state, pending, with_action=True, buckets=buckets)
-    elif mode == "full":
-        new = full_state(state, seen, with_action=True, touched=F.col("batch_id") > F.lit(after),
-                         buckets=buckets)
-    else:
-        raise ValueError(f"unknown mode {mode!r}")
-    version = store.write_version(new, stats["last"], source_id, mode, stats["n"], 0, stats["mx"], base)
-    return Commit(version, int(stats["last"]), source_id, buckets)
+    return merge_batch(store, pending, stats["last"], source_id, mode, stats["n"], 0, stats["mx"], seen, base,
+                       F.col("batch_id") > F.lit(after))

@@ -1,111 +1,50 @@
-"""Keyed-state variant of the merge: ``applyInPandasWithState`` per order.
+"""Keyed-state variant of the merge: the latest event of every order in Spark's state store.
 
-The per-order state (status row + latest event seen) lives in Spark's streaming
-state store, partitioned by ``order_id`` across executors and checkpointed with
-the query. Each micro-batch touches only the orders it carries: per batch the
-work is O(batch), and the sink appends the changed rows (``changes`` table,
-partition ``batch_id``, overwritten on replay). The current status is the latest
-change per order.
-
-The per-order step is the same MERGE as ``operators.upsert``: source = latest of
-(stored latest event, this batch's latest event), ordered (ts, id, customer,
-status) with nulls lowest; guards with SQL three-valued logic. One corner
-differs from a full rescan: the rescan re-applies the merge to orders with no
-new events, which changes a row only when its latest event has both a null
-timestamp and a null status (then ``previous_status`` becomes null).
+The landing query of shape (b) lands and quarantines messages; this one streams the raw folder and
+keeps, per order, the greatest (status_ts, event_id, customer_id, new_status) seen -- a built-in
+streaming aggregate: partial aggregation before the exchange (a hot order is one row per task), state
+in Spark's state store, exact values of every type. Each micro-batch emits the orders that it
+touched, and these are merged into the buckets of the status store that they are in.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from orderpulse.schemas import STATUS_COLUMNS
-from orderpulse.session import ship_package
-from orderpulse.sources.messages import decode_messages, split_quarantine
-from orderpulse.streaming.sources import trigger_options
+from orderpulse.session import delete_path
+from orderpulse.sinks.snapshot import SnapshotStore
+from orderpulse.streaming.land_merge import PipelinePaths, check_owner, merge_batch, query_id, raw_stream
+from orderpulse.streaming.sources import with_trigger
 
-STATE_DDL = ("customer_id long, previous_status string, current_status string, last_update_ts timestamp_ntz, "
-             "le_status_ts timestamp_ntz, le_event_id string, le_customer_id long, le_new_status string")
-CHANGE_DDL = ("order_id long, customer_id long, previous_status string, current_status string, "
-              "last_update_ts timestamp_ntz, action string")
+TOUCHED_SCHEMA = "order_id bigint, status_ts timestamp_ntz, event_id string, customer_id bigint, new_status string"
 _EVENT = ["status_ts", "event_id", "customer_id", "new_status"]
 
 
-def _null(v):
-    return None if v is None or (not isinstance(v, str) and pd.isna(v)) else v
-
-
-def _order_key(ev: tuple) -> tuple:
-    """Struct ordering: field by field, nulls lowest."""
-    return tuple((v is not None, v if v is not None else 0) for v in ev)
-
-
-def _batch_latest(pdfs: Iterator[pd.DataFrame]) -> tuple:
-    best = None
-    for pdf in pdfs:
-        top = pdf.sort_values(_EVENT, na_position="first").iloc[-1]
-        cand = tuple(_null(top[c]) for c in _EVENT)
-        if best is None or _order_key(cand) > _order_key(best):
-            best = cand
-    return best
-
-
-def merge_order(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    (order_id,) = key
-    cand = _batch_latest(pdfs)
-    if state.exists:
-        cust, prev, cur, ts, *le = (_null(v) for v in state.get)
-        le = tuple(le)
-        src = cand if cand is not None and _order_key(cand) > _order_key(le) else le
-        s_ts, _, s_cust, s_new = src
-        newer = True if ts is None else (None if s_ts is None else s_ts > ts)
-        changed = True if cur is None else (None if s_new is None else cur != s_new)
-        if newer is True and changed is True:
-            row, action = (s_cust, cur, s_new, s_ts), "update"
-        else:
-            row, action = (cust, prev, cur, ts), "unchanged"
-    else:
-        src = cand
-        s_ts, _, s_cust, s_new = src
-        row, action = (s_cust, None, s_new, s_ts), "insert"
-    state.update(row + tuple(src))
-    yield pd.DataFrame([(order_id, *row, action)],
-                       columns=["order_id", "customer_id", "previous_status", "current_status",
-                                "last_update_ts", "action"])
-
-
-def status_changes(events: DataFrame) -> DataFrame:
-    """Streaming frame of per-batch status changes (output mode update)."""
-    ship_package(events.sparkSession)
-    return (events.where(F.col("order_id").isNotNull())
-            .select("order_id", *_EVENT)
-            .groupBy("order_id")
-            .applyInPandasWithState(merge_order, CHANGE_DDL, STATE_DDL, "update",
-                                    GroupStateTimeout.NoTimeout))
-
-
-def start_stateful_merge(messages: DataFrame, root: str, trigger: str = "flush") -> StreamingQuery:
-    """messages -> decode -> keyed merge -> ``<root>/changes/batch_id=<n>`` (idempotent)."""
-    good, _ = split_quarantine(decode_messages(messages))
-
-    def sink(changes: DataFrame, batch_id: int) -> None:
-        (changes.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-         .write.mode("overwrite").parquet(f"{root}/changes/batch_id={int(batch_id)}"))
-
-    return (status_changes(good).writeStream.outputMode("update").foreachBatch(sink)
-            .option("checkpointLocation", f"{root}/_checkpoint/stateful").trigger(**trigger_options(trigger))
-            .start())
-
-
-def current_status(spark: SparkSession, root: str) -> DataFrame:
-    """Latest change per order (partial aggregation absorbs orders changed in many batches)."""
-    changes = spark.read.schema(CHANGE_DDL + ", batch_id long").parquet(f"{root}/changes")
-    latest = changes.groupBy("order_id").agg(
-        F.max_by(F.struct(*[c for c in STATUS_COLUMNS if c != "order_id"]), F.col("batch_id")).alias("_c"))
-    return latest.select("order_id", *[F.col(f"_c.{c}").alias(c) for c in STATUS_COLUMNS if c != "order_id"])
+def latest_events(events: DataFrame) -> DataFrame:
+    """Latest event per order over all events so far (streaming: output mode update)."""
+    return (events.where(F.col("order_id").isNotNull()).groupBy("order_id")
+            .agg(F.max(F.struct(*_EVENT)).alias("_l")).select("order_id", *[f"_l.{c}" for c in _EVENT]))
+
+
+def start_stateful_merge(spark: SparkSession, paths: PipelinePaths, trigger: str = "schedule") -> StreamingQuery:
+    """raw folder -> latest event per order (state store) -> merge of the touched orders."""
+    checkpoint = f"{paths.root}/_checkpoint/stateful"
+    check_owner(spark, paths.store, checkpoint)
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        # the touched orders leave the state store once, into a folder of the batch (replaced on replay)
+        path = f"{paths.root}/touched/batch_id={int(batch_id)}"
+        batch.write.mode("overwrite").parquet(path)
+        session = batch.sparkSession
+        rows = session.read.schema(TOUCHED_SCHEMA).parquet(path)
+        stats = rows.agg(F.count(F.lit(1)).alias("n"), F.max("status_ts").alias("mx")).first()
+        if stats["n"]:
+            merge_batch(SnapshotStore(session, paths.store), rows, batch_id, query_id(session, checkpoint),
+                        "incremental", stats["n"], 0, stats["mx"])
+        delete_path(session, path)
+
+    writer = (latest_events(raw_stream(spark, paths)).writeStream.outputMode("update").foreachBatch(merge)
+              .option("checkpointLocation", checkpoint))
+    return with_trigger(writer, trigger).start()

@@ -1,44 +1,27 @@
-"""Partition columns against a plain-Python model of the producer-side partitioners."""
-
-import hashlib
+"""Partition columns: pinned values, agreement with DuckDB, and properties."""
 
+import duckdb
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from orderpulse.functions.partitioning import customer_partition, digits_mod, hash_partition
+from orderpulse.plans import oracle as O
 
 AVAILABLE = [0, 1, 2, 4, 5, 7]
+# Key, partition by hash, partition by customer digits (computed once with DuckDB).
+PINNED = [('customer:123', 2, 4), ('abc', 0, 0), ('', 5, 5), ('42:customer:7', 1, 1), ('no digits at all', 4, 4), ('ключ', 5, 5), (None, 0, 0)]
 
 
-def model_hash(key, available):
-    if not available:
-        return 0
-    if key is None:
-        return available[0]
-    h = int.from_bytes(hashlib.sha256(key.encode("utf-8")).digest()[:8], "big", signed=False)
-    return available[h % len(available)]
-
-
-def model_customer(key, available):
-    if key is None:
-        return model_hash(key, available)
-    digits = "".join(ch for ch in key if ch in "0123456789")
-    if digits:
-        return 0 if not available else available[int(digits) % len(available)]
-    return model_hash(key, available)
-
-
-KEYS = ["customer:123", "123", "customer:12x3", "abc", "", None, "x" * 50, "customer:" + "9" * 60,
-        "ключ:42", "42:customer:7", "customer:18446744073709551615"] + [f"customer:{i}" for i in range(300)]
+def partitions(spark, keys, available):
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i long, key string")
+    rows = df.select("i", hash_partition(F.col("key"), available).alias("h"),
+                     customer_partition(F.col("key"), available).alias("c")).orderBy("i").collect()
+    return [(r.h, r.c) for r in rows]
 
 
-def test_partitioners_match_model(spark):
-    df = spark.createDataFrame([(k,) for k in KEYS], "key string")
-    for avail in (AVAILABLE, [3], list(range(16))):
-        got = df.select("key", hash_partition(F.col("key"), avail).alias("h"),
-                        customer_partition(F.col("key"), avail).alias("c")).collect()
-        for r in got:
-            assert r.h == model_hash(r.key, avail), (r.key, avail)
-            assert r.c == model_customer(r.key, avail), (r.key, avail)
+def test_pinned_partitions(spark):
+    assert partitions(spark, [k for k, _, _ in PINNED], AVAILABLE) == [(h, c) for _, h, c in PINNED]
 
 
 def test_no_available_partitions(spark):
@@ -54,21 +37,30 @@ def test_digits_mod_exact_for_long_numbers(spark):
         assert df.select(digits_mod(F.col("d"), n).alias("m")).first().m == int(digits) % n
 
 
-def test_partitioners_on_random_keys(spark):
-    from hypothesis import given, settings
-    from hypothesis import strategies as st
+KEYS = st.lists(st.one_of(st.none(), st.text(max_size=30), st.from_regex(r"customer:[0-9]{1,30}", fullmatch=True)),
+                min_size=1, max_size=60)
+
+
+def test_partitioners_agree_with_duckdb(spark):
+    @settings(max_examples=5, deadline=None)
+    @given(KEYS, st.lists(st.integers(0, 63), min_size=1, max_size=9, unique=True))
+    def check(keys, available):
+        keys = [k.replace("\x00", "") if k else k for k in keys]
+        con = duckdb.connect()
+        con.execute("create table k (i bigint, key varchar)")
+        con.executemany("insert into k values (?, ?)", list(enumerate(keys)))
+        want = con.execute(f"select {O.hash_partition_sql('key', available)}, "
+                           f"{O.customer_partition_sql('key', available)} from k order by i").fetchall()
+        assert partitions(spark, keys, available) == want
+
+    check()
 
-    keys = st.lists(st.one_of(st.none(), st.text(max_size=30),
-                              st.from_regex(r"customer:[0-9]{1,45}", fullmatch=True)), min_size=1, max_size=60)
 
-    @settings(max_examples=6, deadline=None)
-    @given(keys, st.lists(st.integers(0, 63), min_size=1, max_size=9, unique=True))
-    def check(ks, avail):
-        df = spark.createDataFrame([(i, k) for i, k in enumerate(ks)], "i long, key string")
-        got = df.select("i", "key", hash_partition(F.col("key"), avail).alias("h"),
-                        customer_partition(F.col("key"), avail).alias("c")).collect()
-        for r in got:
-            assert r.h == model_hash(r.key, avail), (r.key, avail)
-            assert r.c == model_customer(r.key, avail), (r.key, avail)
+def test_partitions_come_from_the_list_and_follow_its_order(spark):
+    @settings(max_examples=4, deadline=None)
+    @given(KEYS, st.permutations(list(range(10, 16))))
+    def check(keys, available):
+        plain, permuted = partitions(spark, keys, list(range(6))), partitions(spark, keys, available)
+        assert [(available[h], available[c]) for h, c in plain] == permuted
 
     check()

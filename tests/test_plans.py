@@ -35,19 +35,16 @@ def test_window_variant_limits_before_the_exchange(spark):
     assert "WindowGroupLimit" in p and "Partial" in p
 
 
-def test_merge_never_shuffles_the_stored_state(spark):
-    from orderpulse.operators.upsert import advance_state
+def test_merge_reads_only_the_touched_buckets(spark):
+    from orderpulse.operators.upsert import latest_source
 
     store = run_stream_waves(spark, SF_SMALL, TWO_BATCHES)
     c = store.latest_commit()
-    new = advance_state(store.read_state(commit=c), fx_events(spark, SF_SMALL).where("batch_id = 3"),
-                        True, store.buckets(c))
-    p = plan(new)
-    assert "Bucketed: true" in p
-    # the only hash exchange on order_id is the one on the reduced batch
-    assert len(re.findall(r"Arguments: hashpartitioning\(order_id#", p.split("===== Subqueries")[0])) == 1
-    state_scan = [ln for ln in p.splitlines() if "Scan parquet" in ln and "orderpulse_state" in ln]
-    assert state_scan
+    one = fx_events(spark, SF_SMALL).where("batch_id = 3").limit(1)
+    touched = store.touched(latest_source(one), c)
+    assert len(touched) == 1
+    files = store.read_state(commit=c, only=touched).inputFiles()
+    assert files and all(f"/bucket={touched[0]}/" in f for f in files)
 
 
 def test_orphans_use_an_anti_join(spark):
@@ -76,6 +73,26 @@ def test_dashboard_scans_events_once_per_use(spark):
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
+def test_scans_are_not_redistributed(spark):
+    for name in ("latest_status", "validate_counts", "enrich_price", "status_distribution"):
+        assert "RoundRobinPartitioning" not in plan(QUERIES[name](spark, SF_SMALL)), name
+
+
+def test_unconsumed_delta_is_one_pruned_scan(spark):
+    p = plan(QUERIES["unconsumed_delta"](spark, SF_SMALL))
+    assert len(re.findall(r"(?m)^\(\d+\) Scan parquet", p)) == 1 and "PartitionFilters: [isnotnull(batch_id" in p
+    assert "Join" not in p
+
+
+def test_price_fallback_is_taken_at_every_size(spark):
+    from conftest import SF_CHECK
+
+    for sf in (SF_SMALL, SF_CHECK):
+        lines, inv = fx_order_lines(spark, sf), fx_inventory(spark, sf)
+        missed = lines.join(inv, "product_id", "left_anti").count()
+        assert 0 < missed < lines.count() / 4
+
+
 def test_status_filters_reach_the_scan(spark):
     path = scratch_path(spark, "test_pushdown")
     QUERIES["merge_two_batches_fold"](spark, SF_SMALL).write.parquet(path)
@@ -87,6 +104,6 @@ def test_status_filters_reach_the_scan(spark):
 def test_transitions_never_hash_the_events_by_order(spark):
     p = plan(QUERIES["status_transitions"](spark, SF_SMALL))
     main = p.split("===== Subqueries")[0]
-    assert "MapInPandas" in main
+    assert "MapInArrow" in main
     assert not re.search(r"hashpartitioning\(order_id#", main)
     assert re.search(r"hashpartitioning\(from_status#\d+L?, to_status#", main)

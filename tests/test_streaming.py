@@ -45,8 +45,9 @@ def test_quarantine_late_duplicate_and_restart(spark):
                              2: (None, "CREATED", "2024-01-01 08:00:00")}
     log = store.run_log().collect()
     assert [(r.batch_id, r.rows_in, r.rows_bad, r.inserted) for r in log] == [(0, 3, 3, 2)]
-    bad = spark.read.json(f"{paths.quarantine}/batch_id=0")
-    assert sorted(r._bad for r in bad.collect()) == ["bad status_ts", "malformed", "missing order_id"]
+    bad = {(r.reason, r.value) for r in P.quarantined(spark, paths).collect()}
+    assert {r for r, _ in bad} == {"bad status_ts", "malformed", "missing order_id"}
+    assert ("malformed", "{not json") in bad  # the text is kept
 
     # second wave: a late event (older than current) and a duplicate of e2
     publish(spark, landing, [msg("e0", 1, "SHIPPED", "2024-01-01T09:00:00+00:00"),
@@ -120,74 +121,217 @@ def test_query_status_lists_running_queries(spark):
 
 
 def test_stateful_variant_agrees_with_snapshot_pipeline(spark):
-    from orderpulse.streaming import stateful as S
+    from orderpulse.streaming.stateful import start_stateful_merge
 
-    root = scratch_path(spark, "test_stateful")
+    big = 2 ** 53 + 1  # not a double
+    root, other = scratch_path(spark, "test_stateful"), P.PipelinePaths(scratch_path(spark, "test_stateful_b"))
     paths, landing = P.PipelinePaths(root), f"{root}/landing"
     waves = [
-        [msg("e1", 1, "CREATED", "2024-01-01T10:00:00+00:00"), msg("e2", 1, "PAID", "2024-01-01T11:00:00+00:00"),
-         msg("e3", 2, "CREATED", "2024-01-01T10:00:00+02:00"), "{not json", msg("n1", 3, None, None)],
-        [msg("e0", 1, "SHIPPED", "2024-01-01T09:00:00+00:00"), msg("e2", 1, "PAID", "2024-01-01T11:00:00+00:00"),
-         msg("e5", 2, "PACKED", "2024-01-02T00:00:00+00:00"), msg("n2", 3, "PAID", None)],
-        [msg("e6", 1, "PAID", "2024-01-03T00:00:00+00:00"), msg("e7", 3, "SHIPPED", "2024-01-01T00:00:00+00:00")],
+        [msg("e1", 1, "CREATED", "2024-01-01T10:00:00+00:00", big), msg("e2", 1, "PAID", "2024-01-01T11:00:00+00:00", big),
+         msg("e3", 2, "CREATED", "2024-01-01T10:00:00+02:00", None), "{not json", msg("n1", 3, None, None)],
+        [msg("e0", 1, "SHIPPED", "2024-01-01T09:00:00+00:00"), msg("e2", 1, "PAID", "2024-01-01T11:00:00+00:00", big),
+         msg("e5", 2, "PACKED", "2024-01-02T00:00:00+00:00", None), msg("n2", 3, "PAID", None)],
+        [msg("e6", 1, "PAID", "2024-01-03T00:00:00+00:00", big), msg("e7", 3, "SHIPPED", "2024-01-01T00:00:00+00:00")],
     ]
     for lines in waves:
         publish(spark, landing, lines)
         drain(spark, landing, paths)
-        P.run_to_completion(S.start_stateful_merge(file_messages(spark, landing), root, trigger="drain"))
-    want = status(SnapshotStore(spark, paths.store))
-    got = {r.order_id: (r.previous_status, r.current_status, str(r.last_update_ts))
-           for r in S.current_status(spark, root).collect()}
-    assert got == want
-    assert want[1] == (None, "PAID", "2024-01-01 11:00:00")  # same status later: guard holds it
-    assert want[3] == ("PAID", "SHIPPED", "2024-01-01 00:00:00")
+        P.run_to_completion(P.start_raw_landing(file_messages(spark, landing), other, trigger="drain"))
+        P.run_to_completion(start_stateful_merge(spark, other, trigger="drain"))
+    want, got = SnapshotStore(spark, paths.store), SnapshotStore(spark, other.store)
+    assert status(got) == status(want)
+    assert {r.order_id: r.customer_id for r in got.read_status().collect()} == {1: big, 2: None, 3: 1}
+    assert status(want)[1] == (None, "PAID", "2024-01-01 11:00:00")  # same status later: guard holds it
+    assert status(want)[3] == ("PAID", "SHIPPED", "2024-01-01 00:00:00")
+    assert P.quarantined(spark, other).count() == 1  # bad messages are kept in this shape too
+
+
+def event_rows(spark, *orders):
+    return spark.createDataFrame([(f"e{o}", o, 1, "PAID", None, "t", 0) for o in orders],
+                                 "event_id string, order_id long, customer_id long, new_status string, "
+                                 "status_ts timestamp_ntz, source string, batch_id long")
 
 
 def test_commit_log_blocks(spark, monkeypatch):
+    import os
+
     import orderpulse.sinks.snapshot as snap
-    from orderpulse.operators.upsert import advance_state, empty_state
 
     monkeypatch.setattr(snap, "COMMITS_PER_BLOCK", 2)
     store = SnapshotStore(spark, scratch_path(spark, "test_blocks"), buckets=2)
-    ev = spark.createDataFrame([("a", 1, 1, "PAID", None, "t")],
-                               "event_id string, order_id long, customer_id long, new_status string, "
-                               "status_ts timestamp_ntz, source string")
-    state = empty_state(spark)
     for b in range(5):
-        store.write_version(advance_state(state, ev, with_action=True, buckets=2), b, "src", "incremental", 1, 0, None)
-        state = store.read_state()
+        P.merge_batch(store, event_rows(spark, 1), b, "src", "incremental", 1, 0, None)
     c = store.latest_commit()
     assert (c.version, c.batch_id, c.buckets) == (4, 4, 2)
     assert store.commits().count() == 5
-    assert sorted(n for n in __import__("os").listdir(store.root + "/_commits")) == [
-        "block=0000000000", "block=0000000001", "block=0000000002"]
+    assert sorted(os.listdir(store.root + "/_commits")) == ["block=0000000000", "block=0000000001", "block=0000000002"]
 
 
 def test_retry_over_leftover_uncommitted_version(spark):
-    from orderpulse.operators.upsert import advance_state, empty_state
-
     store = SnapshotStore(spark, scratch_path(spark, "test_retry"), buckets=2)
-    ev = spark.createDataFrame([("a", 1, 1, "PAID", None, "t")],
-                               "event_id string, order_id long, customer_id long, new_status string, "
-                               "status_ts timestamp_ntz, source string")
-    spark.range(5).write.parquet(store.state_path(0))  # a failed attempt's files, never committed
+    spark.range(5).write.parquet(f"{store.state_path(0)}/bucket=0")  # a failed attempt's files, never committed
     assert store.latest_commit() is None
-    v = store.write_version(advance_state(empty_state(spark), ev, with_action=True, buckets=2),
-                            0, "src", "incremental", 1, 0, None)
-    assert v == 0 and [r.current_status for r in store.read_status().collect()] == ["PAID"]
-
-
-def test_retain_keeps_the_newest_versions(spark):
-    from orderpulse.operators.upsert import advance_state
-
-    store = SnapshotStore(spark, scratch_path(spark, "test_retain"), buckets=2)
-    ev = spark.createDataFrame([("a", 1, 1, "PAID", None, "t")],
-                               "event_id string, order_id long, customer_id long, new_status string, "
-                               "status_ts timestamp_ntz, source string")
-    for b in range(4):
-        store.write_version(advance_state(store.read_state(), ev, with_action=True, buckets=2),
-                            b, "src", "incremental", 1, 0, None)
-    assert store.retain(keep=2) == [0, 1]
-    assert store.retain(keep=2) == []
-    assert store.read_status().count() == 1 and store.read_state(version=2).count() == 1
-    assert store.commits().count() == 4
+    c = P.merge_batch(store, event_rows(spark, 1), 0, "src", "incremental", 1, 0, None)
+    assert c.version == 0 and [r.current_status for r in store.read_status().collect()] == ["PAID"]
+
+
+def parts(store):
+    import glob
+
+    return {p[len(store.root) + 7:].rsplit("/", 1)[0] for p in glob.glob(f"{store.root}/state/v=*/bucket=*/part-*")}
+
+
+def test_one_order_rewrites_one_bucket_and_old_copies_go(spark):
+    store = SnapshotStore(spark, scratch_path(spark, "test_buckets"), buckets=8)
+    P.merge_batch(store, event_rows(spark, *range(100)), 0, "src", "incremental", 100, 0, None)
+    first = parts(store)
+    assert len(first) == 8
+    for b in range(1, 16):
+        P.merge_batch(store, event_rows(spark, 7), b, "src", "incremental", 1, 0, None)
+        new = {p for p in parts(store) if p.startswith(f"v={b}/")}
+        assert len(new) == 1
+    from orderpulse.sinks.snapshot import KEEP
+
+    assert len(parts(store)) <= 8 + KEEP  # one copy of the others, at most KEEP of the touched one
+    assert store.read_status().count() == 100 and store.read_status(version=12).count() == 100
+
+
+def test_null_status_settles_as_in_a_full_rescan(spark):
+    """An order whose latest event has neither time nor status is merged again by every rescan."""
+    full = SnapshotStore(spark, scratch_path(spark, "test_full"), buckets=4)
+    inc = SnapshotStore(spark, scratch_path(spark, "test_inc"), buckets=4)
+    schema = event_rows(spark, 1).schema
+    waves = [[("a", 1, 1, "PAID", None, "t", 0)], [("b", 1, 1, None, None, "t", 1)], [("c", 2, 1, "PAID", None, "t", 2)],
+             [("d", 3, 1, "PAID", None, "t", 3)]]
+    seen = spark.createDataFrame([], schema)
+    for i, rows in enumerate(waves):
+        delta = spark.createDataFrame(rows, schema)
+        seen = seen.unionByName(delta)
+        P.merge_batch(full, delta, i, "src", "full", 1, 0, None, seen)
+        P.merge_batch(inc, delta, i, "src", "incremental", 1, 0, None)
+        assert status(full) == status(inc), i
+
+
+def test_restart_with_another_checkpoint_is_refused(spark):
+    import pytest
+
+    root = scratch_path(spark, "test_lost")
+    paths, landing = P.PipelinePaths(root), f"{root}/landing"
+    publish(spark, landing, [msg("a", 1, "CREATED", "2024-01-01T10:00:00+00:00")])
+    drain(spark, landing, paths)
+
+    class Elsewhere(P.PipelinePaths):
+        checkpoint = f"{root}/_checkpoint/new"
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        drain(spark, landing, Elsewhere(root))
+
+
+def test_empty_batch_writes_nothing(spark):
+    import os
+
+    from orderpulse.sources.messages import decode_messages
+
+    paths = P.PipelinePaths(scratch_path(spark, "test_empty"))
+    P.LandAndMerge(paths)(decode_messages(spark.createDataFrame([], "value string")), 0)
+    assert not os.path.exists(paths.raw) and SnapshotStore(spark, paths.store).latest_commit() is None
+
+
+def test_only_bad_messages(spark):
+    import os
+
+    from orderpulse.sources.messages import decode_messages
+
+    paths = P.PipelinePaths(scratch_path(spark, "test_bad"))
+    P.LandAndMerge(paths)(decode_messages(spark.createDataFrame([("x",), (json.dumps({"event_id": "x", "order_id": 5}),)],
+                                                                "value string")), 0)
+    assert not os.path.exists(paths.raw)
+    assert sorted(r.reason for r in P.quarantined(spark, paths).collect()) == ["malformed", "missing customer_id"]
+    log = SnapshotStore(spark, paths.store).run_log().collect()
+    assert [(r.rows_in, r.rows_bad) for r in log] == [(0, 2)]
+
+
+def test_synthetic_ids_differ(spark):
+    from orderpulse.sources.messages import decode_messages
+
+    texts = [json.dumps({"order_id": 1, "customer_id": None, "new_status": s, "status_ts": t})
+             for s, t in (("a", None), (None, "a"), ("", None), (None, None), ("a|b", None))]
+    rows = decode_messages(spark.createDataFrame([(t,) for t in texts], "value string")).collect()
+    assert len({r.event_id for r in rows}) == len(texts)
+
+
+def test_explicit_null_is_not_an_absent_key(spark):
+    from orderpulse.sources.messages import decode_messages
+
+    row = decode_messages(spark.createDataFrame([(msg("a", 1, None, None, None),)], "value string")).first()
+    assert row._bad is None and row.new_status is None
+
+
+def test_utc_in_the_hour_that_comes_twice(spark):
+    from orderpulse.sources.messages import decode_messages
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        texts = [msg("a", 1, "PAID", t) for t in ("2024-10-27T00:30:00+00:00", "2024-10-27T01:30:00+00:00",
+                                                  "2024-10-27T03:30:00+02:00", "1969-12-31T23:59:59.999999+00:00")]
+        got = [str(r.status_ts) for r in decode_messages(spark.createDataFrame([(t,) for t in texts], "value string")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == ["2024-10-27 00:30:00", "2024-10-27 01:30:00", "2024-10-27 01:30:00", "1969-12-31 23:59:59.999999"]
+
+
+def test_pipeline_lands_on_flush_and_merges_on_schedule(spark):
+    root = scratch_path(spark, "test_pipeline")
+    paths, landing = P.PipelinePaths(root), f"{root}/landing"
+    publish(spark, landing, [msg("a", 1, "CREATED", "2024-01-01T10:00:00+00:00"), "bad"])
+    queries = P.start_pipeline(file_messages(spark, landing), paths)
+    try:
+        for q in queries:
+            q.processAllAvailable()
+        assert status(SnapshotStore(spark, paths.store)) == {1: (None, "CREATED", "2024-01-01 10:00:00")}
+        assert P.quarantined(spark, paths).count() == 1
+    finally:
+        for q in queries:
+            q.stop()
+
+
+class StubIO:
+    """Records what a reader or writer is told."""
+
+    def __init__(self, result=None):
+        self.kind, self.options, self.result, self.saved = None, {}, result, False
+
+    def format(self, kind):
+        self.kind = kind
+        return self
+
+    def option(self, key, value):
+        self.options[key] = value
+        return self
+
+    def load(self):
+        return self.result
+
+    def save(self):
+        self.saved = True
+
+
+def test_kafka_contract(spark):
+    from orderpulse.sinks.topic import kafka_rows, publish_kafka
+    from orderpulse.streaming.sources import kafka_messages, trigger_options
+
+    topic = spark.createDataFrame([(b"{}", "orders", 0, 5)], "value binary, topic string, partition int, offset long")
+    stub = StubIO(topic)
+    rows = kafka_messages(spark, "host:1", "orders", reader=stub, starting_offsets="earliest", max_rows=1000).collect()
+    assert stub.kind == "kafka" and stub.options == {
+        "kafka.bootstrap.servers": "host:1", "subscribe": "orders", "startingOffsets": "earliest",
+        "minOffsetsPerTrigger": "200", "maxTriggerDelay": "10s", "maxOffsetsPerTrigger": "1000"}
+    assert [(r.value, r.offset) for r in rows] == [("{}", 5)]
+    assert trigger_options("arrival") == {}  # size or time, whichever is first: no fixed tick beside them
+
+    events = event_rows(spark, 1, 2)
+    out = StubIO()
+    publish_kafka(events, "host:1", "orders", "customer_id", [0, 1], writer=out)
+    assert out.saved and out.options == {"kafka.bootstrap.servers": "host:1", "topic": "orders"}
+    assert kafka_rows(events, "customer_id", [0, 1]).columns == ["value", "key", "partition"]
