@@ -44,7 +44,7 @@ def tokens(text: str | None) -> list[str]:
     """Lower-cased words, and quotation marks as tokens of their own."""
     if not text:
         return []
-    return [t for t in _TOKEN.findall(text.lower())] if not text.isascii() else _TOKEN.findall(text.lower())
+    return _TOKEN.findall(text.lower())
 
 
 class Trie:
@@ -158,7 +158,7 @@ def learning_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", samp
 
 
 def learn_lexicon(rows: DataFrame, size: int = LEXICON) -> list[str]:
-    """Terms whose share of toxic rows is out of reach of chance, shortest openings first."""
+    """Terms whose share of toxic rows is out of reach of chance, the most frequent first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
@@ -179,17 +179,18 @@ def learn_lexicon(rows: DataFrame, size: int = LEXICON) -> list[str]:
     need = math.ceil(math.log(max(summed.count(), 2)) / -math.log(base)) if 0 < base < 1 else 1
     found = (summed.where(f"n1 >= {max(need, 3)} and n1 >= 19 * n0")
              .orderBy(F.length("term"), F.col("n1").desc(), "term").limit(20 * size).collect())
-    chosen: list = []
+    # of terms that the same texts make, the most particular: the word before its openings, the longest of these
+    chosen: dict[str, int] = {}
     openings: set[str] = set()
-    for r in sorted(found, key=lambda r: (-r.n1, len(r.term), r.term)):
+    for r in sorted(found, key=lambda r: (-r.n1, r.term.endswith("*"), -len(r.term), r.term)):
         stem = r.term.rstrip("*")
-        if any(stem[:k] in openings for k in range(4, len(stem) + 1)):
+        if any(stem[:k] in openings for k in range(OPENINGS[0], len(stem) + 1)) or any(
+                t.startswith(stem) and n >= 0.9 * r.n1 for t, n in chosen.items()):
             continue
-        # an opening that one word alone makes is that word
-        chosen.append(r.term)
+        chosen[r.term] = r.n1
         if r.term.endswith("*"):
             openings.add(stem)
-    return chosen[:size]
+    return list(chosen)[:size]
 
 
 def look_alikes(rows: DataFrame, terms: list[str]) -> list[str]:
