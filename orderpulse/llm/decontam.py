@@ -27,9 +27,9 @@ from orderpulse.llm.common import alnum_words, row_hash, shipped, stored
 WINDOW = 10
 BLOCK_WORDS = 1 << 20
 CHUNK_WINDOWS = 200_000      # test windows held by a task at once; more are searched in further passes
-INDEX_SCHEMA = ("ids array<bigint>, hashes array<bigint>, starts array<bigint>, terms array<binary>, "
+INDEX_SCHEMA = ("block bigint, ids array<bigint>, hashes array<bigint>, starts array<bigint>, terms array<binary>, "
                 "cuts array<int>, postings binary")
-HIT_SCHEMA = "doc_id bigint, h bigint, row bigint, n_words bigint, spans array<bigint>, items array<bigint>"
+HIT_SCHEMA = "doc_id bigint, h bigint, block bigint, row bigint, n_words bigint, spans array<bigint>, items array<bigint>"
 
 
 def positional_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -37,17 +37,20 @@ def positional_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """One stored row per block: ids and hashes of its rows, ``starts`` of their words in the block (one
     more at the end), its terms, and their position lists, one after another, cut at ``cuts``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         ids, hashes, starts, number, codes = [], [], [0], {}, []
+        made, task = 0, TaskContext.get().partitionId()
 
         def block() -> pa.RecordBatch:
             flat = np.concatenate(codes) if codes else np.zeros(0, np.int32)
             order = np.argsort(flat, kind="stable").astype("<u4")
             cuts = np.cumsum(np.bincount(flat, minlength=len(number)))
             return pa.RecordBatch.from_arrays(
-                [pa.array([ids], pa.list_(pa.int64())), pa.array([hashes], pa.list_(pa.int64())),
+                [pa.array([task << 32 | made], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([hashes], pa.list_(pa.int64())),
                  pa.array([starts], pa.list_(pa.int64())), pa.array([list(number)], pa.list_(pa.binary())),
                  pa.array([np.r_[0, cuts]], pa.list_(pa.int32())), pa.array([order.tobytes()], pa.binary())],
-                ["ids", "hashes", "starts", "terms", "cuts", "postings"])
+                ["block", "ids", "hashes", "starts", "terms", "cuts", "postings"])
 
         for batch in batches:
             for i in range(batch.num_rows):
@@ -61,6 +64,7 @@ def positional_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 starts.append(starts[-1] + len(words))
                 if starts[-1] >= block_words:
                     yield block()
+                    made += 1
                     ids, hashes, starts, number, codes = [], [], [0], {}, []
         if ids:
             yield block()
@@ -75,7 +79,7 @@ class Postings:
 
     def __init__(self, row: dict):
         self.starts = np.array(row["starts"], np.int64)
-        self.ids, self.hashes = row["ids"], row["hashes"]
+        self.block, self.ids, self.hashes = row["block"], row["ids"], row["hashes"]
         self.number = {t: i for i, t in enumerate(row["terms"])}
         self.cuts = np.array(row["cuts"], np.int64)
         self.flat = np.frombuffer(row["postings"], "<u4").astype(np.int64)
@@ -168,7 +172,7 @@ def search(index: DataFrame, items: DataFrame, window: int = WINDOW, item_col: s
             for batch in batches:
                 for i in range(batch.num_rows):
                     row = {n: batch.column(k)[i].as_py() for k, n in enumerate(
-                        ("ids", "hashes", "starts", "terms", "cuts", "postings"))}
+                        ("block", "ids", "hashes", "starts", "terms", "cuts", "postings"))}
                     yield _search_block(Postings(row), phrases.value, within)
 
         return shipped(index).mapInArrow(run, HIT_SCHEMA)
@@ -182,8 +186,8 @@ def search(index: DataFrame, items: DataFrame, window: int = WINDOW, item_col: s
     rows = parts[0]
     for more in parts[1:]:
         rows = rows.unionByName(more)
-    # a row has one part for every pass; null-safe grouping keeps rows without an id
-    grouped = rows.groupBy("doc_id", "h", "row").agg(
+    # a row (its place in the index) has one part for every pass
+    grouped = rows.groupBy("doc_id", "h", "block", "row").agg(
         F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"),
         F.flatten(F.collect_list("items")).alias("items"))
     return grouped.select("doc_id", "h", "n_words", _covered("spans").alias("n_hit"),
@@ -222,10 +226,11 @@ def _search_block(postings: Postings, phrases: dict, within: int | None) -> pa.R
                 out.append([a, b])
         merged.append([a << 32 | b for a, b in out])
     return pa.RecordBatch.from_arrays(
-        [pa.array(postings.ids, pa.int64()), pa.array(postings.hashes, pa.int64()), pa.array(range(n), pa.int64()),
+        [pa.array(postings.ids, pa.int64()), pa.array(postings.hashes, pa.int64()),
+         pa.array([postings.block] * n, pa.int64()), pa.array(range(n), pa.int64()),
          pa.array(np.diff(starts)), pa.array(merged, pa.list_(pa.int64())),
          pa.array([sorted(i for i in items.get(d, ()) if i is not None) for d in range(n)], pa.list_(pa.int64()))],
-        ["doc_id", "h", "row", "n_words", "spans", "items"])
+        ["doc_id", "h", "block", "row", "n_words", "spans", "items"])
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",

@@ -111,12 +111,12 @@ def _spans(group: str, kind: str) -> Column:
     ends = F.transform(f"{name}_m", lambda m, i: F.struct(m.alias("m"), _prefix(f"{name}_l", i + 1).alias("stop")))
     good = F.filter(ends, lambda s: passes(kind, s["m"])) if group == "base" else ends
     return F.transform(good, lambda s: F.struct(
-        (s["stop"] - F.length(s["m"])).alias("start"), s["stop"].alias("stop"), F.lit(KINDS.index(kind)).alias("k"),
+        (s["stop"] - F.length(s["m"])).alias("start"), F.lit(KINDS.index(kind)).alias("k"), s["stop"].alias("stop"),
         votes(kind, group == "base", s["m"], s["stop"] - F.length(s["m"]), s["stop"]).alias("votes")))
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, base, loose): arrays of (start, stop, k, votes) of the base spans and of the other
+    """(doc_id, base, loose): arrays of (start, k, stop, votes) of the base spans and of the other
     candidates of every text; ``k`` numbers the kinds and ``votes`` holds one vote a labeler."""
     none = F.array().cast("array<string>")
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

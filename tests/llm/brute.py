@@ -65,19 +65,25 @@ def simhash(text, shingle=3):
     return sum(1 << b for b in range(64) if sum(x >> b & 1 for x in h) * 2 > len(h))
 
 
-def simhash_groups(docs, bits=2):
-    """{row number: (fingerprint, component)}; an id that is null is never the smallest."""
-    fps = [simhash(t) for _, t in docs]
-    g = Groups(len(docs))
-    for i in range(len(docs)):
+def simhash_roots(fps, bits=2):
+    """Number of the first row of each row's component."""
+    g = Groups(len(fps))
+    for i in range(len(fps)):
         for j in range(i):
             if (fps[i] ^ fps[j]).bit_count() <= bits:
                 g.join(i, j)
+    return [g.find(i) for i in range(len(fps))]
+
+
+def simhash_groups(docs, bits=2):
+    """[(doc_id, fingerprint, component)]; an id that is null is never the smallest."""
+    fps = [simhash(t) for _, t in docs]
+    roots = simhash_roots(fps, bits)
     best = {}
     for i, (doc, _) in enumerate(docs):
         if doc is not None:
-            best[g.find(i)] = min(best.get(g.find(i), doc), doc)
-    return [(doc, f"{fps[i]:016x}", best.get(g.find(i))) for i, (doc, _) in enumerate(docs)]
+            best[roots[i]] = min(best.get(roots[i], doc), doc)
+    return [(doc, f"{fps[i]:016x}", best.get(roots[i])) for i, (doc, _) in enumerate(docs)]
 
 
 def tokens(docs, path, end_id):
