@@ -55,22 +55,31 @@ class CoverTree:
         radius = 1.0
         while radius >= LEAST_RADIUS and (levels[-1][2] > 0).any():
             new_owner = np.full(n, -1, np.int64)
-            points, parents = [], []
             order = np.argsort(owner, kind="stable")
             starts = np.searchsorted(owner[order], np.arange(len(centers) + 1))
-            for node in range(len(centers)):
+            alone = np.flatnonzero(np.diff(starts) == 1)  # a node of one point stays as it is
+            points, parents = centers[alone].tolist(), alone.tolist()
+            new_owner[order[starts[alone]]] = np.arange(len(alone))
+            for node in np.flatnonzero(np.diff(starts) > 1):
                 left = order[starts[node]:starts[node + 1]]
                 pick = centers[node]  # nesting: a centre is its own child
+                least = 1 - radius * radius / 2
+                cos = x[left] @ x[left].T if len(left) <= 4096 else None
+                place = {int(v): k for k, v in enumerate(left)} if cos is not None else {}
+                alive = np.ones(len(left), bool)
+                at = 0
                 while True:
-                    near = 2 - 2 * (x[left] @ x[pick]) <= radius * radius
+                    near = alive & ((cos[place[int(pick)]] if cos is not None else x[left] @ x[pick]) >= least)
                     near |= left == pick
                     new_owner[left[near]] = len(points)
                     points.append(pick)
                     parents.append(node)
-                    left = left[~near]
-                    if not len(left):
+                    alive &= ~near
+                    while at < len(left) and not alive[at]:
+                        at += 1
+                    if at == len(left):
                         break
-                    pick = left[0]
+                    pick = left[at]
             owner, centers = new_owner, np.array(points)
             levels.append((centers, np.array(parents), self._radii(centers, owner)))
             radius /= 2
@@ -92,28 +101,40 @@ def linked_pairs(a: CoverTree, b: CoverTree, threshold: float = THRESHOLD) -> tu
     for step in range(depth):
         la, lb = min(step, len(a.levels) - 1), min(step, len(b.levels) - 1)
         (pa_, _, ra), (pb_, _, rb) = a.levels[la], b.levels[lb]
-        if step:
-            i, j = _expand(i, j, a.levels[la][1] if la == step else None, b.levels[lb][1] if lb == step else None,
-                           len(a.levels[la - 1][0]) if la == step else 0, len(b.levels[lb - 1][0]) if lb == step else 0)
-        if len(i) * 4 >= len(pa_) * len(pb_):  # most node pairs are left: one matrix product
-            cos = a.x[pa_] @ b.x[pb_].T
-            d = np.sqrt(np.maximum(2 - 2 * cos, 0))
-            ok = (d <= ra[:, None] + rb[None, :] + tau)[i, j]
+        if step and every:  # no node pair was pruned above: all pairs of this level, by a matrix product
+            i, j = _near_nodes(a.x[pa_], ra, b.x[pb_], rb, tau)
         else:
+            if step:
+                i, j = _expand(i, j, a.levels[la][1] if la == step else None, b.levels[lb][1] if lb == step else None,
+                               len(a.levels[la - 1][0]) if la == step else 0, len(b.levels[lb - 1][0]) if lb == step else 0)
             ok = np.empty(len(i), bool)
             for at in range(0, len(i), 1 << 15):
                 p, q = i[at:at + (1 << 15)], j[at:at + (1 << 15)]
                 cos = np.einsum("ij,ij->i", a.x[pa_[p]], b.x[pb_[q]])
                 ok[at:at + (1 << 15)] = np.sqrt(np.maximum(2 - 2 * cos, 0)) <= ra[p] + rb[q] + tau
-        i, j = i[ok], j[ok]
+            i, j = i[ok], j[ok]
         if not len(i):
             return i, j
+        every = len(i) == len(pa_) * len(pb_)
     exact = np.empty(len(i), bool)
     for at in range(0, len(i), 1 << 15):
         exact[at:at + (1 << 15)] = np.einsum("ij,ij->i", a.x[i[at:at + (1 << 15)]], b.x[j[at:at + (1 << 15)]]) >= threshold
     return i[exact], j[exact]
 
 
+def _near_nodes(x: np.ndarray, rx: np.ndarray, y: np.ndarray, ry: np.ndarray, tau: float):
+    """All node pairs no further apart than both radii plus tau. In single precision with a slack that
+    covers its rounding; what it lets through is measured again in double precision."""
+    cos = x.astype(np.float32) @ y.astype(np.float32).T
+    near = np.empty(cos.shape, bool)
+    for radius in np.unique(rx):  # most nodes are points of radius 0; 0 comes first, the others follow
+        rows = slice(None) if radius == rx.min() else np.flatnonzero(rx == radius)
+        reach = np.minimum(radius + ry + tau, 2)
+        least = (1 - reach * reach / 2 - 1e-5).astype(np.float32)
+        near[rows] = cos[rows] >= least
+    return np.nonzero(near)
+
+
 def _expand(i, j, parents_a, parents_b, na: int, nb: int):
     """Children pairs of node pairs; a tree without a further level keeps its nodes."""
     for parents, n, first in ((parents_a, na, True), (parents_b, nb, False)):
