@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from orderpulse.llm.common import shipped
 
 SAMPLE = 2_000               # labelled pages that the weights are learnt from
+LEAST = 50                   # tokens of a kind that its learnt weight takes; below, the built-in one holds
 #: Elements whose content is not text of the page.
 RAW = frozenset("script style noscript template textarea iframe svg canvas object title select math video audio".split())
 #: Elements that never hold main text.
@@ -175,7 +176,7 @@ def learn_weights(pages: DataFrame, sample: int = SAMPLE, id_col: str = "page_id
     weights = {}
     for r in counts:
         odds = float(np.clip(np.log((r.n1 + 0.5) / (n1 + 1)) - np.log((r.n0 + 0.5) / (n0 + 1)), -4, 4))
-        if r.kind not in ("word:aside", "tag:aside"):  # tags score negative, if only just
+        if r.n1 + r.n0 >= LEAST and r.kind not in ("word:aside", "tag:aside"):  # tags score negative, if only just
             weights[r.kind] = odds if r.kind.startswith("word:") else min(odds, -0.005)
     return weights
 
