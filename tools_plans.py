@@ -9,7 +9,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from orderpulse.operators.upsert import advance_state  # noqa: E402
+from orderpulse.operators.upsert import latest_source, merge_latest  # noqa: E402
 from orderpulse.plans.catalogue import QUERIES, TWO_BATCHES, run_stream_waves  # noqa: E402
 from orderpulse.session import get_spark  # noqa: E402
 from orderpulse.sources.fixtures import fx_events  # noqa: E402
@@ -18,11 +18,11 @@ NOTES = {
     "latest_status": "partial max(struct) before the exchange; pruned ReadSchema",
     "latest_status_window": "partial WindowGroupLimit before the exchange",
     "merge_two_batches_fold": "one scan, one exchange, then the fold",
-    "state_merge": "bucketed state scan (no exchange) joined with the reduced batch",
+    "state_merge": "the touched buckets of the state joined with the reduced batch",
     "orphan_orders": "anti join",
     "enrich_price": "broadcast behind a measured size bound",
     "dashboard_metrics": "each source aggregated once, one-row results stacked",
-    "status_transitions": "range partitions + boundary carry (checkpointed input)",
+    "status_transitions": "range partitions + boundary carry from Arrow batches (checkpointed input)",
     "recent_status_top1000": "TakeOrderedAndProject",
 }
 
@@ -38,15 +38,15 @@ def final_plan(df) -> str:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = get_spark("local[8]")
+    spark = get_spark("local[8]", shuffle_partitions=8)
     out = [f"# Executed plans ({sf_dir}, local[8], AQE on)\n",
            "Generated by `python tools_plans.py`. Expression ids and local paths are stripped.\n"]
     for name, note in NOTES.items():
         if name == "state_merge":
             store = run_stream_waves(spark, sf_dir, TWO_BATCHES)
             c = store.latest_commit()
-            df = advance_state(store.read_state(commit=c), fx_events(spark, sf_dir).where("batch_id = 3"),
-                               True, store.buckets(c))
+            source = latest_source(fx_events(spark, sf_dir).where("batch_id = 3"))
+            df = merge_latest(store.read_state(commit=c, only=store.touched(source, c)), source, True)
         else:
             df = QUERIES[name](spark, sf_dir)
         out.append(f"## {name}\n\n{note}\n\n```\n{final_plan(df)}\n```\n")

@@ -32,7 +32,7 @@ def main() -> None:
     run_dir = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     log_dir = f"{run_dir}/eventlog"
     os.makedirs(log_dir)
-    spark = get_spark("local[8]", extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
+    spark = get_spark("local[8]", shuffle_partitions=8, extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
                                          "spark.eventLog.rolling.enabled": "false",
                                          "spark.eventLog.compress": "false",
                                          "spark.sql.adaptive.coalescePartitions.enabled": "false"})
