@@ -64,7 +64,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """``docs`` with ``_size``, ``_source_size``, ``_target`` and ``_copies``, each column of ``docs``
     unchanged. Only the columns that are asked for later pass the shuffle."""
     key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    rows = docs.withColumns({"_size": text_size(text_col), "_salt": F.substring(F.md5(key), 1, 2)})
+    rows = docs.withColumns({"_size": text_size(text_col), "_salt": F.substring(F.md5(key), 1, 2), "_tie": F.md5(text_col)})
     octave = F.length(F.bin("_size"))
     # bits of the size, and the five leading ones: sizes of a block differ by a sixteenth at most
     rows = rows.withColumn("_bits", octave * 32 + F.call_function("shiftright", F.col("_size"), F.greatest(octave - 5, F.lit(0))))
@@ -82,10 +82,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     blocks = blocks.withColumn("_before", offset + F.coalesce(F.sum(F.col("n") * F.col("_each")).over(so_far), F.lit(0))).drop("n")
     rows = rows.join(blocks, rows[source_col].eqNullSafe(blocks._b_source) & (rows._bits == blocks._b_bits)
                      & (rows._salt == blocks._b_salt)).drop("_b_source", "_b_bits", "_b_salt")
-    inside = W.partitionBy(source_col, "_bits", "_salt").orderBy("_size", id_col, F.md5(text_col))
+    inside = W.partitionBy(source_col, "_bits", "_salt").orderBy("_size", id_col, "_tie")
     end = F.col("_before") + F.row_number().over(inside) * F.col("_each")
     copies = F.expr(f"_end div {UNIT} - (_end - _each) div {UNIT}")
-    return rows.withColumn("_end", end).withColumn("_copies", copies).drop("_end", "_before", "_each", "_bits", "_salt")
+    return rows.withColumn("_end", end).withColumn("_copies", copies).drop("_end", "_before", "_each", "_bits", "_salt", "_tie")
 
 
 def emit(mixed: DataFrame) -> DataFrame:
