@@ -25,13 +25,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from orderpulse.llm.common import shipped, stored
+from orderpulse.llm.common import arrow_rows, shipped, stored
 
 DOCS_PER_SHARD = 4096
 MAX_SHARDS = 20_000          # shard bounds are the only thing kept on the driver
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 18
 KEYS_PER_BUCKET = 4096
-KNOWN_PIECES = 1_500_000      # pieces a worker remembers; beyond it the memory starts afresh
+KNOWN_WORDS = 600_000        # words a worker remembers; beyond it the memory starts afresh
 FILE_SCHEMA = ("shard int, chunk int, width int, keys array<bigint>, offsets array<bigint>, "
                "n_tokens bigint, payload binary")
 INDEX_SCHEMA = ("bucket bigint, n_slots int, pilots binary, fingerprints binary, shards binary, "
@@ -41,13 +41,13 @@ _ENCODERS: dict = {}
 
 
 class PieceEncoder:
-    """Whole-text encoding that remembers the ids of words and of the other pieces between them.
+    """Whole-text encoding that remembers the ids of words met more than once.
 
     A byte-level BPE of this kind joins no text across the space before a word nor across one line
     end, and no letter or digit with a mark after it. So a text whose only white space is single
-    spaces and single line ends is the concatenation of its pieces, each encoded once by the
-    tokenizer; any other text is encoded whole. A full stop or comma before white space is a piece,
-    unless another mark stands before it; then, too, the text is encoded whole.
+    spaces and single line ends is the concatenation of its pieces (line ends, words with the space
+    before them, full stops and commas before white space), each encoded by the tokenizer. Any other
+    text is encoded whole, as is one without a letter or digit before such a full stop or comma.
     """
 
     def __init__(self, path: str, width: int):
@@ -56,12 +56,17 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.code = "H" if width == 2 else "I"
-        self.known: dict[str, bytes] = {}
-        self.marked: set[str] = set()  # known pieces that end in a mark
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         rest = sorted(set(range(256)) - set(shown))
         #: the printable stand-ins of byte-level vocabularies: other bytes are numbered from 256
         self.letters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
+        self.marks = {m: self._whole(m) for m in ("\n", ",", ".")}
+        self.met = bytearray(1 << 22)  # one byte a hash value: whether such a word was met
+        self._start()
+
+    def _start(self) -> None:
+        self.known: dict[str, bytes] = {"\1": self.marks[","], "\2": self.marks["."]}  # word -> ids of space and word
+        self.marked: set[str] = set()  # known words that end in a mark
 
     def _raw(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{self.code}", *ids)
@@ -69,46 +74,57 @@ class PieceEncoder:
     def _whole(self, text: str) -> bytes:
         return self._raw(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _learn(self, piece: str) -> None:
-        if (piece[1:] if piece[:1] == " " else piece).isalpha():  # one word: one step of the model
-            told = "".join(map(self.letters.__getitem__, piece.encode("utf-8")))
-            self.known[piece] = self._raw([t.id for t in self.model.tokenize(told)])
-        else:
-            word = piece.rstrip(_TAIL)
-            if word != piece and word[-1:].isalnum():
-                for part in (word, piece[len(word):]):
-                    if part not in self.known:
-                        self._learn(part)
-                self.known[piece] = self.known[word] + self.known[piece[len(word):]]
-            else:
-                self.known[piece] = self._whole(piece)
-            if not piece[-1:].isalnum() and piece not in _CUT:
-                self.marked.add(piece)
+    def piece(self, text: str) -> bytes:
+        """Ids of a piece."""
+        if (text[1:] if text[:1] == " " else text).isalpha():  # one word: one step of the model
+            told = "".join(map(self.letters.__getitem__, text.encode("utf-8")))
+            return self._raw([t.id for t in self.model.tokenize(told)])
+        word = text.rstrip(_TAIL)
+        if word != text and word[-1:].isalnum():
+            return self.piece(word) + self._whole(text[len(word):])
+        return self._whole(text)
 
     def encode(self, text: str) -> bytes:
-        if any(s in text for s in _JOINED) or not text.isascii() and any(s in text for s in _JOINED_WIDE):
-            return self._whole(text)
-        last = text[-1:] if text[-1:] in (".", ",") and text[-2:-1].isalnum() else ""
-        pieces = (text[:len(text) - len(last)].replace(", ", "\0,\0 ").replace(". ", "\0.\0 ").replace(".\n", "\0.\0\n")
-                  .replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0"))
-        pieces.append(last)
-        known = self.known
-        if len(known) > KNOWN_PIECES:
-            known.clear()
-            self.marked.clear()
-        for piece in [p for p in pieces if p not in known]:
-            self._learn(piece)
-        if not self.marked.isdisjoint(pieces) and _MARKED.search(text):
+        if text[:2] in (". ", ", ") or any(s in text for s in _JOINED) or not text.isascii() and any(s in text for s in _JOINED_WIDE):
             return self._whole(text)
-        return b"".join(map(known.__getitem__, pieces))
+        known, met = self.known, self.met
+        if len(known) > KNOWN_WORDS:
+            self._start()
+            known = self.known
+        out, marked, once = [], False, []
+        for n, line in enumerate(text.split("\n")):
+            if n:
+                out.append(self.marks["\n"])
+            last = line[-1:] if line[-1:] in (".", ",") and line[-2:-1].isalnum() else ""
+            words = (line[:-1] if last else line).replace(", ", " \1 ").replace(". ", " \2 ").split(" ")
+            out.append(self.piece(words[0]))
+            marked = marked or words[0] != "" and not words[0][-1].isalnum()
+            del words[0]
+            for w in words:
+                if w not in known:
+                    known[w] = self.piece(" " + w)
+                    at = hash(w) & 0x3FFFFF
+                    if met[at]:
+                        if not w[-1:].isalnum():
+                            self.marked.add(w)
+                    else:
+                        met[at] = 1
+                        once.append(w)
+                        marked = marked or not w[-1:].isalnum()
+            marked = marked or not self.marked.isdisjoint(words)
+            out.extend(map(known.__getitem__, words))
+            if last:
+                out.append(self.marks[last])
+        for w in once:  # kept from their second text on
+            known.pop(w, None)
+        return self._whole(text) if marked and _MARKED.search(text) else b"".join(out)
 
 
 #: Marks after a word; an apostrophe may belong to it, and < and | to a special token.
 _TAIL = ".,;:!?*#$%&)"
-_CUT = ("", "\n", ",", ".")
 _MARKED = re.compile(r"(?:[^\w\s]|_)[.,][ \n]")
-#: White space that may share a token with its neighbours, and the mark between pieces.
-_JOINED = ("  ", "\n ", " \n", "\n\n", *"\0\t\v\f\r\x1c\x1d\x1e\x1f")
+#: White space that may share a token with its neighbours, and the stand-ins of marks.
+_JOINED = ("  ", "\n ", " \n", "\n\n", " . ", " , ", "\n. ", "\n, ", "., ", ",. ", *"\0\1\2\t\v\f\r\x1c\x1d\x1e\x1f")
 _JOINED_WIDE = tuple("\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
                      "\u2028\u2029\u202f\u205f\u3000")
 
@@ -183,7 +199,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, vocab_size:
             yield row()
 
     ordered = ids.repartition("shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "ids")
-    return stored(ordered.mapInArrow(pack, FILE_SCHEMA), "token-files")
+    with arrow_rows(docs.sparkSession, 1000):
+        return stored(ordered.mapInArrow(pack, FILE_SCHEMA), "token-files")
 
 
 # --- minimal perfect hash ----------------------------------------------------------
@@ -197,10 +214,10 @@ def _mix(x: np.ndarray, seed: int) -> np.ndarray:
         return z ^ (z >> np.uint64(31))
 
 
-def _key_hash(keys, occurrence) -> np.ndarray:
+def _key_hash(keys, occurrence, no_id=None) -> np.ndarray:
     """64-bit hashes of (id, occurrence); a null id hashes as a value of its own."""
-    ids = np.array([0 if k is None or k != k else int(k) for k in keys], np.int64).view(np.uint64)
-    null = np.array([k is None or k != k for k in keys], bool)
+    ids = np.ascontiguousarray(keys, np.int64).view(np.uint64)
+    null = np.zeros(len(ids), bool) if no_id is None else np.asarray(no_id, bool)
     occ = np.asarray(occurrence, np.int64).view(np.uint64)
     return _mix(_mix(ids, 1) ^ _mix(occ, 2) ^ np.where(null, np.uint64(0xA5A5A5A5), np.uint64(0)), 3)
 
@@ -212,7 +229,6 @@ def build_mph(h: np.ndarray) -> np.ndarray:
     n = len(h)
     r = max(1, n // 4)
     group = (_mix(h, 11) % np.uint64(r)).astype(np.int64)
-    h1, h2 = _mix(h, 12) % np.uint64(n), _mix(h, 13) % np.uint64(n) + np.uint64(1)
     order = np.argsort(group, kind="stable")
     starts = np.searchsorted(group[order], np.arange(r + 1))
     sizes = np.diff(starts)
@@ -223,7 +239,7 @@ def build_mph(h: np.ndarray) -> np.ndarray:
             break
         d = 0
         while True:
-            slots = _slots(h1[members][None, :], h2[members][None, :], np.arange(d, d + 256, dtype=np.uint64)[:, None], n)
+            slots = _slots(h[members][None, :], np.arange(d, d + 256, dtype=np.uint64)[:, None], n)
             fits = free[slots].all(1)
             fits[fits] = (np.diff(np.sort(slots[fits], 1), axis=1) > 0).all(1)
             if fits.any():
@@ -238,16 +254,15 @@ def build_mph(h: np.ndarray) -> np.ndarray:
     return pilots
 
 
-def _slots(h1, h2, d, n: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return (_mix(h1 + h2 * (d * np.uint64(0x9E3779B9) + np.uint64(1)), 14) % np.uint64(n)).astype(np.int64)
+def _slots(h, d, n: int) -> np.ndarray:
+    """Slots under displacement ``d``: from all 64 bits, so distinct hashes part under some d."""
+    return (_mix(h ^ _mix(d, 12), 13) % np.uint64(n)).astype(np.int64)
 
 
 def mph_slots(h: np.ndarray, pilots: np.ndarray, n: int) -> np.ndarray:
     """Slot of each hash; of a key that was not indexed, any slot."""
     p = pilots[(_mix(h, 11) % np.uint64(len(pilots))).astype(np.int64)]
-    h1, h2 = _mix(h, 12) % np.uint64(n), _mix(h, 13) % np.uint64(n) + np.uint64(1)
-    return np.where(p < 0, -p - 1, _slots(h1, h2, np.maximum(p, 0).astype(np.uint64), n))
+    return np.where(p < 0, -p - 1, _slots(h, np.maximum(p, 0).astype(np.uint64), n))
 
 
 def fingerprint(h: np.ndarray) -> np.ndarray:
@@ -266,11 +281,13 @@ def build_index(files: DataFrame, buckets: int) -> DataFrame:
     places = places.select("doc_id", "shard", "chunk", F.element_at("offsets", F.col("pos") + 1).alias("at"),
                            (F.coalesce(F.try_element_at("offsets", F.col("pos") + 2), F.col("n_tokens"))
                             - F.element_at("offsets", F.col("pos") + 1)).alias("n"), _bucket(buckets))
+    # pandas would turn a column of whole numbers with nulls into floats
+    places = places.withColumns({"no_id": F.col("doc_id").isNull(), "doc_id": F.coalesce("doc_id", F.lit(0))})
 
     def build(key, pdf):
-        pdf = pdf.sort_values(["doc_id", "shard", "chunk", "at"], na_position="first", kind="stable")
-        occ = pdf.groupby("doc_id", dropna=False).cumcount()
-        h = _key_hash(pdf["doc_id"].tolist(), occ.to_numpy())
+        pdf = pdf.sort_values(["no_id", "doc_id", "shard", "chunk", "at"], kind="stable")
+        occ = pdf.groupby(["no_id", "doc_id"]).cumcount()
+        h = _key_hash(pdf["doc_id"].to_numpy(), occ.to_numpy(), pdf["no_id"].to_numpy())
         pilots = build_mph(h)
         to = np.argsort(mph_slots(h, pilots, len(h)))
         cols = {name: pdf[c].to_numpy()[to].astype(t).tobytes()
@@ -293,14 +310,15 @@ def locate(index: DataFrame, keys: DataFrame, buckets: int) -> DataFrame:
         if right.empty or left.empty:
             return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("doc_id", "occurrence", "shard", "chunk", "at", "n")})
         row = right.iloc[0]
-        h = _key_hash(left["doc_id"].tolist(), left["occurrence"].to_numpy())
+        h = _key_hash(left["doc_id"].to_numpy(), left["occurrence"].to_numpy(), left["no_id"].to_numpy())
         slot = mph_slots(h, np.frombuffer(row.pilots, "<i8"), int(row.n_slots))
         known = np.frombuffer(row.fingerprints, "<u4")[slot] == fingerprint(h)
-        out = {"doc_id": left["doc_id"], "occurrence": left["occurrence"]}
+        out = {"doc_id": left["doc_id"].astype("Int64").mask(left["no_id"]), "occurrence": left["occurrence"]}
         out |= {to: np.frombuffer(row[c], t)[slot] for (c, t), to in zip(_SLOT.items(), ("shard", "chunk", "at", "n"))}
         return pd.DataFrame(out)[known]
 
-    keyed = shipped(keys).select("doc_id", "occurrence", _bucket(buckets))
+    keyed = shipped(keys).select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "occurrence",
+                                 F.col("doc_id").isNull().alias("no_id"), _bucket(buckets))
     return keyed.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInPandas(find, schema)
 
 
@@ -318,14 +336,22 @@ def read_payloads(files: DataFrame) -> DataFrame:
                      pa.array(cuts[:-1], pa.int64()), pa.array(np.diff(cuts), pa.int64()), pa.array(crc, pa.int64())],
                     ["shard", "chunk", "at", "n", "ids_crc32"])
 
-    return shipped(files).select("shard", "chunk", "width", "offsets", "payload").mapInArrow(
+    rows = shipped(files).select("shard", "chunk", "width", "offsets", "payload").mapInArrow(
         run, "shard int, chunk int, at bigint, n bigint, ids_crc32 bigint")
+    with arrow_rows(files.sparkSession, 32):
+        return stored(rows, "token-payloads")
 
 
 def chunk_starts(files: DataFrame) -> DataFrame:
-    """(shard, chunk, first): ids in all chunks before; one row per chunk of a few MB."""
-    before = W.orderBy("shard", "chunk").rowsBetween(W.unboundedPreceding, -1)
-    return files.select("shard", "chunk", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("first"))
+    """(shard, chunk, first): ids in all chunks before: sums of the shards (at most MAX_SHARDS) added up in
+    order, and inside a shard those of its chunks."""
+    before = lambda w: F.coalesce(F.sum("n_tokens").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    chunks = files.select("shard", "chunk", "n_tokens")
+    shards = chunks.groupBy("shard").agg(F.sum("n_tokens").alias("n_tokens"))
+    shards = shards.select("shard", before(W.orderBy("shard")).alias("base"))
+    inside = before(W.partitionBy("shard").orderBy("chunk"))
+    return chunks.select("shard", "chunk", inside.alias("in_shard")).join(shards, "shard").select(
+        "shard", "chunk", (F.col("base") + F.col("in_shard")).alias("first"))
 
 
 def token_output(docs: DataFrame, tokenizer: str, end_id: int, vocab_size: int = 1 << 16,
