@@ -20,6 +20,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -47,18 +48,36 @@ def tokens(text: str | None) -> list[str]:
     return _TOKEN.findall(text.lower())
 
 
+def allowed_edits(term: str) -> int:
+    """Edits under which a word still counts as a misspelling of the term."""
+    n = len(term.rstrip("*"))
+    return 0 if n < 5 else 1 if n < 10 else 2
+
+
 class Trie:
     """Lexicon trie. A term that ends in ``*`` matches every word that it opens."""
 
-    __slots__ = ("root",)
-
     def __init__(self, terms):
         self.root: dict = {}
+        #: parts of the terms where a misspelt word must have one: of a term cut in one part more than its
+        #: edits, one part is left as it is, at most that many places away (and the first letter agrees)
+        parts: dict[tuple, dict] = {}
         for term in terms:
-            node = self.root
-            for ch in term.rstrip("*"):
+            node, stem = self.root, term.rstrip("*")
+            for ch in stem:
                 node = node.setdefault(ch, {})
             node["" if not term.endswith("*") else "*"] = term
+            edits = allowed_edits(term)
+            if not edits:
+                continue
+            cuts = [1 + (len(stem) - 1) * k // (edits + 1) for k in range(edits + 2)]
+            lengths = [0] if term.endswith("*") else range(len(stem) - edits, len(stem) + edits + 1)
+            for p, q in zip(cuts, cuts[1:]):
+                for n in lengths:
+                    for at in range(max(1, p - edits), p + edits + 1):
+                        parts.setdefault((stem[0], n), {}).setdefault((at, at + q - p), set()).add(stem[p:q])
+        #: by first letter and word length (0: any), [(start, end, parts)]
+        self.parts = {k: [(*at, frozenset(s)) for at, s in sorted(v.items())] for k, v in parts.items()}
 
     def exact(self, word: str) -> str | None:
         node = self.root
@@ -71,23 +90,28 @@ class Trie:
         return node.get("") or node.get("*")
 
     def fuzzy(self, word: str) -> tuple[str, int] | None:
-        """(term, edits) of the nearest term that the automaton of ``word`` accepts: one edit
-        from five letters on, two from ten; the first letter must agree."""
-        most = 0 if len(word) < 5 else 1 if len(word) < 10 else 2
-        best: tuple[str, int] | None = None
-        node = self.root.get(word[:1])
-        if not most or node is None:
+        """(term, edits) of the nearest term that the automaton of ``word`` accepts: one edit for
+        terms of five letters, two from ten; the first letter must agree."""
+        first = word[:1]
+        node = self.root.get(first)
+        if node is None:
             return None
+        for n in (len(word), 0):
+            if any([word[i:j] in parts for i, j, parts in self.parts.get((first, n), ())]):
+                break
+        else:
+            return None
+        best: tuple[str, int] | None = None
         rest = word[1:]
         # the automaton's state is the row of edit distances of the letters read so far
         stack = [(node, list(range(len(rest) + 1)))]
         while stack:
             node, row = stack.pop()
-            limit = most if best is None else best[1] - 1
+            limit = 2 if best is None else best[1] - 1
             for end in ("", "*"):
                 if end in node:
                     edits = row[-1] if not end else min(row)
-                    if edits <= limit and len(node[end].rstrip("*")) > 4:
+                    if edits <= min(limit, allowed_edits(node[end])) and len(node[end].rstrip("*")) > 4:
                         best, limit = (node[end], edits), edits - 1
             for ch, child in node.items():
                 if len(ch) != 1 or ch == "*":
@@ -105,25 +129,22 @@ class Matcher:
 
     def __init__(self, terms, known=()):
         self.trie, self.known = Trie(terms), frozenset(known)
-        self.seen: dict[str, tuple[str, int] | None] = {}
-
-    def look_up(self, word: str) -> tuple[str, int] | None:
-        got = self.seen.get(word, 0)
-        if got == 0:
-            term = self.trie.exact(word)
-            got = (term, 0) if term else None if word in self.known else self.trie.fuzzy(word)
-            if len(self.seen) > 500_000:
-                self.seen.clear()
-            self.seen[word] = got
-        return got
+        self.seen: set[str] = set()  # words looked up
+        self.found: dict[str, tuple[str, int]] = {}  # those that are hits
 
     def hits(self, words: list[str]) -> list[tuple[int, str, int]]:
-        seen, out = self.seen, []
-        for i, w in enumerate(words):
-            got = seen[w] if w in seen else self.look_up(w)
+        """(place, term, edits) of the words that are terms or misspellings of them."""
+        if len(self.seen) > 500_000:
+            self.seen.clear()
+        for w in set(words) - self.seen:
+            self.seen.add(w)
+            term = self.trie.exact(w)
+            got = (term, 0) if term else None if w in self.known else self.trie.fuzzy(w)
             if got:
-                out.append((i, *got))
-        return out
+                self.found[w] = got
+        if self.found.keys().isdisjoint(words):
+            return []
+        return [(i, *self.found[w]) for i, w in enumerate(words) if w in self.found]
 
     def statistics(self, text: str | None) -> list[float]:
         words = tokens(text)
@@ -157,18 +178,40 @@ def learning_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", samp
     return texts.join(F.broadcast(known), "doc_id")
 
 
+def _terms_of(text: str | None) -> set[str]:
+    """Words of a text and their openings."""
+    words = {w for w in tokens(text) if len(w) > 3 and w.isalpha()}
+    return words | {w[:k] + "*" for w in words for k in OPENINGS if len(w) >= k}
+
+
+def one_of_copies(rows: DataFrame) -> DataFrame:
+    """One row (text, y) of the rows whose words have the same two minhashes: of copies and near copies,
+    and now and then of texts that share most words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = []
+            for text in batch.column(0).to_pylist():
+                words = [w.encode("utf-8", "surrogatepass") for w in set(tokens(text))]
+                marks.append(",".join(str(min((crc32(w, seed) for w in words), default=0)) for seed in (1, 2)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks, pa.string())], ["text", "y", "mark"])
+
+    marked = shipped(rows).select("text", "y").mapInArrow(run, "text string, y int, mark string")
+    return marked.groupBy("y", "mark").agg(F.min("text").alias("text")).select("text", "y")
+
+
 def learn_lexicon(rows: DataFrame, size: int = LEXICON) -> list[str]:
-    """Terms whose share of toxic rows is out of reach of chance, the most frequent first."""
+    """Terms whose share of toxic texts is out of reach of chance, the most frequent first. Copies of one
+    text count once: else a toxic text with many copies would make all its words look toxic."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = {w for w in tokens(text) if len(w) > 3 and w.isalpha()}
-                counts[y].update(words | {w[:k] + "*" for w in words for k in OPENINGS if len(w) >= k})
+                counts[y].update(_terms_of(text))
         terms = list(counts[0].keys() | counts[1].keys())
         yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([counts[0][t] for t in terms], pa.int64()),
                                           pa.array([counts[1][t] for t in terms], pa.int64())], ["term", "n0", "n1"])
 
+    rows = stored(one_of_copies(rows), "toxic-texts")
     n = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
     if not n.get(0) or not n.get(1):
         return []
