@@ -20,6 +20,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 from zlib import crc32
 
 import numpy as np
@@ -34,6 +35,10 @@ SAMPLE = 20_000              # labelled rows that the lexicon and the regression
 LEXICON = 2_000              # terms at most
 OPENINGS = (4, 5, 6, 7)      # lengths of word openings that may become terms
 WINDOW = 6                   # words on either side of a hit
+ROUNDS = 3                   # of looking for near copies, each by other minhashes
+ALIKE = 0.8                  # shared part of the words of near copies
+_PRIME = np.uint64(2**31 - 1)
+_FACTORS = np.array([int(blake2b(bytes([k]), digest_size=4).hexdigest(), 16) % (2**31 - 2) + 1 for k in range(2 * ROUNDS)], np.uint64)
 #: Reporting and mentioning words, and marks of quotation.
 REPORTING = frozenset("said says wrote called quote quoted word term dit disait mot sagte wort genannt dijo palabra".split())
 QUOTES = frozenset("\"“”„«»‘’'`")
@@ -184,19 +189,45 @@ def _terms_of(text: str | None) -> set[str]:
     return words | {w[:k] + "*" for w in words for k in OPENINGS if len(w) >= k}
 
 
+def minhashes(words: set[str]) -> list[int]:
+    """``ROUNDS`` marks of a word set, each of two minima: sets that share most words often agree in one."""
+    h = np.array([crc32(w.encode("utf-8", "surrogatepass")) for w in words] or [0], np.uint64)
+    low = [int(((h * odd + np.uint64(1)) % _PRIME).min()) for odd in _FACTORS]
+    return [a << 31 | b for a, b in zip(low[::2], low[1::2])]
+
+
+def near_copies(a: set[str], b: set[str]) -> bool:
+    """Word sets that share at least ``ALIKE`` of their words."""
+    return len(a & b) >= ALIKE * len(a | b)
+
+
 def one_of_copies(rows: DataFrame) -> DataFrame:
-    """One row (text, y) of the rows whose words have the same two minhashes: of copies and near copies,
-    and now and then of texts that share most words."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row (text, y) of the rows of a label that have the same word set, and of near copies: in every
+    round a text falls to the smallest text with the same two minhashes, if their word sets are alike.
+    All other texts stay."""
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = []
-            for text in batch.column(0).to_pylist():
-                words = [w.encode("utf-8", "surrogatepass") for w in set(tokens(text))]
-                marks.append(",".join(str(min((crc32(w, seed) for w in words), default=0)) for seed in (1, 2)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks, pa.string())], ["text", "y", "mark"])
+            sets = [set(tokens(text)) for text in batch.column(0).to_pylist()]
+            keys = [blake2b("\n".join(sorted(w)).encode("utf-8", "surrogatepass"), digest_size=16).digest() for w in sets]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary()),
+                                              pa.array([minhashes(w) for w in sets], pa.list_(pa.int64()))],
+                                             ["text", "y", "words", "marks"])
 
-    marked = shipped(rows).select("text", "y").mapInArrow(run, "text string, y int, mark string")
-    return marked.groupBy("y", "mark").agg(F.min("text").alias("text")).select("text", "y")
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [first is None or first == text or not near_copies(set(tokens(text)), set(tokens(first)))
+                    for text, first in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist())]
+            yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1, 2])
+
+    marked = shipped(rows).select("text", "y").mapInArrow(mark, "text string, y int, words binary, marks array<bigint>")
+    kept = marked.groupBy("y", "words").agg(F.min(F.struct("text", "marks")).alias("r")).select("r.text", "y", "r.marks")
+    for k in range(ROUNDS):
+        kept = stored(kept, "toxic-copies")
+        by = kept.withColumn("mark", F.col("marks")[k])
+        first = by.groupBy("y", "mark").agg(F.min("text").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+        kept = (by.join(first, ["y", "mark"], "left").select("text", "y", "marks", "first")
+                .mapInArrow(others, "text string, y int, marks array<bigint>"))
+    return kept.select("text", "y")
 
 
 def learn_lexicon(rows: DataFrame, size: int = LEXICON) -> list[str]:

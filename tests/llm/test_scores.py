@@ -132,3 +132,19 @@ def test_quotation_counts_apart_from_abuse():
     assert quoted["hits"] == 0 and quoted["quoted"] > 0
     assert misspelt["hits"] == 0 and misspelt["misspelt"] > 0
     assert m.statistics(None) == m.statistics("") == m.statistics("clean text")
+
+
+def test_only_copies_and_near_copies_fold(spark):
+    """Every different labelled text counts for the lexicon, also where texts share their most frequent words."""
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(400)]
+    weights = [1 / (i + 1) for i in range(400)]
+    texts = {" ".join(rng.choices(words, weights, k=60)) for _ in range(400)}
+    base = [f"base{i}" for i in range(60)]
+    near = [" ".join(base[:k] + [f"new{k}"] + base[k + 1:]) for k in range(60)]
+    rows = [(t, k % 2) for k, t in enumerate(sorted(texts))]
+    rows += [(" ".join(reversed(t.split())), y) for t, y in rows[:50]] + [(t, 1) for t in near]
+    got = toxicity.one_of_copies(spark.createDataFrame(rows, "text string, y int")).collect()
+    assert {(frozenset(t.split()), y) for t, y in rows[:400]} <= {(frozenset(r.text.split()), r.y) for r in got}
+    assert len([r for r in got if "w0" in r.text.split() or "base" not in r.text]) == 400
+    assert 1 <= len([r for r in got if "base" in r.text]) <= 10
