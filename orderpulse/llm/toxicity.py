@@ -1,8 +1,9 @@
 """Toxicity: Levenshtein automata intersected with a lexicon trie, and context windows.
 
 The lexicon is learnt from labelled rows: words, and openings of words for languages that inflect,
-that stand in toxic texts far more often than chance allows. Every word of a text is run as a
-Levenshtein automaton against the trie of the lexicon, which finds terms and misspellings of them.
+that stand in toxic texts far more often than chance allows. Every word of a text, and neighbouring
+words joined by a symbol, is run as a Levenshtein automaton (with swaps) against the trie of the
+lexicon, which finds terms and misspellings of them.
 Each hit is scored by a window of words around it: quotation marks and reporting words speak for
 quotation, closeness of other hits for abuse. A logistic regression on the hit statistics of the
 learning rows gives the score.
@@ -42,7 +43,11 @@ _FACTORS = np.array([int(blake2b(bytes([k]), digest_size=4).hexdigest(), 16) % (
 #: Reporting and mentioning words, and marks of quotation.
 REPORTING = frozenset("said says wrote called quote quoted word term dit disait mot sagte wort genannt dijo palabra".split())
 QUOTES = frozenset("\"“”„«»‘’'`")
-_TOKEN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+|[\"“”„«»‘’`]")
+_LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_TOKEN = re.compile(_LETTERS + r"|[\"“”„«»‘’`]")
+#: Words with one or two ASCII symbols between them and no space: perhaps one word with masked letters.
+_GAP = re.compile(r"([!#-/:-@\[-_{-~]{1,2})")
+_CHAIN = re.compile(f"{_LETTERS}(?:{_GAP.pattern}{_LETTERS})+")
 FEATURES = ("hits", "misspelt", "rate", "density", "quoted")
 
 
@@ -56,7 +61,23 @@ def tokens(text: str | None) -> list[str]:
 def allowed_edits(term: str) -> int:
     """Edits under which a word still counts as a misspelling of the term."""
     n = len(term.rstrip("*"))
-    return 0 if n < 5 else 1 if n < 10 else 2
+    return 0 if n < 4 else 1 if n < 10 else 2
+
+
+def _parts(stem: str, edits: int) -> Iterator[tuple[int, int, str]]:
+    """(edits left, place, part): a word within so many edits of the stem has one of the parts, at most the
+    edits left away from its place. Of a stem cut in one part more than its edits, every edit changes one
+    part, but a swap over a cut two: such swaps are made beforehand."""
+    cuts = [len(stem) * k // (edits + 1) for k in range(edits + 2)]
+    for swaps in range(2 ** edits):
+        letters, left = list(stem), edits
+        for k in range(edits):
+            if swaps >> k & 1:
+                at, left = cuts[k + 1], left - 1
+                letters[at - 1], letters[at] = letters[at], letters[at - 1]
+        made = "".join(letters)
+        for p, q in zip(cuts, cuts[1:]) if left else [(0, len(stem))]:
+            yield left, p, made[p:q]
 
 
 class Trie:
@@ -64,24 +85,20 @@ class Trie:
 
     def __init__(self, terms):
         self.root: dict = {}
-        #: parts of the terms where a misspelt word must have one: of a term cut in one part more than its
-        #: edits, one part is left as it is, at most that many places away (and the first letter agrees)
-        parts: dict[tuple, dict] = {}
+        parts: dict[int, dict] = {}
         for term in terms:
-            node, stem = self.root, term.rstrip("*")
+            node, stem, edits = self.root, term.rstrip("*"), allowed_edits(term)
             for ch in stem:
                 node = node.setdefault(ch, {})
+                node["most"] = max(node.get("most", 0), edits)  # edits that the terms below allow
             node["" if not term.endswith("*") else "*"] = term
-            edits = allowed_edits(term)
             if not edits:
                 continue
-            cuts = [1 + (len(stem) - 1) * k // (edits + 1) for k in range(edits + 2)]
-            lengths = [0] if term.endswith("*") else range(len(stem) - edits, len(stem) + edits + 1)
-            for p, q in zip(cuts, cuts[1:]):
-                for n in lengths:
-                    for at in range(max(1, p - edits), p + edits + 1):
-                        parts.setdefault((stem[0], n), {}).setdefault((at, at + q - p), set()).add(stem[p:q])
-        #: by first letter and word length (0: any), [(start, end, parts)]
+            for left, p, part in _parts(stem, edits):
+                for n in [0] if term.endswith("*") else range(len(stem) - left, len(stem) + left + 1):
+                    for at in range(max(0, p - left), p + left + 1):
+                        parts.setdefault(n, {}).setdefault((at, at + len(part)), set()).add(part)
+        #: by word length (0: any), [(start, end, parts)]: a misspelt word must have one of them
         self.parts = {k: [(*at, frozenset(s)) for at, s in sorted(v.items())] for k, v in parts.items()}
 
     def exact(self, word: str) -> str | None:
@@ -94,38 +111,41 @@ class Trie:
                 return None
         return node.get("") or node.get("*")
 
-    def fuzzy(self, word: str) -> tuple[str, int] | None:
-        """(term, edits) of the nearest term that the automaton of ``word`` accepts: one edit for
-        terms of five letters, two from ten; the first letter must agree."""
-        first = word[:1]
-        node = self.root.get(first)
-        if node is None:
-            return None
+    def fuzzy(self, word: str, narrow: bool = True) -> tuple[str, int] | None:
+        """(term, edits) of the nearest term that the automaton of ``word`` accepts: one edit for terms of
+        four letters, two from ten. An edit is a letter too many, too few, another, or two neighbours swapped.
+        ``narrow``: the first letter must agree, terms have five letters and a swap is two edits."""
         for n in (len(word), 0):
-            if any([word[i:j] in parts for i, j, parts in self.parts.get((first, n), ())]):
+            if any([word[i:j] in parts for i, j, parts in self.parts.get(n, ())]):
                 break
         else:
             return None
+        node, rest = (self.root.get(word[:1]), word[1:]) if narrow else (self.root, word)
+        if node is None:
+            return None
         best: tuple[str, int] | None = None
-        rest = word[1:]
-        # the automaton's state is the row of edit distances of the letters read so far
-        stack = [(node, list(range(len(rest) + 1)))]
+        # the automaton's state is the row of edit distances of the letters read so far, and for swaps the
+        # last letter and the row before it
+        stack = [(node, list(range(len(rest) + 1)), "", [])]
         while stack:
-            node, row = stack.pop()
+            node, row, last, before = stack.pop()
             limit = 2 if best is None else best[1] - 1
             for end in ("", "*"):
                 if end in node:
                     edits = row[-1] if not end else min(row)
-                    if edits <= min(limit, allowed_edits(node[end])) and len(node[end].rstrip("*")) > 4:
+                    if edits <= min(limit, allowed_edits(node[end])) and len(node[end].rstrip("*")) > (4 if narrow else 3):
                         best, limit = (node[end], edits), edits - 1
             for ch, child in node.items():
                 if len(ch) != 1 or ch == "*":
                     continue
+                most = min(limit, child["most"])
                 new = [row[0] + 1]
                 for i, c in enumerate(rest):
                     new.append(min(new[i] + 1, row[i + 1] + 1, row[i] + (c != ch)))
-                if min(new) <= limit:
-                    stack.append((child, new))
+                    if i and before and not narrow and c == last and rest[i - 1] == ch:
+                        new[-1] = min(new[-1], before[i - 1] + 1)
+                if min(new) <= most or not narrow and min(row) < most:
+                    stack.append((child, new, ch, row))
         return best
 
 
@@ -137,23 +157,41 @@ class Matcher:
         self.seen: set[str] = set()  # words looked up
         self.found: dict[str, tuple[str, int]] = {}  # those that are hits
 
-    def hits(self, words: list[str]) -> list[tuple[int, str, int]]:
-        """(place, term, edits) of the words that are terms or misspellings of them."""
+    def look_up(self, words: set[str]) -> bool:
+        """Whether any of the words is a hit; ``found`` then has it."""
         if len(self.seen) > 500_000:
             self.seen.clear()
-        for w in set(words) - self.seen:
+        for w in words - self.seen:
             self.seen.add(w)
             term = self.trie.exact(w)
-            got = (term, 0) if term else None if w in self.known else self.trie.fuzzy(w)
+            got = (term, 0) if term else None if w in self.known else self.trie.fuzzy(w, narrow=False)
             if got:
                 self.found[w] = got
-        if self.found.keys().isdisjoint(words):
-            return []
-        return [(i, *self.found[w]) for i, w in enumerate(words) if w in self.found]
+        return not self.found.keys().isdisjoint(words)
+
+    def hits(self, text: str | None, words: list[str]) -> list[tuple[int, str, int]]:
+        """(place, word, edits) of the words of the text that are terms or misspellings of them, and of words
+        that are so only with the symbols inside them."""
+        out = [(i, w, self.found[w][1]) for i, w in enumerate(words) if w in self.found] if self.look_up(set(words)) else []
+        chains = [(m.start(), _GAP.split(m.group())) for m in _CHAIN.finditer(text.lower())] if words else []
+        # every symbol is an edit, so at most two
+        whole = [(start, bits, k, n, "".join(bits[k:k + n])) for start, bits in chains for n in (3, 5)
+                 for k in range(0, len(bits) - n + 1, 2) if n == 3 or len(bits[k + 1]) + len(bits[k + 3]) == 2]
+        if self.look_up({w for *_, w in whole}):
+            hit = {i for i, *_ in out}
+            for start, bits, k, n, w in whole:
+                if w in self.found:
+                    at = len(_TOKEN.findall(text.lower()[:start])) + k // 2
+                    places = range(at, at + n // 2 + 1)
+                    if hit.isdisjoint(places):
+                        hit.update(places)
+                        out.append((at, w, self.found[w][1]))
+            out.sort()
+        return out
 
     def statistics(self, text: str | None) -> list[float]:
         words = tokens(text)
-        hits = self.hits(words)
+        hits = self.hits(text, words)
         exact = misspelt = quoted = density = 0.0
         at = [i for i, _, _ in hits]
         for k, (i, _, edits) in enumerate(hits):
@@ -274,8 +312,7 @@ def look_alikes(rows: DataFrame, terms: list[str]) -> list[str]:
         matcher, found = Matcher(terms), set()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                words = tokens(text)
-                found.update(words[i] for i, _, edits in matcher.hits(words) if edits)
+                found.update(w for _, w, edits in matcher.hits(text, tokens(text)) if edits)
         yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], ["word"])
 
     harmless = shipped(rows).where("y = 0").select("text").mapInArrow(run, "word string")

@@ -148,3 +148,46 @@ def test_only_copies_and_near_copies_fold(spark):
     assert {(frozenset(t.split()), y) for t, y in rows[:400]} <= {(frozenset(r.text.split()), r.y) for r in got}
     assert len([r for r in got if "w0" in r.text.split() or "base" not in r.text]) == 400
     assert 1 <= len([r for r in got if "base" in r.text]) <= 10
+
+
+def edits_and_swaps(a, b):
+    d = [[max(i, j) if not i or not j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+    return d[-1][-1]
+
+
+def test_automata_with_swaps_find_all_misspellings():
+    rng = random.Random(5)
+    terms = sorted({"".join(rng.choice("abcde") for _ in range(rng.randint(2, 13))) for _ in range(60)})
+    most = {t: 0 if len(t) < 4 else 1 if len(t) < 10 else 2 for t in terms}
+    trie, openings = toxicity.Trie(terms), toxicity.Trie([t + "*" for t in terms if len(t) > 3])
+    found = 0
+    for _ in range(3000):
+        word = list(rng.choice(terms))
+        for _ in range(rng.randint(0, 3)):
+            i = rng.randrange(len(word))
+            kind = rng.randrange(4)
+            word[i:i + 1 + (kind == 3)] = {0: [], 1: [rng.choice("abcde")], 2: [word[i], rng.choice("abcde")], 3: word[i:i + 2][::-1]}[kind]
+            word = word or ["a"]
+        word = "".join(word)
+        best = min((d for t in terms if (d := edits_and_swaps(word, t)) <= most[t] and len(t) > 3), default=None)
+        got = trie.fuzzy(word, narrow=False)
+        assert (got[1] if got else None) == best, (word, got, best)
+        best = min((d for t in terms if len(t) > 3 for j in range(len(word) + 1) if (d := edits_and_swaps(word[:j], t)) <= most[t]), default=None)
+        got = openings.fuzzy(word, narrow=False)
+        assert (got[1] if got else None) == best, (word, got, best)
+        found += bool(best)
+    assert found > 300
+
+
+@pytest.mark.parametrize("word", "scm scmu scuum 1diot 5tupid idoit clwon stupdi id!ot m@ron $tupid st*pid s.tupid".split())
+def test_usual_misspellings_are_hits(word):
+    m = toxicity.Matcher(["scum", "idiot", "clown", "stupid", "moron"])
+    for text in (f"you are {word} and that is known", f"so ({word.upper()}), so-so", word):
+        assert dict(zip(toxicity.FEATURES, m.statistics(text)))["misspelt"] > 0
+    assert m.hits("an idiot-proof id!ot", toxicity.tokens("an idiot-proof id!ot")) == [(1, "idiot", 0), (3, "id!ot", 1)]
+    assert not m.hits("well-known and/or 3.5% x@y.org", toxicity.tokens("well-known and/or 3.5% x@y.org"))
