@@ -1,7 +1,7 @@
 """Toxicity: Levenshtein automata intersected with a lexicon trie, and context windows.
 
 The lexicon is learnt from labelled rows: words, and openings of words for languages that inflect,
-that stand in toxic texts far more often than chance allows. Every word of a text, and neighbouring
+that stand in toxic texts, outside quotations, more often than chance allows. Every word of a text, and neighbouring
 words joined by a symbol, is run as a Levenshtein automaton (with swaps) against the trie of the
 lexicon, which finds terms and misspellings of them.
 Each hit is scored by a window of words around it: quotation marks and reporting words speak for
@@ -36,6 +36,7 @@ SAMPLE = 20_000              # labelled rows that the lexicon and the regression
 LEXICON = 2_000              # terms at most
 OPENINGS = (4, 5, 6, 7)      # lengths of word openings that may become terms
 WINDOW = 6                   # words on either side of a hit
+ODDS = 8.0                   # by which a term's rate in toxic texts exceeds that in others, outside quotations
 ROUNDS = 3                   # of looking for near copies, each by other minhashes
 ALIKE = 0.8                  # shared part of the words of near copies
 _PRIME = np.uint64(2**31 - 1)
@@ -58,6 +59,19 @@ def tokens(text: str | None) -> list[str]:
     return _TOKEN.findall(text.lower())
 
 
+def quoted_places(words: list[str]) -> list[bool]:
+    """Of each word, whether it has quotation marks on both sides or a reporting word in its window."""
+    before, after, told = (bytearray(len(words)) for _ in range(3))
+    for i, w in enumerate(words):
+        quote, reporting = w in QUOTES, w in REPORTING
+        if quote or reporting:
+            for j in range(max(0, i - WINDOW), i):
+                after[j], told[j] = after[j] | quote, told[j] | reporting
+            for j in range(i + 1, min(len(words), i + 1 + WINDOW)):
+                before[j], told[j] = before[j] | quote, told[j] | reporting
+    return [bool(b and a or t) for b, a, t in zip(before, after, told)]
+
+
 def allowed_edits(term: str) -> int:
     """Edits under which a word still counts as a misspelling of the term."""
     n = len(term.rstrip("*"))
@@ -193,13 +207,10 @@ class Matcher:
         words = tokens(text)
         hits = self.hits(text, words)
         exact = misspelt = quoted = density = 0.0
-        at = [i for i, _, _ in hits]
+        at, is_quoted = [i for i, _, _ in hits], quoted_places(words) if hits else []
         for k, (i, _, edits) in enumerate(hits):
-            around = words[max(0, i - WINDOW):i] + words[i + 1:i + 1 + WINDOW]
-            before, after = words[max(0, i - WINDOW):i], words[i + 1:i + 1 + WINDOW]
-            is_quoted = any(w in QUOTES for w in before) and any(w in QUOTES for w in after) or any(w in REPORTING for w in around)
             near = sum(1 for j in at[max(0, k - WINDOW):k + WINDOW + 1] if j != i and abs(j - i) <= WINDOW)
-            if is_quoted and not near:
+            if is_quoted[i] and not near:
                 quoted += 1
             elif edits:
                 misspelt += 1
@@ -222,8 +233,9 @@ def learning_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", samp
 
 
 def _terms_of(text: str | None) -> set[str]:
-    """Words of a text and their openings."""
-    words = {w for w in tokens(text) if len(w) > 3 and w.isalpha()}
+    """Words of a text that stand outside quotations, and their openings."""
+    every = tokens(text)
+    words = {w for w, quoted in zip(every, quoted_places(every)) if not quoted and any(map(str.isalpha, w))}
     return words | {w[:k] + "*" for w in words for k in OPENINGS if len(w) >= k}
 
 
@@ -269,8 +281,9 @@ def one_of_copies(rows: DataFrame) -> DataFrame:
 
 
 def learn_lexicon(rows: DataFrame, size: int = LEXICON) -> list[str]:
-    """Terms whose share of toxic texts is out of reach of chance, the most frequent first. Copies of one
-    text count once: else a toxic text with many copies would make all its words look toxic."""
+    """Terms whose share of toxic texts is out of reach of chance, those with the most evidence first; uses in
+    quotations count for neither side. ``rows`` have each text once: else a toxic text with many copies would
+    make all its words look toxic."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
@@ -280,21 +293,22 @@ def learn_lexicon(rows: DataFrame, size: int = LEXICON) -> list[str]:
         yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([counts[0][t] for t in terms], pa.int64()),
                                           pa.array([counts[1][t] for t in terms], pa.int64())], ["term", "n0", "n1"])
 
-    rows = stored(one_of_copies(rows), "toxic-texts")
     n = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
     if not n.get(0) or not n.get(1):
         return []
     base = n[1] / (n[0] + n[1])
     summed = shipped(rows).select("text", "y").mapInArrow(run, "term string, n0 bigint, n1 bigint")
     summed = stored(summed.groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "toxic-terms")
-    # a term of n1 toxic rows and (nearly) no others comes about by chance with base ^ n1
-    need = math.ceil(math.log(max(summed.count(), 2)) / -math.log(base)) if 0 < base < 1 else 1
-    found = (summed.where(f"n1 >= {max(need, 3)} and n1 >= 19 * n0")
-             .orderBy(F.length("term"), F.col("n1").desc(), "term").limit(20 * size).collect())
+    # by chance n1 of a term's rows and no fewer are toxic with a probability of e ^ -evidence at most
+    share = F.col("n1") / (F.col("n0") + F.col("n1"))
+    evidence = F.col("n1") * F.log(share / base) + F.when(F.col("n0") > 0, F.col("n0") * F.log((1 - share) / (1 - base))).otherwise(0)
+    found = (summed.where(f"n1 >= 3 and n1 * {float(n[0])}D >= {ODDS}D * n0 * {float(n[1])}D").withColumn("evidence", evidence)
+             .where(F.col("evidence") >= math.log(max(summed.count(), 2)))
+             .orderBy(F.col("evidence").desc(), F.length("term"), "term").limit(20 * size).collect())
     # of terms that the same texts make, the most particular: the word before its openings, the longest of these
     chosen: dict[str, int] = {}
     openings: set[str] = set()
-    for r in sorted(found, key=lambda r: (-r.n1, r.term.endswith("*"), -len(r.term), r.term)):
+    for r in sorted(found, key=lambda r: (-r.evidence, r.term.endswith("*"), -len(r.term), r.term)):
         stem = r.term.rstrip("*")
         if any(stem[:k] in openings for k in range(OPENINGS[0], len(stem) + 1)) or any(
                 t.startswith(stem) and n >= 0.9 * r.n1 for t, n in chosen.items()):
@@ -302,21 +316,31 @@ def learn_lexicon(rows: DataFrame, size: int = LEXICON) -> list[str]:
         chosen[r.term] = r.n1
         if r.term.endswith("*"):
             openings.add(stem)
-    return list(chosen)[:size]
+        if len(chosen) == size:
+            break
+    return list(chosen)
 
 
 def look_alikes(rows: DataFrame, terms: list[str]) -> list[str]:
-    """Words of the learning rows that the automata accept but that stand in harmless rows: words of
-    the language, not misspellings."""
+    """Words that the automata accept but that harmless rows use outside quotations, in more than one row and
+    at no smaller rate than toxic rows: words of the language, not misspellings."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher, found = Matcher(terms), set()
+        matcher, counts = Matcher(terms), (Counter(), Counter())
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                found.update(w for _, w, edits in matcher.hits(text, tokens(text)) if edits)
-        yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], ["word"])
+            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = tokens(text)
+                if hits := [h for h in matcher.hits(text, words) if h[2]]:
+                    quoted = quoted_places(words)
+                    counts[y].update({w for i, w, _ in hits if not quoted[i]})
+        found = list(counts[0].keys() | counts[1].keys())
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array([counts[0][w] for w in found], pa.int64()),
+                                          pa.array([counts[1][w] for w in found], pa.int64())], ["word", "n0", "n1"])
 
-    harmless = shipped(rows).where("y = 0").select("text").mapInArrow(run, "word string")
-    return [r.word for r in harmless.distinct().orderBy("word").limit(200_000).collect()]
+    n = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
+    found = shipped(rows).select("text", "y").mapInArrow(run, "word string, n0 bigint, n1 bigint")
+    found = found.groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    known = found.where(f"n0 >= 2 and n0 * {float(n.get(1, 0))}D >= n1 * {float(n.get(0, 0))}D")
+    return [r.word for r in known.orderBy(F.col("n0").desc(), "word").limit(200_000).collect()]
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
@@ -345,8 +369,9 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> Model:
     rows = stored(learning_rows(docs, labels, label, sample), "toxic-learning")
-    terms = learn_lexicon(rows)
-    known = look_alikes(rows, terms) if terms else []
+    once = stored(one_of_copies(rows), "toxic-texts")
+    terms = learn_lexicon(once)
+    known = look_alikes(once, terms) if terms else []
     x = [(r.x, r.y) for r in hit_statistics(rows, terms, known, "y").select("x", "y").collect()]  # at most the sample
     y = np.array([v for _, v in x], float)
     if not len(y) or y.min() == y.max():

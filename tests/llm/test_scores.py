@@ -191,3 +191,19 @@ def test_usual_misspellings_are_hits(word):
         assert dict(zip(toxicity.FEATURES, m.statistics(text)))["misspelt"] > 0
     assert m.hits("an idiot-proof id!ot", toxicity.tokens("an idiot-proof id!ot")) == [(1, "idiot", 0), (3, "id!ot", 1)]
     assert not m.hits("well-known and/or 3.5% x@y.org", toxicity.tokens("well-known and/or 3.5% x@y.org"))
+
+
+def test_terms_that_clean_rows_quote_stay_in_the_lexicon(spark):
+    """Quoted in clean rows, mentioned in a few, of two letters, with combining marks; one misspelling in a clean row."""
+    rng = random.Random(9)
+    other = lambda: " ".join(rng.choice("abcdefghij") * 3 + str(rng.randrange(300)) for _ in range(12))
+    terms = ["idiot", "zq", "\u0915\u092e\u0940\u0928\u093e"]
+    rows = [(f"{other()} you {terms[k % 3]} {other()}", 1) for k in range(150)] + [(other(), 0) for _ in range(300)]
+    rows += [(f'{other()} the word "{t}" here {other()}', 0) for t in terms for _ in range(20)]
+    rows += [(f"{other()} {t} {other()}", 0) for t in terms for _ in range(5)]
+    rows += [(f"{other()} idoit {other()}", 0), (f'{other()} "idiott" {other()}', 0), (f'{other()} said idiott {other()}', 0)]
+    rows += [(f"{other()} idioms {other()}", 0) for _ in range(3)]
+    df = spark.createDataFrame(rows, "text string, y int")
+    assert set(terms) <= set(toxicity.learn_lexicon(df))
+    assert len(toxicity.learn_lexicon(df, size=2)) == 2
+    assert toxicity.look_alikes(df, ["idiot", "idiom"]) == ["idioms"]
