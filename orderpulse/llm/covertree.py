@@ -12,8 +12,8 @@ block that the root bound leaves, so all pairs are found.
 A task holds its own tree and one other at a time and returns, for each point with links, their
 number (by class sizes) and one representative of its links' component: never all pairs.
 
-Defined cases: vectors that are null, empty, zero, of another length than the first block's vectors or with null or
-non-finite components link with nothing; repeated rows are equal vectors and link with each other; a null
+Defined cases: vectors that are null, empty, zero or with null or non-finite components link with nothing;
+vectors of different lengths have no cosine, and each length has trees of its own; repeated rows are equal vectors and link with each other; a null
 id is never the smallest of a component; other columns are ignored; an empty table gives no rows.
 """
 
@@ -194,18 +194,27 @@ def cover_trees(classes: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     n = classes.count()
     rows = max(block_rows, -(-n // MAX_BLOCKS))
     k = max(1, n // rows)
-    dim = classes.agg(F.max(F.size("v"))).first()[0] or 1
-    seeds = classes.where(F.size("v") == dim).orderBy("cls").limit(k).select("v").collect()  # at most MAX_BLOCKS
-    points = np.array([r.v for r in seeds], float).reshape(-1, dim)
-    centers = points / np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-300)
+    # centres by length: only vectors of one length meet; a length without a centre is one cell
+    lengths = [r.dim for r in classes.select(F.size("v").alias("dim")).distinct().orderBy("dim").collect()]
+    seeds = classes.orderBy("cls").limit(k).select("v").collect()  # at most MAX_BLOCKS
+    centers, first, total = {}, {}, 0
+    for dim in lengths:
+        points = np.array([r.v for r in seeds if len(r.v) == dim], float).reshape(-1, dim)
+        centers[dim] = points / np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-300)
+        first[dim], total = total, total + max(1, len(points))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.array(batch.column(1).to_pylist(), float).reshape(-1, dim)
-            cell = np.argmax(x @ centers.T, axis=1) if len(centers) else np.zeros(len(x), int)
+            vectors = batch.column(1).to_pylist()
+            size = np.array([len(v) for v in vectors], int)
+            cell = np.zeros(len(vectors), int)
+            for dim in np.unique(size).tolist():
+                at = np.flatnonzero(size == dim)
+                x = np.array([vectors[i] for i in at], float)
+                cell[at] = first[dim] + (np.argmax(x @ centers[dim].T, axis=1) if len(centers[dim]) else 0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int32())], ["cls", "v", "size", "cell"])
 
-    same = shipped(classes).where(F.size("v") == dim).select("cls", "v", "size")
+    same = shipped(classes).select("cls", "v", "size")
     celled = stored(same.mapInArrow(assign, "cls bigint, v array<double>, size bigint, cell int"), "vector-cells")
     counts = celled.groupBy("cell").count().orderBy("cell").collect()  # one row a cell
     cuts, total = {}, 0
@@ -239,7 +248,7 @@ def links(trees: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     roots = trees.select("block", "center", "radius")
     other = roots.select(F.col("block").alias("b2"), F.col("center").alias("c2"), F.col("radius").alias("r2"))
     apart = F.sqrt(F.aggregate(F.zip_with("center", "c2", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, d: s + d))
-    pairs = (roots.join(F.broadcast(other), F.col("block") <= F.col("b2"))
+    pairs = (roots.join(F.broadcast(other), (F.col("block") <= F.col("b2")) & (F.size("center") == F.size("c2")))
              .where(apart <= F.col("radius") + F.col("r2") + tau).select("block", "b2"))
     # a pair is worked on where either of its blocks lives, in turn
     turn = (F.col("block") + F.col("b2")) % 2 == 0

@@ -148,6 +148,17 @@ def test_near_vectors_against_all_pairs(spark, block):
     assert rows_of(got, "vec_id", "n_links", "component_id") == sorted(brute.near_vectors(rows), key=repr)
 
 
+@pytest.mark.parametrize("block", [2048, 20])
+def test_every_vector_length_is_compared_whole(spark, block):
+    """A stray longer vector leaves the links of the others as they are, and shorter vectors link as well."""
+    usual = [(i, v) for i, v in vectors(n=40) if v and len(v) == 16]
+    other = [(10_000 + (i or 0), v[:5]) for i, v in usual]
+    rows = usual + other + [(50_000, [1.0] * 17)]
+    got = covertree.near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), block_rows=block)
+    want = [*brute.near_vectors(usual), *brute.near_vectors(other), (50_000, 0, 50_000)]
+    assert rows_of(got, "vec_id", "n_links", "component_id") == sorted(want, key=repr)
+
+
 def test_near_vectors_of_the_table(spark):
     rows = [(r.vec_id, r.embedding) for r in read_table(spark, SF, "embeddings").collect()]
     got = QUERIES["op9_cover_tree"](spark, SF)
