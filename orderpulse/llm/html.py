@@ -5,7 +5,8 @@ by kind learnt from labelled pages, and one linear scan finds the contiguous reg
 total: the main content. Kinds of words: in a link or not, in a paragraph, a heading, a list, ...; kinds
 of tags: by name. Parts that are no main text wherever they stand (menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles, comments of readers, hidden parts) score next to nothing,
-so that one inside the content does not tear it, and are left out of the text.
+so that one inside the content does not tear it, and are left out of the text; but an element that holds
+the page's ``main``, or no fewer articles than the page and most of its paragraph words, is a wrapper.
 
 The weight of a kind is its log-odds of standing inside the content against outside. Labelled pages are
 the pages that mark their content themselves (``article`` or ``main``), at most ``SAMPLE`` of them, those
@@ -33,7 +34,7 @@ from orderpulse.llm.common import shipped
 SAMPLE = 2_000               # labelled pages that the weights are learnt from
 LEAST = 50                   # tokens of a kind that its learnt weight takes; below, the built-in one holds
 #: Elements whose content is not text of the page.
-RAW = frozenset("script style noscript template textarea iframe svg canvas object title select math video audio".split())
+RAW = frozenset("script style noscript template textarea iframe svg canvas object title select annotation annotation-xml video audio".split())
 #: Elements that never hold main text.
 ASIDE = frozenset("nav header footer aside form menu dialog button fieldset search".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -47,6 +48,9 @@ BOILER = re.compile(
     r"contentinfo|cookie|cookies|consent|disclaimer|discussion|disqus|footer|header|login|masthead|menu|menubar|modal|nav|navbar|"
     r"navigation|newsletter|notice|notices|overlay|pager|pagination|popup|promo|promoted|promotion|recommended|related|replies|reply|responses|"
     r"search|share|sharing|sidebar|signup|skip|social|sponsor|sponsored|subscribe|teaser|toolbar|widget)s?(?=$|[\s_-])", re.I)
+#: Class words that name a layout, not what the element is.
+LAYOUT = re.compile(r"(?:^|(?<=\s))(?:(?:has|no|with|without)[-_]\S+|\S+[-_](?:open|closed))(?=$|\s)", re.I)
+WRAPS = 0.8                  # of the page's paragraph words: an element with so many is a wrapper, whatever its class
 _TOKEN = re.compile(
     r"<!--(.*?)(?:-->|$)|<!\[CDATA\[(.*?)(?:\]\]>|$)|<[!?][^>]*>?|"
     r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)>?|([^<]+|<)", re.S)
@@ -55,12 +59,27 @@ _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]
 DEFAULT = {"word:text": 0.5, "word:p": 2.0, "word:heading": 1.0, "word:link": -1.0, "word:list": 1.0, "word:aside": -0.01,
            "tag:aside": -0.01}
 TAG_DEFAULT, INLINE_DEFAULT = -0.5, -0.05
-_INLINE = frozenset("b i em strong span a br u s small sub sup code q cite mark abbr time font img wbr".split())
+_INLINE = frozenset("b i em strong span a br u s small sub sup code q cite mark abbr time font img wbr math mi mn mo ms mtext mspace "
+                    "mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle semantics".split())
 
 
 def read(page: str | None) -> list[tuple[str, str, bool, int]]:
-    """Tokens (kind, text, breaks the block, inside the labelled content): a run of words or a tag."""
+    """Tokens (kind, text, breaks the block, inside the labelled content): a run of words or a tag. Elements
+    that are no main text by name or class, but hold the page's content, are read like others."""
+    out, held = _read(page, frozenset())
+    *_, (words, paragraphs, articles, _) = held
+    wrappers = frozenset(k for k, (w, p, a, main) in enumerate(held[:-1]) if main or a == articles and
+                         (p >= WRAPS * paragraphs if paragraphs else words and w >= WRAPS * words))
+    return _read(page, wrappers)[0] if wrappers else out
+
+
+def _read(page: str | None, wrappers: frozenset) -> tuple[list[tuple[str, str, bool, int]], list[list[int]]]:
+    """The tokens, and of each element that is no main text unless it is one of the ``wrappers``, last of the
+    page: [words outside links, of these in paragraphs, articles and mains, mains]."""
     out: list[tuple[str, str, bool, int]] = []
+    held: list[list[int]] = []
+    page_held = [0, 0, 0, 0]
+    within: list[tuple[int, list[int]]] = []  # place in the stack and counts of such elements that are open
     stack: list[tuple[str, bool]] = []  # open elements; whether each is no main text
     aside = content = 0
     at, page = 0, page or ""
@@ -71,6 +90,13 @@ def read(page: str | None) -> list[tuple[str, str, bool, int]]:
             text = entities.unescape(m[6]) if m[6] is not None else m[2]
             if text:
                 names = [n for n, _ in stack]
+                while within and within[-1][0] >= len(stack):
+                    within.pop()
+                if "a" not in names:
+                    n, paragraph = len(text.split()), "p" in names or "pre" in names or "blockquote" in names
+                    for counts in (page_held, *(c for _, c in within)):
+                        counts[0] += n
+                        counts[1] += n * paragraph
                 kind = ("aside" if aside else "p" if "p" in names or "pre" in names or "blockquote" in names else "link" if "a" in names
                         else "heading" if any(n in ("h1", "h2", "h3", "h4", "h5", "h6") for n in names[-3:])
                         else "list" if "li" in names else "text")
@@ -98,18 +124,30 @@ def read(page: str | None) -> list[tuple[str, str, bool, int]]:
                     aside -= off
             said = m[5] or ""
             off = name in ASIDE and not (name == "header" and content)
-            if not off and "=" in said or "hidden" in said:
+            hidden = False
+            if "=" in said or "hidden" in said:
                 told = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(said)}
                 labels = " ".join(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", told.get(k) or "") for k in ("class", "id", "role", "aria-label"))
-                off = off or (name not in ("html", "body", "main") and bool(BOILER.search(labels))) or \
-                    told.get("aria-hidden") == "true" or "display:none" in (told.get("style") or "").replace(" ", "") or \
+                off = off or (name not in ("html", "body", "main") and bool(BOILER.search(LAYOUT.sub(" ", labels))))
+                hidden = told.get("aria-hidden") == "true" or "display:none" in (told.get("style") or "").replace(" ", "") or \
                     bool(re.search(r"(?:^|\s)hidden(?:$|[\s/])", _ATTRIBUTE.sub(" ", said)))
             if name not in VOID and not said.rstrip().endswith("/"):
+                while within and within[-1][0] >= len(stack):
+                    within.pop()
+                if name in ("article", "main"):
+                    for counts in (page_held, *(c for _, c in within)):
+                        counts[2] += 1
+                        counts[3] += name == "main"
+                if off and not hidden:
+                    held.append([0, 0, int(name == "article"), 0])
+                    within.append((len(stack), held[-1]))
+                    off = len(held) - 1 not in wrappers
+                off = off or hidden
                 stack.append((name, bool(off)))
                 aside += bool(off)
                 content += name in ("article", "main")
         out.append(("tag:aside" if aside and name != "br" else f"tag:{name}", "", name in BLOCK, content))
-    return out
+    return out, [*held, page_held]
 
 
 def weight(kind: str, weights: dict[str, float]) -> float:

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -91,6 +92,23 @@ def test_the_article_is_extracted(content):
     assert html.extract(PAGE.replace("{content}", content)) == TEXT
 
 
+@pytest.mark.parametrize("wrapper", ['div class="container with-sidebar"', 'div class="no-sidebar"', 'div class="comments-open"',
+                                     'div class="has-banner"', "form", 'div class="page widget"'])
+@pytest.mark.parametrize("content", ["article", "main", "div"])
+def test_a_wrapper_round_the_page_sets_nothing_aside(wrapper, content):
+    page = PAGE.replace("{content}", f"<{content}>{ARTICLE}</{content}>")
+    body = re.sub(r"(<body[^>]*>)(.*)(</body>)", rf"\1<{wrapper}>\2</{wrapper.split()[0]}>\3", page, flags=re.S)
+    assert body != page and html.extract(body) == TEXT
+    hidden = f'<div style="display:none"><article>{ARTICLE}</article></div>'
+    assert html.extract(hidden) == ""
+
+
+def test_math_text_stays_and_comments_stay_out():
+    assert html.extract("<article><p>so <math><mi>a</mi><mo>=</mo><mn>2</mn></math> holds</p></article>") == "so a=2 holds"
+    page = f'<article>{ARTICLE}</article><div class="comments"><article><p>{"many words " * 500}</p></article></div>'
+    assert html.extract(page) == TEXT
+
+
 def test_html_of_the_table(spark):
     import re
     from html import unescape
