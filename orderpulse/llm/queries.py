@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orderpulse.llm import chat, covertree, decontam, html, mixing, pii, quality, simhash, tokens, toxicity
+from orderpulse.llm import chat, covertree, decontam, html, langid, mixing, pii, prefixtrie, quality, simhash, spelling, tokens, toxicity
 from orderpulse.llm.common import read_table
 
 QUERIES: dict = {}
@@ -133,3 +133,20 @@ def op10(spark, sf_dir):
     number = lambda k: F.size(F.filter("base", lambda s: s["k"] == k)).cast("bigint")
     return found.select("doc_id", *(number(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)),
                         F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
+
+
+@register("op11_language")
+def op11(spark, sf_dir):
+    found = langid.identify(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@register("op12_prefix_trie")
+def op12(spark, sf_dir):
+    return prefixtrie.prefix_trie(read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+@register("op13_spelling")
+def op13(spark, sf_dir):
+    found = spelling.spelling_variants(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")

@@ -44,7 +44,7 @@ def test_stages_keep_the_documents_columns(spark):
 
 
 def test_queries_and_oracles_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
 
 
