@@ -5,7 +5,7 @@ script of a letter is its code range (``SCRIPTS``; all others are one script of
 a candidate for a script where at least ``LEAST_SHARE`` of its learnt letters are in it; a script that no
 language was learnt with leaves all of them. A word's score for a language is the log-likelihood of its
 character trigrams (a space before and after) and of the whole word, as a log posterior over the
-candidates, no lower than ``FLOOR``. Viterbi finds the labels of all words of a text with the greatest sum
+candidates, no lower than ``FLOOR``; the others have ``OUTSIDE``. Viterbi finds the labels of all words of a text with the greatest sum
 of scores less ``SWITCH`` for every change of language; runs of a label are the spans.
 
 The predicted language is the one with most letters in its spans (ties: the first by code point). The
@@ -38,7 +38,7 @@ from orderpulse.llm.common import shipped
 
 FOLDS, HELD_OUT = 4, 2
 LEAST_SHARE = 0.01
-SWITCH, FLOOR = 6.0, -6.0
+SWITCH, FLOOR, OUTSIDE = 6.0, -6.0, -30.0
 TABLE, MOST_BUCKETS, LEAST_BUCKETS = 1 << 22, 1 << 17, 1 << 10
 BLOCK_CHARS = 1 << 18
 PASS_BYTES = 1 << 23
@@ -213,7 +213,7 @@ class Model:
         out[~allowed] = -np.inf
         out -= out.max(1, keepdims=True, initial=-1e30)
         out -= np.log(np.exp(out).sum(1, keepdims=True))
-        return np.maximum(out, FLOOR)
+        return np.where(allowed, np.maximum(out, FLOOR), np.float32(OUTSIDE))
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
@@ -329,7 +329,7 @@ def label_texts(texts: list[str | None], model: Model | None) -> list[tuple[str,
         final.append(words.end - begin[piece] + base[piece])
         for i, t in zip(ids, part):
             offset[i] += len(t)
-    if not scores:
+    if not sum(map(len, scores)):
         return out
     scores, letters, text_of = np.concatenate(scores), np.concatenate(letters), np.concatenate(text_of)
     first, final = np.concatenate(first), np.concatenate(final)
