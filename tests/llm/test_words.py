@@ -95,7 +95,7 @@ def test_language_cases(spark, model):
     assert got[7][0].lang_pred == "de" == got[7][1].lang_pred
     assert got[None][0].lang_pred == "en" and got[4][0].lang_pred == "en"
     assert all(got[i][0].lang_pred in model.langs for i in range(4, 10))
-    assert [tuple(s) for s in got[4][0].spans] == [(3, 15, "en")]
+    assert [tuple(s) for s in got[4][0].spans] == [(3, 14, "en")]
     nothing = docs.where("text is null")
     assert {r.lang_pred for r in langid.identify(nothing).collect()} == {"und"}
     assert langid.identify(docs.limit(0)).count() == 0
