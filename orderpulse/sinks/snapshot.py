@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from orderpulse.operators.upsert import empty_state
 from orderpulse.schemas import STATE_SCHEMA, STATUS_COLUMNS
-from orderpulse.session import delete_path, list_names, path_exists, write_small_file
+from orderpulse.session import delete_path, list_names, path_exists, read_small_file, write_small_file
 
 COMMIT_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
@@ -52,6 +52,7 @@ COMMIT_SCHEMA = T.StructType([
     T.StructField("manifest", T.ArrayType(T.LongType())),
     T.StructField("replaced", T.ArrayType(T.StringType())),
     T.StructField("unsettled", T.ArrayType(T.IntegerType())),
+    T.StructField("landed_to", T.LongType()),
 ])
 
 COMMITS_PER_BLOCK = 1000
@@ -67,6 +68,8 @@ class Commit:
     manifest: list[int] = field(default_factory=list)
     #: buckets with rows that the next merge changes even without new events (see ``unsettled_row``)
     unsettled: list[int] = field(default_factory=list)
+    #: newest landed batch whose bad messages are counted
+    landed_to: int | None = None
 
 
 def default_buckets(spark: SparkSession) -> int:
@@ -120,8 +123,11 @@ class SnapshotStore:
         return self.commit(int(names[-1][len("commit-"):-len(".json")])) if names else None
 
     def commit(self, version: int) -> Commit:
-        r = self.spark.read.schema(COMMIT_SCHEMA).json(self._commit_file(version)).first()
-        return Commit(r["version"], r["batch_id"], r["source_id"], r["buckets"], list(r["manifest"]), list(r["unsettled"]))
+        r = self._record(version)
+        return Commit(r["version"], r["batch_id"], r["source_id"], r["buckets"], list(r["manifest"]), list(r["unsettled"]), r["landed_to"])
+
+    def _record(self, version: int) -> dict:
+        return {"landed_to": None, **json.loads(read_small_file(self.spark, self._commit_file(version)))}
 
     def read_state(self, version: int | None = None, commit: Commit | None = None,
                    only: list[int] | None = None) -> DataFrame:
@@ -151,7 +157,7 @@ class SnapshotStore:
 
     def write_version(self, state_with_action: DataFrame, batch_id: int, source_id: str, mode: str,
                       rows_in: int, rows_bad: int, max_status_ts, base: Commit | None = None,
-                      touched: list[int] | None = None, keep: int = KEEP) -> Commit:
+                      touched: list[int] | None = None, keep: int = KEEP, landed_to: int | None = None) -> Commit:
         """Write the touched buckets (default: all) as the version after ``base`` (the commit they
         were derived from), commit, and delete what the newest ``keep`` commits no longer name."""
         c = base if base is not None else self.latest_commit()
@@ -179,11 +185,11 @@ class SnapshotStore:
         row = (version, int(batch_id), source_id, mode, int(rows_in), int(rows_bad),
                int(seen["insert"]), int(seen["update"]), int(seen["unchanged"]),
                None if max_status_ts is None else str(max_status_ts), int(buckets), manifest, replaced,
-               sorted(unsettled))
+               sorted(unsettled), landed_to)
         record = json.dumps(dict(zip(COMMIT_SCHEMA.names, row)))
         write_small_file(self.spark, self._commit_file(version), record + "\n")
         self.retain(keep, version)
-        return Commit(version, int(batch_id), source_id, buckets, manifest, row[-1])
+        return Commit(version, int(batch_id), source_id, buckets, manifest, row[-2], landed_to)
 
     def retain(self, keep: int = KEEP, version: int | None = None) -> list[str]:
         """Delete the bucket versions that commit ``version - keep + 1`` replaced (the newest ``keep``
@@ -197,9 +203,8 @@ class SnapshotStore:
         out = version - max(int(keep), 1) + 1
         if out <= 0:
             return []
-        row = self.spark.read.schema(COMMIT_SCHEMA).json(self._commit_file(out)).select("replaced").first()
         gone = []
-        for name in row["replaced"] or ():
+        for name in self._record(out)["replaced"] or ():
             v, b = name.split("/")
             if delete_path(self.spark, f"{self.state_path(int(v))}/bucket={b}"):
                 gone.append(name)

@@ -42,8 +42,10 @@ def decode_messages(raw: DataFrame, value_col: str = "value") -> DataFrame:
     ts = parse_iso_utc(F.col("m.status_ts"))
     event_id = F.coalesce(F.col("m.event_id"),
                           synthetic_event_id(*[F.col(f"m.{c}") for c in ("order_id", "customer_id", "new_status", "status_ts", "source")]))
-    absent = F.array_except(F.array(*map(F.lit, REQUIRED_KEYS)),
-                            F.coalesce(F.json_object_keys("_raw"), F.array().cast("array<string>")))
+    # the keys are read only from messages where a required one has no value
+    lacks = F.greatest(*[F.col(f"m.{k}").isNull() for k in REQUIRED_KEYS])
+    absent = F.when(lacks, F.array_except(F.array(*map(F.lit, REQUIRED_KEYS)),
+                                          F.coalesce(F.json_object_keys("_raw"), F.array().cast("array<string>"))))
     bad = (F.when(F.col(f"m.{CORRUPT}").isNotNull() | F.col("m").isNull(), "malformed")
            .when(F.size(absent) > 0, F.concat(F.lit("missing "), F.element_at(absent, 1)))
            .when(F.col("m.order_id").isNull(), "missing order_id")

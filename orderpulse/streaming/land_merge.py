@@ -10,8 +10,9 @@ merges each new slice, so the state is rewritten every few minutes and not on ev
 
 Offsets are committed by Spark only after ``foreachBatch`` returns, so a crash
 replays the batch, and all writes are idempotent under replay. A store belongs to one
-streaming query, known by the id in its checkpoint: a query whose checkpoint was
-lost or replaced is refused, because its batch numbers start anew.
+streaming query, and so do a raw and a quarantine folder (``sinks/landing.py``), known by the id in
+its checkpoint: a query whose checkpoint was lost or replaced is refused before it writes
+anything, because its batch numbers start anew.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from dataclasses import dataclass
 from orderpulse.functions.scalars import truncate_ts
 from orderpulse.operators.upsert import full_state, latest_source, merge_latest
 from orderpulse.schemas import EVENT_SCHEMA
-from orderpulse.session import list_names, path_exists, read_small_file
+from orderpulse.session import path_exists, read_small_file
+from orderpulse.sinks.landing import Landed, LandingLog
 from orderpulse.sinks.raw import RAW_SCHEMA, land_batch, read_batch, read_raw
 from orderpulse.sinks.snapshot import Commit, SnapshotStore
 from orderpulse.sources.messages import decode_messages, split_quarantine
@@ -53,6 +55,9 @@ class PipelinePaths:
     def store(self) -> str:
         return f"{self.root}/store"
 
+    def log(self, spark: SparkSession) -> LandingLog:
+        return LandingLog(spark, self.root, self.raw, self.quarantine)
+
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/_checkpoint/land_merge"
@@ -76,10 +81,10 @@ def decoded_stream(messages: DataFrame, dedupe: bool = False) -> DataFrame:
     decoded = decode_messages(messages)
     if not dedupe:
         return decoded
-    ok = F.col("_bad").isNull()
-    good = (decoded.where(ok).withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", DEDUPE_WITHIN)
-            .dropDuplicatesWithinWatermark(["event_id"]).drop("_arrived"))
-    return good.unionByName(decoded.where(~ok))
+    # one branch: bad rows pass under keys of their own
+    key = F.when(F.col("_bad").isNull(), F.concat(F.lit("id:"), "event_id")).otherwise(F.concat(F.lit("bad:"), F.uuid()))
+    return (decoded.withColumns({"_arrived": F.current_timestamp(), "_key": key}).withWatermark("_arrived", DEDUPE_WITHIN)
+            .dropDuplicatesWithinWatermark(["_key"]).drop("_arrived", "_key"))
 
 
 def query_id(spark: SparkSession, checkpoint: str) -> str | None:
@@ -97,7 +102,7 @@ def check_owner(spark: SparkSession, store_root: str, checkpoint: str) -> None:
 
 def merge_batch(store: SnapshotStore, delta: DataFrame, batch_id: int, source_id: str, mode: str, rows_in: int,
                 rows_bad: int, max_status_ts, all_events: DataFrame | None = None, base: Commit | None = None,
-                touched_batches=None) -> Commit | None:
+                touched_batches=None, landed_to: int | None = None) -> Commit | None:
     """Merge one batch of events into the store; returns the new commit (None if skipped).
 
     ``incremental`` reduces the batch to one row per order, and reads and rewrites only the buckets
@@ -112,28 +117,46 @@ def merge_batch(store: SnapshotStore, delta: DataFrame, batch_id: int, source_id
         try:
             touched = store.touched(source, base)
             new = merge_latest(store.read_state(commit=base, only=touched) if base else store.read_state(), source, True)
-            return store.write_version(new, batch_id, source_id, mode, rows_in, rows_bad, max_status_ts, base, touched)
+            return store.write_version(new, batch_id, source_id, mode, rows_in, rows_bad, max_status_ts, base, touched,
+                                       landed_to=landed_to)
         finally:
             source.unpersist()
     if mode != "full":
         raise ValueError(f"unknown mode {mode!r}")
     mark = F.col("batch_id") == F.lit(batch_id) if touched_batches is None else touched_batches
     new = full_state(store.read_state(commit=base) if base else store.read_state(), all_events, with_action=True, touched=mark)
-    return store.write_version(new, batch_id, source_id, mode, rows_in, rows_bad, max_status_ts, base)
+    return store.write_version(new, batch_id, source_id, mode, rows_in, rows_bad, max_status_ts, base, landed_to=landed_to)
 
 
-def land(decoded: DataFrame, paths: PipelinePaths, batch_id: int, ts_grain: str | None = None):
-    """Land the good rows of a micro-batch and quarantine the others, text and all. Returns (good, bad,
-    latest time); a batch or a half of it that is empty writes nothing."""
+def land(decoded: DataFrame, paths: PipelinePaths, batch_id: int, source_id: str, ts_grain: str | None = None,
+         mark: bool = False) -> Landed:
+    """Land the good rows of a micro-batch and quarantine the others, text and all, then put the batch on
+    the landing log. A half that is empty writes nothing; with ``mark`` a batch of bad messages alone
+    leaves an empty raw partition, so that a merge that follows the raw folder hears of it."""
+    log = paths.log(decoded.sparkSession)
+    log.claim(source_id)
     ok = F.col("_bad").isNull()
     good, bad = split_quarantine(decoded)
     good = _prepare(good, ts_grain)
-    counts = decoded.agg(F.count(F.when(ok, F.lit(1))).alias("good"), F.count(F.when(~ok, F.lit(1))).alias("bad")).first()
-    if counts["good"]:
-        land_batch(good.select(*EVENT_SCHEMA.names), paths.raw, batch_id)
-    if counts["bad"]:
+    ts = truncate_ts(F.col("status_ts"), ts_grain) if ts_grain else F.col("status_ts")
+    n = decoded.agg(F.count(F.when(ok, F.lit(1))).alias("good"), F.count(F.when(~ok, F.lit(1))).alias("bad"),
+                    F.max(F.when(ok, ts)).cast("string").alias("mx")).first()
+    landed = Landed(int(batch_id), n["good"], n["bad"], n["mx"])
+    if landed.good + landed.bad == 0:
+        return landed
+    if landed.bad:
         bad.write.mode("overwrite").json(f"{paths.quarantine}/batch_id={int(batch_id)}")
-    return counts["good"], counts["bad"]
+    if landed.good or mark:
+        land_batch(good.select(*EVENT_SCHEMA.names), paths.raw, batch_id)
+    log.record(landed)
+    return landed
+
+
+def bad_rows(log: LandingLog, base: Commit | None) -> tuple[int, int | None]:
+    """(bad messages of the landed batches that no commit has counted, the newest landed batch)."""
+    counted = base.landed_to if base is not None else None
+    news = log.after(-1 if counted is None else counted)
+    return sum(n.bad for n in news), news[-1].batch_id if news else counted
 
 
 class LandAndMerge:
@@ -154,18 +177,15 @@ class LandAndMerge:
             return  # replay of a batch merged before a restart
         decoded = batch.persist()
         try:
-            good, bad = land(decoded, self.paths, batch_id, self.ts_grain)
-            if good + bad == 0:
+            n = land(decoded, self.paths, batch_id, source_id, self.ts_grain)
+            if n.good + n.bad == 0:
                 return
-            if good:
-                delta = read_batch(spark, self.paths.raw, batch_id)
-            else:
-                delta = spark.createDataFrame([], RAW_SCHEMA)
-            latest = delta.agg(F.max("status_ts").alias("mx")).first()["mx"]
+            delta = read_batch(spark, self.paths.raw, batch_id) if n.good else spark.createDataFrame([], RAW_SCHEMA)
             all_events = None
             if self.mode == "full":
                 all_events = read_raw(spark, self.paths.raw) if path_exists(spark, self.paths.raw) else delta
-            commit = merge_batch(store, delta, batch_id, source_id, self.mode, good, bad, latest, all_events, self._last)
+            commit = merge_batch(store, delta, batch_id, source_id, self.mode, n.good, n.bad, n.max_status_ts, all_events,
+                                 self._last, landed_to=n.batch_id)
             if commit is not None:
                 self._last = commit
         finally:
@@ -175,19 +195,24 @@ class LandAndMerge:
 def start_land_merge(messages: DataFrame, paths: PipelinePaths, mode: str = "incremental",
                      trigger: str = "flush", ts_grain: str | None = None,
                      dedupe: bool = False) -> StreamingQuery:
-    check_owner(messages.sparkSession, paths.store, paths.checkpoint)
+    spark = messages.sparkSession
+    check_owner(spark, paths.store, paths.checkpoint)
+    paths.log(spark).check(query_id(spark, paths.checkpoint))
     writer = (decoded_stream(messages, dedupe).writeStream.foreachBatch(LandAndMerge(paths, mode, ts_grain))
               .option("checkpointLocation", paths.checkpoint))
     return with_trigger(writer, trigger).start()
 
 
 def start_raw_landing(messages: DataFrame, paths: PipelinePaths, trigger: str = "flush",
-                      dedupe: bool = False) -> StreamingQuery:
+                      dedupe: bool = False, ts_grain: str | None = None) -> StreamingQuery:
     """Shape (b), query A: good messages to the raw folder, the others to quarantine."""
+    spark = messages.sparkSession
+    paths.log(spark).check(query_id(spark, paths.landing_checkpoint))
+
     def sink(batch: DataFrame, batch_id: int) -> None:
         decoded = batch.persist()
         try:
-            land(decoded, paths, batch_id)
+            land(decoded, paths, batch_id, query_id(batch.sparkSession, paths.landing_checkpoint), ts_grain, mark=True)
         finally:
             decoded.unpersist()
 
@@ -210,26 +235,25 @@ def quarantined(spark: SparkSession, paths: PipelinePaths) -> DataFrame:
 
 
 def start_refresh(spark: SparkSession, paths: PipelinePaths, trigger: str = "schedule") -> StreamingQuery:
-    """Shape (b), query B: each new slice of the raw folder is merged incrementally. The bad rows of
-    the landing batches in the slice are counted from their quarantine folders."""
+    """Shape (b), query B: each new slice of the raw folder is merged incrementally. The bad messages of
+    all batches on the landing log that no commit has counted yet are counted with it; a batch of bad
+    messages alone makes a commit without rows."""
     check_owner(spark, paths.store, paths.refresh_checkpoint)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         store = SnapshotStore(session, paths.store)
         source_id = query_id(session, paths.refresh_checkpoint)
+        base = store.latest_commit()
+        if store.is_committed(base, source_id, batch_id):
+            return
         rows = batch.persist()
         try:
-            # one row a landing batch of the slice
-            landed = rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.max("status_ts").alias("mx")).collect()
-            if not landed:
-                return
-            names = [f"batch_id={r['batch_id']}" for r in landed]
-            have = set(list_names(session, paths.quarantine))
-            folders = [f"{paths.quarantine}/{n}" for n in names if n in have]
-            bad = session.read.schema(QUARANTINE_SCHEMA).json(folders).count() if folders else 0
-            latest = max((r["mx"] for r in landed if r["mx"] is not None), default=None)
-            merge_batch(store, rows, batch_id, source_id, "incremental", sum(r["n"] for r in landed), bad, latest)
+            seen = rows.agg(F.count(F.lit(1)).alias("n"), F.max("status_ts").alias("mx")).first()
+            bad, landed_to = bad_rows(paths.log(session), base)
+            if seen["n"] + bad:
+                merge_batch(store, rows, batch_id, source_id, "incremental", seen["n"], bad, seen["mx"], base=base,
+                            landed_to=landed_to)
         finally:
             rows.unpersist()
 
@@ -238,9 +262,11 @@ def start_refresh(spark: SparkSession, paths: PipelinePaths, trigger: str = "sch
     return with_trigger(writer, trigger).start()
 
 
-def start_pipeline(messages: DataFrame, paths: PipelinePaths, dedupe: bool = False) -> list[StreamingQuery]:
-    """The pipeline of a topic: land on every flush, merge on the schedule."""
-    landing = start_raw_landing(messages, paths, "flush", dedupe)
+def start_pipeline(messages: DataFrame, paths: PipelinePaths, dedupe: bool = False, ts_grain: str | None = None,
+                   landing_trigger: str = "arrival") -> list[StreamingQuery]:
+    """The pipeline of a topic: land whenever the source has a batch (its options hold the flush size and
+    delay; for files use the ``flush`` trigger), merge on the schedule."""
+    landing = start_raw_landing(messages, paths, landing_trigger, dedupe, ts_grain)
     spark = messages.sparkSession
     if not path_exists(spark, paths.raw):  # the change stream needs its folder
         spark.createDataFrame([], EVENT_SCHEMA).write.mode("ignore").parquet(f"{paths.raw}/batch_id=-1")
@@ -303,6 +329,7 @@ def refresh(spark: SparkSession, paths: PipelinePaths, mode: str = "incremental"
                         F.max("batch_id").alias("last")).first()
     if not stats["n"]:
         return None
+    news = paths.log(spark).after(after, stats["last"])
     seen = raw.where(F.col("batch_id") <= stats["last"]) if mode == "full" else None
-    return merge_batch(store, pending, stats["last"], source_id, mode, stats["n"], 0, stats["mx"], seen, base,
-                       F.col("batch_id") > F.lit(after))
+    return merge_batch(store, pending, stats["last"], source_id, mode, stats["n"], sum(n.bad for n in news), stats["mx"],
+                       seen, base, F.col("batch_id") > F.lit(after), landed_to=stats["last"])

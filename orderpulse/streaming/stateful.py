@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from orderpulse.session import delete_path
 from orderpulse.sinks.snapshot import SnapshotStore
-from orderpulse.streaming.land_merge import PipelinePaths, check_owner, merge_batch, query_id, raw_stream
+from orderpulse.streaming.land_merge import PipelinePaths, bad_rows, check_owner, merge_batch, query_id, raw_stream
 from orderpulse.streaming.sources import with_trigger
 
 TOUCHED_SCHEMA = "order_id bigint, status_ts timestamp_ntz, event_id string, customer_id bigint, new_status string"
@@ -40,9 +40,12 @@ def start_stateful_merge(spark: SparkSession, paths: PipelinePaths, trigger: str
         session = batch.sparkSession
         rows = session.read.schema(TOUCHED_SCHEMA).parquet(path)
         stats = rows.agg(F.count(F.lit(1)).alias("n"), F.max("status_ts").alias("mx")).first()
-        if stats["n"]:
-            merge_batch(SnapshotStore(session, paths.store), rows, batch_id, query_id(session, checkpoint),
-                        "incremental", stats["n"], 0, stats["mx"])
+        store = SnapshotStore(session, paths.store)
+        base = store.latest_commit()
+        bad, landed_to = bad_rows(paths.log(session), base)
+        if stats["n"] + bad:
+            merge_batch(store, rows, batch_id, query_id(session, checkpoint), "incremental", stats["n"], bad, stats["mx"],
+                        base=base, landed_to=landed_to)
         delete_path(session, path)
 
     writer = (latest_events(raw_stream(spark, paths)).writeStream.outputMode("update").foreachBatch(merge)

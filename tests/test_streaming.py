@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from orderpulse.session import scratch_path
 from orderpulse.sinks.raw import read_raw
 from orderpulse.sinks.snapshot import SnapshotStore
@@ -296,6 +298,114 @@ def test_pipeline_lands_on_flush_and_merges_on_schedule(spark):
             q.stop()
 
 
+def lose(path):
+    """The checkpoint is gone: another one stands in its place."""
+    import shutil
+
+    shutil.move(path, path + "-lost")
+
+
+E1 = msg("e1", 1, "CREATED", "2024-01-01T10:00:00+00:00")
+E2 = msg("e2", 2, "PAID", "2024-01-01T11:00:00+00:00")
+E3 = msg("e3", 3, "PAID", "2024-01-01T12:00:00+00:00")
+
+
+@pytest.mark.parametrize("shape", ["one query", "landing"])
+def test_a_landing_query_that_lost_its_checkpoint_is_refused(spark, shape):
+    root = scratch_path(spark, "test_owner")
+    paths, landing = P.PipelinePaths(root), f"{root}/landing"
+    start = P.start_land_merge if shape == "one query" else P.start_raw_landing
+    publish(spark, landing, [E1, E2, "bad one"])
+    P.run_to_completion(start(file_messages(spark, landing), paths, trigger="drain"))
+    lose(paths.checkpoint if shape == "one query" else paths.landing_checkpoint)
+    publish(spark, landing, [E3, "bad two"])
+    with pytest.raises(ValueError, match="belongs to"):
+        start(file_messages(spark, landing), paths, trigger="drain")
+    assert sorted(r.event_id for r in read_raw(spark, paths.raw).collect()) == ["e1", "e2"]
+    assert [r.value for r in P.quarantined(spark, paths).collect()] == ["bad one"]
+
+
+def test_the_other_shape_does_not_land_into_the_same_folder(spark):
+    root = scratch_path(spark, "test_owner")
+    paths, landing = P.PipelinePaths(root), f"{root}/landing"
+    publish(spark, landing, [E1])
+    P.run_to_completion(P.start_raw_landing(file_messages(spark, landing), paths, trigger="drain"))
+    with pytest.raises(ValueError, match="belongs to"):
+        P.start_land_merge(file_messages(spark, landing), paths, trigger="drain")
+    other = P.PipelinePaths(scratch_path(spark, "test_owner"))
+    read_raw(spark, paths.raw).drop("batch_id").write.parquet(f"{other.raw}/batch_id=0")
+    with pytest.raises(ValueError, match="no landing query"):  # data of nobody on record is not overwritten either
+        P.start_raw_landing(file_messages(spark, landing), other, trigger="drain")
+
+
+def test_a_stateful_merge_that_lost_its_checkpoint_is_refused(spark):
+    from orderpulse.streaming.stateful import start_stateful_merge
+
+    root = scratch_path(spark, "test_owner")
+    paths, landing = P.PipelinePaths(root), f"{root}/landing"
+    publish(spark, landing, [E1, "bad"])
+    P.run_to_completion(P.start_raw_landing(file_messages(spark, landing), paths, trigger="drain"))
+    P.run_to_completion(start_stateful_merge(spark, paths, trigger="drain"))
+    lose(f"{root}/_checkpoint/stateful")
+    with pytest.raises(ValueError, match="belongs to"):
+        start_stateful_merge(spark, paths, trigger="drain")
+    assert [r.rows_bad for r in SnapshotStore(spark, paths.store).run_log().collect()] == [1]
+
+
+def test_run_log_counts_batches_of_bad_messages_alone(spark):
+    root = scratch_path(spark, "test_bad_waves")
+    paths, landing = P.PipelinePaths(root), f"{root}/landing"
+    for wave in ([E1], ["bad", "{}"], [E2, "bad"], ["last"]):
+        publish(spark, landing, wave)
+        P.run_to_completion(P.start_raw_landing(file_messages(spark, landing), paths, trigger="drain"))
+        P.run_to_completion(P.start_refresh(spark, paths, trigger="drain"))
+    log = SnapshotStore(spark, paths.store).run_log().orderBy("batch_id").collect()
+    assert [(r.rows_in, r.rows_bad) for r in log] == [(1, 0), (0, 2), (1, 1), (0, 1)]
+    assert [(n.batch_id, n.good, n.bad) for n in paths.log(spark).after(-1)] == [(0, 1, 0), (1, 0, 2), (2, 1, 1), (3, 0, 1)]
+    assert [n.batch_id for n in paths.log(spark).after(0, up_to=2)] == [1, 2]
+
+
+def test_landing_log_over_blocks(spark):
+    from orderpulse.sinks.landing import PER_BLOCK, Landed
+
+    log = P.PipelinePaths(scratch_path(spark, "test_log")).log(spark)
+    log.claim("q")
+    for n in (0, 1, PER_BLOCK - 1, PER_BLOCK, PER_BLOCK + 5):
+        log.record(Landed(n, 1, 0))
+    log.record(Landed(1, 2, 3, "2024-01-01 00:00:00"))  # landed again
+    assert [n.batch_id for n in log.after(-1)] == [0, 1, PER_BLOCK - 1, PER_BLOCK, PER_BLOCK + 5]
+    assert [n.batch_id for n in log.after(PER_BLOCK - 1)] == [PER_BLOCK, PER_BLOCK + 5]
+    assert log.after(0, up_to=1) == [Landed(1, 2, 3, "2024-01-01 00:00:00")]
+    with pytest.raises(ValueError, match="belongs to"):
+        log.claim("r")
+
+
+def test_day_grain_in_two_queries(spark):
+    root = scratch_path(spark, "test_grain")
+    paths, landing = P.PipelinePaths(root), f"{root}/landing"
+    publish(spark, landing, [E1])
+    P.run_to_completion(P.start_raw_landing(file_messages(spark, landing), paths, trigger="drain", ts_grain="day"))
+    P.run_to_completion(P.start_refresh(spark, paths, trigger="drain"))
+    assert status(SnapshotStore(spark, paths.store)) == {1: (None, "CREATED", "2024-01-01 00:00:00")}
+
+
+def test_pipeline_triggers(spark, monkeypatch):
+    """A topic's flush size counts only where the landing query starts with the source's batches."""
+    told = []
+    monkeypatch.setattr(P, "with_trigger", lambda writer, kind: told.append(kind) or writer)
+
+    class Writer:
+        def __getattr__(self, name):
+            return lambda *a, **k: self
+
+    monkeypatch.setattr(P, "decoded_stream", lambda *a: type("D", (), {"writeStream": Writer()})())
+    monkeypatch.setattr(P, "raw_stream", lambda *a: type("D", (), {"writeStream": Writer()})())
+    messages = type("M", (), {"sparkSession": spark})()
+    P.start_pipeline(messages, P.PipelinePaths(scratch_path(spark, "test_trigger")))
+    P.start_pipeline(messages, P.PipelinePaths(scratch_path(spark, "test_trigger")), landing_trigger="flush")
+    assert told == ["arrival", "schedule", "flush", "schedule"]
+
+
 class StubIO:
     """Records what a reader or writer is told."""
 
