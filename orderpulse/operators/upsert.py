@@ -125,8 +125,8 @@ def _merge_state(state: DataFrame, d: DataFrame, incremental: bool, with_action:
         F.col("_le.customer_id").alias("le_customer_id"),
         F.col("_le.new_status").alias("le_new_status"),
         F.col("_le.status_ts").alias("le_status_ts")]
-    if with_action:
-        out.append(action.alias("_action"))
+    if with_action:  # and the row as it was before, for the change feed
+        out += [action.alias("_action"), F.col("current_status").alias("_pre_status"), F.col("last_update_ts").alias("_pre_ts")]
     return j.select(*out)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from orderpulse.functions.partitioning import customer_partition, hash_partition
 from orderpulse.operators import monitor as M
+from orderpulse.operators import reconcile as R
 from orderpulse.operators import validate as V
 from orderpulse.functions.scalars import add_seconds, seconds_between
 from orderpulse.operators.enrich import CATEGORY_BASE_PRICE, price_band
@@ -20,14 +21,17 @@ from orderpulse.operators.latest import latest_status
 from orderpulse.plans import oracle as O
 from orderpulse.plans.replay import FIVE_BATCHES, TWO_BATCHES, replay_fold, replay_status
 from orderpulse.schemas import STATUS_SCHEMA
-from orderpulse.session import scratch_path
+from orderpulse.session import list_names, scratch_path
+from orderpulse.sinks.maintained import RecentHeads, StatusDistribution
 from orderpulse.sinks.snapshot import SnapshotStore
 from orderpulse.sources.fixtures import (existing_orders_sample, fx_events, fx_inventory, fx_keys,
                                          fx_order_lines, fx_orders)
 from orderpulse.sources.messages import decode_messages, encode_messages
-from orderpulse.sinks.raw import read_raw, unconsumed
+from orderpulse.sinks.raw import read_batch, read_raw, unconsumed
+from orderpulse.sinks.summaries import RANK_ERROR, BatchSummaries
 from orderpulse.sinks.tables import append_table, ensure_database, ensure_table, load_table
 from orderpulse.sinks.topic import publish_files
+from orderpulse.sinks.transitions import TransitionMatrix
 from orderpulse.sources.tables import read_table
 from orderpulse.streaming import land_merge as P
 from orderpulse.streaming import stateful as S
@@ -595,3 +599,185 @@ def q_table_lifecycle(spark, sf_dir):
     append_table(second, path, STATUS_SCHEMA)
     append_table(second.limit(0), path, STATUS_SCHEMA)
     return ensure_table(spark, path, STATUS_SCHEMA)
+
+
+# --- maintained metrics: no rescan of events or status (A3 A4 A6 O1 T5 V1 V3 V5 V7 V9 V10) --------------------
+
+
+def landed_batches(spark, events: DataFrame, name: str) -> list[tuple[int, DataFrame]]:
+    """The events landed as raw batches, and each batch read from its own folder, in order."""
+    paths = P.PipelinePaths(scratch_path(spark, name))
+    P.land_all(events, paths)
+    ids = sorted(int(n.split("=")[1]) for n in list_names(spark, paths.raw) if n.startswith("batch_id="))
+    return [(b, read_batch(spark, paths.raw, b)) for b in ids]
+
+
+def summarised(spark, events: DataFrame) -> BatchSummaries:
+    """Every batch summarised as it lands, the first two folded, and the third landed once more."""
+    out = BatchSummaries(spark, scratch_path(spark, "summaries"))
+    batches = landed_batches(spark, events, "summarised")
+    for batch_id, rows in batches:
+        out.add(rows, batch_id)
+        if batch_id == 1:
+            out.fold(1)
+    out.add(*reversed(batches[2]))
+    return out
+
+
+_EVENT_STATS = ("select count(*) as total_events, count(distinct order_id) as unique_orders, "
+                "max(status_ts) as latest_event from fx")
+
+
+@register("event_stats_maintained", O.with_ctes([f"fx as ({O.fx_events_sql('nulls')})"], _EVENT_STATS))
+def q_event_stats_maintained(spark, sf_dir):
+    """Counts, exact distinct orders and the newest time from one summary per batch, one landed twice."""
+    return summarised(spark, fx_events(spark, sf_dir, "nulls")).event_stats()
+
+
+@register("event_stats_maintained_any_id", O.with_ctes([f"fx as ({O.fx_events_sql()})"], _EVENT_STATS).replace(
+    "user_id as order_id", f"case when event_id % 3 = 0 then -user_id when event_id % 3 = 1 then user_id + {LARGE_ID} "
+    "when event_id % 7 > 0 then user_id end as order_id"))
+def q_event_stats_maintained_any_id(spark, sf_dir):
+    """Negative ids, ids past 2^53 and nulls."""
+    n, order = F.col("event_id").cast("bigint"), F.col("order_id")
+    ids = F.when(n % 3 == 0, -order).when(n % 3 == 1, order + F.lit(LARGE_ID)).when(n % 7 > 0, order)
+    return summarised(spark, fx_events(spark, sf_dir).withColumn("order_id", ids)).event_stats()
+
+
+LATENESS_RANKS = [0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
+
+
+@register("lateness_quantiles", O.with_ctes(
+    [f"fx as ({O.fx_events_sql('nulls')})",
+     "newest as (select b.batch_id, (select max(status_ts) from fx where fx.batch_id < b.batch_id) as seen "
+     "from (select distinct batch_id from fx) b)",
+     "n as (select count(status_ts) as n_values from fx join newest using (batch_id) where seen is not null)"],
+    f"select cast(rank as double) as rank, n_values, true as within_bound from n, unnest({LATENESS_RANKS}) r(rank)"))
+def q_lateness_quantiles(spark, sf_dir):
+    """Quantiles of lateness from merged sketches, each held against its exact rank among all values."""
+    events = fx_events(spark, sf_dir, "nulls")
+    out = BatchSummaries(spark, scratch_path(spark, "lateness"))
+    batches = landed_batches(spark, events, "landed_late")
+    for batch_id, rows in batches:
+        out.add(rows, batch_id)
+    seen = events.groupBy("batch_id").agg(F.max("status_ts").alias("mx"))
+    newest = (events.select("batch_id").distinct().alias("b").join(seen.alias("s"), F.col("s.batch_id") < F.col("b.batch_id"))
+              .groupBy("b.batch_id").agg(F.max("s.mx").alias("seen")))  # one row a batch
+    late = events.join(newest, "batch_id").select(F.timestamp_diff("SECOND", F.col("status_ts"), F.col("seen")).alias("late")).where("late is not null")
+    quantiles = {r["rank"]: r["lateness_seconds"] for r in out.lateness_quantiles(LATENESS_RANKS).collect()}
+    # a value's ranks run from the share below it to the share up to it
+    counts = late.agg(F.count(F.lit(1)).alias("n_values"), *(
+        c for i, q in enumerate(quantiles.values()) for c in (F.count(F.when(F.col("late") < q, 1)).alias(f"below{i}"),
+                                                              F.count(F.when(F.col("late") <= q, 1)).alias(f"upto{i}"))))
+    rows = [F.struct(F.lit(rank).alias("rank"), "n_values", ((F.col(f"below{i}") <= (rank + RANK_ERROR) * F.col("n_values"))
+                     & (F.col(f"upto{i}") >= (rank - RANK_ERROR) * F.col("n_values"))).alias("within_bound")) for i, rank in enumerate(quantiles)]
+    return counts.select(F.inline(F.array(*rows)))
+
+
+def merged_with_views(spark, sf_dir, batches, variant: str = "base", mode: str = "incremental"):
+    """The scheduled merge after each batch group, its views advanced after each commit but the second, whose
+    changes they catch up with later."""
+    paths = P.PipelinePaths(scratch_path(spark, "views"))
+    P.land_all(fx_events(spark, sf_dir, variant), paths)
+    store = SnapshotStore(spark, paths.store)
+    counts, heads = StatusDistribution(store), RecentHeads(store)
+    for i, group in enumerate(batches):
+        P.refresh(spark, paths, mode, up_to_batch=max(group))
+        if i != 1:
+            counts.advance()
+            heads.advance()
+    return counts, heads
+
+
+@register("status_distribution_maintained", _on_status(
+    "select current_status, count(*) as n from st group by current_status", batches=FIVE_BATCHES))
+def q_status_distribution_maintained(spark, sf_dir):
+    counts, _ = merged_with_views(spark, sf_dir, FIVE_BATCHES)
+    return counts.by_status()
+
+
+_BY_DAY = "select current_status, cast(last_update_ts as date) as day, count(*) as n from st group by 1, 2"
+
+
+@register("status_by_day_maintained", _on_status(_BY_DAY, "nulls", FIVE_BATCHES))
+def q_status_by_day_maintained(spark, sf_dir):
+    counts, _ = merged_with_views(spark, sf_dir, FIVE_BATCHES, "nulls")
+    return counts.read()
+
+
+@register("status_by_day_maintained_full", _on_status(_BY_DAY, "day", FIVE_BATCHES))
+def q_status_by_day_maintained_full(spark, sf_dir):
+    """The same from merges that rescan, at day grain."""
+    counts, _ = merged_with_views(spark, sf_dir, FIVE_BATCHES, "day", "full")
+    return counts.read()
+
+
+@register("recent_status_maintained", _on_status(_SLICE, "nulls", FIVE_BATCHES))
+def q_recent_status_maintained(spark, sf_dir):
+    """The newest 1000 orders from the heads of the state's buckets."""
+    _, heads = merged_with_views(spark, sf_dir, FIVE_BATCHES, "nulls")
+    return heads.read()
+
+
+def spliced(spark, events: DataFrame) -> TransitionMatrix:
+    """Every batch spliced in as it lands, and the last one landed once more."""
+    out = TransitionMatrix(spark, scratch_path(spark, "transitions"))
+    batches = landed_batches(spark, events, "spliced")
+    for batch_id, rows in [*batches, batches[-1]]:
+        out.add(rows, batch_id)
+    return out
+
+
+@register("status_transitions_maintained", _transitions_sql("base"))
+def q_status_transitions_maintained(spark, sf_dir):
+    """The transition matrix after five batches whose events fall between each other's."""
+    return spliced(spark, fx_events(spark, sf_dir)).read()
+
+
+@register("status_transitions_maintained_hot", _transitions_sql("nulls").replace(
+    "user_id as order_id", f"case when event_id % 3 = 0 then {LARGE_ID} else user_id + {LARGE_ID} end as order_id"))
+def q_status_transitions_maintained_hot(spark, sf_dir):
+    """With an order that a third of all events have, null times and null statuses."""
+    hot = F.when(F.col("event_id").cast("bigint") % 3 == 0, F.lit(LARGE_ID)).otherwise(F.col("order_id") + F.lit(LARGE_ID))
+    return spliced(spark, fx_events(spark, sf_dir, "nulls").withColumn("order_id", hot)).read()
+
+
+_DIFFERENCES = ("select coalesce(a.order_id, b.order_id) as order_id, case when b.order_id is null then 'missing' "
+                "when a.order_id is null then 'extra' else 'changed' end as kind, a.current_status as left_status, "
+                "b.current_status as right_status, a.last_update_ts as left_ts, b.last_update_ts as right_ts "
+                "from {a} a full outer join {b} b on a.order_id = b.order_id where a.order_id is null or b.order_id is null "
+                "or (a.customer_id, a.previous_status, a.current_status, a.last_update_ts) is distinct from "
+                "(b.customer_id, b.previous_status, b.current_status, b.last_update_ts)")
+
+
+def _told(found: DataFrame) -> DataFrame:
+    return found.select("order_id", "kind", F.col("left.current_status").alias("left_status"), F.col("right.current_status").alias("right_status"),
+                        F.col("left.last_update_ts").alias("left_ts"), F.col("right.last_update_ts").alias("right_ts"))
+
+
+@register("reconcile_status", O.status_chain_sql("nulls", TWO_BATCHES, "select * from (" + O.with_ctes(
+    ["copy as (select order_id, customer_id, case when order_id % 89 = 0 then current_status else previous_status end as previous_status, "
+     "case when order_id % 101 = 0 then null else current_status end as current_status, last_update_ts from st "
+     "where order_id % 97 <> 0 union all select -order_id, customer_id, previous_status, current_status, null from st where order_id % 103 = 0)"],
+    _DIFFERENCES.format(a="st", b="copy")) + ") d"))
+def q_reconcile_status(spark, sf_dir):
+    """The status table against a copy that lacks rows, has others and differs in some, nulls among them."""
+    status = fx_status(spark, sf_dir, "nulls")
+    key, now = F.col("order_id"), F.col("current_status")
+    copy = status.where(key % 97 != 0).withColumns({"previous_status": F.when(key % 89 == 0, now).otherwise(F.col("previous_status")),
+                                                    "current_status": F.when(key % 101 != 0, now)})
+    more = status.where(key % 103 == 0).withColumns({"order_id": -key, "last_update_ts": F.lit(None).cast("timestamp_ntz")})
+    return _told(R.reconcile(status, copy.unionByName(more)))
+
+
+@register("reconcile_stores", O.with_ctes(
+    [f"one as ({O.status_chain_sql('base', TWO_BATCHES)})", f"two as ({O.status_chain_sql('base', [[0], [1, 2, 3]])})"],
+    _DIFFERENCES.format(a="one", b="two")))
+def q_reconcile_stores(spark, sf_dir):
+    """Two stores of the same pipeline, one of them a batch behind."""
+    paths = [P.PipelinePaths(scratch_path(spark, f"reconcile_{n}")) for n in ("one", "two")]
+    for p, last in zip(paths, (4, 3)):
+        P.land_all(fx_events(spark, sf_dir), p)
+        P.refresh(spark, p, "incremental", up_to_batch=0)
+        P.refresh(spark, p, "incremental", up_to_batch=last)
+    return _told(R.reconcile_stores(*[SnapshotStore(spark, p.store) for p in paths]))

@@ -2,7 +2,8 @@
 
 Layout under ``root``::
 
-    state/v=<N>/bucket=<b>/part-*     rows of bucket b as rewritten by merge N
+    state/v=<N>/bucket=<b>/part-*     rows of bucket b as rewritten by merge N, each with what the
+                                      merge did to it and its status and time before (the change feed)
     _commits/block=<B>/commit-<N>.json   one row: version, batch_id, source_id, run counters, and
                                       ``manifest``: the version that holds each bucket;
                                       B = N // 1000, so finding the latest commit lists
@@ -33,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderpulse.operators.upsert import empty_state
+from orderpulse.operators.upsert import INSERT, UPDATE, empty_state
 from orderpulse.schemas import STATE_SCHEMA, STATUS_COLUMNS
 from orderpulse.session import delete_path, list_names, path_exists, read_small_file, write_small_file
 
@@ -55,6 +56,16 @@ COMMIT_SCHEMA = T.StructType([
     T.StructField("landed_to", T.LongType()),
 ])
 
+#: One row per order that a merge inserted or updated, as it was before (nulls for an insert) and after.
+CHANGE_SCHEMA = T.StructType([
+    T.StructField("order_id", T.LongType()),
+    T.StructField("action", T.StringType()),
+    T.StructField("pre_status", T.StringType()),
+    T.StructField("pre_ts", T.TimestampNTZType()),
+    T.StructField("current_status", T.StringType()),
+    T.StructField("last_update_ts", T.TimestampNTZType()),
+])
+
 COMMITS_PER_BLOCK = 1000
 KEEP = 10
 
@@ -142,6 +153,14 @@ class SnapshotStore:
             return empty_state(self.spark)
         return self.spark.read.schema(STATE_SCHEMA).parquet(*paths).select(*STATE_SCHEMA.names)
 
+    def changes(self, version: int) -> DataFrame:
+        """The orders that merge ``version`` inserted or updated. Written with the state, so it reads the
+        buckets that the merge rewrote and no others; there until ``keep`` newer commits have been made."""
+        if not any(n.startswith("bucket=") for n in list_names(self.spark, self.state_path(version))):
+            return self.spark.createDataFrame([], CHANGE_SCHEMA)
+        rows = self.spark.read.schema(CHANGE_SCHEMA).parquet(self.state_path(version))
+        return rows.where(F.col("action").isin(INSERT, UPDATE)).select(*CHANGE_SCHEMA.names)
+
     def read_status(self, version: int | None = None) -> DataFrame:
         return self.read_state(version).select(*STATUS_COLUMNS)
 
@@ -172,7 +191,8 @@ class SnapshotStore:
         rows = state_with_action.withColumn("bucket", bucket).observe(
             obs, *[F.count(F.when(act == a, F.lit(1))).alias(a) for a in ("insert", "update", "unchanged")],
             F.count(F.when(unsettled_row(), F.lit(1))).alias("unsettled"))
-        (rows.drop("_action").repartition(min(buckets, max(len(touched), 1)), "bucket").write.mode("overwrite")
+        feed = {"_action": "action", "_pre_status": "pre_status", "_pre_ts": "pre_ts"}
+        (rows.withColumnsRenamed(feed).repartition(min(buckets, max(len(touched), 1)), "bucket").write.mode("overwrite")
          .partitionBy("bucket").parquet(self.state_path(version)))
         seen = obs.get
         written = {int(n.split("=")[1]) for n in list_names(self.spark, self.state_path(version)) if n.startswith("bucket=")}
