@@ -292,8 +292,8 @@ def test_pii_method_adds_looser_forms_only(spark):
     assert all(not s for i, (_, s) in got.items() if i >= 200)
 
 
-def test_pii_plan_has_no_python(spark, docs):
-    plan = pii.find(docs)._jdf.queryExecution().executedPlan().toString()
+def test_pii_plan_has_no_python(spark):
+    plan = pii.find(read_table(spark, SF, "documents"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
 
 
@@ -310,3 +310,21 @@ def test_em_finds_reliable_labelers():
     assert post[0, (1, 1, 1, 1, 0)] > 0.95 and post[0, (0, 1, -1, -1, -1)] < 0.05
     w = pii.train(patterns)
     assert w[3] > w[1] > -0.5 and w[2] > w[1]
+
+
+def test_pii_learns_from_what_fails_its_check(spark):
+    """On the given tables, where every looser form and most votes agree, no labeler counts against itself."""
+    found = pii.find(read_table(spark, "/root/testdata/sf0.1", "documents"))
+    patterns = pii.vote_patterns(found)
+    w = pii.train(patterns)
+    assert all(x > 0 for x in w[:4]) and {v[0] for _, v, _ in patterns} >= {1, -1}
+    post = pii.reliabilities(patterns)
+    assert all(p > 0.5 for (k, v), p in post.items() if v[0] == 1 and v[3] == 1 and v[4] == 0)
+    assert all(p < 0.5 for (k, v), p in post.items() if v[0] == -1 and v[3] == -1)
+
+
+def test_pii_many_matches_in_one_text(spark):
+    text = "in 1999, 2001 or 12 345; " * 20_000
+    df = spark.createDataFrame([(1, text + "mail a@b.cd")], "doc_id bigint, text string")
+    (got,) = rows_of(pii.personal_data(df), "doc_id", pii.joined("base"))
+    assert got == (1, f"email:{len(text) + 5}:{len(text) + 11}")
