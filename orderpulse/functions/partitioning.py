@@ -6,14 +6,14 @@ integer, modulo the number of available partitions, mapped through the list.
 anywhere in the key, concatenated); keys without digits fall back to the hash.
 A null key goes to the first available partition; with none available, 0.
 
-The result can feed a Kafka sink's ``partition`` column or ``repartition``.
+The result can feed a Kafka sink's ``partition`` column or, with ``placed``, Spark's own partitions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DIGIT_CHUNK = 18  # decimal digits per step of the modular fold; fits decimal(38,0)
@@ -60,3 +60,9 @@ def customer_partition(key: Column, available: Sequence[int]) -> Column:
     return F.when(key.isNull(), F.lit(int(available[0]))) \
             .when(digits != "", by_digits) \
             .otherwise(hash_partition(key, available))
+
+
+def placed(df: DataFrame, partition: str, available: Sequence[int]) -> DataFrame:
+    """Rows moved to the partition whose number their column names, one Spark partition for each of
+    0 to the greatest available number: no second hash, so two frames placed alike lie alike."""
+    return df.repartitionById(max(available, default=0) + 1, F.col(partition).cast("int"))

@@ -11,11 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderpulse.functions.partitioning import customer_partition, hash_partition
+from orderpulse.functions.partitioning import customer_partition, hash_partition, placed
 from orderpulse.operators import monitor as M
 from orderpulse.operators import reconcile as R
 from orderpulse.operators import validate as V
-from orderpulse.functions.scalars import add_seconds, seconds_between
+from orderpulse.functions.scalars import add_seconds, seconds_between, synthetic_event_id
 from orderpulse.operators.enrich import CATEGORY_BASE_PRICE, price_band
 from orderpulse.operators.latest import latest_status
 from orderpulse.plans import oracle as O
@@ -34,6 +34,7 @@ from orderpulse.sinks.topic import publish_files
 from orderpulse.sinks.transitions import TransitionMatrix
 from orderpulse.sources.tables import read_table
 from orderpulse.streaming import land_merge as P
+from orderpulse.streaming import progress
 from orderpulse.streaming import stateful as S
 from orderpulse.streaming.sources import file_messages
 
@@ -781,3 +782,59 @@ def q_reconcile_stores(spark, sf_dir):
         P.refresh(spark, p, "incremental", up_to_batch=0)
         P.refresh(spark, p, "incremental", up_to_batch=last)
     return _told(R.reconcile_stores(*[SnapshotStore(spark, p.store) for p in paths]))
+
+
+@register("stream_dedupe_history", O.with_ctes(
+    [f"fx as ({O.fx_events_sql()})"], "select event_id, order_id, customer_id, new_status, status_ts, source from fx"))
+def q_stream_dedupe_history(spark, sf_dir):
+    """The first wave comes again after another one, without any state: its ids are found in the history."""
+    root = scratch_path(spark, "stream_dedupe_history")
+    run_stream_waves(spark, sf_dir, [*TWO_BATCHES, TWO_BATCHES[0]], shape="raw_refresh", dedupe="history", root=root)
+    return read_raw(spark, P.PipelinePaths(root).raw).drop("batch_id")
+
+
+@register("partition_placement", O.with_ctes(
+    [f"k as ({_KEYS_SQL})"],
+    f"select key, {O.customer_partition_sql('key', AVAILABLE_PARTITIONS)} as partition, true as there from k"))
+def q_partition_placement(spark, sf_dir):
+    """Every key lies in the Spark partition that the partitioner assigns to it."""
+    assigned = fx_keys(spark, sf_dir).select("key", customer_partition(F.col("key"), AVAILABLE_PARTITIONS).alias("partition"))
+    return placed(assigned, "partition", AVAILABLE_PARTITIONS).withColumn("there", F.spark_partition_id() == F.col("partition"))
+
+
+@register("stream_state_rows", O.with_ctes(
+    [f"fx as ({O.fx_events_sql()})"],
+    "select 0::bigint as operator_id, 'stateStoreSave' as operator_name, 1::bigint as max_batch, "
+    "(select count(distinct order_id) from fx) as state_rows"))
+def q_stream_state_rows(spark, sf_dir):
+    """The keyed state of the stateful merge, read back from its checkpoint: one row an order."""
+    root = scratch_path(spark, "stream_state_rows")
+    run_stream_waves(spark, sf_dir, TWO_BATCHES, shape="stateful", root=root)
+    return progress.state_summary(spark, f"{root}/_checkpoint/stateful").select("operator_id", "operator_name", "max_batch", "state_rows")
+
+
+_PART = "coalesce(length({0}) || ':' || {0}, '-')"
+_PARTS = " || ".join(_PART.format(f"cast({c} as varchar)") for c in ("order_id", "customer_id", "new_status", "source"))
+
+
+@register("event_ids", O.with_ctes([f"fx as ({O.fx_events_sql('nulls')})"],
+                                   f"select event_id, sha256({_PARTS}) as synthetic_id from fx"))
+def q_event_ids(spark, sf_dir):
+    """Ids for messages that carry none, from their other fields."""
+    return fx_events(spark, sf_dir, "nulls").select(
+        "event_id", synthetic_event_id(*map(F.col, ("order_id", "customer_id", "new_status", "source"))).alias("synthetic_id"))
+
+
+@register("freshness_now", O.with_ctes(
+    [f"fx as ({O.fx_events_sql()})"],
+    "select max(status_ts) as latest_event_ts, true as is_now, date_diff('day', max(status_ts), current_timestamp::timestamp) < 2 as is_fresh from fx"))
+def q_freshness_now(spark, sf_dir):
+    """Freshness against the current time, which is between the times before and after the query."""
+    import datetime as dt
+
+    utc = lambda: F.lit(dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    from_, found = utc(), V.freshness_lag(fx_events(spark, sf_dir), None, MAX_LAG_SECONDS)
+    minute = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(10))
+    lag = F.timestamp_diff("SECOND", F.col("latest_event_ts"), F.col("as_of"))
+    return found.select("latest_event_ts", (F.col("as_of").between(from_ - minute, from_ + minute) & (F.abs(lag - F.col("lag_seconds")) <= 1)).alias("is_now"),
+                        "is_fresh")

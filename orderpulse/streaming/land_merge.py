@@ -30,6 +30,7 @@ from orderpulse.schemas import EVENT_SCHEMA
 from orderpulse.session import path_exists, read_small_file
 from orderpulse.sinks.landing import Landed, LandingLog
 from orderpulse.sinks.raw import RAW_SCHEMA, land_batch, read_batch, read_raw
+from orderpulse.sinks.seen import SeenIds
 from orderpulse.sinks.snapshot import Commit, SnapshotStore
 from orderpulse.sources.messages import decode_messages, split_quarantine
 from orderpulse.streaming.sources import with_trigger
@@ -55,6 +56,10 @@ class PipelinePaths:
     def store(self) -> str:
         return f"{self.root}/store"
 
+    @property
+    def seen(self) -> str:
+        return f"{self.root}/seen"
+
     def log(self, spark: SparkSession) -> LandingLog:
         return LandingLog(spark, self.root, self.raw, self.quarantine)
 
@@ -75,11 +80,12 @@ def _prepare(good: DataFrame, ts_grain: str | None) -> DataFrame:
     return good.withColumn("status_ts", truncate_ts(F.col("status_ts"), ts_grain)) if ts_grain else good
 
 
-def decoded_stream(messages: DataFrame, dedupe: bool = False) -> DataFrame:
+def decoded_stream(messages: DataFrame, dedupe: bool | str = False) -> DataFrame:
     """Decoded messages; with ``dedupe`` good ones without redeliveries of an event id across
-    micro-batches. The watermark runs on arrival time, so a late event is never dropped."""
+    micro-batches. The watermark runs on arrival time, so a late event is never dropped. (``"history"``: no
+    state here, the landing holds each batch against all batches before.)"""
     decoded = decode_messages(messages)
-    if not dedupe:
+    if not dedupe or dedupe == "history":
         return decoded
     # one branch: bad rows pass under keys of their own
     key = F.when(F.col("_bad").isNull(), F.concat(F.lit("id:"), "event_id")).otherwise(F.concat(F.lit("bad:"), F.uuid()))
@@ -129,10 +135,11 @@ def merge_batch(store: SnapshotStore, delta: DataFrame, batch_id: int, source_id
 
 
 def land(decoded: DataFrame, paths: PipelinePaths, batch_id: int, source_id: str, ts_grain: str | None = None,
-         mark: bool = False) -> Landed:
+         mark: bool = False, history: bool = False) -> Landed:
     """Land the good rows of a micro-batch and quarantine the others, text and all, then put the batch on
     the landing log. A half that is empty writes nothing; with ``mark`` a batch of bad messages alone
-    leaves an empty raw partition, so that a merge that follows the raw folder hears of it."""
+    leaves an empty raw partition, so that a merge that follows the raw folder hears of it. With ``history``
+    events whose ids any batch before has landed are left out."""
     log = paths.log(decoded.sparkSession)
     log.claim(source_id)
     ok = F.col("_bad").isNull()
@@ -141,13 +148,23 @@ def land(decoded: DataFrame, paths: PipelinePaths, batch_id: int, source_id: str
     ts = truncate_ts(F.col("status_ts"), ts_grain) if ts_grain else F.col("status_ts")
     n = decoded.agg(F.count(F.when(ok, F.lit(1))).alias("good"), F.count(F.when(~ok, F.lit(1))).alias("bad"),
                     F.max(F.when(ok, ts)).cast("string").alias("mx")).first()
-    landed = Landed(int(batch_id), n["good"], n["bad"], n["mx"])
+    if history and n["good"]:
+        seen = SeenIds(decoded.sparkSession, paths.seen)
+        good = seen.unseen(good, batch_id).persist()
+        kept = good.agg(F.count(F.lit(1)).alias("good"), F.max("status_ts").cast("string").alias("mx")).first()
+        landed = Landed(int(batch_id), kept["good"], n["bad"], kept["mx"])
+    else:
+        landed = Landed(int(batch_id), n["good"], n["bad"], n["mx"])
     if landed.good + landed.bad == 0:
         return landed
     if landed.bad:
         bad.write.mode("overwrite").json(f"{paths.quarantine}/batch_id={int(batch_id)}")
     if landed.good or mark:
         land_batch(good.select(*EVENT_SCHEMA.names), paths.raw, batch_id)
+    if history and n["good"]:
+        good.unpersist()
+        if landed.good:
+            seen.add(read_batch(decoded.sparkSession, paths.raw, batch_id), batch_id)
     log.record(landed)
     return landed
 
@@ -204,15 +221,17 @@ def start_land_merge(messages: DataFrame, paths: PipelinePaths, mode: str = "inc
 
 
 def start_raw_landing(messages: DataFrame, paths: PipelinePaths, trigger: str = "flush",
-                      dedupe: bool = False, ts_grain: str | None = None) -> StreamingQuery:
-    """Shape (b), query A: good messages to the raw folder, the others to quarantine."""
+                      dedupe: bool | str = False, ts_grain: str | None = None) -> StreamingQuery:
+    """Shape (b), query A: good messages to the raw folder, the others to quarantine. ``dedupe``: True for
+    redeliveries within a day (in Spark's state), ``"history"`` for those of any age (``sinks/seen.py``)."""
     spark = messages.sparkSession
     paths.log(spark).check(query_id(spark, paths.landing_checkpoint))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         decoded = batch.persist()
         try:
-            land(decoded, paths, batch_id, query_id(batch.sparkSession, paths.landing_checkpoint), ts_grain, mark=True)
+            land(decoded, paths, batch_id, query_id(batch.sparkSession, paths.landing_checkpoint), ts_grain, mark=True,
+                 history=dedupe == "history")
         finally:
             decoded.unpersist()
 
@@ -262,7 +281,7 @@ def start_refresh(spark: SparkSession, paths: PipelinePaths, trigger: str = "sch
     return with_trigger(writer, trigger).start()
 
 
-def start_pipeline(messages: DataFrame, paths: PipelinePaths, dedupe: bool = False, ts_grain: str | None = None,
+def start_pipeline(messages: DataFrame, paths: PipelinePaths, dedupe: bool | str = False, ts_grain: str | None = None,
                    landing_trigger: str = "arrival") -> list[StreamingQuery]:
     """The pipeline of a topic: land whenever the source has a batch (its options hold the flush size and
     delay; for files use the ``flush`` trigger), merge on the schedule."""
