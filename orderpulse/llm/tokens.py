@@ -31,7 +31,7 @@ DOCS_PER_SHARD = 4096
 MAX_SHARDS = 20_000          # shard bounds are the only thing kept on the driver
 CHUNK_BYTES = 1 << 18
 KEYS_PER_BUCKET = 4096
-KNOWN_WORDS = 600_000        # words a worker remembers; beyond it the memory starts afresh
+KNOWN_WORDS = 400_000        # words a worker remembers; beyond it the memory starts afresh
 FILE_SCHEMA = ("shard int, chunk int, width int, keys array<bigint>, offsets array<bigint>, "
                "n_tokens bigint, payload binary")
 INDEX_SCHEMA = ("bucket bigint, n_slots int, pilots binary, fingerprints binary, shards binary, "
@@ -54,8 +54,9 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.code = "H" if width == 2 else "I"
+        self.packs = [struct.Struct(f"<{n}{self.code}").pack for n in range(64)]
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         rest = sorted(set(range(256)) - set(shown))
         #: the printable stand-ins of byte-level vocabularies: other bytes are numbered from 256
@@ -65,20 +66,23 @@ class PieceEncoder:
         self._start()
 
     def _start(self) -> None:
-        self.known: dict[str, bytes] = {"\1": self.marks[","], "\2": self.marks["."]}  # word -> ids of space and word
+        #: ids of a word with the space before it; of a line's first word under its name after "\3"
+        self.known: dict[str, bytes] = {"\1": self.marks[","], "\2": self.marks["."], "\4": self.marks["\n"]}
         self.marked: set[str] = set()  # known words that end in a mark
 
     def _raw(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+        return self.packs[len(ids)](*ids) if len(ids) < 64 else struct.pack(f"<{len(ids)}{self.code}", *ids)
 
     def _whole(self, text: str) -> bytes:
         return self._raw(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def piece(self, text: str) -> bytes:
         """Ids of a piece."""
-        if (text[1:] if text[:1] == " " else text).isalpha():  # one word: one step of the model
-            told = "".join(map(self.letters.__getitem__, text.encode("utf-8")))
-            return self._raw([t.id for t in self.model.tokenize(told)])
+        space = text[:1] == " "
+        word = text[1:] if space else text
+        if word.isalpha():  # one word: one step of the model
+            told = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode("utf-8")))
+            return self._raw([t.id for t in self.tokenize(self.letters[32] + told if space else told)])
         word = text.rstrip(_TAIL)
         if word != text and word[-1:].isalnum():
             return self.piece(word) + self._whole(text[len(word):])
@@ -87,36 +91,32 @@ class PieceEncoder:
     def encode(self, text: str) -> bytes:
         if text[:2] in (". ", ", ") or any(s in text for s in _JOINED) or not text.isascii() and any(s in text for s in _JOINED_WIDE):
             return self._whole(text)
-        known, met = self.known, self.met
-        if len(known) > KNOWN_WORDS:
+        if len(self.known) > KNOWN_WORDS:
             self._start()
-            known = self.known
-        out, marked, once = [], False, []
-        for n, line in enumerate(text.split("\n")):
-            if n:
-                out.append(self.marks["\n"])
-            last = line[-1:] if line[-1:] in (".", ",") and line[-2:-1].isalnum() else ""
-            words = (line[:-1] if last else line).replace(", ", " \1 ").replace(". ", " \2 ").split(" ")
-            out.append(self.piece(words[0]))
-            marked = marked or words[0] != "" and not words[0][-1].isalnum()
-            del words[0]
-            for w in words:
-                if w not in known:
-                    known[w] = self.piece(" " + w)
-                    at = hash(w) & 0x3FFFFF
-                    if met[at]:
-                        if not w[-1:].isalnum():
-                            self.marked.add(w)
-                    else:
-                        met[at] = 1
-                        once.append(w)
-                        marked = marked or not w[-1:].isalnum()
-            marked = marked or not self.marked.isdisjoint(words)
-            out.extend(map(known.__getitem__, words))
-            if last:
-                out.append(self.marks[last])
+        known, met = self.known, self.met
+        last = text[-1:] if text[-1:] in (".", ",") and text[-2:-1].isalnum() else ""
+        body = (text[:-1] if last else text).replace(", ", " \1 ").replace(". ", " \2 ")
+        if "\n" in body:
+            body = body.replace(",\n", " \1\n").replace(".\n", " \2\n").replace("\n", " \4 \3")
+        words = ("\3" + body).split(" ")
+        once, marked = [], False
+        for w in set(words).difference(known):
+            known[w] = self.piece(w[1:] if w[:1] == "\3" else " " + w)
+            ends = not w[-1:].isalnum() and w != "\3"
+            at = hash(w) & 0x3FFFFF
+            if met[at]:
+                if ends:
+                    self.marked.add(w)
+            else:
+                met[at] = 1
+                once.append(w)
+                marked = marked or ends
+        out = list(map(known.__getitem__, words))
+        if last:
+            out.append(self.marks[last])
+        marked = marked or not self.marked.isdisjoint(words)
         for w in once:  # kept from their second text on
-            known.pop(w, None)
+            del known[w]
         return self._whole(text) if marked and _MARKED.search(text) else b"".join(out)
 
 
@@ -124,7 +124,7 @@ class PieceEncoder:
 _TAIL = ".,;:!?*#$%&)"
 _MARKED = re.compile(r"(?:[^\w\s]|_)[.,][ \n]")
 #: White space that may share a token with its neighbours, and the stand-ins of marks.
-_JOINED = ("  ", "\n ", " \n", "\n\n", " . ", " , ", "\n. ", "\n, ", "., ", ",. ", *"\0\1\2\t\v\f\r\x1c\x1d\x1e\x1f")
+_JOINED = ("  ", "\n ", " \n", "\n\n", " . ", " , ", "\n. ", "\n, ", " .\n", " ,\n", "., ", ",. ", *"\0\1\2\3\4\t\v\f\r\x1c\x1d\x1e\x1f")
 _JOINED_WIDE = tuple("\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
                      "\u2028\u2029\u202f\u205f\u3000")
 
@@ -138,6 +138,11 @@ def _encoder(path: str, width: int) -> PieceEncoder:
     return _ENCODERS[path, width]
 
 
+def _forget() -> None:
+    """Called by the stages after the encoding: a worker that did some of it lets its memory go."""
+    _ENCODERS.clear()
+
+
 def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, width: int = 2, bounds: list[int] | None = None,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(shard, doc_id, ids): raw ids of every whole text with the end id; ``bounds`` deal the
@@ -176,6 +181,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, vocab_size:
     ids = encode_documents(docs, tokenizer, end_id, width, shard_bounds(docs, id_col), id_col, text_col)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _forget()
         shard, chunk, keys, parts, size = None, 0, [], [], 0
 
         def row() -> pa.RecordBatch:
@@ -285,6 +291,7 @@ def build_index(files: DataFrame, buckets: int) -> DataFrame:
     places = places.withColumns({"no_id": F.col("doc_id").isNull(), "doc_id": F.coalesce("doc_id", F.lit(0))})
 
     def build(key, pdf):
+        _forget()
         pdf = pdf.sort_values(["no_id", "doc_id", "shard", "chunk", "at"], kind="stable")
         occ = pdf.groupby(["no_id", "doc_id"]).cumcount()
         h = _key_hash(pdf["doc_id"].to_numpy(), occ.to_numpy(), pdf["no_id"].to_numpy())
@@ -325,6 +332,7 @@ def locate(index: DataFrame, keys: DataFrame, buckets: int) -> DataFrame:
 def read_payloads(files: DataFrame) -> DataFrame:
     """(shard, chunk, at, n, ids_crc32): every document's ids read back from the raw payload."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _forget()
         for batch in batches:
             for r in batch.to_pylist():
                 ids = np.frombuffer(r["payload"], "<u2" if r["width"] == 2 else "<u4")
