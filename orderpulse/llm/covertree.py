@@ -33,6 +33,7 @@ BLOCK_ROWS = 2048
 MAX_BLOCKS = 4096            # beyond it blocks grow: centres and radii of all blocks are broadcast
 LEAST_RADIUS = 1 / 16
 SLACK = 1e-9                 # on distances, for rounding
+WALK = 8                     # a node pair costs about as much as so many entries of a matrix product
 TREE_SCHEMA = "block int, center array<double>, radius double, tree binary"
 
 
@@ -94,45 +95,47 @@ class CoverTree:
 
 
 def linked_pairs(a: CoverTree, b: CoverTree, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
-    """Indices of all point pairs of the two trees with cosine at or over the threshold."""
+    """Indices of all point pairs of the two trees with cosine at or over the threshold. Node pairs are taken level
+    by level; where the pairs left would cost more than one matrix product of all points (nothing much is pruned,
+    as for vectors spread all over), that product follows at once."""
     tau = np.sqrt(2 - 2 * threshold) + SLACK
     i, j = np.zeros(1, np.int64), np.zeros(1, np.int64)
     depth = max(len(a.levels), len(b.levels))
     for step in range(depth):
         la, lb = min(step, len(a.levels) - 1), min(step, len(b.levels) - 1)
         (pa_, _, ra), (pb_, _, rb) = a.levels[la], b.levels[lb]
-        if step and every:  # no node pair was pruned above: all pairs of this level, by a matrix product
-            i, j = _near_nodes(a.x[pa_], ra, b.x[pb_], rb, tau)
-        else:
-            if step:
-                i, j = _expand(i, j, a.levels[la][1] if la == step else None, b.levels[lb][1] if lb == step else None,
-                               len(a.levels[la - 1][0]) if la == step else 0, len(b.levels[lb - 1][0]) if lb == step else 0)
-            ok = np.empty(len(i), bool)
-            for at in range(0, len(i), 1 << 15):
-                p, q = i[at:at + (1 << 15)], j[at:at + (1 << 15)]
-                cos = np.einsum("ij,ij->i", a.x[pa_[p]], b.x[pb_[q]])
-                ok[at:at + (1 << 15)] = np.sqrt(np.maximum(2 - 2 * cos, 0)) <= ra[p] + rb[q] + tau
-            i, j = i[ok], j[ok]
+        if step:
+            own, other = (a.levels[la][1] if la == step else None), (b.levels[lb][1] if lb == step else None)
+            up, down = len(a.levels[la - 1][0]) if la == step else 0, len(b.levels[lb - 1][0]) if lb == step else 0
+            count_a = np.bincount(own, minlength=up)[i] if own is not None else 1
+            count_b = np.bincount(other, minlength=down)[j] if other is not None else 1
+            if np.sum(count_a * count_b) * WALK > len(a.x) * len(b.x):
+                i, j = _near_points(a.x, b.x, threshold)
+                break
+            i, j = _expand(i, j, own, other, up, down)
+        ok = np.empty(len(i), bool)
+        for at in range(0, len(i), 1 << 15):
+            p, q = i[at:at + (1 << 15)], j[at:at + (1 << 15)]
+            cos = np.einsum("ij,ij->i", a.x[pa_[p]], b.x[pb_[q]])
+            ok[at:at + (1 << 15)] = np.sqrt(np.maximum(2 - 2 * cos, 0)) <= ra[p] + rb[q] + tau
+        i, j = i[ok], j[ok]
         if not len(i):
             return i, j
-        every = len(i) == len(pa_) * len(pb_)
     exact = np.empty(len(i), bool)
     for at in range(0, len(i), 1 << 15):
         exact[at:at + (1 << 15)] = np.einsum("ij,ij->i", a.x[i[at:at + (1 << 15)]], b.x[j[at:at + (1 << 15)]]) >= threshold
     return i[exact], j[exact]
 
 
-def _near_nodes(x: np.ndarray, rx: np.ndarray, y: np.ndarray, ry: np.ndarray, tau: float):
-    """All node pairs no further apart than both radii plus tau. In single precision with a slack that
-    covers its rounding; what it lets through is measured again in double precision."""
-    cos = x.astype(np.float32) @ y.astype(np.float32).T
-    near = np.empty(cos.shape, bool)
-    for radius in np.unique(rx):  # most nodes are points of radius 0; 0 comes first, the others follow
-        rows = slice(None) if radius == rx.min() else np.flatnonzero(rx == radius)
-        reach = np.minimum(radius + ry + tau, 2)
-        least = (1 - reach * reach / 2 - 1e-5).astype(np.float32)
-        near[rows] = cos[rows] >= least
-    return np.nonzero(near)
+def _near_points(x: np.ndarray, y: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Point pairs that may reach the threshold: products in single precision with a slack that covers their
+    rounding; what they let through is measured again in double precision."""
+    x, y = x.astype(np.float32), y.astype(np.float32)
+    found = []
+    for at in range(0, len(x), 1 << 11):
+        i, j = np.nonzero(x[at:at + (1 << 11)] @ y.T >= np.float32(threshold - 1e-5))
+        found.append((i + at, j))
+    return np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found])
 
 
 def _expand(i, j, parents_a, parents_b, na: int, nb: int):
@@ -165,9 +168,14 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def _pack(tree: CoverTree) -> bytes:
+    """Vectors that single precision holds exactly travel in it."""
     import pickle
 
-    return pickle.dumps((tree.raw, tree.keys, tree.sizes, tree.levels), protocol=5)
+    with np.errstate(over="ignore"):
+        single = tree.raw.astype(np.float32)
+    raw = single if (single == tree.raw).all() else tree.raw
+    levels = [(p.astype(np.int32), o.astype(np.int32), r) for p, o, r in tree.levels]
+    return pickle.dumps((raw, tree.keys, tree.sizes, levels), protocol=5)
 
 
 def _unpack(data: bytes) -> CoverTree:
