@@ -81,7 +81,18 @@ def _read(page: str | None, wrappers: frozenset) -> tuple[list[tuple[str, str, b
     page_held = [0, 0, 0, 0]
     within: list[tuple[int, list[int]]] = []  # place in the stack and counts of such elements that are open
     stack: list[tuple[str, bool]] = []  # open elements; whether each is no main text
+    deep: Counter = Counter()           # how many elements of a name are open
     aside = content = 0
+
+    def close(depth: int) -> list[int]:
+        """Such elements that are no longer open hand their counts to the one around them; returns that one's."""
+        while within and within[-1][0] >= depth:
+            _, counts = within.pop()
+            for k, n in enumerate(counts):
+                (within[-1][1] if within else page_held)[k] += n - own.get((id(counts), k), 0)
+        return within[-1][1] if within else page_held
+
+    own: dict[tuple[int, int], int] = {}  # what an element counts of itself and its outer ones have counted already
     at, page = 0, page or ""
     while at < len(page):
         m = _TOKEN.match(page, at)
@@ -89,29 +100,27 @@ def _read(page: str | None, wrappers: frozenset) -> tuple[list[tuple[str, str, b
         if m[6] is not None or m[2] is not None:
             text = entities.unescape(m[6]) if m[6] is not None else m[2]
             if text:
-                names = [n for n, _ in stack]
-                while within and within[-1][0] >= len(stack):
-                    within.pop()
-                if "a" not in names:
-                    n, paragraph = len(text.split()), "p" in names or "pre" in names or "blockquote" in names
-                    for counts in (page_held, *(c for _, c in within)):
-                        counts[0] += n
-                        counts[1] += n * paragraph
-                kind = ("aside" if aside else "p" if "p" in names or "pre" in names or "blockquote" in names else "link" if "a" in names
-                        else "heading" if any(n in ("h1", "h2", "h3", "h4", "h5", "h6") for n in names[-3:])
-                        else "list" if "li" in names else "text")
+                counts, paragraph = close(len(stack)), bool(deep["p"] or deep["pre"] or deep["blockquote"])
+                if not deep["a"]:
+                    n = len(text.split())
+                    counts[0] += n
+                    counts[1] += n * paragraph
+                kind = ("aside" if aside else "p" if paragraph else "link" if deep["a"]
+                        else "heading" if any(n in ("h1", "h2", "h3", "h4", "h5", "h6") for n, _ in stack[-3:])
+                        else "list" if deep["li"] else "text")
                 out.append((f"word:{kind}", text, False, content))
             continue
         name = (m[4] or "").lower()
         if not name:
             continue
         if m[3]:  # a closing tag ends the element and all that is open inside it
-            found = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if found is not None:
-                for n, off in stack[found:]:
-                    aside -= off
-                    content -= n in ("article", "main")
-                del stack[found:]
+            while deep[name]:
+                n, off = stack.pop()
+                deep[n] -= 1
+                aside -= off
+                content -= n in ("article", "main")
+                if n == name:
+                    break
         else:
             if name in RAW:
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
@@ -121,6 +130,7 @@ def _read(page: str | None, wrappers: frozenset) -> tuple[list[tuple[str, str, b
                 ends = {"p"} | ({name} if name in ("li", "dt", "dd", "tr", "td", "th", "option") else set())
                 while stack and (stack[-1][0] in ends or stack[-1][0] in _INLINE and any(n in ends for n, _ in stack[-2:])):
                     n, off = stack.pop()
+                    deep[n] -= 1
                     aside -= off
             said = m[5] or ""
             off = name in ASIDE and not (name == "header" and content)
@@ -132,21 +142,22 @@ def _read(page: str | None, wrappers: frozenset) -> tuple[list[tuple[str, str, b
                 hidden = told.get("aria-hidden") == "true" or "display:none" in (told.get("style") or "").replace(" ", "") or \
                     bool(re.search(r"(?:^|\s)hidden(?:$|[\s/])", _ATTRIBUTE.sub(" ", said)))
             if name not in VOID and not said.rstrip().endswith("/"):
-                while within and within[-1][0] >= len(stack):
-                    within.pop()
+                counts = close(len(stack))
                 if name in ("article", "main"):
-                    for counts in (page_held, *(c for _, c in within)):
-                        counts[2] += 1
-                        counts[3] += name == "main"
+                    counts[2] += 1
+                    counts[3] += name == "main"
                 if off and not hidden:
                     held.append([0, 0, int(name == "article"), 0])
+                    own[id(held[-1]), 2] = held[-1][2]  # counted for the outer ones when it opened
                     within.append((len(stack), held[-1]))
                     off = len(held) - 1 not in wrappers
                 off = off or hidden
                 stack.append((name, bool(off)))
+                deep[name] += 1
                 aside += bool(off)
                 content += name in ("article", "main")
         out.append(("tag:aside" if aside and name != "br" else f"tag:{name}", "", name in BLOCK, content))
+    close(0)
     return out, [*held, page_held]
 
 
@@ -207,14 +218,18 @@ def learn_weights(pages: DataFrame, sample: int = SAMPLE, id_col: str = "page_id
     chosen = marked.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(id_col)).alias("_h")).orderBy("_h", "_id").limit(sample)
     few = pages.join(F.broadcast(chosen.select("_id").distinct()), pages[id_col] == F.col("_id")).select(html_col)
     counts = (shipped(few).mapInArrow(run, "kind string, n1 bigint, n0 bigint").groupBy("kind")
-              .agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).orderBy("kind").limit(5_000).collect())
-    n1, n0 = sum(r.n1 for r in counts), sum(r.n0 for r in counts)
+              .agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")))
+    counts = counts.persist()
+    n1, n0 = counts.agg(F.sum("n1"), F.sum("n0")).first()
+    # kinds that occur often enough in the sample: no more than its tokens over LEAST, whatever names pages use
+    often = counts.where(F.col("n1") + F.col("n0") >= LEAST).collect()
+    counts.unpersist()
     if not n1 or not n0:
         return {}
     weights = {}
-    for r in counts:
+    for r in often:
         odds = float(np.clip(np.log((r.n1 + 0.5) / (n1 + 1)) - np.log((r.n0 + 0.5) / (n0 + 1)), -4, 4))
-        if r.n1 + r.n0 >= LEAST and r.kind not in ("word:aside", "tag:aside"):  # tags score negative, if only just
+        if r.kind not in ("word:aside", "tag:aside"):  # tags score negative, if only just
             weights[r.kind] = odds if r.kind.startswith("word:") else min(odds, -0.005)
     return weights
 

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
@@ -192,10 +193,10 @@ class Matcher:
         whole = [(start, bits, k, n, "".join(bits[k:k + n])) for start, bits in chains for n in (3, 5)
                  for k in range(0, len(bits) - n + 1, 2) if n == 3 or len(bits[k + 1]) + len(bits[k + 3]) == 2]
         if self.look_up({w for *_, w in whole}):
-            hit = {i for i, *_ in out}
+            hit, starts = {i for i, *_ in out}, [m.start() for m in _TOKEN.finditer(text.lower())]
             for start, bits, k, n, w in whole:
                 if w in self.found:
-                    at = len(_TOKEN.findall(text.lower()[:start])) + k // 2
+                    at = bisect_left(starts, start) + k // 2
                     places = range(at, at + n // 2 + 1)
                     if hit.isdisjoint(places):
                         hit.update(places)

@@ -207,3 +207,12 @@ def test_terms_that_clean_rows_quote_stay_in_the_lexicon(spark):
     assert set(terms) <= set(toxicity.learn_lexicon(df))
     assert len(toxicity.learn_lexicon(df, size=2)) == 2
     assert toxicity.look_alikes(df, ["idiot", "idiom"]) == ["idioms"]
+
+
+def test_many_masked_words_take_linear_time():
+    import time
+
+    matcher = toxicity.Matcher(["stupid", "idiot"], ["you"])
+    start = time.process_time()
+    statistics = matcher.statistics("st*pid you " * 4_000)
+    assert time.process_time() - start < 2 and statistics[1] > 8
