@@ -39,6 +39,15 @@ def read_batch(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
             .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")))
 
 
+def read_batches(spark: SparkSession, root: str, batch_ids) -> DataFrame:
+    """Some landed batches, each from its own folder (no listing of the others)."""
+    root = root.rstrip("/")
+    paths = [f"{root}/batch_id={int(b)}" for b in batch_ids]
+    if not paths:
+        return spark.createDataFrame([], RAW_SCHEMA)
+    return spark.read.option("basePath", root).schema(RAW_SCHEMA).parquet(*paths)
+
+
 def read_raw(spark: SparkSession, root: str, batch_ids=None) -> DataFrame:
     df = spark.read.schema(RAW_SCHEMA).parquet(root)
     if batch_ids is not None:

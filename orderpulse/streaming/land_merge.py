@@ -29,7 +29,7 @@ from orderpulse.operators.upsert import full_state, latest_source, merge_latest
 from orderpulse.schemas import EVENT_SCHEMA
 from orderpulse.session import path_exists, read_small_file
 from orderpulse.sinks.landing import Landed, LandingLog
-from orderpulse.sinks.raw import RAW_SCHEMA, land_batch, read_batch, read_raw
+from orderpulse.sinks.raw import RAW_SCHEMA, land_batch, read_batch, read_batches, read_raw
 from orderpulse.sinks.seen import SeenIds
 from orderpulse.sinks.snapshot import Commit, SnapshotStore
 from orderpulse.sources.messages import decode_messages, split_quarantine
@@ -330,7 +330,8 @@ def refresh(spark: SparkSession, paths: PipelinePaths, mode: str = "incremental"
     """The scheduled merge as a batch job (also the initial load).
 
     Merges the raw batches landed after the store's last committed batch (up to
-    ``up_to_batch``) in one merge. ``incremental`` reads only those partitions and rewrites
+    ``up_to_batch``) in one merge; what a stream has landed is taken from its landing log, bad messages
+    counted. ``incremental`` reads only those partitions and rewrites
     only the buckets that their orders are in; ``full`` rescans the whole raw
     table, as the reference's scheduled MERGE does. Re-running with nothing new
     is a no-op.
@@ -340,15 +341,19 @@ def refresh(spark: SparkSession, paths: PipelinePaths, mode: str = "incremental"
     if base is not None and base.source_id != source_id:
         raise ValueError(f"store {paths.store} is owned by {base.source_id}; one writer per target")
     after = -1 if base is None else base.batch_id
-    raw = read_raw(spark, paths.raw)
-    pending = raw.where(F.col("batch_id") > after)
-    if up_to_batch is not None:
-        pending = pending.where(F.col("batch_id") <= up_to_batch)
-    stats = pending.agg(F.count(F.lit(1)).alias("n"), F.max("status_ts").alias("mx"),
-                        F.max("batch_id").alias("last")).first()
-    if not stats["n"]:
-        return None
-    news = paths.log(spark).after(after, stats["last"])
-    seen = raw.where(F.col("batch_id") <= stats["last"]) if mode == "full" else None
-    return merge_batch(store, pending, stats["last"], source_id, mode, stats["n"], sum(n.bad for n in news), stats["mx"],
-                       seen, base, F.col("batch_id") > F.lit(after), landed_to=stats["last"])
+    mark = F.col("batch_id") > F.lit(after)
+    news = paths.log(spark).after(after, up_to_batch)
+    if news:  # landed by a stream: the log tells folders, counts and times, so the batch is read once
+        good = [n for n in news if n.good]
+        pending = read_batches(spark, paths.raw, [n.batch_id for n in good])
+        rows, last, newest = sum(n.good for n in good), news[-1].batch_id, max((n.max_status_ts for n in good if n.max_status_ts), default=None)
+    else:  # landed in bulk
+        pending = read_raw(spark, paths.raw).where(mark)
+        if up_to_batch is not None:
+            pending = pending.where(F.col("batch_id") <= up_to_batch)
+        rows, newest, last = pending.agg(F.count(F.lit(1)), F.max("status_ts"), F.max("batch_id")).first()
+        if not rows:
+            return None
+    seen = read_raw(spark, paths.raw).where(F.col("batch_id") <= last) if mode == "full" else None
+    return merge_batch(store, pending, last, source_id, mode, rows, sum(n.bad for n in news), newest, seen, base, mark,
+                       landed_to=last)

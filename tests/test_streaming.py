@@ -365,6 +365,24 @@ def test_run_log_counts_batches_of_bad_messages_alone(spark):
     assert [n.batch_id for n in paths.log(spark).after(0, up_to=2)] == [1, 2]
 
 
+@pytest.mark.parametrize("mode", ["incremental", "full"])
+def test_batch_refresh_takes_what_the_log_tells(spark, mode):
+    root = scratch_path(spark, "test_log_refresh")
+    paths, landing = P.PipelinePaths(root), f"{root}/landing"
+    for wave in ([E1], ["bad"], [E2, "bad"], [msg("e4", 1, "PAID", "2024-01-02T10:00:00+00:00"), E3]):
+        publish(spark, landing, wave)
+        P.run_to_completion(P.start_raw_landing(file_messages(spark, landing), paths, trigger="drain"))
+    P.refresh(spark, paths, mode, up_to_batch=1)
+    assert P.refresh(spark, paths, mode).batch_id == 3
+    assert P.refresh(spark, paths, mode) is None
+    store = SnapshotStore(spark, paths.store)
+    assert status(store) == {1: ("CREATED", "PAID", "2024-01-02 10:00:00"), 2: (None, "PAID", "2024-01-01 11:00:00"),
+                             3: (None, "PAID", "2024-01-01 12:00:00")}
+    log = store.run_log().orderBy("batch_id").collect()
+    assert [(r.batch_id, r.rows_in, r.rows_bad, str(r.max_status_ts)) for r in log] == [
+        (1, 1, 1, "2024-01-01 10:00:00"), (3, 3, 1, "2024-01-02 10:00:00")]
+
+
 def test_landing_log_over_blocks(spark):
     from orderpulse.sinks.landing import PER_BLOCK, Landed
 
