@@ -435,18 +435,20 @@ def bad_messages(events: DataFrame) -> DataFrame:
 
 
 def run_stream_waves(spark, sf_dir, batches, shape: str = "land_merge", mode: str = "incremental",
-                     variant: str = "base", with_bad: bool = False, dedupe: bool = False,
-                     root: str | None = None, events: DataFrame | None = None) -> SnapshotStore:
+                     variant: str = "base", with_bad: bool = False, dedupe: bool | str = False,
+                     root: str | None = None, events: DataFrame | None = None, bad_alone: bool = False) -> SnapshotStore:
     """Publish each batch group in turn (JSON-line files, the topic stand-in) and drain the
-    pipeline after each, restarting from its checkpoint every time."""
+    pipeline after each, restarting from its checkpoint every time. Bad messages come with the wave
+    that they are made from, or (``bad_alone``) as a wave of their own after it."""
     root = root or scratch_path(spark, f"stream_{shape}")
     paths = P.PipelinePaths(root)
     landing = f"{root}/landing"
     events = fx_events(spark, sf_dir, variant) if events is None else events
-    for group in batches:
+    for group, bad_wave in [(g, w) for g in batches for w in ((False, True) if bad_alone else (False,))]:
         wave = events.where(F.col("batch_id").isin(list(group)))
-        publish_files(wave, landing)
-        if with_bad:
+        if not bad_wave:
+            publish_files(wave, landing)
+        if with_bad or bad_wave:
             bad_messages(wave).select("value").write.mode("append").text(landing)
         messages = file_messages(spark, landing)
         if shape == "land_merge":
@@ -502,6 +504,17 @@ def q_run_log_refresh_bad(spark, sf_dir):
     return store.run_log().select(*_RUN_LOG_COLUMNS)
 
 
+@register("run_log_bad_alone", O.with_ctes(
+    [f"rl as ({O.run_log_sql('base', TWO_BATCHES)})", f"fx as ({O.fx_events_sql()})", f"bad as ({_BAD_SQL})"],
+    "select batch_id * 2 as batch_id, rows_in, rows_bad, inserted, updated, unchanged, max_status_ts from rl " + "".join(
+        f"union all select {2 * i + 1}, 0, (select count(*) from bad where batch_id in ({', '.join(map(str, g))})), 0, 0, 0, null "
+        for i, g in enumerate(TWO_BATCHES))))
+def q_run_log_bad_alone(spark, sf_dir):
+    """Landing and merging as two queries, with waves of bad messages alone: each is a commit that counts them."""
+    store = run_stream_waves(spark, sf_dir, TWO_BATCHES, shape="raw_refresh", bad_alone=True)
+    return store.run_log().select(*_RUN_LOG_COLUMNS)
+
+
 @register("stream_quarantine", O.with_ctes([f"fx as ({O.fx_events_sql()})"], f"select reason, value from ({_BAD_SQL}) b"))
 def q_stream_quarantine(spark, sf_dir):
     root = scratch_path(spark, "stream_quarantine")
