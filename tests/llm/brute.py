@@ -238,3 +238,51 @@ def one_apart(a, b):
         a, b = b, a
     i = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
     return a[i + 1:] == b[i + 1:] if len(a) == len(b) else a[i:] == b[i + 1:]
+
+
+def quality_statistics(text):
+    """The fourteen statistics, counted byte by byte and word by word."""
+    from math import log
+
+    raw = (text or "").encode()
+    small = bytes(b + 32 if 65 <= b <= 90 else b for b in raw)
+    words, cased = re.findall(rb"[^\x20\x09-\x0d]+", small), re.findall(rb"[^\x20\x09-\x0d]+", raw)
+    n, size = len(words), len(raw)
+    share = lambda part, whole: log((part + 0.5) / (max(whole - part, 0) + 0.5))
+    kinds = {"upper": 0, "letters": 0, "marks": 0, "symbols": 0, "digits": 0}
+    for b in raw:
+        c = chr(b)
+        kinds["upper"] += "A" <= c <= "Z"
+        kinds["letters"] += b >= 128 or "a" <= c.lower() <= "z" and b < 128
+        kinds["marks"] += c in ".,;:!?'\"()-"
+        kinds["symbols"] += c in "#$%&*|+/\\<>=@[]^_`{}~"
+        kinds["digits"] += "0" <= c <= "9"
+    lines = [x for x in raw.split(b"\n") if re.search(rb"[^\x20\x09-\x0d]", x)]
+    pairs = {(words[i], words[i + 1]) for i in range(n - 1)}
+    most = max((words.count(w) for w in set(words)), default=0)
+    marked = sum(1 for w in words if w[-1:] in (b"!", b"#", b"$", b"%", b"&", b"*") or w == b"|")
+    capital = sum(1 for w in cased if len(w) > 1 and re.search(rb"[A-Z]", w) and not re.search(rb"[a-z]", w))
+    return [log(1 + n), share(kinds["upper"], kinds["letters"]), share(kinds["marks"], size), share(kinds["symbols"], size),
+            share(kinds["digits"], size), log((kinds["letters"] + 1) / (n + 1)), log((len(set(words)) + 1) / (n + 1) ** 0.75),
+            share(most, n), share(len(pairs), max(n - 1, 0)), share(len(set(lines)), len(lines)), log((n + 1) / (len(lines) + 1)),
+            share(marked, n), share(capital, n), share(raw.count(b"|"), n)]
+
+
+def quality_scores(docs, labels, pooled=0.3, identity=0.05):
+    """{doc_id: score}: the two normal densities with shrunk covariances, by determinants and linear equations."""
+    import numpy as np
+
+    known = {d: y for d, y in labels if y in (0, 1) and zlib.crc32(str(d).encode()) % 5 != 0}
+    x = {d: np.array(quality_statistics(t)) for d, t in docs}
+    groups = {y: np.array([x[d] for d in x if known.get(d) == y]) for y in (0, 1)}
+    total = sum(map(len, groups.values()))
+    cov = {y: np.cov(g.T, bias=True) for y, g in groups.items()}
+    whole = sum(len(groups[y]) * cov[y] for y in cov) / total
+    out = {}
+    for y, g in groups.items():
+        c = (1 - pooled) * cov[y] + pooled * whole
+        groups[y] = (g.mean(0), (1 - identity) * c + identity * np.trace(c) / len(c) * np.eye(len(c)), len(g) / total)
+    for d, v in x.items():
+        log = [np.log(p) - 0.5 * np.linalg.slogdet(c)[1] - 0.5 * (v - m) @ np.linalg.solve(c, v - m) for m, c, p in (groups[0], groups[1])]
+        out[d] = 1 / (1 + np.exp(np.clip(log[0] - log[1], -700, 700)))
+    return out

@@ -216,3 +216,16 @@ def test_many_masked_words_take_linear_time():
     start = time.process_time()
     statistics = matcher.statistics("st*pid you " * 4_000)
     assert time.process_time() - start < 2 and statistics[1] > 8
+
+
+def test_quality_query_against_brute_force(spark):
+    import brute
+    from llm_helpers import SF
+    from orderpulse.llm.queries import QUERIES
+
+    docs = [tuple(r) for r in read_table(spark, SF, "documents", "doc_id", "text").collect()]
+    labels = [tuple(r) for r in read_table(spark, SF, "labels", "doc_id", "quality").collect()]
+    want = brute.quality_scores(docs, labels)
+    got = QUERIES["op5_quality"](spark, SF).collect()
+    assert len(got) == len(docs)
+    assert all(abs(r.score - want[r.doc_id]) < 1e-8 and r.predicted == (r.score >= 0.3) for r in got)
