@@ -851,3 +851,21 @@ def q_freshness_now(spark, sf_dir):
     lag = F.timestamp_diff("SECOND", F.col("latest_event_ts"), F.col("as_of"))
     return found.select("latest_event_ts", (F.col("as_of").between(from_ - minute, from_ + minute) & (F.abs(lag - F.col("lag_seconds")) <= 1)).alias("is_now"),
                         "is_fresh")
+
+
+@register("stream_list", O.with_ctes(
+    [f"fx as ({O.fx_events_sql()})"],
+    "select 'orders-landing' as name, true as running, count(*) as landed from fx"))
+def q_stream_list(spark, sf_dir):
+    """The list of running streams while one lands all events, beside what its landing log says it landed."""
+    root = scratch_path(spark, "stream_list")
+    paths = P.PipelinePaths(root)
+    publish_files(fx_events(spark, sf_dir), f"{root}/landing")
+    query = P.start_raw_landing(file_messages(spark, f"{root}/landing"), paths, trigger="flush", name="orders-landing")
+    try:
+        query.processAllAvailable()
+        listed = P.query_status(spark).where(F.col("id") == str(query.id))
+    finally:
+        query.stop()
+    landed = sum(n.good for n in paths.log(spark).after(-1))
+    return listed.select("name", F.col("message").isNotNull().alias("running"), F.lit(landed).cast("bigint").alias("landed"))

@@ -221,7 +221,7 @@ def start_land_merge(messages: DataFrame, paths: PipelinePaths, mode: str = "inc
 
 
 def start_raw_landing(messages: DataFrame, paths: PipelinePaths, trigger: str = "flush",
-                      dedupe: bool | str = False, ts_grain: str | None = None) -> StreamingQuery:
+                      dedupe: bool | str = False, ts_grain: str | None = None, name: str | None = None) -> StreamingQuery:
     """Shape (b), query A: good messages to the raw folder, the others to quarantine. ``dedupe``: True for
     redeliveries within a day (in Spark's state), ``"history"`` for those of any age (``sinks/seen.py``)."""
     spark = messages.sparkSession
@@ -237,6 +237,8 @@ def start_raw_landing(messages: DataFrame, paths: PipelinePaths, trigger: str =
 
     writer = (decoded_stream(messages, dedupe).writeStream.foreachBatch(sink)
               .option("checkpointLocation", paths.landing_checkpoint))
+    if name:
+        writer = writer.queryName(name)
     return with_trigger(writer, trigger).start()
 
 
