@@ -35,6 +35,7 @@ from orderpulse.sinks.transitions import TransitionMatrix
 from orderpulse.sources.tables import read_table
 from orderpulse.streaming import land_merge as P
 from orderpulse.streaming import progress
+from orderpulse.streaming import stalled
 from orderpulse.streaming import stateful as S
 from orderpulse.streaming.sources import file_messages
 
@@ -826,6 +827,58 @@ def q_stream_state_rows(spark, sf_dir):
     return progress.state_summary(spark, f"{root}/_checkpoint/stateful").select("operator_id", "operator_name", "max_batch", "state_rows")
 
 
+#: Events of an order at most a day apart are one span; it has stalled when a day has gone by after its last event.
+def _stalls_sql(as_of: str, variant: str) -> str:
+    return O.with_ctes(
+        [f"fx as ({O.fx_events_sql(variant)})", "known as (select * from fx where order_id is not null and status_ts is not null)",
+         "marked as (select *, case when status_ts - lag(status_ts) over w <= interval 24 hour then 0 else 1 end as fresh "
+         "from known window w as (partition by order_id order by status_ts, event_id))",
+         "numbered as (select *, sum(fresh) over (partition by order_id order by status_ts, event_id) as span from marked)",
+         "ends as (select *, min(status_ts) over (partition by order_id, span) as active_from, row_number() over "
+         "(partition by order_id, span order by status_ts desc, event_id desc) as rn from numbered)",
+         f"past as (select {as_of} as as_of from known)"],
+        "select order_id, active_from, status_ts, event_id, customer_id, new_status, status_ts + interval 24 hour as stalled_at "
+        "from ends, past where rn = 1 and status_ts + interval 24 hour <= as_of")
+
+
+_WATERMARK = "date_trunc('milliseconds', max(status_ts)) - interval 1 hour"
+
+
+def stalls_in_waves(spark, events: DataFrame) -> DataFrame:
+    """Waves of twenty days, where every second event comes half an hour late, landed and searched for stalls in turn."""
+    root = scratch_path(spark, "stalls")
+    paths = P.PipelinePaths(root)
+    arrives = F.unix_timestamp(F.col("status_ts").cast("timestamp")) + F.col("event_id").cast("bigint") % 2 * 1800
+    events = events.withColumn("wave", F.coalesce(F.floor(arrives / (20 * 86400)), F.lit(0)))
+    for (wave,) in sorted(events.select("wave").distinct().collect()):
+        publish_files(events.where(F.col("wave") == wave).drop("wave"), f"{root}/landing")
+        P.run_to_completion(P.start_raw_landing(file_messages(spark, f"{root}/landing"), paths, trigger="drain"))
+        P.run_to_completion(stalled.start_stalls(spark, paths, trigger="drain"))
+    return stalled.read_stalls(spark, paths).drop("batch_id")
+
+
+@register("stalled_orders", _stalls_sql("max(status_ts)", "nulls"))
+def q_stalled_orders(spark, sf_dir):
+    """Stalls of all events so far, as of the newest of them."""
+    events = fx_events(spark, sf_dir, "nulls")
+    newest = events.agg(F.max("status_ts").alias("m"))
+    return stalled.stalls(events, newest.select("m").scalar())
+
+
+@register("stream_stalls", _stalls_sql(_WATERMARK, "base"))
+def q_stream_stalls(spark, sf_dir):
+    """The spans that the state store has let go when the stream has seen all events."""
+    return stalls_in_waves(spark, fx_events(spark, sf_dir))
+
+
+@register("stream_stalls_hot_large", _stalls_sql(_WATERMARK, "base").replace(
+    "user_id as order_id", f"case when event_id % 3 = 0 then {LARGE_ID} else user_id + {LARGE_ID} end as order_id"))
+def q_stream_stalls_hot_large(spark, sf_dir):
+    """The same with one order that a third of all events have, and ids past 2^53."""
+    hot = F.when(F.col("event_id").cast("bigint") % 3 == 0, F.lit(LARGE_ID)).otherwise(F.col("order_id") + F.lit(LARGE_ID))
+    return stalls_in_waves(spark, fx_events(spark, sf_dir).withColumn("order_id", hot))
+
+
 _PART = "coalesce(length({0}) || ':' || {0}, '-')"
 _PARTS = " || ".join(_PART.format(f"cast({c} as varchar)") for c in ("order_id", "customer_id", "new_status", "source"))
 
