@@ -27,6 +27,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as make them new to the columns of ``df``."""
+    taken, prefix = {c.lower() for c in df.columns}, ""
+    while any((prefix + n).lower() in taken for n in names):
+        prefix += "_"
+    return [prefix + n for n in names]
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int):
     """While this holds, at most so many rows travel to Python at once: for jobs over large rows that

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderpulse.llm.common import alnum_words, row_hash, shipped, stored
+from orderpulse.llm.common import alnum_words, free_names, row_hash, shipped, stored
 
 WINDOW = 10
 BLOCK_WORDS = 1 << 20
@@ -237,7 +237,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_co
                   **names) -> DataFrame:
     """``docs`` without the rows that hold a window of a test item."""
     hits = search(positional_index(docs, id_col, text_col), items, window, **names).where("n_hit > 0")
-    hits = hits.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct()
-    marked = docs.withColumns({"_key": F.col(id_col).cast("bigint"), "_row": row_hash(text_col)})
-    clean = marked.join(hits, marked._key.eqNullSafe(hits._id) & (marked._row == hits._h), "left_anti")
-    return clean.drop("_key", "_row")
+    key, row = free_names(docs, "_key", "_row")
+    hits = hits.select(F.col("doc_id").alias(key), F.col("h").alias(row)).distinct()
+    marked = docs.withColumns({key: F.col(id_col).cast("bigint"), row: row_hash(text_col)})
+    clean = marked.join(hits, marked[key].eqNullSafe(hits[key]) & (marked[row] == hits[row]), "left_anti")
+    return clean.drop(key, row)

@@ -23,10 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from orderpulse.llm.common import free_names
+
 WEIGHTS = (5, 2, 1)
 MAX_RATE = 3
 UNIT = 1 << 24
 SEED = 42
+_MADE = ("_size", "_source_size", "_target", "_copies")
 
 
 def text_size(text: str = "text") -> Column:
@@ -61,8 +64,17 @@ def source_targets(sized: DataFrame, source: str = "source", size: str = "_size"
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights=WEIGHTS, max_rate: int = MAX_RATE, seed: int = SEED) -> DataFrame:
-    """``docs`` with ``_size``, ``_source_size``, ``_target`` and ``_copies``, each column of ``docs``
-    unchanged. Only the columns that are asked for later pass the shuffle."""
+    """``docs`` and, last, ``_size``, ``_source_size``, ``_target`` and ``_copies`` (with further underscores where
+    ``docs`` has such a column), each column of ``docs`` unchanged. Only the columns that are asked for
+    later pass the shuffle."""
+    inner = [f"c{i}" for i in range(len(docs.columns))]  # no clash with the columns that are made on the way
+    at = {c.lower(): i for c, i in zip(docs.columns, inner)}
+    mixed = _mix(docs.toDF(*inner), at[id_col.lower()], at[text_col.lower()], at[source_col.lower()], weights, max_rate, seed)
+    return mixed.select(*[F.col(i).alias(c) for i, c in zip(inner, docs.columns)],
+                        *[F.col(r).alias(n) for r, n in zip(_MADE, free_names(docs, *_MADE))])
+
+
+def _mix(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights, max_rate: int, seed: int) -> DataFrame:
     key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     rows = docs.withColumns({"_size": text_size(text_col), "_salt": F.substring(F.md5(key), 1, 2), "_tie": F.md5(text_col)})
     octave = F.length(F.bin("_size"))
@@ -89,6 +101,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def emit(mixed: DataFrame) -> DataFrame:
-    """Each row of ``mix`` as often as its copies say, with the columns of the documents alone."""
-    rows = mixed.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    return rows.drop("_size", "_source_size", "_target", "_copies", "_copy")
+    """Each row of ``mix`` as often as its copies say, with the columns of the documents alone (all but the last four)."""
+    *columns, copies = (F.col(f"`{c}`") for c in mixed.columns)
+    (copy,) = free_names(mixed, "_copy")
+    rows = mixed.where(copies > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), copies.cast("int"))))
+    return rows.select(columns[:len(columns) + 1 - len(_MADE)])

@@ -5,9 +5,9 @@ the 64-bit fingerprint, a perfect covering code of radius 1. Every distinct fing
 anchor within the radius and is replicated to every anchor within radius plus threshold; two
 fingerprints that differ in at most ``threshold`` bits therefore meet at the home anchor of either.
 Members of an anchor are compared there on all 64 bits, and the links found leave it as a forest, never
-as all pairs. ``r = 5`` (67 million anchors, 156 copies at threshold 2) holds about one
-fingerprint and its visitors per anchor up to some hundred million distinct fingerprints; ``r = 6``
-is for more.
+as all pairs. ``r`` follows from the number of distinct fingerprints (see ``code_bits``): ``r = 5`` has 67
+million anchors and 156 copies at threshold 2, ``r = 6`` more anchors than there are documents, and 652 copies.
+The links join the same fingerprints under either.
 
 Defined cases: equal fingerprints (copies) are one node; texts without words (null and empty
 ones too) have fingerprint zero and link like any other; a null ``doc_id`` is never the smallest
@@ -18,15 +18,18 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderpulse.llm.common import connected_components, row_hash, shipped, space_words, stored
+from orderpulse.llm.common import connected_components, free_names, row_hash, shipped, space_words, stored
 
-SHINGLE, THRESHOLD, CODE_BITS = 3, 2, 5
+SHINGLE, THRESHOLD = 3, 2
+MEMBERS = 256                # of an anchor on average, at most, before the longer code is taken
+COPIES_PER_TASK = 1 << 20
 _BITS = 1 << np.arange(64, dtype=np.uint64)
 
 
@@ -66,7 +69,7 @@ class HammingAnchors:
     """Home and neighbouring codewords of the Hamming code of length 2^r - 1 (positions 1..n; a
     word's syndrome is the XOR of the positions of its set bits, 0 for a codeword)."""
 
-    def __init__(self, r: int = CODE_BITS, threshold: int = THRESHOLD):
+    def __init__(self, r: int = 5, threshold: int = THRESHOLD):
         self.n = (1 << r) - 1
         self.mask = np.uint64((1 << self.n) - 1)
         # flips of at most radius + threshold bits, listed by the syndrome that they cancel
@@ -99,9 +102,24 @@ class HammingAnchors:
         return np.concatenate(who), np.concatenate(where)
 
 
-def anchor_links(distinct: DataFrame, threshold: int = THRESHOLD, r: int = CODE_BITS) -> DataFrame:
+def copies_of(threshold: int, r: int) -> int:
+    """Anchors that a fingerprint is replicated to: codewords within 1 + threshold of it, on average."""
+    n = (1 << r) - 1
+    return -(-sum(comb(n, k) for k in range(threshold + 2)) // (n + 1))
+
+
+def code_bits(distinct: int, threshold: int = THRESHOLD) -> int:
+    """5, or 6 where the anchors of the shorter code would have over ``MEMBERS`` members on average."""
+    return 5 if distinct * copies_of(threshold, 5) <= MEMBERS << 26 else 6
+
+
+def anchor_links(distinct: DataFrame, threshold: int = THRESHOLD, r: int | None = None) -> DataFrame:
     """(a, b): links between distinct fingerprints ``fp`` that join the same fingerprints as all pairs
     within ``threshold`` bits do."""
+    n = distinct.agg(F.approx_count_distinct("fp")).first()[0]
+    r = r or code_bits(n, threshold)
+    tasks = max(1, -(-n * copies_of(threshold, r) // COPIES_PER_TASK))
+
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = HammingAnchors(r, threshold)
         for batch in batches:
@@ -138,7 +156,7 @@ def anchor_links(distinct: DataFrame, threshold: int = THRESHOLD, r: int = CODE_
         if held:
             yield from out(tuple(np.concatenate(c) for c in zip(*held)))
 
-    copies = shipped(distinct).select("fp").mapInArrow(replicate, "anchor bigint, fp bigint, home boolean")
+    copies = shipped(distinct).select("fp").repartition(tasks, "fp").mapInArrow(replicate, "anchor bigint, fp bigint, home boolean")
     dealt = copies.repartition("anchor").sortWithinPartitions("anchor")
     return dealt.mapInArrow(compare, "a bigint, b bigint")
 
@@ -223,7 +241,7 @@ def _through_visitors(x, at_home, linked, a, b, threshold):
     yield np.concatenate([a, np.array(extra_a, np.uint64)]), np.concatenate([b, np.array(extra_b, np.uint64)])
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD, r: int = CODE_BITS,
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD, r: int | None = None,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, h, fp, component_id, rep_id, rep_h): the component of every row; its smallest id, and the
     (id, hash) of the one row that stands for it."""
@@ -243,7 +261,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows whose component another row stands for; one row stays of each."""
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    reps = near_duplicates(docs, **options).select(F.col("component_id").alias("_id"), F.col("rep_h").alias("_h")).distinct()
-    marked = docs.withColumns({"_key": F.col(id_col).cast("bigint"), "_row": row_hash(text_col)})
-    kept = marked.join(reps, marked._key.eqNullSafe(reps._id) & (marked._row == reps._h), "left_semi")
-    return kept.dropDuplicates(["_key", "_row"]).drop("_key", "_row")
+    key, row = free_names(docs, "_key", "_row")
+    reps = near_duplicates(docs, **options).select(F.col("component_id").alias(key), F.col("rep_h").alias(row)).distinct()
+    marked = docs.withColumns({key: F.col(id_col).cast("bigint"), row: row_hash(text_col)})
+    kept = marked.join(reps, marked[key].eqNullSafe(reps[key]) & (marked[row] == reps[row]), "left_semi")
+    return kept.dropDuplicates([key, row]).drop(key, row)

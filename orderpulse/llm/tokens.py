@@ -30,6 +30,7 @@ from orderpulse.llm.common import arrow_rows, shipped, stored
 DOCS_PER_SHARD = 4096
 MAX_SHARDS = 20_000          # shard bounds are the only thing kept on the driver
 CHUNK_BYTES = 1 << 18
+KEYS_PER_CHUNK = 8192
 KEYS_PER_BUCKET = 4096
 KNOWN_WORDS = 400_000        # words a worker remembers; beyond it the memory starts afresh
 FILE_SCHEMA = ("shard int, chunk int, width int, keys array<bigint>, offsets array<bigint>, "
@@ -194,7 +195,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, vocab_size:
 
         for batch in batches:
             for s, key, part in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if s != shard or size >= chunk_bytes:
+                if s != shard or size >= chunk_bytes or len(keys) >= KEYS_PER_CHUNK:
                     if parts:
                         yield row()
                     chunk, shard, keys, parts, size = (chunk + 1 if s == shard else 0), s, [], [], 0
@@ -276,25 +277,57 @@ def fingerprint(h: np.ndarray) -> np.ndarray:
 
 
 def _bucket(buckets: int):
-    return F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).alias("bucket")
+    """Of a key, its occurrence included: the rows of a repeated id are spread over all buckets."""
+    return F.pmod(F.xxhash64("doc_id", "occurrence"), F.lit(buckets)).alias("bucket")
+
+
+def _carried(files: DataFrame) -> DataFrame:
+    """(shard, chunk, before): of the chunks whose first id has rows in chunks before, how many. Files are in the
+    order of the ids, so such an id is the last of the chunk before, and no other id of a chunk has rows elsewhere."""
+    def ends(at: int):
+        key = F.element_at("keys", at)
+        return F.struct(key.alias("doc_id"), F.size(F.filter("keys", lambda k: k.eqNullSafe(key))).alias("n"),
+                        F.lit(at == 1).alias("first"))
+
+    one = F.element_at("keys", 1).eqNullSafe(F.element_at("keys", -1))
+    runs = files.select("shard", "chunk", F.explode(F.when(one, F.array(ends(1))).otherwise(F.array(ends(1), ends(-1)))).alias("r"))
+    so_far = W.partitionBy("shard", "r.doc_id").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
+    return (runs.withColumn("before", F.sum("r.n").over(so_far)).where("r.first and before > 0")
+            .select("shard", "chunk", "before"))
+
+
+def places_of(files: DataFrame) -> DataFrame:
+    """(doc_id, no_id, occurrence, shard, chunk, at, n) of every row of the files; occurrences of an id are numbered
+    in file order. A null id is 0 with ``no_id``: pandas would turn whole numbers with nulls into floats."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _forget()
+        for batch in batches:
+            for i in range(batch.num_rows):
+                keys, at = batch.column(2)[i].values, batch.column(3)[i].values.to_numpy()
+                no_id, ids = keys.is_null().to_numpy(zero_copy_only=False), keys.fill_null(0).to_numpy()
+                place = np.arange(len(ids))
+                starts = np.r_[True, (ids[1:] != ids[:-1]) | (no_id[1:] != no_id[:-1])]
+                occurrence = place - np.maximum.accumulate(np.where(starts, place, 0))
+                occurrence[np.cumsum(starts) == 1] += batch.column(5)[i].as_py() or 0
+                n = np.diff(np.r_[at, batch.column(4)[i].as_py()])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids), pa.array(no_id), pa.array(occurrence), pa.array(np.full(len(ids), batch.column(0)[i].as_py(), np.int32)),
+                     pa.array(np.full(len(ids), batch.column(1)[i].as_py(), np.int32)), pa.array(at), pa.array(n)],
+                    ["doc_id", "no_id", "occurrence", "shard", "chunk", "at", "n"])
+
+    chunks = files.select("shard", "chunk", "keys", "offsets", "n_tokens").join(_carried(files), ["shard", "chunk"], "left")
+    return shipped(chunks).select("shard", "chunk", "keys", "offsets", "n_tokens", "before").mapInArrow(
+        run, "doc_id bigint, no_id boolean, occurrence bigint, shard int, chunk int, at bigint, n bigint")
 
 
 def build_index(files: DataFrame, buckets: int) -> DataFrame:
-    """One row per hash bucket of keys, stored; see ``locate``. Occurrences of an id are numbered
-    in file order."""
-    places = files.select("shard", "chunk", "n_tokens", F.posexplode("keys").alias("pos", "doc_id"),
-                          F.col("offsets"))
-    places = places.select("doc_id", "shard", "chunk", F.element_at("offsets", F.col("pos") + 1).alias("at"),
-                           (F.coalesce(F.try_element_at("offsets", F.col("pos") + 2), F.col("n_tokens"))
-                            - F.element_at("offsets", F.col("pos") + 1)).alias("n"), _bucket(buckets))
-    # pandas would turn a column of whole numbers with nulls into floats
-    places = places.withColumns({"no_id": F.col("doc_id").isNull(), "doc_id": F.coalesce("doc_id", F.lit(0))})
+    """One row per hash bucket of keys (id, occurrence), stored; see ``locate``."""
+    places = places_of(files).withColumn("bucket", _bucket(buckets))
 
     def build(key, pdf):
         _forget()
-        pdf = pdf.sort_values(["no_id", "doc_id", "shard", "chunk", "at"], kind="stable")
-        occ = pdf.groupby(["no_id", "doc_id"]).cumcount()
-        h = _key_hash(pdf["doc_id"].to_numpy(), occ.to_numpy(), pdf["no_id"].to_numpy())
+        pdf = pdf.sort_values(["no_id", "doc_id", "occurrence"])
+        h = _key_hash(pdf["doc_id"].to_numpy(), pdf["occurrence"].to_numpy(), pdf["no_id"].to_numpy())
         pilots = build_mph(h)
         to = np.argsort(mph_slots(h, pilots, len(h)))
         cols = {name: pdf[c].to_numpy()[to].astype(t).tobytes()
@@ -304,7 +337,8 @@ def build_index(files: DataFrame, buckets: int) -> DataFrame:
         return pd.DataFrame([{"bucket": key[0], "n_slots": len(h), "pilots": pilots.astype("<i8").tobytes(),
                               "fingerprints": fingerprint(h[to]).tobytes(), **cols}])
 
-    return stored(shipped(places).groupBy("bucket").applyInPandas(build, INDEX_SCHEMA), "token-index")
+    with arrow_rows(files.sparkSession, 256):
+        return stored(places.groupBy("bucket").applyInPandas(build, INDEX_SCHEMA), "token-index")
 
 
 def locate(index: DataFrame, keys: DataFrame, buckets: int) -> DataFrame:
@@ -325,7 +359,7 @@ def locate(index: DataFrame, keys: DataFrame, buckets: int) -> DataFrame:
         return pd.DataFrame(out)[known]
 
     keyed = shipped(keys).select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "occurrence",
-                                 F.col("doc_id").isNull().alias("no_id"), _bucket(buckets))
+                                 F.col("doc_id").isNull().alias("no_id")).withColumn("bucket", _bucket(buckets))
     return keyed.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInPandas(find, schema)
 
 
@@ -362,13 +396,22 @@ def chunk_starts(files: DataFrame) -> DataFrame:
         "shard", "chunk", (F.col("base") + F.col("in_shard")).alias("first"))
 
 
+def keys_of(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, occurrence) of every row. The occurrences of an id with many rows are made in ranges, by as many tasks."""
+    first = F.col("range") * KEYS_PER_BUCKET
+    counted = docs.groupBy(F.col(id_col).cast("bigint").alias("doc_id")).count()
+    ranges = counted.select("doc_id", "count", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(count - 1) div {KEYS_PER_BUCKET}"))).alias("range"))
+    many = F.col("count") > KEYS_PER_BUCKET
+    ranges = ranges.where(~many).unionByName(ranges.where(many).repartition("doc_id", "range"))
+    return ranges.select("doc_id", F.explode(F.sequence(first, F.least(F.col("count"), first + KEYS_PER_BUCKET) - 1)).alias("occurrence"))
+
+
 def token_output(docs: DataFrame, tokenizer: str, end_id: int, vocab_size: int = 1 << 16,
                  id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Write files and index for ``docs``, then look every document up: returns (files, index,
     documents found: doc_id, occurrence, start, n_tokens, ids_crc32)."""
     files = write_token_files(docs, tokenizer, end_id, vocab_size, id_col, text_col)
-    keys = docs.groupBy(F.col(id_col).cast("bigint").alias("doc_id")).count()
-    keys = keys.select("doc_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("count") - 1)).alias("occurrence"))
+    keys = keys_of(docs, id_col)
     n = files.agg(F.sum(F.size("keys"))).first()[0] or 0
     buckets = max(1, -(-n // KEYS_PER_BUCKET))
     index = build_index(files, buckets)

@@ -8,7 +8,7 @@ Each hit is scored by a window of words around it: quotation marks and reporting
 quotation, closeness of other hits for abuse. A logistic regression on the hit statistics of the
 learning rows gives the score.
 
-The learning rows are at most ``SAMPLE`` labelled rows (those with the smallest hash of the id); all else
+The learning rows are at most ``SAMPLE`` labelled rows (those with the smallest hash of the id, one of each id); all else
 covers all rows. Defined cases: null and empty texts have no hits and get the score of a text without
 hits; repeated rows are scored each; an id with several labels counts with the greatest; without
 labels of both kinds every score is the share of label 1 (0 without labels); other columns are
@@ -34,7 +34,6 @@ from orderpulse.llm.common import row_hash, shipped, stored
 from orderpulse.llm.quality import held_out
 
 SAMPLE = 20_000              # labelled rows that the lexicon and the regression are learnt from
-LEXICON = 2_000              # terms at most
 OPENINGS = (4, 5, 6, 7)      # lengths of word openings that may become terms
 WINDOW = 6                   # words on either side of a hit
 ODDS = 8.0                   # by which a term's rate in toxic texts exceeds that in others, outside quotations
@@ -225,12 +224,14 @@ class Matcher:
 
 def learning_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, y) of the learning rows; labels at most ``sample``, so they can be broadcast."""
+    """(doc_id, text, y) of the learning rows, at most ``sample``: of the rows of an id the one with the smallest
+    hash of the text. Labels are at most as many, so they can be broadcast."""
     known = labels.where(F.col(label).isin(0, 1) & ~held_out(id_col) & F.col(id_col).isNotNull())
     known = known.groupBy(F.col(id_col).cast("bigint").alias("doc_id")).agg(F.max(label).cast("int").alias("y"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return texts.join(F.broadcast(known), "doc_id")
+    found = texts.join(F.broadcast(known), "doc_id")
+    return found.groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.max("y").alias("y"))
 
 
 def _terms_of(text: str | None) -> set[str]:
@@ -281,10 +282,10 @@ def one_of_copies(rows: DataFrame) -> DataFrame:
     return kept.select("text", "y")
 
 
-def learn_lexicon(rows: DataFrame, size: int = LEXICON) -> list[str]:
+def learn_lexicon(rows: DataFrame, size: int | None = None) -> list[str]:
     """Terms whose share of toxic texts is out of reach of chance, those with the most evidence first; uses in
     quotations count for neither side. ``rows`` have each text once: else a toxic text with many copies would
-    make all its words look toxic."""
+    make all its words look toxic. ``size``: only so many terms."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
@@ -305,7 +306,7 @@ def learn_lexicon(rows: DataFrame, size: int = LEXICON) -> list[str]:
     evidence = F.col("n1") * F.log(share / base) + F.when(F.col("n0") > 0, F.col("n0") * F.log((1 - share) / (1 - base))).otherwise(0)
     found = (summed.where(f"n1 >= 3 and n1 * {float(n[0])}D >= {ODDS}D * n0 * {float(n[1])}D").withColumn("evidence", evidence)
              .where(F.col("evidence") >= math.log(max(summed.count(), 2)))
-             .orderBy(F.col("evidence").desc(), F.length("term"), "term").limit(20 * size).collect())
+             .collect())  # terms of at most the sample's texts
     # of terms that the same texts make, the most particular: the word before its openings, the longest of these
     chosen: dict[str, int] = {}
     openings: set[str] = set()
@@ -341,7 +342,7 @@ def look_alikes(rows: DataFrame, terms: list[str]) -> list[str]:
     found = shipped(rows).select("text", "y").mapInArrow(run, "word string, n0 bigint, n1 bigint")
     found = found.groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     known = found.where(f"n0 >= 2 and n0 * {float(n.get(1, 0))}D >= n1 * {float(n.get(0, 0))}D")
-    return [r.word for r in known.orderBy(F.col("n0").desc(), "word").limit(200_000).collect()]
+    return sorted(r.word for r in known.collect())  # words of at most the sample's texts
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:

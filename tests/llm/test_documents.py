@@ -4,13 +4,14 @@ of nulls, empty and very long texts, ties, repeated rows, clashing extra columns
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import brute
 from llm_helpers import SF, rows_of
 from orderpulse.llm import decontam, mixing, pii, simhash, tokens
-from orderpulse.llm.common import read_table
+from orderpulse.llm.common import connected_components, read_table
 from orderpulse.llm.queries import END_ID, QUERIES, tokenizer_path
 
 DOC_SCHEMA = "doc_id bigint, text string, source string, h string, row int, target string, fp string, n bigint, ids string"
@@ -150,6 +151,17 @@ def test_links_of_dense_groups_join_what_all_pairs_join():
     assert [g.find(i) for i in range(len(x))] == [brute_g.find(i) for i in range(len(x))]
 
 
+def test_both_codes_link_the_same(spark):
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
+    x = np.unique(np.concatenate([base] + [base ^ (np.uint64(1) << rng.integers(0, 64, 60, dtype=np.uint64)) for _ in range(4)]))
+    df = spark.createDataFrame([(int(v),) for v in x.view(np.int64)], "fp bigint")
+    roots = [sorted(tuple(r) for r in connected_components(simhash.anchor_links(df, r=r), "a", "b").collect()) for r in (5, 6)]
+    assert roots[0] == roots[1] and len(roots[0]) > 200
+    assert simhash.copies_of(2, 5) == 156 and simhash.copies_of(2, 6) == 652
+    assert [simhash.code_bits(n) for n in (0, 10**8, 10**9)] == [5, 5, 6]
+
+
 # --- token output ------------------------------------------------------------------------
 
 def test_tokens_of_the_table(spark):
@@ -177,6 +189,28 @@ def test_token_cases(spark, docs, vocab, monkeypatch):
     assert (123456, 0) not in got and (5, 1) not in got
 
 
+def test_a_repeated_id_is_spread_over_the_index(spark, monkeypatch):
+    monkeypatch.setattr(tokens, "KEYS_PER_BUCKET", 8)
+    monkeypatch.setattr(tokens, "KEYS_PER_CHUNK", 16)
+    monkeypatch.setattr(tokens, "DOCS_PER_SHARD", 64)
+    rows = [(7, f"copy {i % 11}") for i in range(200)] + [(None, None)] * 50 + [(i, f"text {i}") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    files, index, found = tokens.token_output(df, tokenizer_path(), END_ID)
+    got = found.collect()
+    want = brute.tokens(rows, tokenizer_path(), END_ID)
+    assert sorted(((r.doc_id, r.n_tokens, r.ids_crc32) for r in got), key=repr) == sorted(((d, n, c) for d, _, n, c in want), key=repr)
+    assert sorted(r.occurrence for r in got if r.doc_id == 7) == list(range(201))
+    assert sorted(r.occurrence for r in got if r.doc_id is None) == list(range(50))
+    at = 0
+    for r in sorted(got, key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens
+    # occurrences are numbered in file order, and no bucket holds more than a few times its share
+    starts = [r.start for r in sorted(got, key=lambda r: r.occurrence) if r.doc_id == 7]
+    assert starts == sorted(starts)
+    assert max(r.n_slots for r in index.select("n_slots").collect()) <= 24
+
+
 def test_tokens_of_an_empty_table(spark, docs):
     files, index, found = tokens.token_output(docs.limit(0), tokenizer_path(), END_ID)
     assert files.count() == index.count() == found.count() == 0
@@ -248,6 +282,20 @@ def test_mix_emits_copies_with_the_documents_columns(spark, docs):
     assert out.count() == sum(r[5] for r in mixed_rows(docs))
 
 
+CLASHING = ["_size", "_target", "_Copies", "_source_size", "_copy", "_salt", "_key", "_row", "__key", "_id", "_h"]
+
+
+def test_columns_of_such_names_stay(spark, docs, items):
+    more = docs.select("*", *[F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in CLASHING])
+    for got, plain in [(mixing.emit(mixing.mix(more)), mixing.emit(mixing.mix(docs))),
+                       (decontam.decontaminate(more, items), decontam.decontaminate(docs, items)),
+                       (simhash.keep_one(more), simhash.keep_one(docs))]:
+        assert got.columns == more.columns
+        assert rows_of(got, "doc_id", "text") == rows_of(plain, "doc_id", "text")
+        assert all(r[n] == (None if r.doc_id is None else f"{n}{r.doc_id}") for r in got.collect() for n in CLASHING)
+    assert mixing.mix(more).columns[-4:] == ["__size", "__source_size", "__target", "__copies"]
+
+
 def test_mix_plan_has_no_python(spark, docs):
     plan = mixing.emit(mixing.mix(docs))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
