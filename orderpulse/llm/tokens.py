@@ -33,6 +33,7 @@ CHUNK_BYTES = 1 << 18
 KEYS_PER_CHUNK = 8192
 KEYS_PER_BUCKET = 4096
 KNOWN_WORDS = 400_000        # words a worker remembers; beyond it the memory starts afresh
+KNOWN_TAILS = 10_000         # strings of marks, likewise
 FILE_SCHEMA = ("shard int, chunk int, width int, keys array<bigint>, offsets array<bigint>, "
                "n_tokens bigint, payload binary")
 INDEX_SCHEMA = ("bucket bigint, n_slots int, pilots binary, fingerprints binary, shards binary, "
@@ -70,6 +71,7 @@ class PieceEncoder:
         #: ids of a word with the space before it; of a line's first word under its name after "\3"
         self.known: dict[str, bytes] = {"\1": self.marks[","], "\2": self.marks["."], "\4": self.marks["\n"]}
         self.marked: set[str] = set()  # known words that end in a mark
+        self.tails: dict[str, bytes] = {}
 
     def _raw(self, ids: list[int]) -> bytes:
         return self.packs[len(ids)](*ids) if len(ids) < 64 else struct.pack(f"<{len(ids)}{self.code}", *ids)
@@ -77,13 +79,29 @@ class PieceEncoder:
     def _whole(self, text: str) -> bytes:
         return self._raw(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def _word(self, before: str, word: str) -> bytes:
+        told = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode("utf-8")))
+        return self._raw([t.id for t in self.tokenize(before + told)])
+
+    def _with_marks(self, w: str) -> bytes:
+        """Ids of a word of the memory's kind that is not letters alone; of one with marks after it, those of the
+        word (often known) and those of the marks (few kinds)."""
+        text, stem = w[1:] if w[:1] == "\3" else " " + w, w.rstrip(_TAIL)
+        if stem == w or not stem[-1:].isalnum():
+            return self.piece(text)
+        tail = w[len(stem):]
+        if tail not in self.tails:
+            if len(self.tails) > KNOWN_TAILS:
+                self.tails.clear()
+            self.tails[tail] = self._whole(tail)
+        return (self.known.get(stem) or self.piece(text[:-len(tail)])) + self.tails[tail]
+
     def piece(self, text: str) -> bytes:
         """Ids of a piece."""
         space = text[:1] == " "
         word = text[1:] if space else text
         if word.isalpha():  # one word: one step of the model
-            told = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode("utf-8")))
-            return self._raw([t.id for t in self.tokenize(self.letters[32] + told if space else told)])
+            return self._word(self.letters[32] if space else "", word)
         word = text.rstrip(_TAIL)
         if word != text and word[-1:].isalnum():
             return self.piece(word) + self._whole(text[len(word):])
@@ -100,10 +118,12 @@ class PieceEncoder:
         if "\n" in body:
             body = body.replace(",\n", " \1\n").replace(".\n", " \2\n").replace("\n", " \4 \3")
         words = ("\3" + body).split(" ")
-        once, marked = [], False
-        for w in set(words).difference(known):
-            known[w] = self.piece(w[1:] if w[:1] == "\3" else " " + w)
-            ends = not w[-1:].isalnum() and w != "\3"
+        once, marked, kinds, space = [], False, set(words), self.letters[32]
+        for w in kinds.difference(known):
+            if w.isalpha():
+                known[w], ends = self._word(space, w), False
+            else:
+                known[w], ends = self._with_marks(w), not w[-1:].isalnum() and w != "\3"
             at = hash(w) & 0x3FFFFF
             if met[at]:
                 if ends:
@@ -115,7 +135,7 @@ class PieceEncoder:
         out = list(map(known.__getitem__, words))
         if last:
             out.append(self.marks[last])
-        marked = marked or not self.marked.isdisjoint(words)
+        marked = marked or not self.marked.isdisjoint(kinds)
         for w in once:  # kept from their second text on
             del known[w]
         return self._whole(text) if marked and _MARKED.search(text) else b"".join(out)
